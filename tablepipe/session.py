@@ -77,3 +77,37 @@ def _spark_context(spark: SparkSession):
         return spark.sparkContext
     except Exception:  # Spark Connect has no SparkContext
         return None
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tablepipe`` importable in Python workers (UDTFs, the paged Data
+    Source): zip the package into the shared scratch folder once per session
+    and add it with ``addPyFile``. A cluster launched with ``--py-files``
+    already has it; this is a no-op when workers can import it some other way
+    only if the zip was added before."""
+    sc = _spark_context(spark)
+    if sc is None:
+        return
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    dest = scratch_path(spark, "pyfiles")
+    local_dir = dest[len("file:"):] if dest.startswith("file:") else dest
+    if "://" in local_dir:  # remote shared folder: build locally, ship from there
+        local_dir = tempfile.mkdtemp(prefix="tablepipe-zip-")
+    os.makedirs(local_dir, exist_ok=True)
+    path = os.path.join(local_dir, "tablepipe.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

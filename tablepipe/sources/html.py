@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from tablepipe.session import ship_package
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
          "param", "source", "track", "wbr"}
 
@@ -165,12 +167,14 @@ class HtmlOptions:
 def html_rows(df: DataFrame, html_col: str, element_id=None, row_tag: str = "tr",
               cell_tags: str = "td,th", keep=()) -> DataFrame:
     """Lateral UDTF: the kept columns of ``df`` x ``(pos, cells, error)``."""
+    ship_package(df.sparkSession)
     args = [F.col(html_col).outer(), F.lit(element_id).cast("string"), F.lit(row_tag), F.lit(cell_tags)]
     return df.select(*keep, html_col).lateralJoin(HtmlRows(*args)).drop(html_col)
 
 
 def html_options(df: DataFrame, html_col: str, element_id=None, tag: str = "option",
                  attr: str = "value", keep=()) -> DataFrame:
+    ship_package(df.sparkSession)
     args = [F.col(html_col).outer(), F.lit(element_id).cast("string"), F.lit(tag), F.lit(attr)]
     return df.select(*keep, html_col).lateralJoin(HtmlOptions(*args)).drop(html_col)
 

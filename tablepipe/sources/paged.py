@@ -200,6 +200,9 @@ def register(spark) -> None:
 def read_paged(spark, fetcher: str, columns, page_size: int = PAGE_SIZE, size_limit=None,
                fetcher_args: dict | None = None, row_count: int | None = None):
     """``spark.read.format('paged')`` with the options spelled out."""
+    from tablepipe.session import ship_package
+
+    ship_package(spark)
     register(spark)
     r = (spark.read.format("paged").option("fetcher", fetcher)
          .option("fetcher_args", json.dumps(fetcher_args or {}))
