@@ -96,6 +96,12 @@ def day_bounds_utc(day, zone: str) -> tuple[dt.datetime, dt.datetime]:
     return (start.astimezone(utc).replace(tzinfo=None), end.astimezone(utc).replace(tzinfo=None))
 
 
+def utc_wall(col) -> Column:
+    """UTC wall clock (``timestamp_ntz``) of an instant (``timestamp``) column,
+    independent of the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(as_col(col)), ntz_literal(_EPOCH_NTZ))
+
+
 def local_date(col, zone: str) -> Column:
     """Local calendar date in ``zone`` of a UTC wall-clock timestamp."""
     tz = zone_info(zone)

@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablepipe._util import as_col, as_list, order_columns, require_columns
 from tablepipe.functions.timeops import day_bounds_utc, ntz_literal
@@ -75,6 +76,11 @@ def day_slice(df: DataFrame, ts_col, day, zone: str = "-08:00") -> DataFrame:
     'PST' abbreviation as; pass a region name for a DST-aware day."""
     lo, hi = day_bounds_utc(day, zone)
     c = as_col(ts_col)
+    name = ts_col if isinstance(ts_col, str) else None
+    if name is not None and isinstance(df.schema[name].dataType, T.TimestampType):
+        # an instant column: compare with instants, not wall clocks
+        utc = dt.timezone.utc
+        return df.where((c >= F.lit(lo.replace(tzinfo=utc))) & (c < F.lit(hi.replace(tzinfo=utc))))
     return df.where((c >= ntz_literal(lo)) & (c < ntz_literal(hi)))
 
 

@@ -96,10 +96,12 @@ def measure_pivot_join(df: DataFrame, keys, name_col: str, value_col: str, measu
     instead of one and keeps one of a duplicated pair silently."""
     keys, measures = as_list(keys), as_list(measures)
     names = names or {}
-    attrs = first_nonnull(df, keys, attributes, order_by)
     piv = (df.where(_all_not_null(keys)).groupBy(*keys).pivot(name_col, measures)
            .agg(F.max(value_col)))
     piv = piv.select(*keys, *[F.col(f"`{m}`").alias(names.get(m, m)) for m in measures])
+    if not as_list(attributes):
+        return piv
+    attrs = first_nonnull(df, keys, attributes, order_by)
     return attrs.join(piv, on=keys, how="inner")
 
 

@@ -80,7 +80,7 @@ def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
     the appended rows (lazy). Running it twice appends nothing the second time
     for non-null keys."""
     spark = batch.sparkSession
-    tgt = _read_target(spark, target, fmt)
+    tgt = _read_target(spark, target, fmt, like=batch)
     add = rows_to_append(batch, tgt, keys, order_by).select(*tgt.columns)
     if _is_path(target):
         add.write.mode("append").format(fmt).save(target)
@@ -92,18 +92,18 @@ def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
 def check_unique(df: DataFrame, keys, allow_null: bool = False) -> None:
     """Raise if a non-null key repeats (or, unless ``allow_null``, a key is null).
 
-    One aggregation over the key columns only, partially aggregated map-side."""
+    One job over the key columns only: a keyed count, partially aggregated
+    map-side, then a global max / null total."""
     keys = as_list(keys)
     present = _all_keys_present(keys)
-    counts = (df.select(*keys).where(present).groupBy(*keys).count()
-              .agg(F.max("count").alias("m")))
-    dup = counts.select(F.coalesce(F.col("m"), F.lit(0)) > 1).first()[0]
-    if dup:
-        sample = (df.select(*keys).where(present).groupBy(*keys).count()
-                  .where(F.col("count") > 1).limit(5).collect())
+    per_key = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    stats = per_key.agg(F.max(F.when(present, F.col("n"))).alias("max_n"),
+                        F.sum(F.when(~present, F.col("n"))).alias("null_rows")).first()
+    if (stats["max_n"] or 0) > 1:
+        sample = per_key.where(present & (F.col("n") > 1)).limit(5).collect()
         raise ValueError(f"duplicate key {keys}: {[tuple(r) for r in sample]}")
-    if not allow_null and not df.where(~present).isEmpty():
-        raise ValueError(f"null in key {keys}")
+    if not allow_null and (stats["null_rows"] or 0) > 0:
+        raise ValueError(f"null in key {keys}: {stats['null_rows']} rows")
 
 
 def truncate_and_load(df: DataFrame, target: str, contract=None, keys=None,
@@ -196,5 +196,17 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def _read_target(spark: SparkSession, target: str, fmt: str) -> DataFrame:
-    return spark.read.format(fmt).load(target) if _is_path(target) else spark.table(target)
+def _read_target(spark: SparkSession, target: str, fmt: str, like: DataFrame | None = None) -> DataFrame:
+    """The target table or path; a path that does not exist yet reads as an
+    empty table shaped like ``like`` (helper columns ``__*`` left out)."""
+    if not _is_path(target):
+        return spark.table(target)
+    try:
+        return spark.read.format(fmt).load(target)
+    except Exception as e:  # noqa: BLE001
+        if like is None or "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        cols = [f for f in like.schema.fields if not f.name.startswith("__")]
+        from pyspark.sql import types as T
+
+        return spark.createDataFrame([], T.StructType(cols))
