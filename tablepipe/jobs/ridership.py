@@ -74,7 +74,7 @@ def run(spark: SparkSession, pages: DataFrame, table_name: str, snapshot_root: s
     table, rejects = parse_pages(pages)
     write_table(table, table_name, existing="drop")
     if snapshot_root:
-        day = (run_date or dt.date.today()).isoformat()
+        day = run_date or dt.date.today()
         write_snapshot(spark.table(table_name).withColumn("snapshot_date", F.lit(day)),
                        snapshot_root, partition_col="snapshot_date", skip_empty=False)
     return rejects
