@@ -53,8 +53,8 @@ def parse_pages(pages: DataFrame, keys=("year", "month", "line")):
     rows = html_rows(ok, "html", TABLE_ID, keep=keys)
     failed = rows.where(F.col("error").isNotNull()).select(*keys, F.col("error").alias("reason"))
     rows = rows.where(F.col("error").isNull())
-    header = rows.where(F.col("pos") == 0).select(*keys, F.col("cells").alias("header"))
-    body = rows.where(F.col("pos") > 0).join(header, on=keys, how="inner")
+    header = rows.where(F.col("pos") == 0).select("header")
+    body = rows.where(F.col("pos") > 0)
     body = body.select(*keys, "pos", F.map_from_arrays(
         F.slice("header", 1, F.least(F.size("header"), F.size("cells"))),
         F.slice("cells", 1, F.least(F.size("header"), F.size("cells")))).alias("m"))

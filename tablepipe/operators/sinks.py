@@ -74,13 +74,29 @@ def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by) -> DataF
     return fresh.unionByName(batch.where(~present))
 
 
+# Most partition values of a batch used to prune the target scan.
+MAX_PRUNE_VALUES = 10_000
+
+
 def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
-                            fmt: str = "parquet") -> DataFrame:
+                            fmt: str = "parquet", partition_col: str | None = None) -> DataFrame:
     """Append the non-conflicting rows of ``batch`` to a table or path; returns
     the appended rows (lazy). Running it twice appends nothing the second time
-    for non-null keys."""
+    for non-null keys.
+
+    ``partition_col``: a key column the target is partitioned by (e.g. a
+    service date). The target scan is then cut to the partition values that
+    occur in the batch (a bounded, distinct list), so a daily batch reads one
+    day of a years-long table."""
     spark = batch.sparkSession
     tgt = _read_target(spark, target, fmt, like=batch)
+    if partition_col is not None:
+        if partition_col not in as_list(keys):
+            raise ValueError("partition_col must be one of the keys")
+        vals = [r[0] for r in batch.select(partition_col).where(F.col(partition_col).isNotNull())
+                .distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
+        if len(vals) <= MAX_PRUNE_VALUES:
+            tgt = tgt.where(F.col(partition_col).isin(vals))
     add = rows_to_append(batch, tgt, keys, order_by).select(*tgt.columns)
     if _is_path(target):
         add.write.mode("append").format(fmt).save(target)

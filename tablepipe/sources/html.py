@@ -5,9 +5,10 @@ page is parsed by the task that holds its row, so pages are spread over the
 cluster. Flat ``tag attr="..."`` lists without an element scope use a
 JVM regular expression instead and never leave the JVM.
 
-* ``html_rows(html, element_id, row_tag, cell_tags)`` -> ``(pos, cells, error)``:
+* ``html_rows(html, element_id, row_tag, cell_tags)`` -> ``(pos, cells, header, error)``:
   rows of the first element with that id (a table: ``tr`` rows of ``td``/``th``
-  cells; a list: ``li`` rows whose text is the one cell).
+  cells; a list: ``li`` rows whose text is the one cell). ``header`` repeats
+  the first row's cells on every row, so naming the cells needs no join.
 * ``html_options(html, element_id, tag, attr)`` -> ``(pos, value)``: attribute
   values of ``tag`` elements under the element with that id.
 """
@@ -139,17 +140,18 @@ def parse_options(html, element_id=None, tag="option", attr="value"):
     return p.values
 
 
-@udtf(returnType="pos int, cells array<string>, error string", useArrow=True)
+@udtf(returnType="pos int, cells array<string>, header array<string>, error string", useArrow=True)
 class HtmlRows:
     def eval(self, html, element_id=None, row_tag="tr", cell_tags="td,th"):
         tags = tuple(t for t in (cell_tags or "").split(",") if t)
         try:
             rows = parse_rows(html, element_id, row_tag or "tr", tags)
         except Exception as e:  # a failed page is reported, not dropped
-            yield None, None, f"{type(e).__name__}: {e}"
+            yield None, None, None, f"{type(e).__name__}: {e}"
             return
+        header = rows[0] if rows else None
         for i, r in enumerate(rows):
-            yield i, r, None
+            yield i, r, header, None
 
 
 @udtf(returnType="pos int, value string, error string", useArrow=True)
@@ -166,7 +168,7 @@ class HtmlOptions:
 
 def html_rows(df: DataFrame, html_col: str, element_id=None, row_tag: str = "tr",
               cell_tags: str = "td,th", keep=()) -> DataFrame:
-    """Lateral UDTF: the kept columns of ``df`` x ``(pos, cells, error)``."""
+    """Lateral UDTF: the kept columns of ``df`` x ``(pos, cells, header, error)``."""
     ship_package(df.sparkSession)
     args = [F.col(html_col).outer(), F.lit(element_id).cast("string"), F.lit(row_tag), F.lit(cell_tags)]
     return df.select(*keep, html_col).lateralJoin(HtmlRows(*args)).drop(html_col)

@@ -89,15 +89,23 @@ class PagedReader(DataSourceReader):
         index = fetcher.index() if hasattr(fetcher, "index") else None
         if rc in (None, ""):
             rc = sum(n for _, n in index) if index is not None else fetcher.count()
-        pages = []
-        for o in page_offsets(int(rc), self.page_size, self.size_limit):
-            hint = None
-            if index is not None:  # only the files this page covers, with their start rows
-                hint, start = [], 0
-                for name, n in index:
-                    if start < o + self.page_size and start + n > o:
-                        hint.append((name, n, start))
-                    start += n
+        offsets = page_offsets(int(rc), self.page_size, self.size_limit)
+        if index is None:
+            return [Page(o, self.page_size) for o in offsets]
+        # one pass over pages and files together: each page gets only the
+        # files it covers, with their start rows
+        located, start = [], 0
+        for name, n in index:
+            located.append((name, n, start))
+            start += n
+        pages, first = [], 0
+        for o in offsets:
+            while first < len(located) and located[first][2] + located[first][1] <= o:
+                first += 1
+            hint, j = [], first
+            while j < len(located) and located[j][2] < o + self.page_size:
+                hint.append(located[j])
+                j += 1
             pages.append(Page(o, self.page_size, hint))
         return pages
 
