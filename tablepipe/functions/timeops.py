@@ -32,11 +32,28 @@ def ntz_literal(value) -> Column:
 
 
 def parse_ts(col, fmt: str | None = None) -> Column:
-    """Text -> ``timestamp_ntz``; unparseable text gives null."""
+    """Text -> ``timestamp_ntz``; unparseable text gives null.
+
+    ``to_timestamp_ntz`` reads the wall clock as written (no zone), but fails
+    on bad text under ANSI; ``try_to_timestamp`` tolerates bad text but goes
+    through the session zone, which moves wall clocks that fall in a DST gap.
+    So the tolerant parse only decides validity and the zone-free parse gives
+    the value."""
     c = as_col(col)
     if fmt is None:
-        return F.try_to_timestamp(c).cast("timestamp_ntz")
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+        return c.try_cast("timestamp_ntz")
+    ok = F.try_to_timestamp(c, F.lit(fmt)).isNotNull()
+    return F.when(ok, F.to_timestamp_ntz(c, F.lit(fmt)))
+
+
+def us_datetime_text(col) -> Column:
+    """``M/d/yyyy h:mm:ss AM`` text of a ``timestamp_ntz`` from its fields
+    (``date_format`` would pass through the session zone)."""
+    t = as_col(col)
+    h = F.hour(t)
+    return F.format_string("%d/%d/%d %d:%02d:%02d %s", F.month(t), F.dayofmonth(t), F.year(t),
+                           ((h + 11) % 12) + 1, F.minute(t), F.second(t),
+                           F.when(h < 12, F.lit("AM")).otherwise(F.lit("PM")))
 
 
 def to_wall_clock(col, zone: str, source_zone: str = "UTC") -> Column:
@@ -62,7 +79,10 @@ def epoch_text(col, zone: str | None = None, fmt: str = "yyyy-MM-dd HH:mm") -> C
     if zone is None:
         return F.from_unixtime(c, fmt)
     wall_utc = F.timestamp_add("SECOND", c, ntz_literal(_EPOCH_NTZ))
-    return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), wall_utc), fmt)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), wall_utc)
+    if fmt == "yyyy-MM-dd HH:mm":  # zone-free rendering of the wall clock
+        return F.substring(local.cast("string"), 1, 16)
+    return F.date_format(local, fmt)
 
 
 def zone_info(zone: str) -> dt.tzinfo:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepipe.functions.text import parse_number
+from tablepipe.functions.timeops import parse_ts
 from tablepipe.operators.contract import TableContract, check_contract, conform
 from tablepipe.operators.names import rename_snake
 from tablepipe.operators.reshape import measure_pivot
@@ -38,8 +39,7 @@ def reshape(raw: DataFrame, ts_format: str | None = None) -> DataFrame:
     typed = raw.withColumns({
         "Trip ID": parse_number(F.col("Trip ID")).cast("bigint"),
         "Measure Values": parse_number(F.col("Measure Values")),
-        **{c: F.try_to_timestamp(F.col(f"`{c}`"), *( [F.lit(ts_format)] if ts_format else []))
-           .cast("timestamp_ntz") for c in TIME_COLUMNS if c in raw.columns},
+        **{c: parse_ts(F.col(f"`{c}`"), ts_format) for c in TIME_COLUMNS if c in raw.columns},
     })
     wide = measure_pivot(typed, "Trip ID", "Measure Names", "Measure Values", MEASURES,
                          attributes=attrs, order_by="__ord", on_duplicate="raise")

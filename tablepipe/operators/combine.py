@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from tablepipe._util import as_col, as_list, require_columns
 
-# Largest side broadcast in a product; beyond it the product is a plain
-# cartesian join. Work lists are years x 12 months x lines, so the bound is
-# only reached by a malformed input.
-BROADCAST_ROWS = 100_000
+# Distinct years a work list may span (a form's year options); more means a
+# malformed input.
+MAX_YEARS = 10_000
 
 
 def tag(df: DataFrame, **constants) -> DataFrame:
@@ -55,35 +54,29 @@ def choose_by_priority(df: DataFrame, keys, rank_col: str, ranks, tie_break=())
     return best.select(*keys, *[F.col("__best")[c].alias(c) for c in value_cols])
 
 
-def _year_month_rows(years: DataFrame, year_col: str, as_of: dt.date) -> DataFrame:
-    """Years x months 1..12 by a generator (no join), minus future periods:
-    later years, and the current month onwards of the current year."""
-    y = F.col(year_col)
-    yi = y.cast("string").try_cast("int")
-    ym = (years.select(y.cast("string").alias("year"), yi.alias("__y"))
-          .where(F.col("__y").isNotNull() & (F.col("__y") <= as_of.year))
-          .select("year", "__y", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("__m"))
-          .where((F.col("__y") < as_of.year) | (F.col("__m") < as_of.month)))
-    return ym.select("year", F.col("__m").cast("string").alias("month"))
-
-
 def period_worklist(years: DataFrame, lines: DataFrame, as_of=None,
                     year_col: str = "year", line_col: str = "line") -> DataFrame:
-    """Every (year, month, line) to fetch, skipping future periods.
-
-    ``years`` and ``lines`` are one-column frames of option values (text). The
-    year x month part is generated per year row; the product with lines is a
-    broadcast join when the smaller side is proven small by a count, otherwise
-    a cartesian join."""
+    """Every (year, month, line) to fetch, skipping future periods: later years,
+    and the current month onwards of the current year.
+
+    ``years`` and ``lines`` are one-column frames of option values (text).
+    The distinct years are a calendar's worth of values: they are gathered
+    (refused above ``MAX_YEARS``) and each line row generates its periods with
+    ``explode`` - no join, no product operator; the output is spread like the
+    lines."""
     as_of = as_of or dt.date.today()
     if isinstance(as_of, str):
         as_of = dt.date.fromisoformat(as_of[:10])
-    ym = _year_month_rows(years.select(year_col).distinct(), year_col, as_of)
+    y = F.col(year_col).cast("string")
+    yi = y.try_cast("int")
+    valid = (years.select(y.alias("year"), yi.alias("y")).where(F.col("y").isNotNull() & (F.col("y") <= as_of.year))
+             .distinct().limit(MAX_YEARS + 1).collect())
+    if len(valid) > MAX_YEARS:
+        raise ValueError(f"more than {MAX_YEARS} distinct years in the work list")
+    periods = [(r.year, m) for r in sorted(valid, key=lambda r: (r.y, r.year))
+               for m in range(1, 13) if r.y < as_of.year or m < as_of.month]
+    if not periods:
+        return lines.sparkSession.createDataFrame([], "year string, month string, line string")
+    arr = F.array(*[F.struct(F.lit(yr).alias("year"), F.lit(str(m)).alias("month")) for yr, m in periods])
     ln = lines.select(F.col(line_col).cast("string").alias("line")).distinct()
-    n_ym = ym.count()
-    if n_ym <= BROADCAST_ROWS:
-        return ln.join(F.broadcast(ym), how="cross").select("year", "month", "line")
-    n_ln = ln.count()
-    if n_ln <= BROADCAST_ROWS:
-        return ym.join(F.broadcast(ln), how="cross").select("year", "month", "line")
-    return ym.crossJoin(ln).select("year", "month", "line")
+    return ln.select(F.inline(arr), "line")

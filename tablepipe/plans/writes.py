@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablepipe.functions.timeops import local_date
+from tablepipe.functions.timeops import local_date, us_datetime_text
 from tablepipe.operators.contract import TableContract
 from tablepipe.operators.filters import day_slice
 from tablepipe.operators.names import rename_snake
@@ -117,7 +117,7 @@ def q_csv_thousands(spark, sf):
     li = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("Order Key"), F.col("l_linenumber").alias("Line Number"),
         F.format_number("l_extendedprice", 2).alias("Extended Price"),
-        F.date_format("l_shipdate", "M/d/yyyy h:mm:ss a").alias("Ship Date"))
+        us_datetime_text("l_shipdate").alias("Ship Date"))
     path = scratch_path(spark, "lineitem_csv")
     li.write.option("header", True).csv(path)
     typed = read_typed_csv(spark, path,
