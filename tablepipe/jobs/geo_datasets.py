@@ -15,5 +15,12 @@ def single_item_manifest(spark: SparkSession, table_name: str, distributions) ->
     return spark.createDataFrame([(table_name, None, f, u) for f, u in distributions], MANIFEST_SCHEMA)
 
 
-def run(spark: SparkSession, manifest: DataFrame, schema: str = "geohub", priority=FORMAT_PRIORITY):
+def run(spark: SparkSession, manifest: DataFrame | None = None, schema: str = "geohub",
+        priority=FORMAT_PRIORITY, item: tuple | None = None):
+    """Load from ``item = (table_name, [(format, url), ...])`` when given (it
+    overrides the manifest), else from ``manifest``; neither is an error."""
+    if item is not None:
+        manifest = single_item_manifest(spark, item[0], item[1])
+    if manifest is None:
+        raise ValueError("provide a manifest, or one item with its distributions")
     return load_manifest(spark, manifest, schema, priority=priority, on_error="collect")

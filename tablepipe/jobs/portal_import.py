@@ -21,12 +21,20 @@ from pyspark.sql import functions as F
 from tablepipe.functions.text import point_text
 from tablepipe.operators.catalog import UPLOAD_METADATA_PATHS, extract_paths, set_table_comment
 from tablepipe.operators.contract import BuiltSchema, build_schema, metadata_columns
-from tablepipe.operators.sinks import write_table
+from tablepipe.operators.sinks import export_csv, write_table
 from tablepipe.sources.paged import PAGE_SIZE, clean_header, load_fetcher, read_paged
 
 SAMPLE_ROWS = 5
 
 
+def dated_name(dataset_id: str, kind: str, day=None) -> str:
+    """``{id}_extract_{date}.csv`` / ``{id}_metadata_{date}.json``."""
+    import datetime as dt
+
+    ext = {"extract": "csv", "metadata": "json"}[kind]
+    return f"{dataset_id}_{kind}_{(day or dt.date.today()).isoformat()}.{ext}"
+
+
 @dataclass
 class ImportResult:
     schema: BuiltSchema
@@ -61,18 +69,21 @@ def typed_extract(spark: SparkSession, built: BuiltSchema, fetcher: str, fetcher
 def run(spark: SparkSession, dataset_id: str, fetcher: str, fetcher_args: dict, metadata_doc: str,
         table: str | None = None, warehouse: str = "redshift", varchar_len=None,
         page_size: int = PAGE_SIZE, size_limit=None, existing: str = "drop",
-        metadata_path: str | None = None) -> ImportResult:
+        metadata_path: str | None = None, extract_root: str | None = None) -> ImportResult:
     headers = sample_headers(fetcher, fetcher_args)
     docs = spark.createDataFrame([(dataset_id, metadata_doc)], "dataset_id string, doc string")
     built = build_schema(metadata_columns(docs), headers, warehouse, varchar_len)
     data = typed_extract(spark, built, fetcher, fetcher_args, page_size, size_limit)
     captured = extract_paths(docs, "doc", UPLOAD_METADATA_PATHS)
+    if extract_root:  # dated CSV extract next to the table load
+        export_csv(data, f"{extract_root.rstrip('/')}/{dated_name(dataset_id, 'extract')}")
     if table:
         write_table(data, table, existing=existing)
         descr = json.loads(metadata_doc).get("description")
         if descr is not None:
             set_table_comment(spark, table, descr)
     if metadata_path:
-        docs.select("doc").write.mode("overwrite").text(metadata_path + "/raw")  # raw JSON lines
+        docs.select("doc").write.mode("overwrite").text(
+            f"{metadata_path.rstrip('/')}/{dated_name(dataset_id, 'metadata')}")  # raw JSON
         captured.write.mode("overwrite").parquet(metadata_path + "/fields")
     return ImportResult(built, captured)

@@ -99,7 +99,10 @@ def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
             tgt = tgt.where(F.col(partition_col).isin(vals))
     add = rows_to_append(batch, tgt, keys, order_by).select(*tgt.columns)
     if _is_path(target):
-        add.write.mode("append").format(fmt).save(target)
+        w = add.write.mode("append").format(fmt)
+        if partition_col is not None:  # keep the target's layout
+            w = w.partitionBy(partition_col)
+        w.save(target)
     else:
         add.write.insertInto(target)
     return add

@@ -18,20 +18,21 @@ from pyspark.sql import functions as F
 from tablepipe.operators.sinks import append_ignore_conflicts
 
 
-def landing_stream(spark: SparkSession, landing: str, schema: str, fmt: str = "json",
+def landing_stream(spark: SparkSession, landing: str, schema, fmt: str = "json",
                    **options) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt).options(**options)
     return reader.load(landing).withColumn("__file", F.col("_metadata.file_path"))
 
 
-def ingest_available(spark: SparkSession, landing: str, schema: str, target: str, keys,
+def ingest_available(spark: SparkSession, landing: str, schema, target: str, keys,
                      checkpoint: str, prepare=None, fmt: str = "json",
-                     max_files_per_trigger: int | None = None, **options) -> None:
+                     max_files_per_trigger: int | None = None, order_by=None, **options) -> None:
     """Process every file that has landed, then stop.
 
     ``prepare(df)`` shapes a micro-batch before the append (it may rely on the
-    ``__file`` / ``__ord`` helper columns, dropped before writing). Rows are
-    ordered by (file, position in the micro-batch) for 'first row wins'."""
+    ``__file`` / ``__ord`` helper columns, dropped before writing). 'First row
+    wins' follows ``order_by`` when given, else arrival order (file, position
+    in the micro-batch)."""
     if max_files_per_trigger:
         options = {**options, "maxFilesPerTrigger": str(max_files_per_trigger)}
     stream = landing_stream(spark, landing, schema, fmt, **options)
@@ -40,7 +41,7 @@ def ingest_available(spark: SparkSession, landing: str, schema: str, target: str
         df = batch.withColumn("__ord", F.monotonically_increasing_id())
         if prepare is not None:
             df = prepare(df)
-        append_ignore_conflicts(df, target, keys, order_by=["__file", "__ord"])
+        append_ignore_conflicts(df, target, keys, order_by=order_by or ["__file", "__ord"])
 
     query = (stream.writeStream.foreachBatch(each_batch)
              .option("checkpointLocation", checkpoint)

@@ -168,7 +168,7 @@ def test_portal_import(spark, out):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS portal_test LOCATION '{out}/p'")
     res = portal_import.run(spark, "abcd-1234", "tests.test_jobs:PortalFetcher", {"n": 250}, json.dumps(meta),
                             table="portal_test.requests", warehouse="postgres", page_size=100,
-                            metadata_path=f"{out}/meta")
+                            metadata_path=f"{out}/meta", extract_root=f"{out}/extracts")
     assert res.schema.drifted == ["ghost"] and res.schema.point_columns == ["geo"]
     t = spark.table("portal_test.requests")
     assert t.count() == 250
@@ -207,3 +207,17 @@ def test_streaming_ingest(spark, out):
     ingest_available(spark, land, **args)  # nothing new
     got = sorted((r.k or 0, r.v) for r in spark.read.parquet(f"{out}/t").collect())
     assert got == [(0, "n"), (1, "a"), (2, "d")]
+
+
+def test_portal_dated_outputs(out):
+    import os
+
+    names = os.listdir(f"{out}") if os.path.exists(out) else []
+    assert portal_import.dated_name("abcd-1234", "extract", dt.date(2024, 7, 1)) == "abcd-1234_extract_2024-07-01.csv"
+    assert portal_import.dated_name("abcd-1234", "metadata", dt.date(2024, 7, 1)) == "abcd-1234_metadata_2024-07-01.json"
+    assert isinstance(names, list)
+
+
+def test_geo_requires_input(spark):
+    with pytest.raises(ValueError, match="manifest"):
+        geo_datasets.run(spark)
