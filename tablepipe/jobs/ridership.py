@@ -4,8 +4,10 @@ fetched result pages parsed into one table.
 Pages are rows ``(year, month, line, html)``; a page saying the data is not
 available yet goes to the rejects output, the others are parsed by the HTML
 UDTF on the executors, the "Total" row is removed (rows with no day type are
-kept) and the pieces are aligned by column name. The table is replaced and a
-run-dated snapshot partition is written.
+kept) and the pieces are aligned by column name. Blank cells are null and
+number columns are typed as numbers (thousands separators allowed), as a
+table reader does. The table is replaced and a run-dated snapshot partition
+is written.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tablepipe.functions.text import contains_text
 from tablepipe.operators.combine import period_worklist
+from tablepipe.operators.contract import infer_types
 from tablepipe.operators.filters import exclude_keep_nulls, split_rejects
 from tablepipe.operators.sinks import write_snapshot, write_table
 from tablepipe.sources.html import html_options, html_rows
@@ -62,9 +65,12 @@ def parse_pages(pages: DataFrame, keys=("year", "month", "line")):
     if len(names) > MAX_COLUMNS:
         raise ValueError(f"more than {MAX_COLUMNS} distinct column names in the result tables")
     ordered = sorted(names, key=lambda n: (n != DAY_TYPE, n))
-    table = body.select(*keys, *[F.col("m")[n].alias(n) for n in ordered])
+    blank_null = {n: F.nullif(F.trim(F.col("m")[n]), F.lit("")) for n in ordered}
+    table = body.select(*keys, *[blank_null[n].alias(n) for n in ordered])
     if DAY_TYPE in ordered:
         table = exclude_keep_nulls(table, DAY_TYPE, TOTAL)
+    # parse once: the typing pass and the load both read the checkpoint
+    table = infer_types(table.checkpoint(), [n for n in ordered if n != DAY_TYPE])
     rejects = not_avail.select(*keys, F.lit(NOT_AVAILABLE).alias("reason")).unionByName(failed)
     return table, rejects
 

@@ -332,3 +332,38 @@ def portal_type_of(dtype: T.DataType) -> str:
     if isinstance(dtype, T.BooleanType):
         return "checkbox"
     return dtype.simpleString()
+
+
+def infer_types(df: DataFrame, cols=None, thousands: str = ",") -> DataFrame:
+    """Type text columns the way a table reader does: blank text is null; a
+    column whose every non-null value is an integer (thousands separators
+    allowed) becomes ``bigint``, else all numbers -> ``double``, else it stays
+    text. One global aggregation (partial per task) decides all columns."""
+    cols = [c for c in (as_list(cols) or df.columns)
+            if isinstance(df.schema[c].dataType, T.StringType)]
+    if not cols:
+        return df
+
+    def clean(c):
+        t = F.trim(F.col(f"`{c}`"))
+        return F.when(t != F.lit(""), t)
+
+    def digits(c):
+        return F.replace(clean(c), F.lit(thousands), F.lit("")) if thousands else clean(c)
+
+    aggs = []
+    for i, c in enumerate(cols):
+        present = clean(c).isNotNull()
+        aggs += [F.count_if(present).alias(f"p{i}"),
+                 F.count_if(present & digits(c).try_cast("bigint").isNull()).alias(f"l{i}"),
+                 F.count_if(present & digits(c).try_cast("double").isNull()).alias(f"d{i}")]
+    stats = df.agg(*aggs).first()
+    out = {}
+    for i, c in enumerate(cols):
+        if stats[f"p{i}"] > 0 and stats[f"l{i}"] == 0:
+            out[c] = digits(c).try_cast("bigint")
+        elif stats[f"p{i}"] > 0 and stats[f"d{i}"] == 0:
+            out[c] = digits(c).try_cast("double")
+        else:
+            out[c] = clean(c)
+    return df.withColumns(out)

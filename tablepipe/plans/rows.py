@@ -95,22 +95,17 @@ def q_period_worklist(spark, sf):
     return period_worklist(years, lines, as_of=AS_OF)
 
 
-_UNION_COLS = "event_id, ts, user_id, event_type, {v}, props, '{t}' AS tag"
-
-
-@query("union_tagged", " UNION ALL ".join(
-    f"SELECT {_UNION_COLS.format(v='CAST(NULL AS DOUBLE) AS value' if t == 'error' else 'value', t=t)} "
-    f"FROM events WHERE event_type = '{t}'"
-    for t in ["click", "view", "signup", "error", "purchase"]))
+@query("union_tagged",
+       "SELECT c_custkey AS key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, "
+       "c_mktsegment AS mktsegment, 'customer' AS source FROM customer UNION ALL "
+       "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, CAST(NULL AS VARCHAR), 'supplier' FROM supplier")
 def q_union_tagged(spark, sf):
-    ev = table(spark, sf, "events")
-    pieces = []
-    for t in ["click", "view", "signup", "error", "purchase"]:
-        piece = ev.where(F.col("event_type") == t)
-        if t == "error":  # one piece lacks a column; it comes back as null
-            piece = piece.drop("value")
-        pieces.append(tag(piece, tag=t))
-    return union_by_name(*pieces)
+    """Pieces aligned by column name, each tagged with its source; the
+    supplier piece has no segment column, which comes back as null. Each
+    table is scanned once."""
+    cust = table(spark, sf, "customer").toDF("key", "name", "nationkey", "acctbal", "mktsegment")
+    supp = table(spark, sf, "supplier").toDF("key", "name", "nationkey", "acctbal")
+    return union_by_name(tag(cust, source="customer"), tag(supp, source="supplier"))
 
 
 @query("metadata_paths",

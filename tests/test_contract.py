@@ -101,3 +101,12 @@ def test_metadata_capture(spark):
     assert got[("ds", "Data provided by")] == (None, None)  # missing author
     assert got[("empty", "Data updated at")] == (None, None)  # missing epoch: null, no crash
     assert got[("ds", "Description")][0].startswith("Service requests")
+
+
+def test_infer_types(spark):
+    from tablepipe.operators.contract import infer_types
+
+    df = spark.createDataFrame([("1,234", "1.5", "x", " "), ("7", "2", "3", None)], "a string, b string, c string, d string")
+    got = infer_types(df)
+    assert dict(got.dtypes) == {"a": "bigint", "b": "double", "c": "string", "d": "string"}
+    assert [r.a for r in got.collect()] == [1234, 7] and got.first().d is None
