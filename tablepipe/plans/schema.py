@@ -53,22 +53,27 @@ def display_name(column: str) -> str:
     return " ".join(w.capitalize() for w in column.split("_"))
 
 
-def _docs(spark, sf):
+def _schemas(spark, sf):
+    return {name: table(spark, sf, name) for name in META_TABLES}
+
+
+def _docs(spark, sf, tables=None):
     """``(dataset_id, doc)`` built by Spark from each table's schema."""
+    tables = tables or _schemas(spark, sf)
     rows = []
-    for name in META_TABLES:
-        df = table(spark, sf, name)
+    for name, df in tables.items():
         rows.append((name, [(display_name(f.name), portal_type_of(f.dataType)) for f in df.schema.fields]))
     raw = spark.createDataFrame(
         rows, "dataset_id string, columns array<struct<name: string, dataTypeName: string>>")
     return raw.select("dataset_id", F.to_json(F.struct("columns")).alias("doc"))
 
 
-def _data_columns(spark, sf):
+def _data_columns(spark, sf, tables=None):
     """Cleaned headers of each table's data, ``(dataset_id, name)``."""
+    tables = tables or _schemas(spark, sf)
     rows = []
-    for name in META_TABLES:
-        rows += [(name, c) for c in rename_strip(table(spark, sf, name)).columns]
+    for name, df in tables.items():
+        rows += [(name, c) for c in rename_strip(df).columns]
     return spark.createDataFrame(rows, "dataset_id string, name string")
 
 
@@ -115,8 +120,9 @@ def q_type_map_lookup(spark, sf):
 @query("schema_drift",
        f"SELECT dataset_id, name FROM ({_META_SQL}) WHERE raw_name LIKE '% %'")
 def q_schema_drift(spark, sf):
-    return schema_drift(metadata_columns(_docs(spark, sf)), _data_columns(spark, sf)).select(
-        "dataset_id", "name")
+    tables = _schemas(spark, sf)
+    return schema_drift(metadata_columns(_docs(spark, sf, tables)),
+                        _data_columns(spark, sf, tables)).select("dataset_id", "name")
 
 
 def _merge_sql() -> str:
@@ -132,8 +138,9 @@ def _merge_sql() -> str:
 @query("schema_merge", _merge_sql())
 def q_schema_merge(spark, sf):
     """Schema per dataset: drifted columns removed, types mapped, system fields merged."""
-    meta = metadata_columns(_docs(spark, sf))
-    kept = meta.join(_data_columns(spark, sf), on=["dataset_id", "name"], how="left_semi")
+    tables = _schemas(spark, sf)
+    meta = metadata_columns(_docs(spark, sf, tables))
+    kept = meta.join(_data_columns(spark, sf, tables), on=["dataset_id", "name"], how="left_semi")
     typed = map_types(kept, "postgres").select("dataset_id", "position", "name", "sql_type")
     return merge_system_fields(typed, datasets=meta)
 

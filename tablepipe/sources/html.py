@@ -166,10 +166,24 @@ class HtmlOptions:
             yield i, v, None
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Parsing is CPU-bound Python: when the input has fewer partitions than
+    the cluster has cores (a few small files), spread its rows round-robin.
+    Large inputs already have more partitions and are left as they are."""
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    except Exception:  # no SparkContext (Connect): keep the input layout
+        pass
+    return df
+
+
 def html_rows(df: DataFrame, html_col: str, element_id=None, row_tag: str = "tr",
               cell_tags: str = "td,th", keep=()) -> DataFrame:
     """Lateral UDTF: the kept columns of ``df`` x ``(pos, cells, header, error)``."""
     ship_package(df.sparkSession)
+    df = spread(df.select(*keep, html_col))
     args = [F.col(html_col).outer(), F.lit(element_id).cast("string"), F.lit(row_tag), F.lit(cell_tags)]
     return df.select(*keep, html_col).lateralJoin(HtmlRows(*args)).drop(html_col)
 
@@ -177,6 +191,7 @@ def html_rows(df: DataFrame, html_col: str, element_id=None, row_tag: str = "tr"
 def html_options(df: DataFrame, html_col: str, element_id=None, tag: str = "option",
                  attr: str = "value", keep=()) -> DataFrame:
     ship_package(df.sparkSession)
+    df = spread(df.select(*keep, html_col))
     args = [F.col(html_col).outer(), F.lit(element_id).cast("string"), F.lit(tag), F.lit(attr)]
     return df.select(*keep, html_col).lateralJoin(HtmlOptions(*args)).drop(html_col)
 
