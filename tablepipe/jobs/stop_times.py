@@ -31,8 +31,9 @@ STOP_TIMES = TableContract.from_ddl(
     "trip_href string, trip_name string, vehicle_href string, vehicle_name string",
     keys=["scheduled_arrive", "stop_name", "trip_id"], name="stop_times")
 
-# The export as read: trip_id may arrive as a float, driver names are dropped.
 def export_schema() -> str:
+    """The export as read: the declared columns (trip_id may arrive as a
+    float) plus the driver names that are dropped."""
     cols = []
     for f in STOP_TIMES.schema.fields:
         t = "double" if f.name == "trip_id" else f.dataType.simpleString()
@@ -56,7 +57,7 @@ def load(spark: SparkSession, json_path: str, target: str, multi_line: bool = Tr
     raw = raw.withColumn("__ord", F.monotonically_increasing_id())  # arrival order
     if raw.isEmpty():
         return None
-    df = prepare(raw).withColumn("__ord", F.col("__ord"))
+    df = prepare(raw)
     check_contract(df, STOP_TIMES)
     bad = contract_report(df, STOP_TIMES).where(~F.col("ok")).collect()
     if bad:
@@ -73,9 +74,19 @@ def snapshot_day(spark: SparkSession, target: str, day, root: str, zone: str = S
     return write_snapshot(sliced, root, partition_col="service_date", skip_empty=True)
 
 
+def local_view(df: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+    """The time columns as wall clocks in the local zone (display only)."""
+    from tablepipe.functions.timeops import to_wall_clock
+
+    return df.withColumns({c: to_wall_clock(utc_wall(c), zone) for c in TIME_COLUMNS})
+
+
 def run(spark: SparkSession, json_path: str, target: str, day, snapshot_root: str | None = None):
+    """Load the day's export (nothing for an empty export), then snapshot the
+    day from the table - which also runs after an empty export, and writes
+    nothing when the day has no rows."""
     added = load(spark, json_path, target)
-    if snapshot_root and added is not None:
+    if snapshot_root:
         snapshot_day(spark, target, day, snapshot_root)
     return added
 
@@ -86,4 +97,4 @@ def migrate(spark: SparkSession, source_path: str, target: str) -> None:
     df = spark.read.parquet(source_path)
     check_contract(df, STOP_TIMES)
     df = df.withColumn("__ord", F.monotonically_increasing_id())
-    truncate_and_load(df, target, keys=list(STOP_TIMES.keys), on_duplicate="first", order_by="__ord")
+    truncate_and_load(df, target, contract=STOP_TIMES, on_duplicate="first", order_by="__ord")

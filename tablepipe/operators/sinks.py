@@ -138,7 +138,8 @@ def truncate_and_load(df: DataFrame, target: str, contract=None, keys=None,
     if contract is not None:
         check_contract(df, contract)
         keys = keys if keys is not None else contract.keys
-        df = df.select(*contract.names)
+        helpers = [c for c in as_list(order_by) if isinstance(c, str) and c not in contract.names]
+        df = df.select(*contract.names, *helpers)
     if keys:
         if on_duplicate == "raise":
             check_unique(df, keys, allow_null=False)
@@ -146,6 +147,8 @@ def truncate_and_load(df: DataFrame, target: str, contract=None, keys=None,
             df = dedup_first(df, keys, order_by)
         else:
             raise ValueError("on_duplicate must be 'raise' or 'first'")
+    if contract is not None:
+        df = df.select(*contract.names)  # order helpers are not written
     if _is_path(target):
         df.write.mode("overwrite").format(fmt).save(target)
     else:

@@ -222,3 +222,20 @@ def test_portal_dated_outputs(out):
 def test_geo_requires_input(spark):
     with pytest.raises(ValueError, match="manifest"):
         geo_datasets.run(spark)
+
+
+def test_stop_times_migrate_and_snapshot_after_empty(spark, out):
+    rows = [_stop(1.0, "Main", "2024-07-01T07:30:00Z"), _stop(1.0, "Main", "2024-07-01T07:30:00Z", ons=5)]
+    with open(f"{out}/d.json", "w") as f:
+        json.dump(rows, f)
+    stop_times.run(spark, f"{out}/d.json", f"{out}/t", day="2024-06-30")
+    with open(f"{out}/empty.json", "w") as f:
+        f.write("[]")
+    # an empty export still snapshots the day from the table
+    assert stop_times.run(spark, f"{out}/empty.json", f"{out}/t", day="2024-06-30", snapshot_root=f"{out}/s") is None
+    assert spark.read.parquet(f"{out}/s").count() == 1
+    stop_times.migrate(spark, f"{out}/t", f"{out}/m")
+    m = spark.read.parquet(f"{out}/m")
+    assert m.columns == stop_times.STOP_TIMES.names and m.count() == 1
+    local = stop_times.local_view(m).first()
+    assert str(local.scheduled_arrive) == "2024-07-01 00:30:00"
