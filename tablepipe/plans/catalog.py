@@ -13,6 +13,7 @@ from tablepipe.session import scratch_path
 
 LISTED_DB = "tablepipe_listing"
 EXCLUDED_DB = "tiger"
+COMMENT_DB = "tablepipe_comments"  # kept apart so the listing is the same in any run order
 # Fixed values: (table, description, geometry, crs) registered for the listing.
 LISTED = [
     ("customer", "Customers of the fixture", "POINT", "EPSG:4326"),
@@ -66,13 +67,13 @@ COMMENT = "Orders loaded from the fixture; it's \"quoted\" text"
 def q_table_comment(spark, sf):
     """Create the table if absent, load it, then comment it (a replace drops
     comments, so the comment comes after the load)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {LISTED_DB} "
-              f"LOCATION {quote_sql_string(scratch_path(spark, LISTED_DB))}")
-    name = f"{LISTED_DB}.orders_commented"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {COMMENT_DB} "
+              f"LOCATION {quote_sql_string(scratch_path(spark, COMMENT_DB))}")
+    name = f"{COMMENT_DB}.orders_commented"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     ensure_table(spark, name, ORDERS_CONTRACT, location=scratch_path(spark, "orders_commented"))
     write_table(table(spark, sf, "orders"), name, contract=ORDERS_CONTRACT, existing="truncate",
                 comment=COMMENT)
-    descr = [t.description for t in spark.catalog.listTables(LISTED_DB) if t.name == "orders_commented"][0]
+    descr = [t.description for t in spark.catalog.listTables(COMMENT_DB) if t.name == "orders_commented"][0]
     return spark.table(name).agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit("orders_commented").alias("table_name"), F.lit(descr).alias("description"), "row_count")
