@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablepipe._util import as_col, as_list
+from tablepipe._util import as_list
 from tablepipe.operators.names import check_collisions, strip_name_col
 
 INTEGER_TYPES = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
@@ -123,7 +123,6 @@ def varchar_violations(df: DataFrame, contract: TableContract, by=None) -> DataF
 # ---------------------------------------------------------------------------
 
 # Portal type -> SQL type, default text width 1024.
-TEXT_WIDTH = 1024
 BASE_SQL_TYPES = {
     "number": "DOUBLE PRECISION",
     "double": "DOUBLE PRECISION",

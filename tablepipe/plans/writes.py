@@ -17,7 +17,7 @@ from tablepipe.operators.sinks import (
     write_snapshot,
     write_table,
 )
-from tablepipe.plans._base import LINEITEM_COLS, LINEITEM_ORDER, ORDERS_COLS, query, table
+from tablepipe.plans._base import LINEITEM_COLS, LINEITEM_ORDER, query, table
 from tablepipe.session import scratch_path
 from tablepipe.sources.typed import read_typed_csv, read_typed_json
 
@@ -159,4 +159,3 @@ def _scratch_table(spark, stem: str) -> str:
     return f"{db}.{stem}_{uuid.uuid4().hex[:10]}"
 
 
-ORDERS_SELECT = ", ".join(ORDERS_COLS)

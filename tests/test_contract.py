@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from tablepipe.operators.catalog import UPLOAD_METADATA_PATHS, extract_paths
 from tablepipe.operators.contract import (

@@ -1,7 +1,6 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tablepipe.jobs.bike_trips import MEASURES, reshape
 from tablepipe.operators.reshape import (
