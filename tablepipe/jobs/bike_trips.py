@@ -52,14 +52,15 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run(spark: SparkSession, csv_path: str, target: str, snapshot_path: str | None = None,
-        ts_format: str | None = None) -> DataFrame:
+        ts_format: str | None = None) -> None:
+    """Reshape the export, check the contract, append ignoring trips already
+    loaded, then snapshot the whole table when a path is given."""
     trips = conform(reshape(read_trips(spark, csv_path), ts_format), BIKE_TRIPS)
     check_contract(trips, BIKE_TRIPS)
-    added = append_ignore_conflicts(trips, target, BIKE_TRIPS.keys, order_by=["trip_id"])
+    append_ignore_conflicts(trips, target, BIKE_TRIPS.keys, order_by=["trip_id"])
     if snapshot_path:
         tgt = spark.table(target) if "/" not in target else spark.read.parquet(target)
         write_snapshot(tgt, snapshot_path, skip_empty=False)
-    return added
 
 
 def migrate(spark: SparkSession, snapshot_path: str, target: str) -> None:

@@ -51,18 +51,19 @@ def prepare(raw: DataFrame) -> DataFrame:
     return df.select(*STOP_TIMES.names, *extra)
 
 
-def load(spark: SparkSession, json_path: str, target: str, multi_line: bool = True):
-    """Returns the appended rows, or None when the export is empty."""
+def load(spark: SparkSession, json_path: str, target: str, multi_line: bool = True) -> bool:
+    """Append the export; False when it was empty (a holiday or missing data)."""
     raw = read_typed_json(spark, json_path, export_schema(), multi_line=multi_line)
     raw = raw.withColumn("__ord", F.monotonically_increasing_id())  # arrival order
     if raw.isEmpty():
-        return None
+        return False
     df = prepare(raw)
     check_contract(df, STOP_TIMES)
     bad = contract_report(df, STOP_TIMES).where(~F.col("ok")).collect()
     if bad:
         raise AssertionError(f"contract failed: {[tuple(r) for r in bad]}")
-    return append_ignore_conflicts(df, target, STOP_TIMES.keys, order_by="__ord")
+    append_ignore_conflicts(df, target, STOP_TIMES.keys, order_by="__ord")
+    return True
 
 
 def snapshot_day(spark: SparkSession, target: str, day, root: str, zone: str = SNAPSHOT_ZONE) -> bool:
@@ -81,14 +82,14 @@ def local_view(df: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     return df.withColumns({c: to_wall_clock(utc_wall(c), zone) for c in TIME_COLUMNS})
 
 
-def run(spark: SparkSession, json_path: str, target: str, day, snapshot_root: str | None = None):
+def run(spark: SparkSession, json_path: str, target: str, day, snapshot_root: str | None = None) -> bool:
     """Load the day's export (nothing for an empty export), then snapshot the
     day from the table - which also runs after an empty export, and writes
-    nothing when the day has no rows."""
-    added = load(spark, json_path, target)
+    nothing when the day has no rows. Returns whether the export had rows."""
+    loaded = load(spark, json_path, target)
     if snapshot_root:
         snapshot_day(spark, target, day, snapshot_root)
-    return added
+    return loaded
 
 
 def migrate(spark: SparkSession, source_path: str, target: str) -> None:

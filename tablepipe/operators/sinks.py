@@ -78,11 +78,10 @@ def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by) -> DataF
 MAX_PRUNE_VALUES = 10_000
 
 
-def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
-                            fmt: str = "parquet", partition_col: str | None = None) -> DataFrame:
-    """Append the non-conflicting rows of ``batch`` to a table or path; returns
-    the appended rows (lazy). Running it twice appends nothing the second time
-    for non-null keys.
+def plan_append(batch: DataFrame, target: str, keys, order_by, fmt: str = "parquet",
+                partition_col: str | None = None) -> DataFrame:
+    """The rows :func:`append_ignore_conflicts` would write (lazy, nothing
+    written).
 
     ``partition_col``: a key column the target is partitioned by (e.g. a
     service date). The target scan is then cut to the partition values that
@@ -97,7 +96,16 @@ def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
                 .distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
         if len(vals) <= MAX_PRUNE_VALUES:
             tgt = tgt.where(F.col(partition_col).isin(vals))
-    add = rows_to_append(batch, tgt, keys, order_by).select(*tgt.columns)
+    return rows_to_append(batch, tgt, keys, order_by).select(*tgt.columns)
+
+
+def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
+                            fmt: str = "parquet", partition_col: str | None = None) -> None:
+    """Append the non-conflicting rows of ``batch`` to a table or path.
+    Running it twice appends nothing the second time for non-null keys. (To
+    inspect the rows first, use :func:`plan_append`; re-evaluating it after
+    the write would compare against the updated target.)"""
+    add = plan_append(batch, target, keys, order_by, fmt, partition_col)
     if _is_path(target):
         w = add.write.mode("append").format(fmt)
         if partition_col is not None:  # keep the target's layout
@@ -105,7 +113,6 @@ def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
         w.save(target)
     else:
         add.write.insertInto(target)
-    return add
 
 
 def check_unique(df: DataFrame, keys, allow_null: bool = False) -> None:

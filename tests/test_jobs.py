@@ -85,7 +85,7 @@ def test_stop_times_empty_export(spark, out):
     p = f"{out}/empty.json"
     with open(p, "w") as f:
         f.write("[]")
-    assert stop_times.run(spark, p, f"{out}/t", day="2024-06-30") is None
+    assert stop_times.run(spark, p, f"{out}/t", day="2024-06-30") is False
 
 
 FORM = """<select id="ContentPlaceHolder1_ddlYear"><option value="2023">2023</option>
@@ -232,7 +232,7 @@ def test_stop_times_migrate_and_snapshot_after_empty(spark, out):
     with open(f"{out}/empty.json", "w") as f:
         f.write("[]")
     # an empty export still snapshots the day from the table
-    assert stop_times.run(spark, f"{out}/empty.json", f"{out}/t", day="2024-06-30", snapshot_root=f"{out}/s") is None
+    assert stop_times.run(spark, f"{out}/empty.json", f"{out}/t", day="2024-06-30", snapshot_root=f"{out}/s") is False
     assert spark.read.parquet(f"{out}/s").count() == 1
     stop_times.migrate(spark, f"{out}/t", f"{out}/m")
     m = spark.read.parquet(f"{out}/m")

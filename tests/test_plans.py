@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tablepipe.operators.reshape import measure_pivot
-from tablepipe.operators.sinks import append_ignore_conflicts, rows_to_append
+from tablepipe.operators.sinks import append_ignore_conflicts, plan_append, rows_to_append
 from tablepipe.plans import queries
 
 from .conftest import SF_SMALL
@@ -55,8 +55,9 @@ def test_partitioned_target_is_pruned(spark, out):
     tgt = spark.createDataFrame([(d, i, "old") for i, d in enumerate(days)], "d date, k int, v string")
     tgt.write.partitionBy("d").parquet(f"{out}/t")
     batch = spark.createDataFrame([(days[2], 2, "new"), (days[2], 9, "add")], "d date, k int, v string")
-    added = append_ignore_conflicts(batch, f"{out}/t", ["d", "k"], "k", partition_col="d")
-    parts = [ln for ln in _plan(added).splitlines() if ln.startswith("PartitionFilters")]
+    planned = plan_append(batch, f"{out}/t", ["d", "k"], "k", partition_col="d")
+    parts = [ln for ln in _plan(planned).splitlines() if ln.startswith("PartitionFilters")]
     assert any("2024-01-03" in ln for ln in parts)
+    append_ignore_conflicts(batch, f"{out}/t", ["d", "k"], "k", partition_col="d")
     got = sorted((r.k, r.v) for r in spark.read.parquet(f"{out}/t").collect())
     assert got == [(0, "old"), (1, "old"), (2, "old"), (9, "add")]
