@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tablepipe.functions.text import point_text
 from tablepipe.operators.catalog import UPLOAD_METADATA_PATHS, extract_paths, set_table_comment
-from tablepipe.operators.contract import BuiltSchema, build_schema, metadata_columns
+from tablepipe.operators.contract import BuiltSchema, build_schema, enforce_varchar, metadata_columns
 from tablepipe.operators.sinks import export_csv, write_table
 from tablepipe.sources.paged import PAGE_SIZE, clean_header, load_fetcher, read_paged
 
@@ -63,7 +63,7 @@ def typed_extract(spark: SparkSession, built: BuiltSchema, fetcher: str, fetcher
         if f.name in built.point_columns:
             c = point_text(c)
         cols.append(c.cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    return enforce_varchar(raw.select(*cols), built.contract)
 
 
 def run(spark: SparkSession, dataset_id: str, fetcher: str, fetcher_args: dict, metadata_doc: str,

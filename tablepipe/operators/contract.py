@@ -366,3 +366,16 @@ def infer_types(df: DataFrame, cols=None, thousands: str = ",") -> DataFrame:
         else:
             out[c] = clean(c)
     return df.withColumns(out)
+
+
+def enforce_varchar(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Fail the job on the first value longer than its declared ``VARCHAR(n)``,
+    as a warehouse load would. The check rides in the load's own projection:
+    no extra pass over the data."""
+    guards = {}
+    for c, n in contract.varchar.items():
+        if c in df.columns:
+            col = F.col(f"`{c}`")
+            msg = F.concat(F.lit(f"value longer than VARCHAR({n}) in column {c}: "), F.substring(col, 1, 40))
+            guards[c] = F.when(F.char_length(col) > F.lit(n), F.raise_error(msg)).otherwise(col)
+    return df.withColumns(guards) if guards else df

@@ -109,3 +109,13 @@ def test_infer_types(spark):
     got = infer_types(df)
     assert dict(got.dtypes) == {"a": "bigint", "b": "double", "c": "string", "d": "string"}
     assert [r.a for r in got.collect()] == [1234, 7] and got.first().d is None
+
+
+def test_enforce_varchar(spark):
+    from tablepipe.operators.contract import enforce_varchar
+
+    c = TableContract.from_ddl("t string", varchar={"t": 3})
+    ok = spark.createDataFrame([("abc",), (None,)], "t string")
+    assert enforce_varchar(ok, c).count() == 2
+    with pytest.raises(Exception, match="VARCHAR"):
+        enforce_varchar(spark.createDataFrame([("abcd",)], "t string"), c).collect()

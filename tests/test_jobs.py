@@ -239,3 +239,11 @@ def test_stop_times_migrate_and_snapshot_after_empty(spark, out):
     assert m.columns == stop_times.STOP_TIMES.names and m.count() == 1
     local = stop_times.local_view(m).first()
     assert str(local.scheduled_arrive) == "2024-07-01 00:30:00"
+
+
+def test_portal_import_varchar_overflow(spark, out):
+    meta = {"columns": [{"name": "Request Type", "dataTypeName": "text"}]}
+    with pytest.raises(Exception, match="VARCHAR"):
+        portal_import.run(spark, "abcd-1234", "tests.test_jobs:PortalFetcher", {"n": 10}, json.dumps(meta),
+                          table=None, warehouse="redshift", varchar_len=1, metadata_path=None,
+                          extract_root=f"{out}/x")
