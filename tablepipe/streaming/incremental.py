@@ -37,15 +37,40 @@ def ingest_available(spark: SparkSession, landing: str, schema, target: str, key
         options = {**options, "maxFilesPerTrigger": str(max_files_per_trigger)}
     stream = landing_stream(spark, landing, schema, fmt, **options)
 
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
-        df = batch.withColumn("__ord", F.monotonically_increasing_id())
-        if prepare is not None:
-            df = prepare(df)
-        append_ignore_conflicts(df, target, keys, order_by=order_by or ["__file", "__ord"])
-
+    each_batch = batch_writer(spark, target, keys, checkpoint, prepare, order_by)
     query = (stream.writeStream.foreachBatch(each_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def batch_writer(spark: SparkSession, target: str, keys, checkpoint: str, prepare=None, order_by=None):
+    """The ``foreachBatch`` function: conflict-ignoring append of one
+    micro-batch, at most once per batch id.
+
+    foreachBatch is at-least-once: a batch replayed after a failure is skipped
+    when its marker exists (keyed rows would be skipped by the conflict rule
+    anyway; rows with a null key would not)."""
+    markers = checkpoint.rstrip("/") + "/_appended"
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        marker = f"{markers}/batch={batch_id}"
+        if _exists(spark, marker):
+            return
+        df = batch.withColumn("__ord", F.monotonically_increasing_id())
+        if prepare is not None:
+            df = prepare(df)
+        append_ignore_conflicts(df, target, keys, order_by=order_by or ["__file", "__ord"])
+        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(marker)
+
+    return each_batch
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - listing only
+        return True
+    except Exception:  # noqa: BLE001 - missing path
+        return False

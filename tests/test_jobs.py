@@ -247,3 +247,15 @@ def test_portal_import_varchar_overflow(spark, out):
         portal_import.run(spark, "abcd-1234", "tests.test_jobs:PortalFetcher", {"n": 10}, json.dumps(meta),
                           table=None, warehouse="redshift", varchar_len=1, metadata_path=None,
                           extract_root=f"{out}/x")
+
+
+def test_streaming_replayed_batch_is_skipped(spark, out):
+    from tablepipe.streaming.incremental import batch_writer
+
+    write = batch_writer(spark, f"{out}/t", ["k"], f"{out}/ckpt")
+    batch = spark.createDataFrame([(None, "n", "f1"), (1, "a", "f1")], "k int, v string, __file string")
+    write(batch, 0)
+    write(batch, 0)  # the same batch replayed after a lost commit
+    write(batch, 1)  # a new batch with the same rows: only the null key inserts again
+    got = sorted((r.k or 0, r.v) for r in spark.read.parquet(f"{out}/t").collect())
+    assert got == [(0, "n"), (0, "n"), (1, "a")]
