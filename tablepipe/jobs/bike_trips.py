@@ -23,6 +23,7 @@ from tablepipe.sources.typed import read_typed_csv
 MEASURES = ["Distance", "Duration", "Est Calories", "Est Carbon Offset"]
 # Columns forced to text so leading zeros survive.
 TEXT_COLUMNS = ["Visible ID", "End Station", "Start Station"]
+# The timestamp columns of the export.
 TIME_COLUMNS = ["Start Datetime", "End Datetime"]
 
 BIKE_TRIPS = TableContract.from_ddl(

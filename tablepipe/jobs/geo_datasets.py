@@ -15,7 +15,7 @@ def single_item_manifest(spark: SparkSession, table_name: str, distributions) ->
     return spark.createDataFrame([(table_name, None, f, u) for f, u in distributions], MANIFEST_SCHEMA)
 
 
-def run(spark: SparkSession, manifest: DataFrame | None = None, schema: str = "geohub",
+def run(spark: SparkSession, manifest: DataFrame | None = None, schema: str = "geo",
         priority=FORMAT_PRIORITY, item: tuple | None = None):
     """Load from ``item = (table_name, [(format, url), ...])`` when given (it
     overrides the manifest), else from ``manifest``; neither is an error."""

@@ -24,6 +24,7 @@ from tablepipe.operators.contract import BuiltSchema, build_schema, enforce_varc
 from tablepipe.operators.sinks import export_csv, write_table
 from tablepipe.sources.paged import PAGE_SIZE, clean_header, load_fetcher, read_paged
 
+# Fixed value: rows fetched to learn the data headers.
 SAMPLE_ROWS = 5
 
 

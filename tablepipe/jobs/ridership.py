@@ -28,6 +28,7 @@ from tablepipe.sources.html import html_options, html_rows
 LINES_ID = "ContentPlaceHolder1_lbLines"
 YEARS_ID = "ContentPlaceHolder1_ddlYear"
 TABLE_ID = "ContentPlaceHolder1_ASPxRoundPanel2_gvRidership"
+# The "no data" marker, the day-type column and its total row.
 NOT_AVAILABLE = "Data not available yet"
 DAY_TYPE = "Day Type"
 TOTAL = "Total"

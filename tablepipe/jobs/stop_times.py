@@ -17,6 +17,7 @@ from tablepipe.operators.filters import cast_columns, day_slice, drop_null_keys,
 from tablepipe.operators.sinks import append_ignore_conflicts, truncate_and_load, write_snapshot
 from tablepipe.sources.typed import read_typed_json
 
+# Display zone, snapshot-day zone, instant columns, dropped columns.
 LOCAL_ZONE = "America/Los_Angeles"
 SNAPSHOT_ZONE = "-08:00"
 TIME_COLUMNS = ["arrive", "depart", "scheduled_arrive", "scheduled_depart"]

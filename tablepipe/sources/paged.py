@@ -27,6 +27,7 @@ import re
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+# Fixed value: default page size of the extract.
 PAGE_SIZE = 90_000
 _NON_WORD = re.compile(r"[^a-zA-Z0-9_]")
 

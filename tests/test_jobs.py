@@ -139,9 +139,9 @@ def test_geo_datasets(spark, out):
     manifest = spark.createDataFrame([("bikeways", "i1", "geojson", f"{out}/b.geojson"),
                                       ("bikeways", "i1", "csv", f"{out}/none.csv")],
                                      geo_datasets.MANIFEST_SCHEMA)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS geohub_test LOCATION '{out}/gh'")
-    res = geo_datasets.run(spark, manifest, "geohub_test")
-    assert res[0].ok and spark.table("geohub_test.bikeways").first().geometry_type == "Point"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS geo_layers_test LOCATION '{out}/gh'")
+    res = geo_datasets.run(spark, manifest, "geo_layers_test")
+    assert res[0].ok and spark.table("geo_layers_test.bikeways").first().geometry_type == "Point"
 
 
 class PortalFetcher:
