@@ -65,3 +65,19 @@ def test_pivot_matches_model(spark, long):
         got = measure_pivot(df, "k", "m", "v", ["x", "y", "z"]).collect()
         want = {k: {m: pairs.get((k, m), [None])[0] for m in "xyz"} for k, _, _ in long}
         assert {r.k: {m: r[m] for m in "xyz"} for r in got} == want
+
+
+@SETTINGS
+@given(st.integers(0, 40), st.integers(1, 12), st.one_of(st.none(), st.integers(1, 30)))
+def test_paged_extract_matches_model(spark, n, page, limit):
+    """Pages at 0, P, 2P, ...; stop on a short or empty page, or after the
+    first page whose offset reached the size limit."""
+    import math
+
+    from tablepipe.sources.paged import read_paged
+
+    df = read_paged(spark, "tests.test_sources:ListFetcher", ["id"], page_size=page, size_limit=limit,
+                    fetcher_args={"n": n})
+    expect = n if limit is None else min(n, (math.ceil(limit / page) + 1) * page)
+    ids = sorted(int(r.id) for r in df.collect())
+    assert ids == list(range(expect))
