@@ -113,6 +113,8 @@ class PagedReader(DataSourceReader):
     def read(self, partition):
         import pyarrow as pa
 
+        if partition is None:  # no pages were planned (an empty dataset)
+            return
         fetcher = load_fetcher(self.spec, self.args)
         if partition.hint is not None:
             page = fetcher.fetch(partition.offset, partition.limit, hint=partition.hint)
