@@ -81,3 +81,43 @@ def test_paged_extract_matches_model(spark, n, page, limit):
     expect = n if limit is None else min(n, (math.ceil(limit / page) + 1) * page)
     ids = sorted(int(r.id) for r in df.collect())
     assert ids == list(range(expect))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("<>/ab=\"' &;litrdh#!-")), max_size=80))
+def test_html_parsers_never_crash(text):
+    from tablepipe.sources.html import parse_options, parse_rows
+
+    parse_rows(text, None, "li", ())
+    parse_rows(text, None)
+    parse_options(text, None, "a", "href")
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dates(min_value=__import__("datetime").date(1990, 1, 1), max_value=__import__("datetime").date(2030, 12, 31)),
+       st.sampled_from(["-08:00", "+05:30", "America/Los_Angeles", "America/Sao_Paulo", "Europe/London", "UTC"]))
+def test_day_bounds_cover_one_local_day(day, zone):
+    import datetime as dt
+
+    from tablepipe.functions.timeops import day_bounds_utc, zone_info
+
+    lo, hi = day_bounds_utc(day, zone)
+    tz = zone_info(zone)
+    utc = dt.timezone.utc
+    assert lo < hi and dt.timedelta(hours=22) <= hi - lo <= dt.timedelta(hours=26)
+    assert lo.replace(tzinfo=utc).astimezone(tz).date() == day
+    assert (hi - dt.timedelta(microseconds=1)).replace(tzinfo=utc).astimezone(tz).date() == day
+
+
+@SETTINGS
+@given(st.lists(st.integers(1990, 2030), min_size=1, max_size=5), st.dates(
+    min_value=__import__("datetime").date(1995, 1, 1), max_value=__import__("datetime").date(2030, 12, 31)))
+def test_worklist_matches_model(spark, years, as_of):
+    from tablepipe.operators.combine import period_worklist
+
+    ydf = spark.createDataFrame([(str(y),) for y in years] + [("All",)], "year string")
+    ldf = spark.createDataFrame([("801",), ("802",), ("801",)], "line string")
+    got = sorted(tuple(r) for r in period_worklist(ydf, ldf, as_of=as_of).collect())
+    want = sorted((str(y), str(m), ln) for y in set(years) for m in range(1, 13) for ln in ("801", "802")
+                  if y < as_of.year or (y == as_of.year and m < as_of.month))
+    assert got == want
