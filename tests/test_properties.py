@@ -121,3 +121,48 @@ def test_worklist_matches_model(spark, years, as_of):
     want = sorted((str(y), str(m), ln) for y in set(years) for m in range(1, 13) for ln in ("801", "802")
                   if y < as_of.year or (y == as_of.year and m < as_of.month))
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["csv", "geojson", "shapefile", "kml"]),
+                          st.integers(0, 50)), max_size=15))
+def test_priority_matches_model(spark, dists):
+    from tablepipe.operators.combine import choose_by_priority
+
+    ranks = ["shapefile", "geojson", "csv"]
+    df = spark.createDataFrame(dists, "item int, fmt string, t int")
+    got = {r.item: (r.fmt, r.t) for r in choose_by_priority(df, "item", "fmt", ranks, ["t"]).collect()}
+    want = {}
+    for item, fmt, t in dists:
+        if fmt in ranks:
+            cand = (ranks.index(fmt), t)
+            if item not in want or cand < want[item][0]:
+                want[item] = (cand, (fmt, t))
+    assert got == {k: v[1] for k, v in want.items()}
+
+
+def _months_back(d, months):
+    import calendar
+    import datetime as dt
+
+    y, m = divmod(d.year * 12 + d.month - 1 - months, 12)
+    day = min(d.day, calendar.monthrange(y, m + 1)[1])
+    return dt.datetime(y, m + 1, day, d.hour, d.minute, d.second)
+
+
+@SETTINGS
+@given(st.datetimes(min_value=__import__("datetime").datetime(2000, 1, 1),
+                    max_value=__import__("datetime").datetime(2030, 1, 1)).map(lambda x: x.replace(microsecond=0)),
+       st.lists(st.datetimes(min_value=__import__("datetime").datetime(1999, 1, 1),
+                             max_value=__import__("datetime").datetime(2030, 1, 1)).map(lambda x: x.replace(microsecond=0)),
+                max_size=10),
+       st.integers(1, 14))
+def test_recent_window_matches_model(spark, as_of, stamps, months):
+    from pyspark.sql import functions as F
+
+    from tablepipe.operators.filters import recent_exclude
+
+    df = spark.createDataFrame([(str(t),) for t in stamps], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    got = sorted(r.t for r in recent_exclude(df, "t", months, as_of).collect())
+    cut = _months_back(as_of, months)
+    assert got == sorted(t for t in stamps if t > cut)
