@@ -17,6 +17,9 @@ from tablepipe.operators.combine import choose_by_priority
 
 # Default format preference, best first.
 FORMAT_PRIORITY = ("shapefile", "geojson", "csv")
+# Formats this library reads; shapefile decoding is not built, so a preferred
+# shapefile falls through to the next readable format.
+READABLE = ("geojson", "csv", "parquet", "json")
 FEATURE_SCHEMA = ("type string, features array<struct<type: string, properties: string, "
                   "geometry: string>>")
 FEATURE_LINE_SCHEMA = "type string, properties string, geometry string"
@@ -88,7 +91,8 @@ def load_manifest(spark: SparkSession, manifest: DataFrame, schema: str,
     from tablepipe.operators.sinks import write_table
 
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    chosen = choose_distributions(manifest, priority).select("table_name", "format", "url")
+    readable = [f for f in priority if f in READABLE]
+    chosen = choose_distributions(manifest, readable).select("table_name", "format", "url")
     results, failures = [], []
     for row in chosen.orderBy("table_name").toLocalIterator():
         try:

@@ -137,6 +137,7 @@ def test_geo_datasets(spark, out):
     with open(f"{out}/b.geojson", "w") as f:
         json.dump(fc, f)
     manifest = spark.createDataFrame([("bikeways", "i1", "geojson", f"{out}/b.geojson"),
+                                      ("bikeways", "i1", "shapefile", f"{out}/b.zip"),
                                       ("bikeways", "i1", "csv", f"{out}/none.csv")],
                                      geo_datasets.MANIFEST_SCHEMA)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS geo_layers_test LOCATION '{out}/gh'")
