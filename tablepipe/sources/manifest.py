@@ -94,6 +94,12 @@ def load_manifest(spark: SparkSession, manifest: DataFrame, schema: str,
     readable = [f for f in priority if f in READABLE]
     chosen = choose_distributions(manifest, readable).select("table_name", "format", "url")
     results, failures = [], []
+    unreadable = manifest.select("table_name").distinct().join(chosen, "table_name", "left_anti")
+    for row in unreadable.orderBy("table_name").toLocalIterator():
+        if on_error != "collect":
+            raise ValueError(f"{row.table_name}: no readable distribution")
+        results.append(LoadResult(row.table_name, False, "no readable distribution"))
+        failures.append(f"{row.table_name}: no readable distribution (readable: {', '.join(readable)})")
     for row in chosen.orderBy("table_name").toLocalIterator():
         try:
             df = read_distribution(spark, row.format, row.url)

@@ -113,10 +113,12 @@ def test_manifest_collects_failures(spark, out):
         f.write("a,b\n1,2\n")
     manifest = spark.createDataFrame([
         ("good_one", "i1", "csv", good), ("good_one", "i1", "kml", "nowhere"),
-        ("broken_a", "i2", "csv", f"{out}/missing_a.csv"), ("broken_b", "i3", "geojson", f"{out}/missing_b")],
+        ("broken_a", "i2", "csv", f"{out}/missing_a.csv"), ("broken_b", "i3", "geojson", f"{out}/missing_b"),
+        ("shape_only", "i4", "shapefile", f"{out}/s.zip")],
         "table_name string, item_id string, format string, url string")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS geo_test LOCATION '{out}/geo'")
     with pytest.raises(RuntimeError) as e:
         load_manifest(spark, manifest, "geo_test")
     assert "broken_a" in str(e.value) and "broken_b" in str(e.value)
+    assert "shape_only: no readable distribution" in str(e.value)
     assert spark.table("geo_test.good_one").count() == 1
