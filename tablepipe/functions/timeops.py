@@ -31,8 +31,9 @@ def ntz_literal(value) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def parse_ts(col, fmt: str | None = None) -> Column:
-    """Text -> ``timestamp_ntz``; unparseable text gives null.
+def parse_ts(col, fmt=None) -> Column:
+    """Text -> ``timestamp_ntz``; unparseable text gives null. ``fmt`` may be a
+    list of formats, tried in order (``None`` in the list means ISO text).
 
     ``to_timestamp_ntz`` reads the wall clock as written (no zone), but fails
     on bad text under ANSI; ``try_to_timestamp`` tolerates bad text but goes
@@ -40,6 +41,8 @@ def parse_ts(col, fmt: str | None = None) -> Column:
     So the tolerant parse only decides validity and the zone-free parse gives
     the value."""
     c = as_col(col)
+    if isinstance(fmt, (list, tuple)):
+        return F.coalesce(*[parse_ts(c, f) for f in fmt])
     if fmt is None:
         return c.try_cast("timestamp_ntz")
     ok = F.try_to_timestamp(c, F.lit(fmt)).isNotNull()

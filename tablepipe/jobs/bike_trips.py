@@ -25,6 +25,8 @@ MEASURES = ["Distance", "Duration", "Est Calories", "Est Carbon Offset"]
 TEXT_COLUMNS = ["Visible ID", "End Station", "Start Station"]
 # The timestamp columns of the export.
 TIME_COLUMNS = ["Start Datetime", "End Datetime"]
+# Timestamp forms accepted when none is given: ISO text, then US exports.
+TIME_FORMATS = [None, "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy"]
 
 BIKE_TRIPS = TableContract.from_ddl(
     "trip_id bigint, bike_type string, end_datetime timestamp_ntz, end_station string, "
@@ -40,7 +42,7 @@ def reshape(raw: DataFrame, ts_format: str | None = None) -> DataFrame:
     typed = raw.withColumns({
         "Trip ID": parse_number(F.col("Trip ID")).cast("bigint"),
         "Measure Values": parse_number(F.col("Measure Values")),
-        **{c: parse_ts(F.col(f"`{c}`"), ts_format) for c in TIME_COLUMNS if c in raw.columns},
+        **{c: parse_ts(F.col(f"`{c}`"), ts_format or TIME_FORMATS) for c in TIME_COLUMNS if c in raw.columns},
     })
     wide = measure_pivot(typed, "Trip ID", "Measure Names", "Measure Values", MEASURES,
                          attributes=attrs, order_by="__ord", on_duplicate="raise")

@@ -76,7 +76,7 @@ def test_bike_reshape_from_csv(spark, out):
                 'Distance,"1,234.5"\n')
         f.write('1,2024-01-01 08:00:00,2024-01-01 08:30:00,007,03005,03006,electric,Main St,Oak St,G,K,'
                 'Duration,30\n')
-        f.write('2,2024-01-02 09:00:00,2024-01-02 09:10:00,010,03007,03005,smart,Elm St,Main St,G,K,'
+        f.write('2,1/2/2024 9:00:00 AM,1/2/2024 9:10:00 AM,010,03007,03005,smart,Elm St,Main St,G,K,'
                 'Est Calories,12\n')
     from tablepipe.jobs.bike_trips import read_trips
 
