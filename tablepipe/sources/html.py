@@ -201,3 +201,16 @@ def attr_values(col, tag: str = "a", attr: str = "href") -> Column:
     regular expression (double-quoted attributes)."""
     c = col if isinstance(col, Column) else F.col(col)
     return F.regexp_extract_all(c, F.lit(f'<{tag}\\b[^>]*?\\b{attr}="([^"]*)"'), F.lit(1))
+
+
+def read_html_files(spark, path: str, name_pattern: str | None = None, keys=()) -> DataFrame:
+    """Saved pages as rows ``(path, html, *keys)``: one row per file, read
+    whole (``wholetext``), files spread over tasks. ``name_pattern`` is a
+    regular expression over the file name whose groups become ``keys``
+    (e.g. ``r"(\\d{4})-(\\d+)-(\\w+)\\.html"`` -> year, month, line)."""
+    df = spark.read.option("wholetext", True).text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+    if name_pattern:
+        name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
+        df = df.withColumns({k: F.regexp_extract(name, name_pattern, i + 1) for i, k in enumerate(keys)})
+    return df

@@ -122,3 +122,17 @@ def test_manifest_collects_failures(spark, out):
     assert "broken_a" in str(e.value) and "broken_b" in str(e.value)
     assert "shape_only: no readable distribution" in str(e.value)
     assert spark.table("geo_test.good_one").count() == 1
+
+
+def test_read_html_files(spark, out):
+    import os
+
+    from tablepipe.sources.html import read_html_files
+
+    os.makedirs(f"{out}/pages")
+    for name, body in [("2023-1-801.html", "<p>a</p>\n<p>b</p>"), ("2023-12-802.html", "<p>c</p>")]:
+        with open(f"{out}/pages/{name}", "w") as f:
+            f.write(body)
+    df = read_html_files(spark, f"{out}/pages", r"(\d{4})-(\d+)-(\w+)\.html", keys=["year", "month", "line"])
+    got = sorted((r.year, r.month, r.line, r.html) for r in df.collect())
+    assert got == [("2023", "1", "801", "<p>a</p>\n<p>b</p>"), ("2023", "12", "802", "<p>c</p>")]
