@@ -208,7 +208,7 @@ def read_html_files(spark, path: str, name_pattern: str | None = None, keys=())
     whole (``wholetext``), files spread over tasks. ``name_pattern`` is a
     regular expression over the file name whose groups become ``keys``
     (e.g. ``r"(\\d{4})-(\\d+)-(\\w+)\\.html"`` -> year, month, line)."""
-    df = spark.read.option("wholetext", True).text(path).select(
+    df = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
     if name_pattern:
         name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
