@@ -214,3 +214,11 @@ def read_html_files(spark, path: str, name_pattern: str | None = None, keys=())
         name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
         df = df.withColumns({k: F.regexp_extract(name, name_pattern, i + 1) for i, k in enumerate(keys)})
     return df
+
+
+def register(spark) -> None:
+    """Make the UDTFs callable from SQL:
+    ``SELECT p.page_id, r.* FROM pages p, LATERAL html_rows(p.html, 'id') r``."""
+    ship_package(spark)
+    spark.udtf.register("html_rows", HtmlRows)
+    spark.udtf.register("html_options", HtmlOptions)

@@ -136,3 +136,16 @@ def test_read_html_files(spark, out):
     df = read_html_files(spark, f"{out}/pages", r"(\d{4})-(\d+)-(\w+)\.html", keys=["year", "month", "line"])
     got = sorted((r.year, r.month, r.line, r.html) for r in df.collect())
     assert got == [("2023", "1", "801", "<p>a</p>\n<p>b</p>"), ("2023", "12", "802", "<p>c</p>")]
+
+
+def test_udtfs_from_sql(spark):
+    from tablepipe.sources.html import register
+
+    register(spark)
+    spark.createDataFrame([(1, TABLE_HTML)], "page_id long, html string").createOrReplaceTempView("tp_pages")
+    rows = spark.sql("SELECT p.page_id, r.pos, r.cells FROM tp_pages p, "
+                     "LATERAL html_rows(p.html, 'T', 'tr', 'td,th') r").collect()
+    assert [r.cells for r in rows][0] == ["Day Type", "Avg Boardings"] and len(rows) == 4
+    opts = spark.sql("SELECT r.value FROM tp_pages p, "
+                     "LATERAL html_options(p.html, 'ContentPlaceHolder1_lbLines', 'option', 'value') r").collect()
+    assert [r.value for r in opts] == ["All", "801", "802"]
