@@ -165,12 +165,22 @@ def truncate_and_load(df: DataFrame, target: str, contract=None, keys=None,
 
 
 def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None,
-                   skip_empty: bool = True, fmt: str = "parquet") -> bool:
+                   skip_empty: bool = True, fmt: str = "parquet",
+                   files_per_partition: int | None = None) -> bool:
     """Snapshot to a path. With ``partition_col`` a re-run replaces only the
     partitions present in ``df`` (dynamic overwrite). Returns False when
-    skipped because ``df`` is empty."""
+    skipped because ``df`` is empty.
+
+    ``files_per_partition=k`` shuffles by (partition value, hash salt in
+    0..k-1) before writing: at most k files per partition value instead of
+    one per task, and a partition value holding a third of the rows is still
+    written by k tasks. The salt is a hash of the row, not ``rand()``, so a
+    retried task rebuilds the same shuffle."""
     if skip_empty and df.isEmpty():
         return False
+    if partition_col and files_per_partition:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
+        df = df.repartition(F.col(partition_col), salt)
     w = df.write.mode("overwrite").format(fmt)
     if partition_col:
         w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")

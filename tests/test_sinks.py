@@ -103,3 +103,14 @@ def test_write_table_policies_and_comment(spark, out):
         write_table(df, "tp_test.t1", existing="fail")
     descr = [t.description for t in spark.catalog.listTables("tp_test") if t.name == "t1"][0]
     assert descr == "it's a table"
+
+
+def test_snapshot_files_per_partition(spark, out):
+    import os
+
+    df = spark.range(2000).select((F.col("id") % 3).alias("d"), F.col("id").alias("v")).repartition(20)
+    write_snapshot(df, f"{out}/s", partition_col="d", files_per_partition=2)
+    for d in range(3):
+        files = [f for f in os.listdir(f"{out}/s/d={d}") if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 2
+    assert spark.read.parquet(f"{out}/s").count() == 2000
