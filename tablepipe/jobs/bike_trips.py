@@ -50,8 +50,8 @@ def reshape(raw: DataFrame, ts_format: str | None = None) -> DataFrame:
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """CSV as text plus its arrival order (ids grow with file position)."""
-    return read_typed_csv(spark, path).withColumn("__ord", F.monotonically_increasing_id())
+    """CSV as text plus its arrival order (file, split, position)."""
+    return read_typed_csv(spark, path, order_col="__ord")
 
 
 def run(spark: SparkSession, csv_path: str, target: str, snapshot_path: str | None = None,

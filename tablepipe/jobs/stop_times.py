@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 from tablepipe.functions.timeops import local_date, utc_wall
 from tablepipe.operators.contract import TableContract, check_contract, contract_report
 from tablepipe.operators.filters import cast_columns, day_slice, drop_null_keys, drop_strict
-from tablepipe.operators.sinks import append_ignore_conflicts, truncate_and_load, write_snapshot
+from tablepipe.operators.sinks import (
+    append_ignore_conflicts,
+    truncate_and_load,
+    with_file_order,
+    write_snapshot,
+)
 from tablepipe.sources.typed import read_typed_json
 
 # Display zone, snapshot-day zone, instant columns, dropped columns.
@@ -54,8 +59,7 @@ def prepare(raw: DataFrame) -> DataFrame:
 
 def load(spark: SparkSession, json_path: str, target: str, multi_line: bool = True) -> bool:
     """Append the export; False when it was empty (a holiday or missing data)."""
-    raw = read_typed_json(spark, json_path, export_schema(), multi_line=multi_line)
-    raw = raw.withColumn("__ord", F.monotonically_increasing_id())  # arrival order
+    raw = read_typed_json(spark, json_path, export_schema(), multi_line=multi_line, order_col="__ord")
     if raw.isEmpty():
         return False
     df = prepare(raw)
@@ -96,7 +100,6 @@ def run(spark: SparkSession, json_path: str, target: str, day, snapshot_root: st
 def migrate(spark: SparkSession, source_path: str, target: str) -> None:
     """Truncate and reload from a parquet source, ignoring conflicts; the
     contract is checked (the original skipped it)."""
-    df = spark.read.parquet(source_path)
+    df = with_file_order(spark.read.parquet(source_path))
     check_contract(df, STOP_TIMES)
-    df = df.withColumn("__ord", F.monotonically_increasing_id())
     truncate_and_load(df, target, contract=STOP_TIMES, on_duplicate="first", order_by="__ord")

@@ -28,11 +28,16 @@ def _all_keys_present(keys) -> Column:
     return cond
 
 
-def with_file_order(df: DataFrame, file_col: str = "__file", row_col: str = "__row") -> DataFrame:
-    """Add (source file, row index within file) - the arrival order of a file
-    source - for use as ``order_by``. Only valid directly on a file scan."""
-    return df.select("*", F.col("_metadata.file_path").alias(file_col),
-                     F.col("_metadata.row_index").alias(row_col))
+def with_file_order(df: DataFrame, col: str = "__ord") -> DataFrame:
+    """Add the arrival order of a file source as one orderable column:
+    (file path, split start, position within the split). Spark packs splits of
+    several files into one task by size, so an id alone does not follow file
+    order; within one split ``monotonically_increasing_id`` does. Apply it
+    directly on the file scan."""
+    order = F.struct(F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("pos"))
+    return df.select("*", order.alias(col))
 
 
 def dedup_first(df: DataFrame, keys, order_by) -> DataFrame:

@@ -25,13 +25,18 @@ def _as_struct(schema) -> T.StructType:
 
 def read_typed_csv(spark: SparkSession, path, types: dict | None = None,
                    ts_formats: dict | None = None, thousands: str = ",",
-                   **options) -> DataFrame:
+                   order_col: str | None = None, **options) -> DataFrame:
     """CSV with a header; every column arrives as text, then the columns in
     ``types`` (header name -> Spark type) are typed: numbers through
     :func:`parse_number`, timestamps through ``ts_formats`` (or ISO), anything
-    else by a safe cast. Unlisted columns stay text."""
+    else by a safe cast. Unlisted columns stay text. ``order_col`` adds the
+    arrival order (file, split, position) for "first row wins" rules."""
     raw = (spark.read.option("header", True).option("inferSchema", False)
            .options(**options).csv(path))
+    if order_col:
+        from tablepipe.operators.sinks import with_file_order
+
+        raw = with_file_order(raw, order_col)
     types, ts_formats = dict(types or {}), dict(ts_formats or {})
     for c in list(types) + list(ts_formats):
         if c not in raw.columns:
@@ -55,10 +60,15 @@ def read_typed_csv(spark: SparkSession, path, types: dict | None = None,
 
 
 def read_typed_json(spark: SparkSession, path, schema, multi_line: bool = True,
-                    **options) -> DataFrame:
+                    order_col: str | None = None, **options) -> DataFrame:
     """JSON with a declared schema: a JSON array file (``multi_line``) or JSON
     lines. A number read into a string column keeps its text (``12`` ->
     ``'12'``); a missing field is null. An array file is read by one task per
     file, so large exports should be JSON lines."""
-    return (spark.read.schema(_as_struct(schema)).option("multiLine", multi_line)
-            .options(**options).json(path))
+    df = (spark.read.schema(_as_struct(schema)).option("multiLine", multi_line)
+          .options(**options).json(path))
+    if order_col:
+        from tablepipe.operators.sinks import with_file_order
+
+        df = with_file_order(df, order_col)
+    return df

@@ -21,7 +21,8 @@ from tablepipe.operators.sinks import append_ignore_conflicts
 def landing_stream(spark: SparkSession, landing: str, schema, fmt: str = "json",
                    **options) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt).options(**options)
-    return reader.load(landing).withColumn("__file", F.col("_metadata.file_path"))
+    return reader.load(landing).select("*", F.col("_metadata.file_path").alias("__file"),
+                                       F.col("_metadata.file_block_start").alias("__start"))
 
 
 def ingest_available(spark: SparkSession, landing: str, schema, target: str, keys,
@@ -30,9 +31,9 @@ def ingest_available(spark: SparkSession, landing: str, schema, target: str, key
     """Process every file that has landed, then stop.
 
     ``prepare(df)`` shapes a micro-batch before the append (it may rely on the
-    ``__file`` / ``__ord`` helper columns, dropped before writing). 'First row
-    wins' follows ``order_by`` when given, else arrival order (file, position
-    in the micro-batch)."""
+    ``__file`` / ``__start`` / ``__ord`` helper columns, dropped before
+    writing). 'First row wins' follows ``order_by`` when given, else arrival
+    order (file, split, position)."""
     if max_files_per_trigger:
         options = {**options, "maxFilesPerTrigger": str(max_files_per_trigger)}
     stream = landing_stream(spark, landing, schema, fmt, **options)
@@ -62,7 +63,7 @@ def batch_writer(spark: SparkSession, target: str, keys, checkpoint: str, prepar
         df = batch.withColumn("__ord", F.monotonically_increasing_id())
         if prepare is not None:
             df = prepare(df)
-        append_ignore_conflicts(df, target, keys, order_by=order_by or ["__file", "__ord"])
+        append_ignore_conflicts(df, target, keys, order_by=order_by or ["__file", "__start", "__ord"])
         spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(marker)
 
     return each_batch

@@ -254,7 +254,7 @@ def test_streaming_replayed_batch_is_skipped(spark, out):
     from tablepipe.streaming.incremental import batch_writer
 
     write = batch_writer(spark, f"{out}/t", ["k"], f"{out}/ckpt")
-    batch = spark.createDataFrame([(None, "n", "f1"), (1, "a", "f1")], "k int, v string, __file string")
+    batch = spark.createDataFrame([(None, "n", "f1", 0), (1, "a", "f1", 0)], "k int, v string, __file string, __start long")
     write(batch, 0)
     write(batch, 0)  # the same batch replayed after a lost commit
     write(batch, 1)  # a new batch with the same rows: only the null key inserts again

@@ -114,3 +114,19 @@ def test_snapshot_files_per_partition(spark, out):
         files = [f for f in os.listdir(f"{out}/s/d={d}") if f.endswith(".parquet")]
         assert 1 <= len(files) <= 2
     assert spark.read.parquet(f"{out}/s").count() == 2000
+
+
+def test_first_row_follows_file_order(spark, out):
+    import os
+
+    from tablepipe.sources.typed import read_typed_json
+
+    os.makedirs(f"{out}/land")
+    # the larger file sorts last by name but would be packed first by size
+    with open(f"{out}/land/a.json", "w") as f:
+        f.write('{"k": 1, "v": "a1"}\n{"k": 2, "v": "a2"}\n')
+    with open(f"{out}/land/b.json", "w") as f:
+        f.write("".join('{"k": %d, "v": "b"}\n' % (i % 3) for i in range(500)))
+    df = read_typed_json(spark, f"{out}/land", "k int, v string", multi_line=False, order_col="__ord")
+    got = {r.k: r.v for r in dedup_first(df, ["k"], "__ord").collect()}
+    assert got == {1: "a1", 2: "a2", 0: "b"}
