@@ -36,17 +36,22 @@ def main():
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     qs = plans.queries()
     run_once(spark, qs["measure_pivot"], sf)  # warm the JVM
-    times = {}
+    times, errors = {}, {}
     for name, fn in qs.items():
         if only and name not in only:
             continue
-        runs = [run_once(spark, fn, sf) for _ in range(reps)]
-        times[name] = round(statistics.median(runs), 3)
+        try:
+            runs = [run_once(spark, fn, sf) for _ in range(reps)]
+            times[name] = round(statistics.median(runs), 3)
+        except Exception as e:  # noqa: BLE001 - report, keep measuring the rest
+            errors[name] = (str(e).splitlines() or [type(e).__name__])[0][:300]
     spark.stop()
     sf_label = os.path.basename(sf).replace("sf", "")
-    print(json.dumps({"metric": "sum_of_query_medians", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf_label, "cpus": int(cpus),
-                      "reps": reps}))
+    out = {"metric": "sum_of_query_medians", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf_label, "cpus": int(cpus), "reps": reps}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
