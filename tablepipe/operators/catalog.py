@@ -47,22 +47,29 @@ def ensure_table(spark: SparkSession, table: str, contract, comment: str | None
         set_table_comment(spark, table, comment)
 
 
-def catalog_listing(spark: SparkSession, exclude=("tiger",), databases=None) -> DataFrame:
+def catalog_listing(spark: SparkSession, exclude=("tiger",), databases=None, catalogs=None) -> DataFrame:
     """``(catalog, schema, table, description, geometry, crs)`` for every table
-    of the current catalog, leaving out the ``exclude`` schemas. ``geometry``
-    and ``crs`` come from table properties of those names."""
-    catalog = spark.catalog.currentCatalog()
-    names = databases or [d.name for d in spark.catalog.listDatabases()]
+    of the given catalogs (default: the current one), leaving out the
+    ``exclude`` schemas. ``geometry`` and ``crs`` come from table properties
+    of those names. ``databases`` restricts the walk to those schemas."""
+    current = spark.catalog.currentCatalog()
     rows = []
-    for db in names:
-        if db in exclude:
-            continue
-        for t in spark.catalog.listTables(db):
-            if t.isTemporary:
+    for catalog in catalogs or [current]:
+        if databases is not None:
+            names = list(databases)
+        elif catalog == current:
+            names = [d.name for d in spark.catalog.listDatabases()]
+        else:
+            names = [r[0] for r in spark.sql(f"SHOW NAMESPACES IN {quote_ident(catalog)}").collect()]
+        for db in names:
+            if db in exclude:
                 continue
-            full = f"{db}.{t.name}"
-            props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {quote_ident(full)}").collect()}
-            rows.append((catalog, db, t.name, t.description, props.get("geometry"), props.get("crs")))
+            for t in spark.catalog.listTables(f"{catalog}.{db}" if catalog != current else db):
+                if t.isTemporary:
+                    continue
+                full = f"{catalog}.{db}.{t.name}"
+                props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {quote_ident(full)}").collect()}
+                rows.append((catalog, db, t.name, t.description, props.get("geometry"), props.get("crs")))
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 

@@ -260,3 +260,13 @@ def test_streaming_replayed_batch_is_skipped(spark, out):
     write(batch, 1)  # a new batch with the same rows: only the null key inserts again
     got = sorted((r.k or 0, r.v) for r in spark.read.parquet(f"{out}/t").collect())
     assert got == [(0, "n"), (0, "n"), (1, "a")]
+
+
+def test_catalog_listing_named_catalog(spark, out):
+    from tablepipe.operators.catalog import catalog_listing
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS civic_two LOCATION '{out}/c2'")
+    spark.sql("CREATE TABLE IF NOT EXISTS civic_two.parks (a int) USING parquet COMMENT 'Parks'")
+    rows = catalog_listing(spark, catalogs=["spark_catalog"], databases=["civic_two"]).collect()
+    assert [(r.catalog, r.schema, r.table, r.description) for r in rows] == [
+        ("spark_catalog", "civic_two", "parks", "Parks")]
