@@ -11,8 +11,10 @@ from tablepipe.operators.catalog import catalog_listing
 EXCLUDED = ("tiger",)
 
 
-def run(spark: SparkSession, out_path: str | None = None, exclude=EXCLUDED) -> DataFrame:
-    listing = catalog_listing(spark, exclude=exclude)
+def run(spark: SparkSession, out_path: str | None = None, exclude=EXCLUDED, catalogs=None) -> DataFrame:
+    """The listing of the given catalogs (e.g. two warehouses registered as
+    Spark catalogs); default the current catalog."""
+    listing = catalog_listing(spark, exclude=exclude, catalogs=catalogs)
     if out_path:
         listing.write.mode("overwrite").parquet(out_path)
     return listing
