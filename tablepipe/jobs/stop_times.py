@@ -87,11 +87,12 @@ def local_view(df: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     return df.withColumns({c: to_wall_clock(utc_wall(c), zone) for c in TIME_COLUMNS})
 
 
-def run(spark: SparkSession, json_path: str, target: str, day, snapshot_root: str | None = None) -> bool:
+def run(spark: SparkSession, json_path: str, target: str, day, snapshot_root: str | None = None,
+        multi_line: bool = True) -> bool:
     """Load the day's export (nothing for an empty export), then snapshot the
     day from the table - which also runs after an empty export, and writes
     nothing when the day has no rows. Returns whether the export had rows."""
-    loaded = load(spark, json_path, target)
+    loaded = load(spark, json_path, target, multi_line=multi_line)
     if snapshot_root:
         snapshot_day(spark, target, day, snapshot_root)
     return loaded

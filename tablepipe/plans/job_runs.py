@@ -52,3 +52,58 @@ def q_bike_trips_job(spark, sf):
     target = scratch_path(spark, "bike_trips")
     bike_trips.run(spark, csv, target)
     return spark.read.parquet(target)
+
+
+_STOP_SQL = (
+    "SELECT event_id % 40 AS arrival_passengers, ts AS arrive, value AS arrive_variance, "
+    "'/blocks/' || user_id AS block_href, ts AS depart, -value AS depart_variance, "
+    "event_id % 40 AS departure_passengers, '/drivers/' || user_id AS driver_href, event_id % 7 AS offs, "
+    "event_id % 11 AS ons, '/patterns/' || event_type AS pattern_href, event_type AS pattern_name, "
+    "'/routes/' || (user_id % 5) AS route_href, 'R' || (user_id % 5) AS route_name, "
+    "'/runs/' || user_id AS run_href, CAST(user_id AS VARCHAR) AS run_name, ts AS scheduled_arrive, "
+    "ts AS scheduled_depart, '/stops/' || event_type AS stop_href, event_type AS stop_name, "
+    "user_id AS trip_id, '/trips/' || user_id AS trip_href, 'T' || user_id AS trip_name, "
+    "'/vehicles/' || (event_id % 9) AS vehicle_href, CAST(event_id % 9 AS VARCHAR) AS vehicle_name, "
+    "DATE '2024-01-15' AS service_date FROM events "
+    "WHERE NULLIF(user_id, 8) IS NOT NULL AND CAST(ts - INTERVAL 8 HOUR AS DATE) = DATE '2024-01-15'")
+
+
+@query("stop_times_job", _STOP_SQL)
+def q_stop_times_job(spark, sf):
+    """Events exported as a day of stop times (JSON lines; instants with a
+    zone; numeric run and vehicle names; driver names; a null trip id; some
+    stops exported twice with other counts), loaded by the job and snapshotted
+    for 2024-01-15 at UTC-8. Time columns come back as UTC wall clocks."""
+    from tablepipe.functions.timeops import utc_wall
+    from tablepipe.jobs import stop_times
+
+    ev = table(spark, sf, "events")
+    iso = F.concat(F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+    copy = F.explode(F.when(F.col("value") > 50, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = ev.select("*", copy.alias("copy"))
+    uid = F.col("user_id").cast("string")
+    export = rows.select(
+        (F.col("event_id") % 40).alias("arrival_passengers"), iso.alias("arrive"),
+        F.col("value").alias("arrive_variance"), F.concat(F.lit("/blocks/"), uid).alias("block_href"),
+        iso.alias("depart"), (-F.col("value")).alias("depart_variance"),
+        (F.col("event_id") % 40 + F.col("copy") * 100).alias("departure_passengers"),
+        F.concat(F.lit("/drivers/"), uid).alias("driver_href"), (F.col("event_id") % 7).alias("offs"),
+        (F.col("event_id") % 11 + F.col("copy") * 1000).alias("ons"),
+        F.concat(F.lit("/patterns/"), F.col("event_type")).alias("pattern_href"),
+        F.col("event_type").alias("pattern_name"),
+        F.concat(F.lit("/routes/"), (F.col("user_id") % 5).cast("string")).alias("route_href"),
+        F.concat(F.lit("R"), (F.col("user_id") % 5).cast("string")).alias("route_name"),
+        F.concat(F.lit("/runs/"), uid).alias("run_href"), F.col("user_id").alias("run_name"),
+        iso.alias("scheduled_arrive"), iso.alias("scheduled_depart"),
+        F.concat(F.lit("/stops/"), F.col("event_type")).alias("stop_href"), F.col("event_type").alias("stop_name"),
+        F.nullif(F.col("user_id"), F.lit(8)).cast("double").alias("trip_id"),
+        F.concat(F.lit("/trips/"), uid).alias("trip_href"), F.concat(F.lit("T"), uid).alias("trip_name"),
+        F.concat(F.lit("/vehicles/"), (F.col("event_id") % 9).cast("string")).alias("vehicle_href"),
+        (F.col("event_id") % 9).alias("vehicle_name"),
+        F.lit("Ann").alias("driver_first_name"), F.lit("Lee").alias("driver_last_name"))
+    path = scratch_path(spark, "stop_times_export")
+    export.write.json(path)
+    target, snap = scratch_path(spark, "stop_times"), scratch_path(spark, "stop_times_days")
+    stop_times.run(spark, path, target, "2024-01-15", snapshot_root=snap, multi_line=False)
+    out = spark.read.parquet(snap)
+    return out.withColumns({c: utc_wall(c) for c in stop_times.TIME_COLUMNS})
