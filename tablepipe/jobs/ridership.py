@@ -22,6 +22,7 @@ from tablepipe.operators.combine import period_worklist
 from tablepipe.operators.contract import infer_types
 from tablepipe.operators.filters import exclude_keep_nulls, split_rejects
 from tablepipe.operators.sinks import write_snapshot, write_table
+from tablepipe.session import ensure_checkpoint_dir
 from tablepipe.sources.html import html_options, html_rows
 
 # Element ids of the ridership form and result page.
@@ -71,6 +72,7 @@ def parse_pages(pages: DataFrame, keys=("year", "month", "line")):
     if DAY_TYPE in ordered:
         table = exclude_keep_nulls(table, DAY_TYPE, TOTAL)
     # parse once: the typing pass and the load both read the checkpoint
+    ensure_checkpoint_dir(table.sparkSession)
     table = infer_types(table.checkpoint(), [n for n in ordered if n != DAY_TYPE])
     rejects = not_avail.select(*keys, F.lit(NOT_AVAILABLE).alias("reason")).unionByName(failed)
     return table, rejects

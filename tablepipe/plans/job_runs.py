@@ -107,3 +107,32 @@ def q_stop_times_job(spark, sf):
     stop_times.run(spark, path, target, "2024-01-15", snapshot_root=snap, multi_line=False)
     out = spark.read.parquet(snap)
     return out.withColumns({c: utc_wall(c) for c in stop_times.TIME_COLUMNS})
+
+
+@query("ridership_job",
+       "SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(month(o_orderdate) AS VARCHAR) AS month, "
+       "o_orderpriority AS line, o_orderstatus AS \"Day Type\", count(*) AS \"Orders\", "
+       "max(o_custkey) AS \"Top Customer\" FROM orders GROUP BY ALL")
+def q_ridership_job(spark, sf):
+    """Result pages rendered from orders - one per (year, month, priority as
+    line), a row per order status with counts in thousands format and a Total
+    row - parsed back by the ridership job (Total removed, numbers typed)."""
+    from tablepipe.jobs import ridership
+
+    o = table(spark, sf, "orders")
+    keys = [F.year("o_orderdate").cast("string").alias("year"), F.month("o_orderdate").cast("string").alias("month"),
+            F.col("o_orderpriority").alias("line")]
+    per_type = o.groupBy(*keys, F.col("o_orderstatus").alias("day_type")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_custkey").alias("top"))
+    row = F.format_string("<tr><td>%s</td><td>%s</td><td>%s</td></tr>", F.col("day_type"),
+                          F.format_number("n", 0), F.col("top").cast("string"))
+    # a page holds one row per order status (a handful), so collecting them is bounded
+    pages = per_type.groupBy("year", "month", "line").agg(
+        F.concat_ws("", F.collect_list(row)).alias("body"), F.sum("n").alias("total"))
+    html = F.concat(
+        F.lit(f'<html><body><table id="{ridership.TABLE_ID}"><tr><th>Day Type</th><th>Orders</th>'
+              "<th>Top Customer</th></tr>"),
+        F.col("body"), F.lit("<tr><td>Total</td><td>"), F.format_number("total", 0),
+        F.lit("</td><td></td></tr></table></body></html>"))
+    table_df, _ = ridership.parse_pages(pages.select("year", "month", "line", html.alias("html")))
+    return table_df
