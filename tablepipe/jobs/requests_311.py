@@ -12,13 +12,14 @@ from tablepipe.operators.sinks import export_csv
 EXCLUDED_TYPE = "Homeless Encampment"
 
 
-def extract(requests: DataFrame, as_of=None, months: int = 6) -> DataFrame:
+def extract(requests: DataFrame, as_of=None, months: int = 6, excluded: str = EXCLUDED_TYPE) -> DataFrame:
     """``createddate > as_of - 6 months AND requesttype != excluded``; rows with
     a null date or type are dropped (SQL rules)."""
     return recent_exclude(requests, "createddate", months=months, as_of=as_of,
-                          col="requesttype", value=EXCLUDED_TYPE)
+                          col="requesttype", value=excluded)
 
 
-def run(spark: SparkSession, source: str, out_path: str, as_of=None, single_file: bool = True) -> None:
+def run(spark: SparkSession, source: str, out_path: str, as_of=None, single_file: bool = True,
+        excluded: str = EXCLUDED_TYPE) -> None:
     requests = spark.table(source) if "/" not in source else spark.read.parquet(source)
-    export_csv(extract(requests, as_of), out_path, single_file=single_file)
+    export_csv(extract(requests, as_of, excluded=excluded), out_path, single_file=single_file)

@@ -136,3 +136,68 @@ def q_ridership_job(spark, sf):
         F.lit("</td><td></td></tr></table></body></html>"))
     table_df, _ = ridership.parse_pages(pages.select("year", "month", "line", html.alias("html")))
     return table_df
+
+
+@query("requests_311_job",
+       "SELECT o_orderkey, o_orderdate AS createddate, o_orderpriority AS requesttype, o_totalprice FROM orders "
+       "WHERE o_orderdate > TIMESTAMP '2001-08-01 00:00:00' - INTERVAL 6 MONTH AND o_orderpriority <> '5-LOW'")
+def q_requests_311_job(spark, sf):
+    """Orders as service requests: the last six months without one category,
+    published as a single CSV (bounded by its row-count check) and read back."""
+    import datetime as dt
+
+    from tablepipe.jobs import requests_311
+
+    src = scratch_path(spark, "requests_src")
+    table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_orderdate").alias("createddate"), F.col("o_orderpriority").alias("requesttype"),
+        "o_totalprice").write.parquet(src)
+    out = scratch_path(spark, "requests_csv")
+    requests_311.run(spark, src, out, as_of=dt.datetime(2001, 8, 1), excluded="5-LOW")
+    return (spark.read.schema("o_orderkey bigint, createddate timestamp_ntz, requesttype string, o_totalprice double")
+            .option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(out))
+
+
+_PORTAL_DOC = {
+    "description": "Customers of the fixture; it's published page by page",
+    "columns": [
+        {"name": "c_custkey", "dataTypeName": "number"},
+        {"name": "c_name", "dataTypeName": "text"},
+        {"name": "c_nationkey", "dataTypeName": "number"},
+        {"name": "c_acctbal", "dataTypeName": "money"},
+        {"name": "c_mktsegment", "dataTypeName": "text"},
+        {"name": "Location Point", "dataTypeName": "point"},
+        {"name": "Retired Flag", "dataTypeName": "checkbox"},
+    ],
+}
+
+
+@query("portal_import_job",
+       "SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_name, CAST(c_nationkey AS DOUBLE) AS c_nationkey, "
+       "c_acctbal, c_mktsegment, '(' || c_custkey || ', ' || c_nationkey || ')' AS locationpoint, "
+       "'row-' || c_custkey AS id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c_custkey) AS created_at, "
+       "TIMESTAMP '2024-06-01 00:00:00' + to_seconds(c_custkey) AS updated_at FROM customer")
+def q_portal_import_job(spark, sf):
+    """Customers published as a portal dataset (key order, system columns,
+    a point column) and imported by the portal job: schema from the metadata
+    (a drifted column removed, system fields merged), pages read in parallel,
+    points rewritten, columns typed, table loaded and commented."""
+    import json
+
+    from tablepipe.jobs import portal_import
+    from tablepipe.functions.timeops import ntz_literal
+    from tablepipe.plans.writes import _scratch_table
+
+    c = table(spark, sf, "customer")
+    published = c.orderBy("c_custkey").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
+        F.format_string("POINT (%d %d)", "c_custkey", "c_nationkey").alias("Location Point"),
+        F.concat(F.lit("row-"), F.col("c_custkey").cast("string")).alias(":id"),
+        F.timestamp_add("SECOND", F.col("c_custkey"), ntz_literal("2024-01-01 00:00:00")).alias(":created_at"),
+        F.timestamp_add("SECOND", F.col("c_custkey"), ntz_literal("2024-06-01 00:00:00")).alias(":updated_at"))
+    store = scratch_path(spark, "portal_customer")
+    published.write.parquet(store)
+    name = _scratch_table(spark, "portal_customer")
+    portal_import.run(spark, "cust-0001", "tablepipe.sources.paged:SortedParquetFetcher", {"path": store},
+                      json.dumps(_PORTAL_DOC), table=name, warehouse="postgres", page_size=1000)
+    return spark.table(name)
