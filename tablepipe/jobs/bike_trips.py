@@ -36,16 +36,20 @@ BIKE_TRIPS = TableContract.from_ddl(
     "est_carbon_offset double", keys=["trip_id"], name="bike_trips")
 
 
-def reshape(raw: DataFrame, ts_format: str | None = None) -> DataFrame:
-    """Long CSV rows -> one typed row per trip with snake_case names."""
+def reshape(raw: DataFrame, ts_format=None) -> DataFrame:
+    """Long CSV rows -> one typed row per trip with snake_case names.
+
+    Only the key is typed before the aggregation; measure values and
+    timestamps are parsed after it, once per trip instead of once per
+    (trip, measure) row (a measure value is unique per trip, a repeat fails)."""
     attrs = [c for c in raw.columns if c not in ("Trip ID", "Measure Names", "Measure Values", "__ord")]
-    typed = raw.withColumns({
-        "Trip ID": parse_number(F.col("Trip ID")).cast("bigint"),
-        "Measure Values": parse_number(F.col("Measure Values")),
-        **{c: parse_ts(F.col(f"`{c}`"), ts_format or TIME_FORMATS) for c in TIME_COLUMNS if c in raw.columns},
-    })
-    wide = measure_pivot(typed, "Trip ID", "Measure Names", "Measure Values", MEASURES,
+    keyed = raw.withColumn("Trip ID", parse_number(F.col("Trip ID")).cast("bigint"))
+    wide = measure_pivot(keyed, "Trip ID", "Measure Names", "Measure Values", MEASURES,
                          attributes=attrs, order_by="__ord", on_duplicate="raise")
+    wide = wide.withColumns({
+        **{m: parse_number(F.col(f"`{m}`")) for m in MEASURES},
+        **{c: parse_ts(F.col(f"`{c}`"), ts_format or TIME_FORMATS) for c in TIME_COLUMNS if c in attrs},
+    })
     return rename_snake(wide)
 
 
