@@ -379,3 +379,18 @@ def enforce_varchar(df: DataFrame, contract: TableContract) -> DataFrame:
             msg = F.concat(F.lit(f"value longer than VARCHAR({n}) in column {c}: "), F.substring(col, 1, 40))
             guards[c] = F.when(F.char_length(col) > F.lit(n), F.raise_error(msg)).otherwise(col)
     return df.withColumns(guards) if guards else df
+
+
+def enforce_not_null(df: DataFrame, cols) -> DataFrame:
+    """Fail the job on the first null in ``cols`` (integer columns of a
+    contract). The guard rides in the write's own projection: the failed job
+    commits no output, and no separate pass over the data is needed."""
+    guards = {}
+    for c in as_list(cols):
+        col = F.col(f"`{c}`")
+        guards[c] = F.when(col.isNull(), F.raise_error(F.lit(f"null in integer column {c}"))).otherwise(col)
+    return df.withColumns(guards) if guards else df
+
+
+def integer_columns(contract: TableContract) -> list[str]:
+    return [f.name for f in contract.schema.fields if isinstance(f.dataType, INTEGER_TYPES)]
