@@ -43,13 +43,27 @@ def read_geojson(spark: SparkSession, path, properties_schema: str | None = None
         raise ValueError("kind must be 'collection' or 'seq'")
     feats = feats.where(F.col("type") == "Feature")
     if properties_schema is None:
-        props = F.from_json("properties", "map<string, string>").alias("properties")
-        return feats.select(props, "geometry",
-                            F.get_json_object("geometry", "$.type").alias("geometry_type"))
+        properties_schema = infer_properties_schema(spark, path, kind)
     parsed = feats.select(F.from_json("properties", properties_schema).alias("p"), "geometry")
     return parsed.select("p.*", "geometry", F.get_json_object("geometry", "$.type").alias("geometry_type"))
 
 
+def infer_properties_schema(spark: SparkSession, path, kind: str = "collection"):
+    """The struct type of the features' properties, inferred by Spark's JSON
+    reader over the files (a distributed pass). Only ``properties`` is kept,
+    so geometries of mixed types play no part."""
+    from pyspark.sql import types as T
+
+    if kind == "collection":
+        schema = spark.read.option("multiLine", True).json(path).schema
+        feats = schema["features"].dataType.elementType if "features" in schema.fieldNames() else None
+        props = feats["properties"].dataType if feats is not None and "properties" in feats.fieldNames() else None
+    else:
+        schema = spark.read.json(path).schema
+        props = schema["properties"].dataType if "properties" in schema.fieldNames() else None
+    return props if isinstance(props, T.StructType) else T.StructType([])
+
+
 def write_geojson_seq(df: DataFrame, path: str, geometry_col: str = "geometry",
                       property_cols=None) -> None:
     """Newline-delimited GeoJSON features; ``geometry_col`` holds GeoJSON text."""
@@ -74,8 +88,10 @@ class LoadResult:
 def read_distribution(spark: SparkSession, fmt: str, url: str) -> DataFrame:
     if fmt == "geojson":
         return read_geojson(spark, url)
-    if fmt == "csv":
-        return spark.read.option("header", True).csv(url)
+    if fmt == "csv":  # typed like a table reader: blanks null, number columns numeric
+        from tablepipe.operators.contract import infer_types
+
+        return infer_types(spark.read.option("header", True).csv(url))
     if fmt in ("parquet", "json"):
         return spark.read.format(fmt).load(url)
     raise ValueError(f"no reader for format {fmt!r}")

@@ -122,6 +122,7 @@ def test_manifest_collects_failures(spark, out):
     assert "broken_a" in str(e.value) and "broken_b" in str(e.value)
     assert "shape_only: no readable distribution" in str(e.value)
     assert spark.table("geo_test.good_one").count() == 1
+    assert dict(spark.table("geo_test.good_one").dtypes) == {"a": "bigint", "b": "bigint"}
 
 
 def test_read_html_files(spark, out):
@@ -149,3 +150,18 @@ def test_udtfs_from_sql(spark):
     opts = spark.sql("SELECT r.value FROM tp_pages p, "
                      "LATERAL html_options(p.html, 'ContentPlaceHolder1_lbLines', 'option', 'value') r").collect()
     assert [r.value for r in opts] == ["All", "801", "802"]
+
+
+def test_geojson_properties_inferred(spark, out):
+    fc = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"name": "a", "n": 1}, "geometry": {"type": "Point", "coordinates": [1, 2]}},
+        {"type": "Feature", "properties": {"name": "b", "n": 2.5, "extra": True},
+         "geometry": {"type": "MultiPolygon", "coordinates": [[[[0, 0], [1, 0], [1, 1], [0, 0]]]]}}]}
+    p = f"{out}/fc2.geojson"
+    with open(p, "w") as f:
+        json.dump(fc, f)
+    df = read_geojson(spark, p)
+    types = dict(df.dtypes)
+    assert types["name"] == "string" and types["n"] == "double" and types["extra"] == "boolean"
+    got = {r.name: (r.n, r.extra, r.geometry_type) for r in df.collect()}
+    assert got == {"a": (1.0, None, "Point"), "b": (2.5, True, "MultiPolygon")}
