@@ -45,10 +45,20 @@ def parse_ts(col, fmt=None) -> Column:
         return F.coalesce(*[parse_ts(c, f) for f in fmt])
     if fmt is None:
         return c.try_cast("timestamp_ntz")
+    if not _has_zone_field(fmt):
+        # one tolerant parse, pinned to UTC (no DST gaps), read back as a wall clock
+        inst = F.try_to_timestamp(F.concat(c, F.lit(" +0000")), F.lit(fmt + " xx"))
+        return utc_wall(inst)
     ok = F.try_to_timestamp(c, F.lit(fmt)).isNotNull()
     return F.when(ok, F.to_timestamp_ntz(c, F.lit(fmt)))
 
 
+def _has_zone_field(fmt: str) -> bool:
+    """Whether a datetime pattern has a zone or offset field (outside quotes)."""
+    unquoted = re.sub(r"'[^']*'", "", fmt)
+    return any(ch in unquoted for ch in "XxZzOVv")
+
+
 def us_datetime_text(col) -> Column:
     """``M/d/yyyy h:mm:ss AM`` text of a ``timestamp_ntz`` from its fields
     (``date_format`` would pass through the session zone)."""

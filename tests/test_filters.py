@@ -91,3 +91,19 @@ def test_union_priority_worklist(spark):
     wl = period_worklist(years, lines, as_of=dt.date(2024, 3, 15))
     assert wl.count() == (12 + 2) * 2  # 2023 whole, Jan-Feb 2024, nothing of 2025
     assert wl.where("year = '2024' AND month = '3'").count() == 0
+
+
+def test_parse_ts_is_zone_free(spark):
+    from tablepipe.functions.timeops import parse_ts
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")  # clocks jumped at midnight
+    try:
+        df = spark.createDataFrame([("10/3/1999 12:00:00 AM", "1999-10-03 00:00:00"), ("bad", "x")], "a string, b string")
+        r = df.select(parse_ts("a", "M/d/yyyy h:mm:ss a").alias("a"),
+                      parse_ts("b", "yyyy-MM-dd HH:mm:ss").alias("b"),
+                      parse_ts("b", ["M/d/yyyy", "yyyy-MM-dd HH:mm:ss"]).alias("c")).collect()
+        assert [str(x) for x in r[0]] == ["1999-10-03 00:00:00"] * 3
+        assert list(r[1]) == [None, None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
