@@ -64,9 +64,14 @@ def us_datetime_text(col) -> Column:
     (``date_format`` would pass through the session zone)."""
     t = as_col(col)
     h = F.hour(t)
-    return F.format_string("%d/%d/%d %d:%02d:%02d %s", F.month(t), F.dayofmonth(t), F.year(t),
-                           ((h + 11) % 12) + 1, F.minute(t), F.second(t),
-                           F.when(h < 12, F.lit("AM")).otherwise(F.lit("PM")))
+
+    def two(c):
+        return F.lpad(c.cast("string"), 2, "0")
+
+    return F.concat(F.month(t).cast("string"), F.lit("/"), F.dayofmonth(t).cast("string"), F.lit("/"),
+                    F.year(t).cast("string"), F.lit(" "), (((h + 11) % 12) + 1).cast("string"), F.lit(":"),
+                    two(F.minute(t)), F.lit(":"), two(F.second(t)), F.lit(" "),
+                    F.when(h < 12, F.lit("AM")).otherwise(F.lit("PM")))
 
 
 def to_wall_clock(col, zone: str, source_zone: str = "UTC") -> Column:
