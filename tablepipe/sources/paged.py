@@ -142,9 +142,10 @@ class SortedParquetFetcher:
     key order (e.g. ``df.orderBy(key).write.parquet(dir)``). Row counts come
     from file footers, so a page reads only the row groups it covers."""
 
-    def __init__(self, path: str, header_case: str = "keep"):
+    def __init__(self, path: str, header_case: str = "keep", index_path: str | None = None):
         self.path = path
         self.header_case = header_case
+        self.index_path = index_path
 
     def _files(self):
         import pyarrow.parquet as pq
@@ -160,7 +161,14 @@ class SortedParquetFetcher:
         return filesystem, out
 
     def index(self):
-        """(file, rows) in key order; read once when the pages are planned."""
+        """(file, rows) in key order; read once when the pages are planned.
+        With ``index_path`` (see :func:`build_page_index`) the footers are not
+        read on the driver: the index was counted by a Spark job."""
+        if self.index_path:
+            import pyarrow.parquet as pq
+
+            t = pq.read_table(_local(self.index_path)).sort_by("file")
+            return [(_local(f), int(n)) for f, n in zip(t.column("file").to_pylist(), t.column("rows").to_pylist())]
         return self._files()[1]
 
     def count(self) -> int:
@@ -204,6 +212,26 @@ class SortedParquetFetcher:
         return table.cast(pa.schema([(f.name, pa.string()) for f in table.schema]))
 
 
+def _local(path: str) -> str:
+    """``file:/x`` or ``file:///x`` -> ``/x``; other paths unchanged."""
+    if path.startswith("file://"):
+        return path[len("file://"):]
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    return path
+
+
+def build_page_index(spark, store: str, index_path: str) -> None:
+    """Rows per part file of a store written in key order, counted by a Spark
+    job (footer counts, in parallel) and written as a small parquet
+    ``(file, rows)`` - one row per file - for ``SortedParquetFetcher(index_path=...)``."""
+    from pyspark.sql import functions as F
+
+    files = spark.read.parquet(store).select(F.col("_metadata.file_path").alias("file"))
+    files.groupBy("file").agg(F.count(F.lit(1)).alias("rows")).coalesce(1) \
+        .write.mode("overwrite").parquet(index_path)
+
+
 def register(spark) -> None:
     spark.dataSource.register(PagedDataSource)
 

@@ -165,3 +165,18 @@ def test_geojson_properties_inferred(spark, out):
     assert types["name"] == "string" and types["n"] == "double" and types["extra"] == "boolean"
     got = {r.name: (r.n, r.extra, r.geometry_type) for r in df.collect()}
     assert got == {"a": (1.0, None, "Point"), "b": (2.5, True, "MultiPolygon")}
+
+
+def test_paged_with_spark_built_index(spark, out):
+    from pyspark.sql import functions as F
+
+    from tablepipe.sources.paged import build_page_index
+
+    store = f"{out}/store"
+    spark.range(0, 5000, 1, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")) \
+        .orderBy("k").write.parquet(store)
+    build_page_index(spark, store, f"{out}/index")
+    df = read_paged(spark, "tablepipe.sources.paged:SortedParquetFetcher", ["k", "v"], page_size=700,
+                    fetcher_args={"path": store, "index_path": f"{out}/index"})
+    rows = sorted((int(r.k), int(r.v)) for r in df.collect())
+    assert rows == [(i, 2 * i) for i in range(5000)] and df.rdd.getNumPartitions() == 8
