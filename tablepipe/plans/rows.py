@@ -171,6 +171,17 @@ def q_html_list_values(spark, sf):
     return vals.where(F.col("value") != "/The")
 
 
+@query("html_option_values",
+       "SELECT page_id, value FROM (SELECT page_id, unnest(regexp_extract_all(html, "
+       "'<a\\b[^>]*?\\bhref=\"([^\"]*)\"', 1)) AS value FROM pages) WHERE value <> '/The'")
+def q_html_option_values(spark, sf):
+    """The same list through the HTML parser UDTF (element-scoped path of S11)."""
+    from tablepipe.sources.html import html_options
+
+    vals = html_options(table(spark, sf, "pages"), "html", None, tag="a", attr="href", keep=["page_id"])
+    return vals.where(F.col("error").isNull() & (F.col("value") != "/The")).select("page_id", "value")
+
+
 @query("html_table_rows",
        "SELECT page_id, CAST(unnest(range(len(arr))) AS INTEGER) AS pos, unnest(arr) AS text FROM "
        "(SELECT page_id, regexp_extract_all(html, '<li>(?:<a [^>]*>)?([^<]*)', 1) AS arr FROM pages)")
