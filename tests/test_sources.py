@@ -180,3 +180,12 @@ def test_paged_with_spark_built_index(spark, out):
                     fetcher_args={"path": store, "index_path": f"{out}/index"})
     rows = sorted((int(r.k), int(r.v)) for r in df.collect())
     assert rows == [(i, 2 * i) for i in range(5000)] and df.rdd.getNumPartitions() == 8
+
+
+def test_warehouse_arguments(spark):
+    from tablepipe.sources.warehouse import read_warehouse
+
+    with pytest.raises(ValueError, match="exactly one"):
+        read_warehouse(spark, "jdbc:none", table="t", query="select 1")
+    with pytest.raises(ValueError, match="exactly one"):
+        read_warehouse(spark, "jdbc:none")
