@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tablepipe.session import ship_package
+
 # A worker holds one slice of a batch at a time; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
 
@@ -64,3 +66,9 @@ def code_points(data):
 def long_column(batch, name):
     """The column as an Arrow int64 array (nulls kept)."""
     return batch.column(batch.schema.get_field_index(name)).cast(pa.int64())
+
+
+def map_arrow(df, run, schema):
+    """``df.mapInArrow`` with this package importable in the Python workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)

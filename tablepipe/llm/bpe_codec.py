@@ -22,7 +22,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 
-from tablepipe.llm._text import long_column, slices, utf8_view
+from tablepipe.llm._text import long_column, map_arrow, slices, utf8_view
 from tablepipe.llm.pretoken import piece_bounds
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -253,7 +253,7 @@ def encode(df, text_col="text", path=None):
     while out_name in df.columns:
         out_name = f"_{out_name}"
     schema = df.schema.add(out_name, "array<int>")
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def decode(df, ids_col="token_ids", path=None):
@@ -271,7 +271,7 @@ def decode(df, ids_col="token_ids", path=None):
             arrays = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(got, pa.binary())], [*batch.schema.names, out_name])
 
-    return df.mapInArrow(run, df.schema.add(out_name, "binary"))
+    return map_arrow(df, run, df.schema.add(out_name, "binary"))
 
 
 def digests(df, id_col="doc_id", text_col="text", path=None):
@@ -299,4 +299,4 @@ def digests(df, id_col="doc_id", text_col="text", path=None):
                 [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return map_arrow(df.select(id_col, text_col), run, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablepipe.llm import bpe_codec, token_fst
+from tablepipe.llm import bpe_codec, langid, quality_lm, token_fst
 from tablepipe.plans import table
 
 REGISTRY: dict = {}
@@ -31,3 +31,13 @@ def op7_token_counts(spark, sf_dir):
 @query("op9_bpe_codec")
 def op9_bpe_codec(spark, sf_dir):
     return bpe_codec.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op2_language_id")
+def op2_language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark, sf_dir):
+    return quality_lm.assess(table(spark, sf_dir, "documents"))

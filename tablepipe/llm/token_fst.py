@@ -26,7 +26,7 @@ import json
 import numpy as np
 import pyarrow as pa
 
-from tablepipe.llm._text import long_column, slices, utf8_view
+from tablepipe.llm._text import long_column, map_arrow, slices, utf8_view
 from tablepipe.llm.pretoken import piece_bounds
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -218,4 +218,4 @@ def token_counts(df, id_col="doc_id", text_col="text", path=None, limit=1024):
                  pa.array(tokens > limit)], [id_col, "n_bytes", "n_tokens", "over_limit"])
 
     schema = f"`{id_col}` long, n_bytes long, n_tokens long, over_limit boolean"
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return map_arrow(df.select(id_col, text_col), run, schema)
