@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablepipe.llm import bpe_codec, langid, quality_lm, token_fst
+from tablepipe.llm import bpe_codec, langid, quality_lm, token_fst, toxicity
 from tablepipe.plans import table
 
 REGISTRY: dict = {}
@@ -41,3 +41,8 @@ def op2_language_id(spark, sf_dir):
 @query("op8_quality_rules")
 def op8_quality_rules(spark, sf_dir):
     return quality_lm.assess(table(spark, sf_dir, "documents"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -29,7 +29,7 @@ from tablepipe.session import scratch_path
 
 ORDER = 4
 HASH_BITS = 22
-SPREAD = 4.0
+SPREAD = 5.0
 NO_LANGUAGE = "und"
 FLUSH = 1 << 20
 SYMBOLS = b"#*$%&|<>"  # fixed value: the symbols that the rules count
