@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablepipe.llm import bpe_codec, langid, quality_lm, token_fst, toxicity
+from tablepipe.llm import bpe_codec, decontaminate, langid, licenses, quality_lm, token_fst, toxicity
 from tablepipe.plans import table
 
 REGISTRY: dict = {}
@@ -46,3 +46,13 @@ def op8_quality_rules(spark, sf_dir):
 @query("op3_toxicity")
 def op3_toxicity(spark, sf_dir):
     return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_license_scan")
+def op6_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
