@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablepipe.llm.licenses import gram_hashes, let
+
 WINDOW = 6
 SLACK = 2
 MIN_COVERAGE = 0.5
@@ -35,38 +37,48 @@ def tokens_of(text: Column) -> Column:
 
 
 def _is_number(token: Column) -> Column:
-    return F.regexp_like(token, F.lit(r"^\p{N}"))
+    """Tokens of digits; byte order settles it for ASCII."""
+    ascii_digit = (token >= "0") & (token < ":")
+    return ascii_digit | ((token >= "\u0080") & F.regexp_like(token, F.lit(r"^\p{N}")))
+
+
+def _is_mark(token: Column) -> Column:
+    return (token < "A") & ~((token >= "0") & (token < ":"))
 
 
-def slots_of(tokens: Column) -> Column:
-    """[(template token, value), ...] of a token array, sentence marks left out."""
+def kinds_of(tokens: Column) -> Column:
+    """Template tokens of a token array, sentence marks left out."""
     units = F.array(*[F.lit(u) for u in UNITS.split()])
 
-    def one(token, i):
-        before = F.when(i > 0, F.get(tokens, i - 1))
-        low = F.lower(token)
-        upper = token != low
-        inside = F.coalesce(~before.isin(".", "!", "?", "\n"), F.lit(False))
-        kind = (F.when(token.isin(".", "!", "?", "\n"), F.lit(None).cast("string"))
-                .when(_is_number(token), F.lit("#num"))
-                .when(upper, F.when(inside & (F.substring(token, 2, 1) == F.substring(low, 2, 1)), F.lit("#name")).otherwise(low))
-                .when(F.array_contains(units, low) & F.coalesce(_is_number(before), F.lit(False)), F.lit("#unit"))
-                .otherwise(low))
-        return F.struct(kind.alias("t"), low.alias("v"))
+    def one(t):
+        def kind(token, i):
+            before = F.when(i > 0, F.get(t, i - 1))
+            low = F.lower(token)
+            name = ((token != low) & (F.substring(token, 2, 1) == F.substring(low, 2, 1))
+                    & F.coalesce(~_is_mark(before), F.lit(False)))
+            return (F.when(_is_mark(token), F.lit(None).cast("string"))
+                    .when(_is_number(token), F.lit("#num"))
+                    .when(name, F.lit("#name"))
+                    .when(F.coalesce(_is_number(before), F.lit(False)) & F.array_contains(units, low), F.lit("#unit"))
+                    .otherwise(low))
+
+        return F.array_compact(F.transform(t, kind))
+
+    return let(tokens, one)
+
 
-    return F.filter(F.transform(tokens, one), lambda x: x["t"].isNotNull())
+def values_of(tokens: Column) -> Column:
+    """The tokens themselves in lower case, in the places of ``kinds_of``."""
+    return F.transform(F.filter(tokens, lambda x: ~_is_mark(x)), F.lower)
 
 
 def window_hashes(kinds: Column, k: int) -> Column:
-    last = F.size(kinds) - k
-    hashes = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                         lambda i: F.xxhash64(*[F.get(kinds, i + j) for j in range(k)]))
-    return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
+    return gram_hashes(kinds, k)
 
 
 def _templates(df, key, text_col) -> DataFrame:
-    t = df.select(*key, slots_of(tokens_of(F.col(text_col))).alias("s"))
-    return t.select(*key, F.transform("s", lambda x: x["t"]).alias("kinds"), F.transform("s", lambda x: x["v"]).alias("values"))
+    t = df.select(*key, tokens_of(F.col(text_col)).alias("tokens"))
+    return t.select(*key, kinds_of(F.col("tokens")).alias("kinds"), values_of(F.col("tokens")).alias("values"))
 
 
 def item_windows(benchmark, item_col="item_id", text_col="text", window=WINDOW) -> DataFrame:

@@ -53,6 +53,11 @@ TEMPLATES = [
 ]
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row, not again for each element of a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words_of(text: Column) -> Column:
     """Words of the text with A-Z in lower case. Other letters may change case
     too, which moves no word bound and makes no ASCII phrase."""
@@ -61,10 +66,13 @@ def words_of(text: Column) -> Column:
 
 def gram_hashes(words: Column, k: int) -> Column:
     """64-bit hashes of all windows of ``k`` words; empty for fewer words."""
-    last = F.size(words) - k
-    hashes = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                         lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)]))
-    return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
+    def hashes(w):
+        last = F.size(w) - k
+        out = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+                          lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)]))
+        return F.when(last >= 0, out).otherwise(F.array().cast("array<bigint>"))
+
+    return let(words, hashes)
 
 
 def template_grams(spark, templates=None, k=K) -> DataFrame:
@@ -110,17 +118,22 @@ def _places(words: Column, phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0))), every)
 
 
+def _all_places(words: Column) -> Column:
+    """An array of places for each phrase."""
+    return let(words, lambda w: F.array(*[_places(w, p) for p in PHRASES]))
+
+
 def base(df, id_col="doc_id", text_col="text"):
     """(id, text_hash, n_words, n_base, first_word, last_word, base array) per row."""
     lower = F.lower(F.coalesce(F.col(text_col), F.lit("")))
     t = df.select(id_col, F.xxhash64(text_col).alias("text_hash"), words_of(F.col(text_col)).alias("w"),
                   (F.contains(lower, F.lit("license")) | F.contains(lower, F.lit("cc"))).alias("may"))
-    nothing = F.array().cast("array<int>")
+    nothing = F.array().cast("array<array<int>>")
     t = t.select(id_col, "text_hash", F.size("w").cast("long").alias("n_words"),
-                 *[F.when(F.col("may"), _places(F.col("w"), p)).otherwise(nothing).alias(f"p{i}")
-                   for i, p in enumerate(PHRASES)])
-    every = F.concat(*[F.col(f"p{i}") for i in range(len(PHRASES))])
-    found = F.array_compact(F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(label)) for i, label in enumerate(PHRASES.values())]))
+                 F.when(F.col("may"), _all_places(F.col("w"))).otherwise(nothing).alias("places"))
+    every = F.flatten("places")
+    found = F.array_compact(F.array(*[F.when(F.size(F.coalesce(F.get("places", F.lit(i)), F.array().cast("array<int>"))) > 0,
+                                             F.lit(label)) for i, label in enumerate(PHRASES.values())]))
     return t.select(id_col, "text_hash", "n_words", F.size(every).cast("long").alias("n_base"),
                     F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
                     F.array_sort(F.array_distinct(found)).alias("base"))
