@@ -1,8 +1,8 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame operations only.
 
-Texts and benchmark items are cut into tokens and turned into templates: numbers
-become ``#num``, a unit after a number ``#unit``, and capitalised words inside a
-sentence ``#name``. Windows of the templates are hashed and joined, so a
+Texts and benchmark items are cut into words and turned into templates: numbers,
+a unit after a number, and capitalised words inside a sentence each become a
+placeholder of their kind. Windows of the templates are hashed and joined, so a
 question is found with other numbers, names or units too. Per text, item and
 diagonal (place in the text minus place in the item) the matched windows are
 counted; neighbouring diagonals within ``SLACK`` merge, since a name may take
@@ -16,15 +16,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablepipe.llm.licenses import gram_hashes, let
+from tablepipe.llm.licenses import gram_hashes, let, split_words
 
 WINDOW = 6
 SLACK = 2
 MIN_COVERAGE = 0.5
 MIN_CONSISTENT = 0.6
 BROADCAST_WINDOWS = 2_000_000
-# letters, numbers and the marks that end a sentence
-TOKEN = r"[\p{L}\p{M}]+|\p{N}+(?:[.,:]\p{N}+)*|[.!?\n]"
+JOINT = "\u00b7"  # stands for the mark inside a number
+# between words: ASCII but letters, digits, # and the joint; Latin-1, general and CJK punctuation
+NO_WORD = (r"[\x00-\x22\x24-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\u0080-\u00A9\u00AB-\u00B4\u00B6\u00B8\u00B9\u00BB-\u00BF"
+           r"\u2000-\u206F\u3000-\u303F]+")
 # Words that are units after a number.
 UNITS = ("mm cm m km in ft inch inches foot feet yard yards mile miles mg g kg lb lbs oz ounce ounces gram grams kilogram "
          "kilograms pound pounds ton tons ml l liter liters litre litres gallon gallons s sec second seconds min minute "
@@ -32,44 +34,21 @@ UNITS = ("mm cm m km in ft inch inches foot feet yard yards mile miles mg g kg l
          "degree degrees meter meters metre metres kilometer kilometers kilometre kilometres kmh mph watt watts volt volts")
 
 
-def tokens_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
+def marked(text: Column) -> Column:
+    """The text as lower-case words with single blanks between, slots marked:
+    ``#d`` before a number, ``#u`` before its unit, ``#n`` before a name (a
+    capitalised word that follows a word, a number or a comma)."""
+    t = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("#"), F.lit(" ")), F.lit(JOINT), F.lit(" "))
+    t = F.regexp_replace(t, r"[.,:](?<=\p{Nd}.)(?=\p{Nd})", JOINT)
+    t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{Nd},;:] .)\p{Ll}+", "#n$0")
+    t = F.regexp_replace(t, rf"\p{{Nd}}(?<!\p{{L}}.)[\p{{Nd}}{JOINT}]*", "#d$0 ")
+    t = F.regexp_replace(t, rf"(#d[\p{{Nd}}{JOINT}]+ +)((?i:{'|'.join(UNITS.split())})(?!\p{{L}}))", "$1#u$2")
+    return F.lower(F.regexp_replace(t, NO_WORD, " "))
 
 
-def _is_number(token: Column) -> Column:
-    """Tokens of digits; byte order settles it for ASCII."""
-    ascii_digit = (token >= "0") & (token < ":")
-    return ascii_digit | ((token >= "\u0080") & F.regexp_like(token, F.lit(r"^\p{N}")))
-
-
-def _is_mark(token: Column) -> Column:
-    return (token < "A") & ~((token >= "0") & (token < ":"))
-
-
-def kinds_of(tokens: Column) -> Column:
-    """Template tokens of a token array, sentence marks left out."""
-    units = F.array(*[F.lit(u) for u in UNITS.split()])
-
-    def one(t):
-        def kind(token, i):
-            before = F.when(i > 0, F.get(t, i - 1))
-            low = F.lower(token)
-            name = ((token != low) & (F.substring(token, 2, 1) == F.substring(low, 2, 1))
-                    & F.coalesce(~_is_mark(before), F.lit(False)))
-            return (F.when(_is_mark(token), F.lit(None).cast("string"))
-                    .when(_is_number(token), F.lit("#num"))
-                    .when(name, F.lit("#name"))
-                    .when(F.coalesce(_is_number(before), F.lit(False)) & F.array_contains(units, low), F.lit("#unit"))
-                    .otherwise(low))
-
-        return F.array_compact(F.transform(t, kind))
-
-    return let(tokens, one)
-
-
-def values_of(tokens: Column) -> Column:
-    """The tokens themselves in lower case, in the places of ``kinds_of``."""
-    return F.transform(F.filter(tokens, lambda x: ~_is_mark(x)), F.lower)
+def kinds_of(marks: Column) -> Column:
+    """Template tokens: every slot is its placeholder."""
+    return split_words(F.regexp_replace(marks, r"#([dnu])[^ ]+", "#$1"))
 
 
 def window_hashes(kinds: Column, k: int) -> Column:
@@ -77,8 +56,9 @@ def window_hashes(kinds: Column, k: int) -> Column:
 
 
 def _templates(df, key, text_col) -> DataFrame:
-    t = df.select(*key, tokens_of(F.col(text_col)).alias("tokens"))
-    return t.select(*key, kinds_of(F.col("tokens")).alias("kinds"), values_of(F.col("tokens")).alias("values"))
+    t = df.select(*key, let(marked(F.col(text_col)), lambda m: F.struct(
+        kinds_of(m).alias("kinds"), split_words(m).alias("values"))).alias("m"))
+    return t.select(*key, "m.kinds", "m.values")
 
 
 def item_windows(benchmark, item_col="item_id", text_col="text", window=WINDOW) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 K = 3
 GAP = 3  # diagonals this near to each other belong to one span
 MIN_SCORE = 0.6
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what stands between words, in lower case
 
 # The base phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -61,7 +61,12 @@ def let(value: Column, body) -> Column:
 def words_of(text: Column) -> Column:
     """Words of the text with A-Z in lower case. Other letters may change case
     too, which moves no word bound and makes no ASCII phrase."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return split_words(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NO_WORD, " "))
+
+
+def split_words(spaced: Column) -> Column:
+    """Words of a text in which single blanks part them."""
+    return let(F.trim(spaced), lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " ")))
 
 
 def gram_hashes(words: Column, k: int) -> Column:
