@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from tablepipe.session import ship_package
 
 # A worker holds one slice of a batch at a time; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 
 def text_column(batch, name):
@@ -34,6 +34,8 @@ def slices(batches, name, budget=SLICE_BYTES):
             stop = max(row + 1, int(np.searchsorted(ends, done + budget, side="right")))
             yield batch.slice(row, stop - row), texts.slice(row, stop - row)
             row = stop
+        del batch, texts, ends
+        pa.default_memory_pool().release_unused()
 
 
 def utf8_view(texts):

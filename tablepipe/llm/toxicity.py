@@ -27,8 +27,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-import regex
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablepipe.llm._text import long_column, map_arrow, slices
@@ -45,13 +43,15 @@ COST_LOOK, COST_DROP, COST_KEEP_TWO, COST_SEPARATOR = 0.7, 0.4, 1.5, 0.2
 BEAM = 40
 MAX_DISGUISED = 40  # characters of a disguised word; longer ones stand as they are
 
-WORD = regex.compile(r"\p{L}+")
+WORD = re.compile(r"[^\W\d_]+")
 _marks = re.escape("".join(LOOKS))
-# a symbol or digit inside or at the edge of letters, and a letter three times in a row
-LEET = regex.compile(rf"(?<![\w@$])(?=[\w{_marks}]*\p{{L}})(?=[\w{_marks}]*[{_marks}])[\w{_marks}]{{3,{MAX_DISGUISED}}}")
-REPEATED = regex.compile(r"\p{L}*(\p{L})\1{2}\p{L}*")
-SPACED = regex.compile(rf"(?<!\w)[\p{{L}}{_marks}](?:[ .\-_*~/]{{1,2}}[\p{{L}}{_marks}]){{3,19}}(?!\w)")
-EDGE = regex.compile(rf"^([{_marks}])\1{{1,}}|([{_marks}])\2{{1,}}$|[!|(]+$")
+_letter = rf"(?:[^\W_]|[{_marks}])"
+REPEATED = re.compile(r"([^\W\d_])\1\1")
+SPACED_TOKEN = re.compile(rf"{_letter}(?:[.\-_*~/]{_letter}){{3,}}")
+# at least four single letters with one or two separators between them
+SPACED = re.compile(rf"(?<!\S){_letter}(?:[ .\-_*~/]{{1,2}}{_letter}){{3,19}}(?!\w)")
+PUNCTUATION = ".,;:?\"'()[]{}*#%&-_=~`^/\\\u00ab\u00bb\u201c\u201d\u2018\u2019"
+EDGE = re.compile(rf"^([{_marks}])\1{{1,}}|([{_marks}])\2{{1,}}$|[!|(+<]+$")
 
 
 class CharModel:
@@ -121,16 +121,15 @@ def decode(token, model):
     return max((s + model.log_p(c, "$"), w) for c, (s, w) in states.items())[1]
 
 
-def disguised(text):
-    """Tokens of a lower-case text that need decoding."""
-    found = []
-    for m in LEET.finditer(text):
-        token = EDGE.sub("", m[0])
-        if any(ch in LOOKS for ch in token) and sum(ch.isalpha() for ch in token) * 2 >= len(token):
-            found.append(token)
-    found += [m[0] for m in REPEATED.finditer(text) if len(m[0]) <= MAX_DISGUISED]
-    found += [m[0] for m in SPACED.finditer(text)]
-    return found
+def disguised(token):
+    """What needs decoding in a lower-case token without blanks, or None."""
+    bare = EDGE.sub("", token.strip(PUNCTUATION))
+    if not 3 <= len(bare) <= MAX_DISGUISED:
+        return None
+    if SPACED_TOKEN.fullmatch(bare) or REPEATED.search(bare):
+        return bare
+    letters = sum(map(str.isalpha, bare))
+    return bare if letters * 2 >= len(bare) > letters and any(ch in LOOKS for ch in bare) else None
 
 
 class Scorer:
@@ -155,17 +154,24 @@ class Scorer:
             got = self.decoded[token] = decode(token, self.model)
         return got
 
+    def token_weight(self, token):
+        """Largest weight of the words in a token, as it stands or restored."""
+        best = max([self.weight(w) for w in WORD.findall(token)], default=0.0)
+        hidden = disguised(token)
+        return max(best, self.weight(self.restore(hidden))) if hidden else best
+
     def features(self, text):
-        """(strongest weight, sum of the five strongest words' weights) of a text."""
+        """(strongest weight, sum of the five strongest tokens' weights) of a text."""
         text = text.lower()
-        words = set(WORD.findall(text))
-        words.update(self.restore(t) for t in disguised(text))
+        tokens = set(text.split())
         known = self.known
-        if len(known) > 300_000:
+        if len(known) > 400_000:
             known.clear()
-        for w in words.difference(known):
-            known[w] = self.weight(w)
-        top = sorted([x for x in map(known.__getitem__, words) if x], reverse=True)[:5]
+        for t in tokens.difference(known):
+            known[t] = self.token_weight(t)
+        weights = [x for x in map(known.__getitem__, tokens) if x]
+        weights += [x for x in (self.weight(self.restore(m[0])) for m in SPACED.finditer(text)) if x]
+        top = sorted(weights, reverse=True)[:5]
         return (top[0], sum(top)) if top else (0.0, 0.0)
 
     def score(self, text):
@@ -179,9 +185,8 @@ def _sample(documents, labels, id_col, text_col, label_col):
     y = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y"))
     y = y.where(F.col("__y").isin(0, 1) & F.col("__id").isNotNull()).groupBy("__id").agg(F.max("__y").alias("__y"))
     y = y.where(~held_out("__id"))
-    order = Window.partitionBy("__y").orderBy(F.xxhash64("__id"), "__id")
-    y = (y.withColumn("__n", F.row_number().over(order))
-         .where(F.col("__n") <= F.when(F.col("__y") == 1, TOXIC_ROWS).otherwise(OTHER_ROWS)))
+    picked = [y.where(F.col("__y") == k).orderBy(F.xxhash64("__id"), "__id").limit(n) for k, n in ((1, TOXIC_ROWS), (0, OTHER_ROWS))]
+    y = picked[0].unionAll(picked[1])
     rows = documents.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     return rows.join(F.broadcast(y.select("__id", "__y")), "__id").select(  # TOXIC_ROWS + OTHER_ROWS rows
         "__text", "__y", F.pmod(F.xxhash64(F.col("__id"), F.lit(7)), F.lit(2)).cast("int").alias("__part"))
