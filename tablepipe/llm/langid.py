@@ -6,9 +6,10 @@ n-grams are ranked the same way and compared with each profile: the
 out-of-place distance adds up how far each n-gram's rank is from its rank in the
 profile, and ``TOP`` for one that the profile lacks. The nearest profile wins.
 
-Profiles are learned from at most ``PER_LANGUAGE`` documents of each language,
-those with the smallest hash of their id (a documented bound of the fit; Spark
-picks and counts them, and ``TOP`` n-grams a language reach the driver). All
+Profiles are learned from about ``PER_LANGUAGE`` documents of each language: a
+share of the language's rows by the hash of their id, set from its row count (a
+documented bound of the fit). Spark counts them, and ``TOP`` n-grams a language
+reach the driver. All
 documents are classified, on their whole text.
 """
 
@@ -96,14 +97,14 @@ def held_out(id_col):
 def learn(df, id_col="doc_id", text_col="text", lang_col="lang", per_language=PER_LANGUAGE, top=TOP):
     """Profiles from ``df`` (call it with training rows only). Rows with a null
     id, text or language teach nothing."""
-    keys = df.select(id_col, F.col(lang_col).alias("__lang")).where(f"`{id_col}` is not null and __lang is not null")
-    order = Window.partitionBy("__lang").orderBy(F.xxhash64(id_col), id_col)
-    picked = (keys.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= per_language)
-              .select(id_col).distinct())
-    # languages x per_language ids at most
-    sample = (df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-              .select(id_col, F.col(text_col).alias("__text"), F.col(lang_col).alias("__lang"))
-              .join(F.broadcast(picked), id_col, "left_semi").select("__text", "__lang"))
+    taught = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    sizes = taught.groupBy(F.col(lang_col).alias("__lang")).count().collect()  # a row a language
+    if not sizes:
+        return Profiles({}, top)
+    shares = df.sparkSession.createDataFrame([(r["__lang"], per_language / r["count"]) for r in sizes], "__lang string, __share double")
+    sample = (taught.select(F.col(text_col).alias("__text"), F.col(lang_col).alias("__lang"),
+                            (F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / float(1 << 30)).alias("__at"))
+              .join(F.broadcast(shares), "__lang").where("__at < __share").select("__text", "__lang"))
 
     def count(batches):
         for batch, texts in slices(batches, "__text"):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablepipe.llm import bpe_codec, decontaminate, langid, licenses, quality_lm, token_fst, toxicity
+from tablepipe.llm import bpe_codec, decontaminate, langid, licenses, quality_lm, token_fst, toxicity, warc
 from tablepipe.plans import table
 
 REGISTRY: dict = {}
@@ -56,3 +56,22 @@ def op6_license_scan(spark, sf_dir):
 @query("op10_decontamination")
 def op10_decontamination(spark, sf_dir):
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP1_SQL = """
+with p as (select page_id, coalesce(html, '') as h, sha1(coalesce(html, '')) as x from pages),
+f as (select x, min(page_id) as first from p group by x)
+select page_id, cast(strlen(h) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    cast(((cast('0x' || substr(x, cast(5 * (i // 4) + 1 as int), 5) as bigint) >> cast(15 - 5 * (i % 4) as int)) & 31) + 1 as int), 1)), '')
+    as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id = first then null else first end as refers_to
+from p join f using (x)
+"""
+
+
+@query("op1_warc_index", OP1_SQL)
+def op1_warc_index(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -129,7 +129,7 @@ def disguised(token):
     if SPACED_TOKEN.fullmatch(bare) or REPEATED.search(bare):
         return bare
     letters = sum(map(str.isalpha, bare))
-    return bare if letters * 2 >= len(bare) > letters and any(ch in LOOKS for ch in bare) else None
+    return bare if letters > 1 and letters * 3 >= len(bare) > letters and any(ch in LOOKS for ch in bare) else None
 
 
 class Scorer:
