@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablepipe.llm import bpe_codec, decontaminate, langid, licenses, quality_lm, token_fst, toxicity, warc
+from tablepipe.llm import bpe_codec, decontaminate, langid, licenses, minhash, quality_lm, token_fst, toxicity, warc
 from tablepipe.plans import table
 
 REGISTRY: dict = {}
@@ -75,3 +75,9 @@ from p join f using (x)
 def op1_warc_index(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_near_duplicates")
+def op5_near_duplicates(spark, sf_dir):
+    return (minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+            .select("doc_id", "n_shingles", "component_id", "kept"))
