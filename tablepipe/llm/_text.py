@@ -70,7 +70,19 @@ def long_column(batch, name):
     return batch.column(batch.schema.get_field_index(name)).cast(pa.int64())
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def map_arrow(df, run, schema):
-    """``df.mapInArrow`` with this package importable in the Python workers."""
-    ship_package(df.sparkSession)
+    """``df.mapInArrow`` with this package importable in the Python workers.
+
+    Rows hold whole texts, so a session that names no batch size gets batches of
+    500 rows (Spark's default of 10,000 would hold tens of MB on either side)."""
+    prepare(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def prepare(spark):
+    ship_package(spark)
+    if spark.conf.get(BATCH_ROWS, None) is None:
+        spark.conf.set(BATCH_ROWS, "500")

@@ -28,7 +28,7 @@ from tablepipe.llm._text import long_column, map_arrow, slices, utf8_view
 from tablepipe.session import scratch_path
 
 ORDER = 4
-HASH_BITS = 22
+HASH_BITS = 24
 SPREAD = 5.0
 NO_LANGUAGE = "und"
 FLUSH = 1 << 20
@@ -167,27 +167,32 @@ def _collected(table, order, kind):
 
 
 class Model:
-    """Scores texts; the sorted arrays are spread to direct tables once per process."""
+    """Scores texts by binary search in the sorted arrays."""
 
     def __init__(self, arrays):
-        self.tables = {}
-        for order, kind, slots, values in arrays:
-            t = np.full(1 << HASH_BITS, np.nan, np.float32)
-            t[slots] = values
-            self.tables[order, kind] = t
+        self.tables = {(order, kind): (slots, values) for order, kind, slots, values in arrays}
+
+    def look_up(self, language, grams, order, kind):
+        """Log values of n-grams, NaN where the model has none."""
+        slots, values = self.tables[order, kind]
+        if not len(slots):
+            return np.full(len(grams), np.nan)
+        want = fold(language, grams, f"{order}{kind}").astype(slots.dtype)
+        at = np.searchsorted(slots, want)
+        at[at == len(slots)] = 0
+        return np.where(slots[at] == want, values[at], np.nan).astype(np.float64)
 
     def log_p(self, language, grams, order=ORDER):
         """Log probability of the last character of each n-gram: its own entry,
         or the context's back-off weight and the shorter n-gram."""
-        table = self.tables.get((order, "p"))
-        out = table[fold(language, grams, f"{order}p")].astype(np.float64)
+        out = self.look_up(language, grams, order, "p")
         miss = np.isnan(out)
         if miss.any():
             if order == 1:
                 out[miss] = FLOOR
             else:
                 g = grams[miss]
-                gamma = self.tables[order, "gamma"][fold(language, g >> np.uint64(16), f"{order}gamma")].astype(np.float64)
+                gamma = self.look_up(language, g >> np.uint64(16), order, "gamma")
                 gamma = np.where(np.isnan(gamma), 0.0, gamma)
                 low = g & np.uint64((1 << 16 * (order - 1)) - 1)
                 out[miss] = np.maximum(FLOOR, gamma + self.log_p(language, low, order - 1))
