@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablepipe.llm import bpe_codec, decontaminate, langid, licenses, minhash, quality_lm, token_fst, toxicity, warc
+from tablepipe.llm import bpe_codec, decontaminate, langid, licenses, minhash, quality_lm, substring_dedup, token_fst, toxicity, warc
 from tablepipe.plans import table
 
 REGISTRY: dict = {}
@@ -81,3 +81,9 @@ def op1_warc_index(spark, sf_dir):
 def op5_near_duplicates(spark, sf_dir):
     return (minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
             .select("doc_id", "n_shingles", "component_id", "kept"))
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark, sf_dir):
+    return (substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
