@@ -21,6 +21,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import types as T
 
 from tablepipe.llm._text import long_column, map_arrow, slices, utf8_view
 from tablepipe.llm.pretoken import piece_bounds
@@ -252,7 +253,7 @@ def encode(df, text_col="text", path=None):
     out_name = "token_ids"
     while out_name in df.columns:
         out_name = f"_{out_name}"
-    schema = df.schema.add(out_name, "array<int>")
+    schema = T.StructType([*df.schema.fields, T.StructField(out_name, T.ArrayType(T.IntegerType()))])
     return map_arrow(df, run, schema)
 
 
@@ -271,7 +272,7 @@ def decode(df, ids_col="token_ids", path=None):
             arrays = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(got, pa.binary())], [*batch.schema.names, out_name])
 
-    return map_arrow(df, run, df.schema.add(out_name, "binary"))
+    return map_arrow(df, run, T.StructType([*df.schema.fields, T.StructField(out_name, T.BinaryType())]))
 
 
 def digests(df, id_col="doc_id", text_col="text", path=None):

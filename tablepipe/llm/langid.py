@@ -144,6 +144,18 @@ def predict(df, profiles, id_col="doc_id", text_col="text"):
     return map_arrow(rows, run, f"`{id_col}` long, held_out boolean, lang_pred string, score double")
 
 
+def keep_known(df, profiles, text_col="text", min_score=0.15):
+    """The rows of ``df`` whose text is in a learned language, all columns kept: rows
+    without a letter go, and rows whose score is under ``min_score`` (hardly an
+    n-gram in common with any profile, as in another script)."""
+    def run(batches):
+        for batch, texts in slices(batches, text_col):
+            got = [profiles.classify(t) for t in texts.to_pylist()]
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in got], pa.bool_()))
+
+    return map_arrow(df, run, df.schema)
+
+
 def identify(df, id_col="doc_id", text_col="text", lang_col="lang", **bounds):
     """Learn from the rows of ``df`` that are not held out, then predict every row."""
     profiles = learn(df.where(~held_out(id_col)), id_col, text_col, lang_col, **bounds)

@@ -32,6 +32,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablepipe.llm import _words as W
 from tablepipe.llm._scratch import Scratch
@@ -109,7 +110,37 @@ def _ids(column):
     return np.asarray(column.cast(pa.int64()).fill_null(LAST_ID).to_numpy(zero_copy_only=False), np.int64)
 
 
-_SPOTS = np.dtype([("id", "<i8"), ("at", "<i8"), ("before", "u1"), ("more", "u1")])  # packed regions
+_SPOTS = np.dtype([("id", "<i8"), ("at", "<i4"), ("before", "u1"), ("more", "u1")])  # regions of a text
+
+
+def _pack(spots):
+    """Spots as bytes, column after column: what repeats stands together for the codecs."""
+    return b"".join(np.ascontiguousarray(spots[c]).tobytes() for c in _SPOTS.names)
+
+
+def _unpack(blobs):
+    """The spots of packed blobs, end to end."""
+    sizes = [len(b) // _SPOTS.itemsize for b in blobs]
+    out, done = np.empty(sum(sizes), _SPOTS), 0
+    for b, n in zip(blobs, sizes):
+        at = 0
+        for c in _SPOTS.names:
+            out[c][done:done + n] = np.frombuffer(b, _SPOTS[c], n, at)
+            at += n * _SPOTS[c].itemsize
+        done += n
+    return out
+
+
+def _pack_hashes(h):
+    """The upper six bytes of each hash: they choose candidates within a bucket only."""
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def _unpack_hashes(blobs):
+    six = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 6)
+    out = np.zeros((len(six), 8), np.uint8)
+    out[:, 2:] = six
+    return out.view("<u8").ravel()
 
 
 def _cut_by(keys, arrays):
@@ -146,12 +177,12 @@ def _find_anchors(df, id_col, text_col, buckets, chunks):
             kept.clear()
             here = _shared(h, spots)
             rows = [(b, -1, *x) for b, x in _cut_by((spots["id"][here] % chunks), [h[here], spots[here]])]
-            rows = [(c % buckets, c, None, s.tobytes()) for c, _, _, s in rows]
+            rows = [(c % buckets, c, None, _pack(s)) for c, _, _, s in rows]
             reps, at = np.unique(h[here], return_index=True)
             few = spots[here][at]
             few["at"] = -1
             h, spots = np.concatenate([h[~here], reps]), np.concatenate([spots[~here], few])
-            rows += [(b, None, x.tobytes(), s.tobytes()) for b, (x, s) in
+            rows += [(b, None, _pack_hashes(x), _pack(s)) for b, (x, s) in
                      _cut_by((h % np.uint64(buckets)).astype(np.int64), [h, spots])]
             for i in range(0, len(rows), 2000):
                 columns = zip(*rows[i:i + 2000])
@@ -184,10 +215,11 @@ def _resolve(chunks):
         rows = list(zip(whole["chunk"].to_pylist(), whole["spots"].to_pylist()))
         part = table.filter(pa.compute.is_null(table["chunk"]))
         if part.num_rows:
-            h = np.frombuffer(b"".join(part["hashes"].to_pylist()), "<u8")
-            spots = np.frombuffer(b"".join(part["spots"].to_pylist()), _SPOTS)
+            h = _unpack_hashes(part["hashes"].to_pylist())
+            spots = _unpack(part["spots"].to_pylist())
             good = _shared(h, spots) & (spots["at"] >= 0)
-            rows += [(c, s.tobytes()) for c, (s,) in _cut_by(spots["id"][good] % chunks, [spots[good]])]
+            spots = np.sort(spots[good], order=["id", "at"])
+            rows += [(c, _pack(s)) for c, (s,) in _cut_by(spots["id"] % chunks, [spots])]
         return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()),
                          "spots": pa.array([r[1] for r in rows], pa.binary())})
     return run
@@ -206,8 +238,7 @@ class _Chunk:
         batch = self.docs.combine_chunks().to_batches()
         texts = text_column(batch[0], text_col) if batch else pa.array([], pa.string())
         self.data, self.offsets = utf8_view(texts)
-        packed = b"".join(spots)
-        s = np.unique(np.frombuffer(packed, _SPOTS)) if packed else np.zeros(0, _SPOTS)
+        s = np.unique(_unpack(spots))
         lo, hi = np.searchsorted(self.ids, s["id"], "left"), np.searchsorted(self.ids, s["id"], "right")
         row = np.repeat(lo, hi - lo) + _ranges(hi - lo)  # rows that share an id each get its places
         s = s[np.repeat(np.arange(len(s)), hi - lo)]
@@ -311,10 +342,10 @@ def _fold(text_col, shards):
     return run
 
 
-def _window_classes(record, kind, key, least):
+def _window_classes(record, need, key, least):
     """Smallest id for each window of each variant: (variant, window, id), in order.
 
-    Variants are strings of their left bytes, a symbol for the core and their right
+    The variants are of one class, whose windows have ``need`` symbols. They are strings of their left bytes, a symbol for the core and their right
     bytes; windows are equal where their cores are (``key``) and the permuted common
     prefix reaches the window's length."""
     left, right = record[:, 0].astype(np.int64), record[:, 1].astype(np.int64)
@@ -332,10 +363,9 @@ def _window_classes(record, kind, key, least):
     text[is_right] = record[own[is_right], 2 + SIDE + after[is_right]].astype(np.int64) + 2
     sa = suffix_array(text, 258)
     plcp = permuted_lcp(text, sa, begin, ends - 1)
-    need = np.array(NEED)[kind]
     starts_window = at <= (size - 1 - need)[own]
     ordered = sa[starts_window[sa]]
-    same = plcp[ordered] >= need[own[ordered]]
+    same = plcp[ordered] >= need
     same[:1] = False
     group = np.cumsum(~same)
     order = np.lexsort((key[own[ordered]], group))
@@ -378,9 +408,11 @@ def _answer(table):
     windows = own["record"][:, 0].astype(np.int64) + own["record"][:, 1] + 2 - np.array(NEED)[own["kind"]]
     alone = np.flatnonzero(~several)
     runs = [(alone, np.zeros(len(alone), np.int64), windows[alone] - 1, least[alone])]
-    many = np.flatnonzero(several)
-    if len(many):
-        v, w, best = _window_classes(own["record"][many], own["kind"][many], key[many], least[many])
+    for kind, need in enumerate(NEED):
+        many = np.flatnonzero(several & (own["kind"] == kind))
+        if not len(many):
+            continue
+        v, w, best = _window_classes(own["record"][many], need, key[many], least[many])
         first = np.ones(len(v), bool)
         first[1:] = (v[1:] != v[:-1]) | (best[1:] != best[:-1])
         at = np.flatnonzero(first)
@@ -403,13 +435,24 @@ def _answer(table):
                      "answers": pa.array([r[1] for r in rows], pa.binary())})
 
 
-def _remove(names, text_col, shards):
-    """Cogrouped function of a chunk: its rows with what is left of the text."""
+def _whole_characters(data, gone):
+    """``gone`` without the bytes of characters that keep a byte."""
+    if not len(data):
+        return gone
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    return np.repeat(np.minimum.reduceat(gone, lead), np.diff(np.append(lead, len(data)))) > 0
+
+
+def _remove(names, text_col, shards, whole=False):
+    """Cogrouped function of a chunk: its rows with what is left of the text; ``whole``:
+    characters stay whole."""
     def run(key, docs, notes):
         spots = [x for x in notes["spots"].to_pylist() if x is not None]
         answers = [x for x in zip(notes["shard"].to_pylist(), notes["answers"].to_pylist()) if x[1] is not None]
         own = _Chunk(docs, spots, text_col, shards)
         gone = own.covered(answers) > 0
+        if whole:
+            gone = _whole_characters(own.data, gone)
         n_bytes, n_removed, n_spans, kept = [], [], [], []
         for a, b in zip(own.offsets[:-1], own.offsets[1:]):
             g = gone[a:b]
@@ -426,12 +469,13 @@ def _remove(names, text_col, shards):
     return run
 
 
-def remove_repeats(df, id_col="doc_id", text_col="text"):
+def remove_repeats(df, id_col="doc_id", text_col="text", whole_characters=False):
     """Every row of ``df`` with (n_bytes, n_removed, n_spans, kept, kept_sha256) in
     place of the text: ``kept`` is what is left of its UTF-8 bytes.
 
     Strings are judged on the input, matches never cross documents, overlaps
-    count. Null and empty texts have 0 bytes. Rows that share an id are one
+    count. Null and empty texts have 0 bytes. With ``whole_characters`` a character
+    goes only when all of its bytes do. Rows that share an id are one
     document to each other: they remove nothing from each other, but each loses
     what smaller ids hold. A null id comes after every other. Other columns pass
     through; those named like a result column are dropped, as is the text.
@@ -442,9 +486,8 @@ def remove_repeats(df, id_col="doc_id", text_col="text"):
     made = ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
     names = [c for c in df.columns if c != text_col and c not in made]
     size = df.select(F.sum(F.octet_length(text_col))).collect()[0][0] or 0
-    chunks = _prime(max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // CHUNK_BYTES))
-    shards = _prime(max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES))
-    buckets = _prime(max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES))
+    chunks, shards = _prime(size // CHUNK_BYTES), _prime(size // SHARD_BYTES)
+    buckets = shards
     found = _find_anchors(df, id_col, text_col, buckets, chunks)
     spots = s.cut(found.groupBy("bucket").applyInArrow(_resolve(chunks), "chunk long, spots binary"), "spots")
     rows = df.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)))
@@ -455,11 +498,19 @@ def remove_repeats(df, id_col="doc_id", text_col="text"):
     answers = s.cut(entries.groupBy("shard").applyInArrow(_answer, "chunk long, shard long, answers binary"), "answers")
     notes = (spots.select("chunk", "spots", F.lit(None).cast("long").alias("shard"), F.lit(None).cast("binary").alias("answers"))
              .unionByName(answers.select("chunk", F.lit(None).cast("binary").alias("spots"), "shard", "answers")))
-    schema = df.select(*names).schema
-    for name, kind in zip(made, ("long", "long", "long", "binary", "string")):
-        schema = schema.add(name, kind)
+    kinds = (T.LongType(), T.LongType(), T.LongType(), T.BinaryType(), T.StringType())
+    schema = T.StructType([*df.select(*names).schema.fields, *map(T.StructField, made, kinds)])
     rows = rows.select("__chunk", "__id", *dict.fromkeys([*names, text_col]))
     return (rows.groupBy("__chunk").cogroup(notes.groupBy("chunk"))
-            .applyInArrow(_remove(names, text_col, shards), schema))
+            .applyInArrow(_remove(names, text_col, shards, whole_characters), schema))
+
+
+def without_repeats(df, id_col="doc_id", text_col="text"):
+    """``df`` with its repeated passages taken out of ``text_col``: same rows and
+    columns. Characters stay whole, so the text is valid UTF-8; a null text stays null."""
+    marked = df.withColumn("__null", F.col(text_col).isNull())
+    out = remove_repeats(marked, id_col, text_col, whole_characters=True)
+    text = F.when(~F.col("__null"), F.col("kept").cast("string"))
+    return out.withColumn(text_col, text).select(*[F.col(c).cast(df.schema[c].dataType) for c in df.columns])
 
 
