@@ -35,7 +35,10 @@ def near_dedup(spark, docs, sf_dir):
     kept = minhash.near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id").distinct()
     rows = docs.join(kept, "doc_id", "left_semi")
     once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    return rows.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*docs.columns)
+    number = "__n"
+    while number in docs.columns:
+        number = f"_{number}"
+    return rows.withColumn(number, F.row_number().over(once)).where(F.col(number) == 1).select(*docs.columns)
 
 
 def substring_dedup_stage(spark, docs, sf_dir):

@@ -136,5 +136,5 @@ def remove(documents, benchmark, id_col="doc_id", text_col="text", **options):
     """``documents`` without the rows whose text holds a benchmark item."""
     bad = find(documents, benchmark, id_col, text_col, **options).select(
         F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"))
-    same = documents[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(documents[text_col]) == F.col("__hash"))
+    same = documents[id_col].eqNullSafe(bad["__id"]) & (F.xxhash64(documents[text_col]) == bad["__hash"])
     return documents.join(bad, same, "left_anti")

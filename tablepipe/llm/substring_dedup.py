@@ -443,13 +443,13 @@ def _whole_characters(data, gone):
     return np.repeat(np.minimum.reduceat(gone, lead), np.diff(np.append(lead, len(data)))) > 0
 
 
-def _remove(names, text_col, shards, whole=False):
+def _remove(shards, whole):
     """Cogrouped function of a chunk: its rows with what is left of the text; ``whole``:
     characters stay whole."""
     def run(key, docs, notes):
         spots = [x for x in notes["spots"].to_pylist() if x is not None]
         answers = [x for x in zip(notes["shard"].to_pylist(), notes["answers"].to_pylist()) if x[1] is not None]
-        own = _Chunk(docs, spots, text_col, shards)
+        own = _Chunk(docs, spots, "__text", shards)
         gone = own.covered(answers) > 0
         if whole:
             gone = _whole_characters(own.data, gone)
@@ -460,7 +460,7 @@ def _remove(names, text_col, shards, whole=False):
             n_removed.append(int(g.sum()))
             n_spans.append(int(g[:1].sum() + (g[1:] & ~g[:-1]).sum()))
             kept.append(own.data[a:b][~g].tobytes() if n_removed[-1] else own.data[a:b].tobytes())
-        out = own.docs.select(names)
+        out = own.docs.select(["__row", "__null"])
         for name, values, kind in (("n_bytes", n_bytes, pa.int64()), ("n_removed", n_removed, pa.int64()),
                                    ("n_spans", n_spans, pa.int64()), ("kept", kept, pa.binary()),
                                    ("kept_sha256", [hashlib.sha256(k).hexdigest() for k in kept], pa.string())):
@@ -469,48 +469,51 @@ def _remove(names, text_col, shards, whole=False):
     return run
 
 
-def remove_repeats(df, id_col="doc_id", text_col="text", whole_characters=False):
-    """Every row of ``df`` with (n_bytes, n_removed, n_spans, kept, kept_sha256) in
-    place of the text: ``kept`` is what is left of its UTF-8 bytes.
+_MADE = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept": T.BinaryType(),
+         "kept_sha256": T.StringType()}
 
-    Strings are judged on the input, matches never cross documents, overlaps
-    count. Null and empty texts have 0 bytes. With ``whole_characters`` a character
-    goes only when all of its bytes do. Rows that share an id are one
-    document to each other: they remove nothing from each other, but each loses
-    what smaller ids hold. A null id comes after every other. Other columns pass
-    through; those named like a result column are dropped, as is the text.
-    """
+
+def _removed(df, id_col, text_col, carried, whole):
+    """(__row, __null, results): ``carried`` columns of each row as a struct, whether its text is null."""
     spark = df.sparkSession
     prepare(spark)
     s = Scratch(spark, "repeats")
-    made = ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
-    names = [c for c in df.columns if c != text_col and c not in made]
     size = df.select(F.sum(F.octet_length(text_col))).collect()[0][0] or 0
     chunks, shards = _prime(size // CHUNK_BYTES), _prime(size // SHARD_BYTES)
-    buckets = shards
-    found = _find_anchors(df, id_col, text_col, buckets, chunks)
+    found = _find_anchors(df, id_col, text_col, shards, chunks)
     spots = s.cut(found.groupBy("bucket").applyInArrow(_resolve(chunks), "chunk long, spots binary"), "spots")
-    rows = df.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)))
-    rows = rows.withColumn("__chunk", F.pmod(F.col("__id"), F.lit(chunks).cast("long")))
-    slim = rows.select("__chunk", "__id", text_col)
-    entries = (slim.groupBy("__chunk").cogroup(spots.groupBy("chunk"))
-               .applyInArrow(_fold(text_col, shards), "shard long, chunk long, entries binary"))
+    ident = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
+    rows = df.select(F.pmod(ident, F.lit(chunks).cast("long")).alias("__chunk"), ident.alias("__id"),
+                     F.col(text_col).alias("__text"), F.col(text_col).isNull().alias("__null"),
+                     F.struct(F.lit(0).alias("__"), *[F.col(c) for c in carried]).alias("__row"))
+    entries = (rows.select("__chunk", "__id", "__text").groupBy("__chunk").cogroup(spots.groupBy("chunk"))
+               .applyInArrow(_fold("__text", shards), "shard long, chunk long, entries binary"))
     answers = s.cut(entries.groupBy("shard").applyInArrow(_answer, "chunk long, shard long, answers binary"), "answers")
     notes = (spots.select("chunk", "spots", F.lit(None).cast("long").alias("shard"), F.lit(None).cast("binary").alias("answers"))
              .unionByName(answers.select("chunk", F.lit(None).cast("binary").alias("spots"), "shard", "answers")))
-    kinds = (T.LongType(), T.LongType(), T.LongType(), T.BinaryType(), T.StringType())
-    schema = T.StructType([*df.select(*names).schema.fields, *map(T.StructField, made, kinds)])
-    rows = rows.select("__chunk", "__id", *dict.fromkeys([*names, text_col]))
-    return (rows.groupBy("__chunk").cogroup(notes.groupBy("chunk"))
-            .applyInArrow(_remove(names, text_col, shards, whole_characters), schema))
+    schema = T.StructType([rows.schema["__row"], rows.schema["__null"], *[T.StructField(k, v) for k, v in _MADE.items()]])
+    return rows.groupBy("__chunk").cogroup(notes.groupBy("chunk")).applyInArrow(_remove(shards, whole), schema)
+
+
+def remove_repeats(df, id_col="doc_id", text_col="text"):
+    """Every row of ``df`` with (n_bytes, n_removed, n_spans, kept, kept_sha256) in
+    place of the text: ``kept`` is what is left of its UTF-8 bytes.
+
+    Strings are judged on the input, matches never cross documents, overlaps
+    count. Null and empty texts have 0 bytes. Rows that share an id are one
+    document to each other: they remove nothing from each other, but each loses
+    what smaller ids hold. A null id comes after every other. Other columns pass
+    through; those named like a result column give way to it.
+    """
+    carried = [c for c in df.columns if c != text_col and c not in _MADE]
+    return _removed(df, id_col, text_col, carried, False).select(*[F.col("__row")[c].alias(c) for c in carried], *_MADE)
 
 
 def without_repeats(df, id_col="doc_id", text_col="text"):
     """``df`` with its repeated passages taken out of ``text_col``: same rows and
-    columns. Characters stay whole, so the text is valid UTF-8; a null text stays null."""
-    marked = df.withColumn("__null", F.col(text_col).isNull())
-    out = remove_repeats(marked, id_col, text_col, whole_characters=True)
+    columns. A character goes only when all of its bytes do, so the text is valid
+    UTF-8; a null text stays null."""
+    carried = [c for c in df.columns if c != text_col]
     text = F.when(~F.col("__null"), F.col("kept").cast("string"))
-    return out.withColumn(text_col, text).select(*[F.col(c).cast(df.schema[c].dataType) for c in df.columns])
-
-
+    return _removed(df, id_col, text_col, carried, True).select(
+        *[text.alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in df.columns])
