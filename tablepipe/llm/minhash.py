@@ -5,12 +5,14 @@
    ``BANDS`` band keys. Documents with equal sets are one node from here on.
 2. Nodes that share a band key are candidates. No bucket is expanded into pairs:
    every member is compared with the bucket's leader, members that turn out to be
-   linked to it leave the bucket, and the rest go on with a new leader. A bucket
-   whose members are all in one component is done. By the triangle inequality of
-   the Jaccard distance, a member linked to a leader can only be linked to
-   another one whose similarity to that leader is at least 2t - 1; those pairs
-   ("near") are compared too where they are in different components. So every
-   candidate link is found or implied.
+   linked to it leave the bucket, and the rest go on with new leaders (``LEADERS``,
+   twice as many each round, those of the bucket's rarest components first) that
+   they are compared with where the components differ. A bucket whose members are
+   all in one component is done. By the triangle inequality of the Jaccard
+   distance, a member linked to a leader can only be linked to another one whose
+   similarity to that leader is at least 2t - 1; those pairs ("near") are compared
+   too where they are in different components. So every candidate link is found or
+   implied.
 3. A pair's signatures are compared in batches of ``BATCH`` minima. After each
    batch it is given up where the posterior probability (uniform prior) of a
    similarity of at least t is under ``MISS``; survivors are verified exactly on
@@ -24,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepipe.llm import _words as W
@@ -34,9 +36,10 @@ from tablepipe.llm._text import long_column, map_arrow, slices, utf8_view
 HASHES, BANDS = 128, 32
 ROWS = HASHES // BANDS
 BATCH, MISS = 16, 1e-7
+LEADERS = 32
 _rng = np.random.default_rng(20240229)
-_A = _rng.integers(1, 2**63, HASHES, np.uint64) | np.uint64(1)
-_B = _rng.integers(0, 2**63, HASHES, np.uint64)
+_A = (_rng.integers(1, 2**32, HASHES, np.uint32, endpoint=False) | np.uint32(1))[:, None]
+_B = _rng.integers(0, 2**32, HASHES, np.uint32, endpoint=False)[:, None]
 BLOCK = 1 << 13
 
 
@@ -62,7 +65,9 @@ def shingle_sets(data, offsets, width):
         more = counts[short] > k
         whole[more] = W.mix(whole[more] + h[first[more] + k] + np.uint64(1))
     key, text = np.concatenate([key, whole]), np.concatenate([text, short])
-    order = np.lexsort((key, text))
+    order = np.argsort(key)
+    small = text[order].astype(np.uint16) if n < 2**16 else text[order]  # 16 bits sort by radix
+    order = order[np.argsort(small, kind="stable")]
     key, text = key[order], text[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
@@ -78,9 +83,10 @@ def signatures(key, first):
     if not len(full):
         return full, out
     set_of = np.repeat(np.arange(len(full)), sizes[full])
+    short = (key >> np.uint64(32)).astype(np.uint32)
     for i in range(0, len(key), BLOCK):  # bounded matrix; a set may span blocks
-        own, part = set_of[i:i + BLOCK], key[i:i + BLOCK]
-        hashed = ((part[None, :] * _A[:, None] + _B[:, None]) >> np.uint64(32)).astype(np.uint32)
+        own = set_of[i:i + BLOCK]
+        hashed = (short[None, i:i + BLOCK] ^ _B) * _A
         cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         rows = own[cuts]
         out[rows] = np.minimum(out[rows], np.minimum.reduceat(hashed, cuts, axis=1).T)
@@ -248,42 +254,49 @@ def near_duplicates(df, id_col="doc_id", text_col="text", width=5, percent=80):
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("__t"))
     sets = s.cut(_sets_of(source, wanted, width), "sets")
 
-    links, tested, log, round_no = None, None, None, 0
-    current, labels = members, None
-    while True:
-        leader = current.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-        star = s.cut(current.join(leader, "bucket").where("node != leader")
-                     .select("bucket", F.col("leader").alias("a"), F.col("node").alias("b")), f"star{round_no}")
-        pairs = star.select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        got = _tested(s, pairs, nodes, sets, percent, f"round{round_no}")
-        tested = got if tested is None else tested.unionAll(got)
-        links = tested.where("link").select("a", "b")
-        labels = components(s, links, f"comp{round_no}")
-        result = star.join(tested, ["a", "b"])
-        step = result.where("link or near").select("bucket", F.lit(round_no).alias("round"), "b", "link")
-        log = step if log is None else log.unionAll(step)
-        # members that are not linked to the leader, in buckets that still hold several components
-        rest = result.where("not link").select("bucket", F.col("b").alias("node"))
-        rest = rest.join(labels, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-        open_ = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
-        current = s.cut(rest.join(open_, "bucket").select("bucket", "node"), f"rest{round_no}")
+    # the first leader of each bucket takes most of it away
+    leader = members.groupBy("bucket").agg(F.min("node").alias("leader"))
+    star = s.cut(members.join(leader, "bucket").where("node != leader")
+                 .select("bucket", F.col("leader").alias("a"), F.col("node").alias("b"), F.col("node").alias("x"),
+                         F.col("leader").alias("l")), "star0")
+    tested = _tested(s, star.select("a", "b").distinct(), nodes, sets, percent, "round0")
+    labels = components(s, tested.where("link").select("a", "b"), "comp0")
+    comp = labels.select(F.col("node").alias("x"), "comp")
+    result = star.join(tested, ["a", "b"])
+    log = _log(result, 0)
+    rest = result.where("not link").select("bucket", "x").join(comp, "x", "left").select(
+        "bucket", "x", F.coalesce("comp", "x").alias("comp"))
+    round_no, current = 0, s.cut(_mixed(rest), "rest0")
+    while current.limit(1).count():
         round_no += 1
-        if not current.limit(1).count():
-            break
-    comp = labels.select(F.col("node").alias("b"), "comp")
-    log = log.join(comp, "b", "left").withColumn("comp", F.coalesce("comp", "b"))
-    one = log.where("link").select("bucket", "round", F.col("b").alias("x"), F.col("comp").alias("cx"))
-    two = log.where("not link").select("bucket", "round", F.col("b").alias("y"), F.col("comp").alias("cy"))
-    second = (one.join(two, ["bucket", "round"]).where("cx != cy")
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-              .join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+        rarity = current.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+        order = Window.partitionBy("bucket").orderBy("n", "x")
+        leaders = (current.join(rarity, ["bucket", "comp"]).withColumn("r", F.row_number().over(order))
+                   .where(F.col("r") <= LEADERS * 2 ** (round_no - 1))
+                   .select("bucket", F.col("x").alias("l"), F.col("comp").alias("comp_l")))
+        leaders = s.cut(leaders, f"leaders{round_no}")
+        star = s.cut(current.join(leaders, "bucket").where("comp != comp_l")
+                     .select("bucket", F.least("x", "l").alias("a"), F.greatest("x", "l").alias("b"), "x", "l"), f"star{round_no}")
+        pairs = star.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        tested = tested.unionAll(_tested(s, pairs, nodes, sets, percent, f"round{round_no}"))
+        result = star.join(tested, ["a", "b"])
+        log = log.unionAll(_log(result, round_no))
+        gone = result.where("link").select("bucket", "x").unionAll(leaders.select("bucket", F.col("l").alias("x")))
+        current = s.cut(_mixed(current.join(gone.distinct(), ["bucket", "x"], "left_anti")), f"rest{round_no}")
+    links = tested.where("link").select("a", "b")
+    if round_no:
+        labels = components(s, links, "comp1")
+        comp = labels.select(F.col("node").alias("x"), "comp")
+    log = log.join(comp, "x", "left").withColumn("comp", F.coalesce("comp", "x"))
+    one = log.where("link").select("bucket", "round", "l", F.col("x").alias("p"), F.col("comp").alias("cp"))
+    two = log.where("not link").select("bucket", "round", "l", F.col("x").alias("q"), F.col("comp").alias("cq"))
+    second = (one.join(two, ["bucket", "round", "l"]).where("cp != cq")
+              .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+              .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
     second = s.cut(second, "second")
     if second.limit(1).count():
-        more = _tested(s, second, nodes, sets, percent, "last")
-        links = links.unionAll(more.where("link").select("a", "b"))
-        labels = components(s, links, "complast")
+        links = links.unionAll(_tested(s, second, nodes, sets, percent, "last").where("link").select("a", "b"))
+        labels = components(s, links, "comp2")
     ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     by_node = (texts.join(labels, "node", "left").join(degree, "node", "left")
@@ -299,6 +312,17 @@ def near_duplicates(df, id_col="doc_id", text_col="text", width=5, percent=80):
                       F.coalesce("n_links", F.lit(0)).alias("n_links"), "group_node")
 
 
+def _mixed(members):
+    """Members (bucket, x, comp) of the buckets that hold several components."""
+    open_ = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
+    return members.join(open_, "bucket")
+
+
+def _log(result, round_no):
+    """What the triangle inequality needs of a round: members linked to or near a leader."""
+    return result.where("link or near").select("bucket", F.lit(round_no).alias("round"), "l", "x", "link")
+
+
 def _tested(s, pairs, nodes, sets, percent, tag):
     """(a, b, link, near) of candidate pairs: signatures first, survivors on full sets."""
     judged = s.cut(_judge(pairs, nodes.select("node", "sig"), percent / 100), f"{tag}-judged")
