@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablepipe.functions.text import parse_number
+from tablepipe.functions.text import parse_integer, parse_number, parsed_or_fail
 from tablepipe.functions.timeops import parse_ts
 from tablepipe.operators.contract import TableContract, check_contract, conform
 from tablepipe.operators.names import rename_snake
@@ -41,15 +41,18 @@ def reshape(raw: DataFrame, ts_format=None) -> DataFrame:
 
     Only the key is typed before the aggregation; measure values and
     timestamps are parsed after it, once per trip instead of once per
-    (trip, measure) row (a measure value is unique per trip, a repeat fails)."""
+    (trip, measure) row (a measure value is unique per trip, a repeat fails). A
+    trip id, measure value or time that holds text but does not parse fails the
+    load, and so does a measure that is not declared."""
     attrs = [c for c in raw.columns if c not in ("Trip ID", "Measure Names", "Measure Values", "__ord")]
-    keyed = raw.withColumn("Trip ID", parse_number(F.col("Trip ID")).cast("bigint"))
+    key = F.col("Trip ID")
+    keyed = raw.withColumn("Trip ID", parsed_or_fail(key, parse_integer(key), "Trip ID"))
     wide = measure_pivot(keyed, "Trip ID", "Measure Names", "Measure Values", MEASURES,
-                         attributes=attrs, order_by="__ord", on_duplicate="raise")
-    wide = wide.withColumns({
-        **{m: parse_number(F.col(f"`{m}`")) for m in MEASURES},
-        **{c: parse_ts(F.col(f"`{c}`"), ts_format or TIME_FORMATS) for c in TIME_COLUMNS if c in attrs},
-    })
+                         attributes=attrs, order_by="__ord", on_duplicate="raise",
+                         on_unknown="raise")
+    parsed = {m: parse_number(F.col(f"`{m}`")) for m in MEASURES}
+    parsed |= {c: parse_ts(F.col(f"`{c}`"), ts_format or TIME_FORMATS) for c in TIME_COLUMNS if c in attrs}
+    wide = wide.withColumns({c: parsed_or_fail(F.col(f"`{c}`"), v, c) for c, v in parsed.items()})
     return rename_snake(wide)
 
 
@@ -64,7 +67,7 @@ def run(spark: SparkSession, csv_path: str, target: str, snapshot_path: str | No
     loaded, then snapshot the whole table when a path is given."""
     trips = conform(reshape(read_trips(spark, csv_path), ts_format), BIKE_TRIPS)
     check_contract(trips, BIKE_TRIPS)
-    append_ignore_conflicts(trips, target, BIKE_TRIPS.keys, order_by=["trip_id"])
+    append_ignore_conflicts(trips, target, BIKE_TRIPS.keys, order_by=["trip_id"], batch_unique=True)
     if snapshot_path:
         tgt = spark.table(target) if "/" not in target else spark.read.parquet(target)
         write_snapshot(tgt, snapshot_path, skip_empty=False)

@@ -19,7 +19,7 @@ def extract(requests: DataFrame, as_of=None, months: int = 6, excluded: str = EX
                           col="requesttype", value=excluded)
 
 
-def run(spark: SparkSession, source: str, out_path: str, as_of=None, single_file: bool = True,
+def run(spark: SparkSession, source: str, out_path: str, as_of=None,
         excluded: str = EXCLUDED_TYPE) -> None:
     requests = spark.table(source) if "/" not in source else spark.read.parquet(source)
-    export_csv(extract(requests, as_of, excluded=excluded), out_path, single_file=single_file)
+    export_csv(extract(requests, as_of, excluded=excluded), out_path)

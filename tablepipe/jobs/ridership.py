@@ -21,8 +21,7 @@ from tablepipe.functions.text import contains_text
 from tablepipe.operators.combine import period_worklist
 from tablepipe.operators.contract import infer_types
 from tablepipe.operators.filters import exclude_keep_nulls, split_rejects
-from tablepipe.operators.sinks import write_snapshot, write_table
-from tablepipe.session import ensure_checkpoint_dir
+from tablepipe.operators.sinks import staged, write_snapshot, write_table
 from tablepipe.sources.html import html_options, html_rows
 
 # Element ids of the ridership form and result page.
@@ -33,8 +32,6 @@ TABLE_ID = "ContentPlaceHolder1_ASPxRoundPanel2_gvRidership"
 NOT_AVAILABLE = "Data not available yet"
 DAY_TYPE = "Day Type"
 TOTAL = "Total"
-# Width bound of the parsed tables (distinct header names collected to plan the columns).
-MAX_COLUMNS = 1000
 
 
 def form_options(form: DataFrame, html_col: str = "html"):
@@ -50,31 +47,45 @@ def worklist(spark: SparkSession, form: DataFrame, as_of=None) -> DataFrame:
     return period_worklist(years, lines, as_of=as_of or dt.date.today())
 
 
+def _distinct_names(keys):
+    """Header names that are distinct without regard to case and clash with no key:
+    a blank one is its place, a repeat gets ``.1``, ``.2`` as a table reader numbers them."""
+    named = F.transform("header", lambda h, i: F.when(F.trim(h) == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(h))
+    low = F.concat(F.array(*[F.lit(k.lower()) for k in keys]), F.transform(named, F.lower))
+
+    def number(h, i):
+        before = F.size(F.filter(F.slice(low, 1, i + len(keys)), lambda x: x == F.lower(h)))
+        return F.when(before > 0, F.concat(h, F.lit("."), before.cast("string"))).otherwise(h)
+
+    return F.transform(named, number)
+
+
 def parse_pages(pages: DataFrame, keys=("year", "month", "line")):
     """``(table, rejects)``: rows of every page's table with named columns, and
     the pages that said "not available" or had no table, with the reason."""
     keys = list(keys)
     ok, not_avail, _ = split_rejects(pages, contains_text("html", NOT_AVAILABLE))
-    rows = html_rows(ok, "html", TABLE_ID, keep=keys)
+    # parse once: everything below reads the written rows
+    rows = staged(html_rows(ok, "html", TABLE_ID, keep=keys))
     failed = rows.where(F.col("error").isNotNull()).select(*keys, F.col("error").alias("reason"))
-    rows = rows.where(F.col("error").isNull())
+    rows = rows.where(F.col("error").isNull()).withColumn("header", _distinct_names(keys))
+    no_day = rows.where((F.col("pos") == 0) & ~F.array_contains("header", DAY_TYPE)).select(
+        *keys, F.lit(f"no column {DAY_TYPE!r}").alias("reason"))
+    rows = rows.where(F.array_contains("header", DAY_TYPE))
     header = rows.where(F.col("pos") == 0).select("header")
     body = rows.where(F.col("pos") > 0)
     body = body.select(*keys, "pos", F.map_from_arrays(
         F.slice("header", 1, F.least(F.size("header"), F.size("cells"))),
         F.slice("cells", 1, F.least(F.size("header"), F.size("cells")))).alias("m"))
-    names = [r[0] for r in header.select(F.explode("header")).distinct().limit(MAX_COLUMNS + 1).collect()]
-    if len(names) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} distinct column names in the result tables")
+    # the output's columns: the tables' distinct header names
+    names = [r[0] for r in header.select(F.explode("header")).distinct().collect()]
     ordered = sorted(names, key=lambda n: (n != DAY_TYPE, n))
     blank_null = {n: F.nullif(F.trim(F.col("m")[n]), F.lit("")) for n in ordered}
     table = body.select(*keys, *[blank_null[n].alias(n) for n in ordered])
     if DAY_TYPE in ordered:
         table = exclude_keep_nulls(table, DAY_TYPE, TOTAL)
-    # parse once: the typing pass and the load both read the checkpoint
-    ensure_checkpoint_dir(table.sparkSession)
-    table = infer_types(table.checkpoint(), [n for n in ordered if n != DAY_TYPE])
-    rejects = not_avail.select(*keys, F.lit(NOT_AVAILABLE).alias("reason")).unionByName(failed)
+    table = infer_types(table, [n for n in ordered if n != DAY_TYPE])
+    rejects = not_avail.select(*keys, F.lit(NOT_AVAILABLE).alias("reason")).unionByName(failed).unionByName(no_day)
     return table, rejects
 
 

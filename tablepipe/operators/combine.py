@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 
 from tablepipe._util import as_col, as_list, require_columns
 
-# Distinct years a work list may span (a form's year options); more means a
-# malformed input.
-MAX_YEARS = 10_000
-
 
 def tag(df: DataFrame, **constants) -> DataFrame:
     """Add constant columns (e.g. year, month, line of a fetched piece)."""
@@ -60,23 +56,20 @@ def period_worklist(years: DataFrame, lines: DataFrame, as_of=None,
     and the current month onwards of the current year.
 
     ``years`` and ``lines`` are one-column frames of option values (text).
-    The distinct years are a calendar's worth of values: they are gathered
-    (refused above ``MAX_YEARS``) and each line row generates its periods with
-    ``explode`` - no join, no product operator; the output is spread like the
-    lines."""
+    Years are taken as integers from 1 to the year of ``as_of``, which bounds
+    them to a calendar's worth; they are gathered as one sorted array, and each
+    line row generates its periods from it - no join, no product operator; the
+    output is spread like the lines. Text like ``'02024'`` is the year 2024."""
     as_of = as_of or dt.date.today()
     if isinstance(as_of, str):
         as_of = dt.date.fromisoformat(as_of[:10])
-    y = F.col(year_col).cast("string")
-    yi = y.try_cast("int")
-    valid = (years.select(y.alias("year"), yi.alias("y")).where(F.col("y").isNotNull() & (F.col("y") <= as_of.year))
-             .distinct().limit(MAX_YEARS + 1).collect())
-    if len(valid) > MAX_YEARS:
-        raise ValueError(f"more than {MAX_YEARS} distinct years in the work list")
-    periods = [(r.year, m) for r in sorted(valid, key=lambda r: (r.y, r.year))
-               for m in range(1, 13) if r.y < as_of.year or m < as_of.month]
-    if not periods:
-        return lines.sparkSession.createDataFrame([], "year string, month string, line string")
-    arr = F.array(*[F.struct(F.lit(yr).alias("year"), F.lit(str(m)).alias("month")) for yr, m in periods])
+    y = F.col(year_col).cast("string").try_cast("int")
+    valid = sorted(r[0] for r in years.select(y.alias("y")).where(F.col("y").between(1, as_of.year)).distinct().collect())
     ln = lines.select(F.col(line_col).cast("string").alias("line")).distinct()
-    return ln.select(F.inline(arr), "line")
+    if not valid:
+        return ln.select(F.lit("").alias("year"), F.lit("").alias("month"), "line").limit(0)
+    periods = ln.select("line", F.explode(F.array(*map(F.lit, valid))).alias("y"))
+    last = F.when(F.col("y") < as_of.year, F.lit(12)).otherwise(F.lit(as_of.month - 1))
+    months = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    months = F.transform(months, lambda m: m.cast("string"))
+    return periods.select(F.col("y").cast("string").alias("year"), F.explode(months).alias("month"), "line")

@@ -188,8 +188,8 @@ def map_types(columns: DataFrame, warehouse: str, varchar_len=None,
 
 
 def unknown_types(mapped: DataFrame, type_col: str = "data_type") -> list[str]:
-    """Distinct portal types that have no SQL type (bounded by the type vocabulary)."""
-    rows = mapped.where(F.col("sql_type").isNull()).select(type_col).distinct().limit(1000).collect()
+    """Distinct portal types that have no SQL type (all of them: one dataset's columns are the bound)."""
+    rows = mapped.where(F.col("sql_type").isNull()).select(type_col).distinct().collect()
     return sorted(str(r[0]) for r in rows)
 
 

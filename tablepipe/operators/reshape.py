@@ -47,7 +47,7 @@ def _all_not_null(keys) -> Column:
 
 def measure_pivot(df: DataFrame, keys, name_col: str, value_col: str, measures,
                   attributes=(), order_by=None, on_duplicate: str = "raise",
-                  names: dict | None = None) -> DataFrame:
+                  names: dict | None = None, on_unknown: str = "ignore") -> DataFrame:
     """One row per key from one row per (key, measure).
 
     * ``measures`` is the declared list of measure names (no extra job to find
@@ -58,9 +58,13 @@ def measure_pivot(df: DataFrame, keys, name_col: str, value_col: str, measures,
       repeats, as a pandas pivot does; ``'first'`` keeps the first by
       ``order_by``.
     * ``names`` maps a measure to its output column name (default: itself).
+    * ``on_unknown='raise'`` fails the query on a value under a measure that is
+      not declared (counted in the same aggregate); ``'ignore'`` leaves it out.
     """
     if on_duplicate not in ("raise", "first"):
         raise ValueError("on_duplicate must be 'raise' or 'first'")
+    if on_unknown not in ("raise", "ignore"):
+        raise ValueError("on_unknown must be 'raise' or 'ignore'")
     keys, measures, attributes = as_list(keys), as_list(measures), as_list(attributes)
     require_columns(df, keys + [name_col, value_col] + attributes)
     names = names or {}
@@ -84,6 +88,12 @@ def measure_pivot(df: DataFrame, keys, name_col: str, value_col: str, measures,
             msg = F.concat(F.lit(f"duplicate (key, measure) for measure {m!r} at key "),
                            F.to_json(F.struct(*[F.col(k) for k in keys])))
             finals.append(F.when(F.col(n) > 1, F.raise_error(msg)).otherwise(F.col(v)).alias(out))
+    if on_unknown == "raise":
+        stranger = F.when(~F.coalesce(name.isin(measures), F.lit(False)) & value.isNotNull(), F.coalesce(name, F.lit("null")))
+        aggs.append(F.max(stranger).alias("__stranger"))
+        first = finals[0]
+        finals[0] = F.when(F.col("__stranger").isNotNull(), F.raise_error(F.concat(
+            F.lit("undeclared measure: "), F.col("__stranger")))).otherwise(first).alias(keys[0])
     grouped = df.where(_all_not_null(keys)).groupBy(*keys).agg(*aggs)
     return grouped.select(*finals)
 

@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 
 from tablepipe._util import as_list, order_columns, require_columns
 
-# A single output file is written by one task; refuse it above this many rows
-# (checked by a count) instead of funnelling a large table through one task.
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
 
 def _all_keys_present(keys) -> Column:
     cond = F.lit(True)
@@ -57,16 +53,20 @@ def dedup_first(df: DataFrame, keys, order_by) -> DataFrame:
     return first.unionByName(df.where(~present))
 
 
-def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by) -> DataFrame:
+def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by, batch_unique: bool = False) -> DataFrame:
     """Rows an ``INSERT ... ON CONFLICT DO NOTHING`` of ``batch`` adds to ``target``.
 
     Existing rows win; within the batch the first row by ``order_by`` wins;
     rows with a null key always insert. The batch is shuffled once by key
     (dedup), the anti join reuses that partitioning, and only the key columns
-    of the target are read."""
+    of the target are read. ``batch_unique`` says that the batch has one row per
+    key and no null key (an aggregate by the key): it is read once, without the
+    choice of a first row."""
     keys = as_list(keys)
     require_columns(batch, keys)
     require_columns(target, keys, "target column")
+    if batch_unique:
+        return batch.join(target.select(*keys).where(_all_keys_present(keys)), on=keys, how="left_anti")
     order = order_columns(order_by)
     if not order:
         raise ValueError("order_by is required to decide which duplicate comes first")
@@ -79,38 +79,33 @@ def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by) -> DataF
     return fresh.unionByName(batch.where(~present))
 
 
-# Most partition values of a batch used to prune the target scan.
-MAX_PRUNE_VALUES = 10_000
-
-
 def plan_append(batch: DataFrame, target: str, keys, order_by, fmt: str = "parquet",
-                partition_col: str | None = None) -> DataFrame:
+                partition_col: str | None = None, batch_unique: bool = False) -> DataFrame:
     """The rows :func:`append_ignore_conflicts` would write (lazy, nothing
     written).
 
     ``partition_col``: a key column the target is partitioned by (e.g. a
-    service date). The target scan is then cut to the partition values that
-    occur in the batch (a bounded, distinct list), so a daily batch reads one
-    day of a years-long table."""
+    service date). The target scan is then cut to the range of partition
+    values in the batch (one aggregate of two values, pushed to the target's
+    partitions), so a daily batch reads one day of a years-long table."""
     spark = batch.sparkSession
     tgt = _read_target(spark, target, fmt, like=batch)
     if partition_col is not None:
         if partition_col not in as_list(keys):
             raise ValueError("partition_col must be one of the keys")
-        vals = [r[0] for r in batch.select(partition_col).where(F.col(partition_col).isNotNull())
-                .distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
-        if len(vals) <= MAX_PRUNE_VALUES:
-            tgt = tgt.where(F.col(partition_col).isin(vals))
-    return rows_to_append(batch, tgt, keys, order_by).select(*tgt.columns)
+        lo, hi = batch.agg(F.min(partition_col), F.max(partition_col)).first()
+        tgt = tgt.where(F.col(partition_col).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False))
+    return rows_to_append(batch, tgt, keys, order_by, batch_unique).select(*tgt.columns)
 
 
 def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
-                            fmt: str = "parquet", partition_col: str | None = None) -> None:
+                            fmt: str = "parquet", partition_col: str | None = None,
+                            batch_unique: bool = False) -> None:
     """Append the non-conflicting rows of ``batch`` to a table or path.
     Running it twice appends nothing the second time for non-null keys. (To
     inspect the rows first, use :func:`plan_append`; re-evaluating it after
     the write would compare against the updated target.)"""
-    add = plan_append(batch, target, keys, order_by, fmt, partition_col)
+    add = plan_append(batch, target, keys, order_by, fmt, partition_col, batch_unique)
     if _is_path(target):
         w = add.write.mode("append").format(fmt)
         if partition_col is not None:  # keep the target's layout
@@ -132,7 +127,7 @@ def check_unique(df: DataFrame, keys, allow_null: bool = False) -> None:
                         F.sum(F.when(~present, F.col("n"))).alias("null_rows")).first()
     if (stats["max_n"] or 0) > 1:
         sample = per_key.where(present & (F.col("n") > 1)).limit(5).collect()
-        raise ValueError(f"duplicate key {keys}: {[tuple(r) for r in sample]}")
+        raise ValueError(f"duplicate key {keys}, the first {len(sample)}: {[tuple(r) for r in sample]}")
     if not allow_null and (stats["null_rows"] or 0) > 0:
         raise ValueError(f"null in key {keys}: {stats['null_rows']} rows")
 
@@ -162,11 +157,51 @@ def truncate_and_load(df: DataFrame, target: str, contract=None, keys=None,
     if contract is not None:
         df = df.select(*contract.names)  # order helpers are not written
     if _is_path(target):
-        df.write.mode("overwrite").format(fmt).save(target)
+        replace_path(df, target, fmt)
     else:
         spark = df.sparkSession
         cols = spark.table(target).columns
-        df.select(*cols).write.insertInto(target, overwrite=True)
+        staged(df.select(*cols)).write.insertInto(target, overwrite=True)
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm.org.apache.hadoop.fs.Path
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to a fresh path in the shared folder and read back: whatever
+    can fail in computing it has failed before a target is touched."""
+    from tablepipe.session import scratch_path
+
+    path = scratch_path(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def replace_path(df: DataFrame, target: str, fmt: str = "parquet", **options) -> None:
+    """Replace the data at a path: write beside it, then swap by two renames. A
+    load that fails leaves the old data as it was; the old data goes last."""
+    import uuid
+
+    spark, tag = df.sparkSession, uuid.uuid4().hex[:12]
+    base = target.rstrip("/")
+    new, old = f"{base}.__new-{tag}", f"{base}.__old-{tag}"
+    fs, at, path_of = _fs(spark, base)
+    try:
+        df.write.format(fmt).options(**options).save(new)
+    except Exception:
+        fs.delete(path_of(new), True)
+        raise
+    if fs.exists(at) and not fs.rename(at, path_of(old)):
+        fs.delete(path_of(new), True)
+        raise OSError(f"cannot move {base} aside")
+    if not fs.rename(path_of(new), at):
+        fs.rename(path_of(old), at)
+        raise OSError(f"cannot move the new data to {base}")
+    fs.delete(path_of(old), True)
 
 
 def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None,
@@ -187,26 +222,17 @@ def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None,
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
         df = df.repartition(F.col(partition_col), salt)
     w = df.write.mode("overwrite").format(fmt)
-    if partition_col:
-        w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")
-    w.save(path)
+    if partition_col:  # Spark's committer swaps the partitions once all tasks are done
+        w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic").save(path)
+    else:
+        replace_path(df, path, fmt)
     return True
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False,
-               max_single_rows: int = SINGLE_FILE_MAX_ROWS) -> None:
-    """CSV with a header line and no index column, replacing ``path``.
-
-    Part files are written in parallel. ``single_file`` funnels the rows
-    through one task, so it is refused above ``max_single_rows``."""
-    out = df
-    if single_file:
-        n = df.count()
-        if n > max_single_rows:
-            raise ValueError(f"{n} rows is too many for one file (limit {max_single_rows})")
-        out = df.coalesce(1)
-    (out.write.mode("overwrite").option("header", True)
-     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
+def export_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header line in every part file and no index column, replacing
+    ``path`` once all parts are written. Parts are written in parallel."""
+    replace_path(df, path, "csv", header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]")
 
 
 def write_table(df: DataFrame, table: str, contract=None, existing: str = "drop",
@@ -221,10 +247,10 @@ def write_table(df: DataFrame, table: str, contract=None, existing: str = "drop"
     if contract is not None:
         df = conform(df, contract)
     if existing == "drop":
-        df.write.mode("overwrite").saveAsTable(table)
+        staged(df).write.mode("overwrite").saveAsTable(table)
     elif existing == "truncate":
         cols = df.sparkSession.table(table).columns
-        df.select(*cols).write.insertInto(table, overwrite=True)
+        staged(df.select(*cols)).write.insertInto(table, overwrite=True)
     elif existing == "append":
         cols = df.sparkSession.table(table).columns
         df.select(*cols).write.insertInto(table)

@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from tablepipe.plans import catalog, ingest, job_runs, rows, schema, shape, stream, writes  # noqa: F401
+from tablepipe.plans import catalog, dirty, ingest, job_runs, rows, schema, shape, stream, writes  # noqa: F401
 from tablepipe.plans._base import REGISTRY, table
 
 

@@ -18,8 +18,7 @@ from tablepipe.session import scratch_path
 _STATION = "lpad(CAST({c} AS VARCHAR), 6, '0')"
 
 
-@query("bike_trips_job",
-       "SELECT o_orderkey AS trip_id, o_orderstatus AS bike_type, o_orderdate AS end_datetime, "
+_BIKE_SQL = ("SELECT o_orderkey AS trip_id, o_orderstatus AS bike_type, o_orderdate AS end_datetime, "
        f"{_STATION.format(c='o_custkey % 997')} AS end_station, o_orderpriority AS end_station_name, "
        "'G' AS name_group, CAST(NULL AS VARCHAR) AS optional_kiosk_id_group, o_orderdate AS start_datetime, "
        f"{_STATION.format(c='o_custkey')} AS start_station, o_orderpriority AS start_station_name, "
@@ -27,7 +26,10 @@ _STATION = "lpad(CAST({c} AS VARCHAR), 6, '0')"
        "CAST(o_custkey AS DOUBLE) AS duration, "
        "CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS DOUBLE) / 4 END AS est_calories, "
        "CAST(NULL AS DOUBLE) AS est_carbon_offset FROM orders")
-def q_bike_trips_job(spark, sf):
+
+
+def _bike_export(spark, sf):
+    """The dashboard export as a CSV path."""
     o = table(spark, sf, "orders")
     when = us_datetime_text("o_orderdate")
     station = lambda c: F.lpad(c.cast("string"), 6, "0")
@@ -49,11 +51,25 @@ def q_bike_trips_job(spark, sf):
         F.col("m").alias("Measure Names"), F.col("v").alias("Measure Values"))
     csv = scratch_path(spark, "bike_export")
     export.write.option("header", True).csv(csv)
+    return csv
+
+
+@query("bike_trips_job", _BIKE_SQL)
+def q_bike_trips_job(spark, sf):
     target = scratch_path(spark, "bike_trips")
-    bike_trips.run(spark, csv, target)
+    bike_trips.run(spark, _bike_export(spark, sf), target)
     return spark.read.parquet(target)
 
 
+@query("bike_trips_migrate", _BIKE_SQL)
+def q_bike_trips_migrate(spark, sf):
+    """A new table loaded from the snapshot of the job's table."""
+    target, snapshot, moved = (scratch_path(spark, f"bike_{x}") for x in ("trips", "snapshot", "moved"))
+    bike_trips.run(spark, _bike_export(spark, sf), target, snapshot_path=snapshot)
+    bike_trips.migrate(spark, snapshot, moved)
+    return spark.read.parquet(moved)
+
+
 _STOP_SQL = (
     "SELECT event_id % 40 AS arrival_passengers, ts AS arrive, value AS arrive_variance, "
     "'/blocks/' || user_id AS block_href, ts AS depart, -value AS depart_variance, "

@@ -58,7 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
-    # Unset: only happens in local tests.
+    master = sc.master if sc is not None else "connect"
+    if not master.split("[")[0].split(":")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    # Unset on a local master: one machine, as in tests.
     local = tempfile.mkdtemp(prefix="tablepipe-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     if sc is not None:

@@ -27,71 +27,118 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
          "param", "source", "track", "wbr"}
 
 
+# An element of the key is closed by the start of one of its values
+# (end tags that HTML lets authors leave out), up to the nearest boundary.
+_CLOSED_BY = {"td": {"td", "th", "tr", "tbody", "thead", "tfoot"}, "th": {"td", "th", "tr", "tbody", "thead", "tfoot"},
+              "tr": {"tr", "tbody", "thead", "tfoot"}, "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"},
+              "li": {"li"}, "option": {"option", "optgroup"}, "optgroup": {"optgroup"},
+              "p": {"p", "div", "table", "ul", "ol", "form", "h1", "h2", "h3", "h4", "pre"}}
+_BOUNDARY = {"td": "table", "th": "table", "tr": "table", "thead": "table", "tbody": "table", "li": ("ul", "ol"),
+             "option": "select", "optgroup": "select", "p": ("td", "th", "li")}
+
+
 class _Scoped(HTMLParser):
-    """Tracks whether the parser is inside the first element with ``element_id``
-    (the whole document when the id is None)."""
+    """Keeps the stack of open elements and knows whether the parser is inside the
+    first element with ``element_id`` (the whole document when the id is None)."""
 
     def __init__(self, element_id):
         super().__init__(convert_charrefs=True)
-        self.element_id = element_id
-        self.depth = 0 if element_id is None else None  # None: not entered yet
-        self.found = element_id is None
-        self.done = False
-
-    def _enter(self, tag, attrs):
-        if self.done:
-            return False
-        if self.depth is None:
-            if dict(attrs).get("id") == self.element_id:
-                self.found = True
-                self.depth = 0 if tag in _VOID else 1
-                return True
-            return False
-        if tag not in _VOID:
-            self.depth += 1
-        return True
-
-    def _leave(self, tag):
-        if self.depth is None or self.done or tag in _VOID:
-            return False
-        if self.element_id is not None:
-            self.depth -= 1
-            if self.depth <= 0:
-                self.done = True
-                return False
-        return True
+        self.element_id, self.stack = element_id, []
+        self.scope = 0 if element_id is None else None  # stack height inside the element
+        self.found, self.done = element_id is None, False
 
     @property
     def inside(self):
-        return self.found and not self.done and (self.depth is not None)
+        return self.scope is not None and not self.done
 
+    def opened(self, tag, attrs):
+        """An element inside the scope starts (already on the stack)."""
 
-class RowParser(_Scoped):
-    def __init__(self, element_id, row_tag="tr", cell_tags=("td", "th")):
-        super().__init__(element_id)
-        self.row_tag, self.cell_tags = row_tag, tuple(cell_tags)
-        self.rows, self.row, self.cell, self.row_text = [], None, None, None
+    def closed(self, tag):
+        """An element inside the scope ends (already off the stack)."""
+
+    def _pop(self):
+        tag = self.stack.pop()
+        if self.inside:
+            if self.element_id is not None and len(self.stack) < self.scope:
+                self.done = True
+            self.closed(tag)
+
+    def _imply_ends(self, tag):
+        """Close the elements that the start of ``tag`` ends."""
+        while True:
+            for depth in range(len(self.stack) - 1, -1, -1):
+                own = self.stack[depth]
+                if tag in _CLOSED_BY.get(own, ()):
+                    while len(self.stack) > depth:
+                        self._pop()
+                    break
+                if own in ("table", "select", "ul", "ol"):
+                    return
+            else:
+                return
 
     def handle_starttag(self, tag, attrs):
-        if not self._enter(tag, attrs) or not self.inside:
+        self._imply_ends(tag)
+        enters = self.scope is None and dict(attrs).get("id") == self.element_id
+        if tag in _VOID:
+            if enters:
+                self.found, self.scope, self.done = True, 0, True
+            elif self.inside:
+                self.opened(tag, attrs)
             return
-        if tag == self.row_tag:
-            self.row, self.row_text = [], []
-        elif self.row is not None and tag in self.cell_tags:
-            self.cell = []
+        self.stack.append(tag)
+        if enters:
+            self.found, self.scope = True, len(self.stack)
+        elif self.inside:
+            self.opened(tag, attrs)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        inside = self.inside
-        self._leave(tag)
-        if not inside:
+        if tag not in self.stack:
             return
-        if tag in self.cell_tags and self.cell is not None and self.row is not None:
-            self.row.append(" ".join("".join(self.cell).split()))
+        depth = len(self.stack) - 1 - self.stack[::-1].index(tag)
+        stop = _BOUNDARY.get(tag, ())
+        if any(t in stop if isinstance(stop, tuple) else t == stop for t in self.stack[depth + 1:]):
+            return  # an end tag does not reach out of a nested table or list
+        while len(self.stack) > depth:
+            self._pop()
+
+    def close(self):
+        super().close()
+        while self.stack:
+            self._pop()
+
+
+class RowParser(_Scoped):
+    """Rows of the first table (or list) in the scope; nested tables are text of their
+    cell, a cell spanning columns is repeated for each."""
+
+    def __init__(self, element_id, row_tag="tr", cell_tags=("td", "th")):
+        super().__init__(element_id)
+        self.row_tag, self.cell_tags = row_tag, tuple(cell_tags)
+        self.rows, self.row, self.row_text, self.row_depth = [], None, None, None
+        self.cell, self.cell_depth, self.span = None, None, 1
+
+    def opened(self, tag, attrs):
+        if tag == self.row_tag and self.row is None:
+            self.row, self.row_text, self.row_depth = [], [], len(self.stack)
+        elif self.row is not None and self.cell is None and tag in self.cell_tags:
+            self.cell, self.cell_depth = [], len(self.stack)
+            span = dict(attrs).get("colspan") or "1"
+            self.span = min(1000, max(1, int(span))) if span.isdigit() else 1
+
+    def closed(self, tag):
+        height = len(self.stack) + 1
+        if self.cell is not None and height == self.cell_depth:
+            self.row += [" ".join("".join(self.cell).split())] * self.span
             self.cell = None
-        elif tag == self.row_tag and self.row is not None:
-            if not self.cell_tags or not self.row:
-                self.row = ["".join(self.row_text).strip()] if not self.row else self.row
-            self.rows.append(self.row)
+        elif self.row is not None and height == self.row_depth:
+            self.rows.append(self.row or ["".join(self.row_text).strip()])
             self.row, self.row_text = None, None
 
     def handle_data(self, data):
@@ -108,18 +155,10 @@ class OptionParser(_Scoped):
         super().__init__(element_id)
         self.tag, self.attr, self.values = tag, attr, []
 
-    def handle_starttag(self, tag, attrs):
-        if self._enter(tag, attrs) and self.inside and tag == self.tag:
+    def opened(self, tag, attrs):
+        if tag == self.tag:
             self.values.append(dict(attrs).get(self.attr))
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self._leave(tag)
-
-    def handle_endtag(self, tag):
-        self._leave(tag)
-
 
 def parse_rows(html, element_id=None, row_tag="tr", cell_tags=("td", "th")):
     """Python form of ``html_rows`` (used by the UDTF and by tests)."""
@@ -166,32 +205,26 @@ class HtmlOptions:
             yield i, v, None
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Parsing is CPU-bound Python: when the input has fewer partitions than
-    the cluster has cores (a few small files), spread its rows round-robin.
-    Large inputs already have more partitions and are left as they are."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
-    except Exception:  # no SparkContext (Connect): keep the input layout
-        pass
-    return df
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Parsing is CPU-bound Python: a few small files that arrive in fewer
+    partitions than the cluster has cores can be dealt to ``partitions``
+    round-robin; None keeps the input's layout."""
+    return df.repartition(partitions) if partitions else df
 
 
 def html_rows(df: DataFrame, html_col: str, element_id=None, row_tag: str = "tr",
-              cell_tags: str = "td,th", keep=()) -> DataFrame:
+              cell_tags: str = "td,th", keep=(), partitions: int | None = None) -> DataFrame:
     """Lateral UDTF: the kept columns of ``df`` x ``(pos, cells, header, error)``."""
     ship_package(df.sparkSession)
-    df = spread(df.select(*keep, html_col))
+    df = spread(df.select(*keep, html_col), partitions)
     args = [F.col(html_col).outer(), F.lit(element_id).cast("string"), F.lit(row_tag), F.lit(cell_tags)]
     return df.select(*keep, html_col).lateralJoin(HtmlRows(*args)).drop(html_col)
 
 
 def html_options(df: DataFrame, html_col: str, element_id=None, tag: str = "option",
-                 attr: str = "value", keep=()) -> DataFrame:
+                 attr: str = "value", keep=(), partitions: int | None = None) -> DataFrame:
     ship_package(df.sparkSession)
-    df = spread(df.select(*keep, html_col))
+    df = spread(df.select(*keep, html_col), partitions)
     args = [F.col(html_col).outer(), F.lit(element_id).cast("string"), F.lit(tag), F.lit(attr)]
     return df.select(*keep, html_col).lateralJoin(HtmlOptions(*args)).drop(html_col)
 

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablepipe.functions.text import parse_number
+from tablepipe.functions.text import is_bad, parse_integer, parse_number, parsed_or_fail
 from tablepipe.functions.timeops import parse_ts
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_INTEGER = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NUMERIC = (T.FloatType, T.DoubleType)
 
 
 def _as_struct(schema) -> T.StructType:
@@ -25,12 +26,19 @@ def _as_struct(schema) -> T.StructType:
 
 def read_typed_csv(spark: SparkSession, path, types: dict | None = None,
                    ts_formats: dict | None = None, thousands: str = ",",
-                   order_col: str | None = None, **options) -> DataFrame:
+                   order_col: str | None = None, on_bad: str = "fail",
+                   bad_col: str = "__bad", **options) -> DataFrame:
     """CSV with a header; every column arrives as text, then the columns in
     ``types`` (header name -> Spark type) are typed: numbers through
     :func:`parse_number`, timestamps through ``ts_formats`` (or ISO), anything
     else by a safe cast. Unlisted columns stay text. ``order_col`` adds the
-    arrival order (file, split, position) for "first row wins" rules."""
+    arrival order (file, split, position) for "first row wins" rules.
+
+    ``on_bad`` says what a cell with text that does not parse does: ``fail`` the
+    query (the default), or ``flag`` it: the value is null and ``bad_col`` lists
+    the names of the row's bad columns, for a rejects output."""
+    if on_bad not in ("fail", "flag"):
+        raise ValueError("on_bad must be 'fail' or 'flag'")
     raw = (spark.read.option("header", True).option("inferSchema", False)
            .options(**options).csv(path))
     if order_col:
@@ -44,9 +52,10 @@ def read_typed_csv(spark: SparkSession, path, types: dict | None = None,
     out = {}
     for c, t in types.items():
         dt = T._parse_datatype_string(t) if isinstance(t, str) else t
-        if isinstance(dt, _NUMERIC):
-            v = parse_number(F.col(f"`{c}`"), thousands=thousands)
-            out[c] = v if isinstance(dt, T.DoubleType) else v.try_cast(dt)
+        if isinstance(dt, _INTEGER) or isinstance(dt, T.DecimalType):
+            out[c] = parse_integer(F.col(f"`{c}`"), dt.simpleString(), thousands)
+        elif isinstance(dt, _NUMERIC):
+            out[c] = parse_number(F.col(f"`{c}`"), thousands=thousands).try_cast(dt)
         elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
             out[c] = parse_ts(F.col(f"`{c}`"), ts_formats.get(c)).cast(dt)
         elif isinstance(dt, T.StringType):
@@ -56,7 +65,10 @@ def read_typed_csv(spark: SparkSession, path, types: dict | None = None,
     for c, fmt in ts_formats.items():
         if c not in types:
             out[c] = parse_ts(F.col(f"`{c}`"), fmt)
-    return raw.withColumns(out) if out else raw
+    if on_bad == "flag":
+        bad = [F.when(is_bad(F.col(f"`{c}`"), v), F.lit(c)) for c, v in out.items()]
+        return raw.withColumns({**out, bad_col: F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")})
+    return raw.withColumns({c: parsed_or_fail(F.col(f"`{c}`"), v, c) for c, v in out.items()}) if out else raw
 
 
 def read_typed_json(spark: SparkSession, path, schema, multi_line: bool = True,
@@ -64,9 +76,13 @@ def read_typed_json(spark: SparkSession, path, schema, multi_line: bool = True,
     """JSON with a declared schema: a JSON array file (``multi_line``) or JSON
     lines. A number read into a string column keeps its text (``12`` ->
     ``'12'``); a missing field is null. An array file is read by one task per
-    file, so large exports should be JSON lines."""
+    file, so large exports should be JSON lines.
+
+    A record that is no JSON, or a value that does not fit its type, fails the
+    query. With ``mode="PERMISSIVE"`` and a ``_corrupt_record string`` column in
+    the schema such records are kept there, for a rejects output."""
     df = (spark.read.schema(_as_struct(schema)).option("multiLine", multi_line)
-          .options(**options).json(path))
+          .options(**{"mode": "FAILFAST", **options}).json(path))
     if order_col:
         from tablepipe.operators.sinks import with_file_order
 

