@@ -1,22 +1,19 @@
 """MinHash near-duplicate groups with sequential Bayesian verification.
 
 1. One pass over the texts gives each document the set of its word shingles (as
-   64-bit hashes), a 128-bit fingerprint of the set, ``HASHES`` minima and
-   ``BANDS`` band keys. Documents with equal sets are one node from here on.
-2. Nodes that share a band key are candidates. No bucket is expanded into pairs:
-   every member is compared with the bucket's leader, members that turn out to be
-   linked to it leave the bucket, and the rest go on with new leaders (``LEADERS``,
-   twice as many each round, those of the bucket's rarest components first) that
-   they are compared with where the components differ. A bucket whose members are
-   all in one component is done. By the triangle inequality of the Jaccard
-   distance, a member linked to a leader can only be linked to another one whose
-   similarity to that leader is at least 2t - 1; those pairs ("near") are compared
-   too where they are in different components. So every candidate link is found or
-   implied.
-3. A pair's signatures are compared in batches of ``BATCH`` minima. After each
-   batch it is given up where the posterior probability (uniform prior) of a
-   similarity of at least t is under ``MISS``; survivors are verified exactly on
-   their full sets.
+   64-bit hashes), a 128-bit fingerprint of the set, ``HASHES`` minima and band
+   keys of as many minima as ``band_rows`` allows. Documents with equal sets are one node from here on.
+2. Nodes that share a band key are candidates. Every member of a bucket is first
+   compared with the bucket's leader; the links found make components, and a
+   bucket whose members are all in one component is done. In the others only
+   pairs across components can still matter: the members outside the bucket's
+   largest component are compared with all members. Members come with their
+   signatures in tiles of bounded size, so a large bucket is many tiles, and only
+   pairs that survive the comparison leave a tile.
+3. A pair's signatures (16 bits of each minimum) are compared in batches of
+   ``BATCH``. After each batch it is given up where the posterior probability
+   (uniform prior) of a similarity of at least t is under ``MISS``; survivors are
+   verified exactly on their full sets.
 4. Components come from label propagation with pointer jumping over the links.
 """
 
@@ -26,17 +23,18 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablepipe.llm import _words as W
 from tablepipe.llm._scratch import Scratch
 from tablepipe.llm._text import long_column, map_arrow, slices, utf8_view
 
-HASHES, BANDS = 128, 32
-ROWS = HASHES // BANDS
+HASHES = 256
+BAND_MISS = 1e-6  # most a pair at the threshold may be missed by all bands
 BATCH, MISS = 16, 1e-7
-LEADERS = 32
+TILE_ALL, TILE_SOME = 1000, 500  # members of a tile on either side
+GROUP_ROWS = 4000  # rows of small tiles that one call handles together
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(1, 2**32, HASHES, np.uint32, endpoint=False) | np.uint32(1))[:, None]
 _B = _rng.integers(0, 2**32, HASHES, np.uint32, endpoint=False)[:, None]
@@ -93,11 +91,19 @@ def signatures(key, first):
     return full, out
 
 
-def band_keys(signature):
-    """int64 [sets, BANDS]: equal where a band's minima are equal."""
-    bands = signature.reshape(len(signature), BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
-    for k in range(ROWS):
+def band_rows(threshold):
+    """The most minima a band may have so that pairs at the threshold share one with
+    probability 1 - BAND_MISS: longer bands make fewer candidates."""
+    fit = [r for r in range(1, HASHES + 1) if (1 - threshold**r) ** (HASHES // r) <= BAND_MISS]
+    return max(fit, default=1)
+
+
+def band_keys(signature, rows):
+    """int64 [sets, bands]: equal where a band's minima are equal."""
+    count = HASHES // rows
+    bands = signature[:, :count * rows].reshape(len(signature), count, rows).astype(np.uint64)
+    key = np.arange(1, count + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
+    for k in range(rows):
         key = W.mix(key + bands[:, :, k])
     return key.view(np.int64)
 
@@ -111,7 +117,7 @@ def node_keys(key, first, full):
     return [row.tobytes() for row in np.stack(parts, 1)]
 
 
-def sketches(df, id_col, text_col, width) -> DataFrame:
+def sketches(df, id_col, text_col, width, rows) -> DataFrame:
     """(id, n_shingles, node, sig, bands); node, sig and bands are null for empty sets."""
     def run(batches):
         for batch, texts in slices(batches, text_col):
@@ -122,8 +128,8 @@ def sketches(df, id_col, text_col, width) -> DataFrame:
             for i, node in zip(full, node_keys(key, first, full)):
                 nodes[i] = node
             bands, signs = [None] * len(sizes), [None] * len(sizes)
-            for i, s, b in zip(full, sig, band_keys(sig)):
-                signs[i], bands[i] = s.tobytes(), b
+            for i, s, b in zip(full, sig, band_keys(sig, rows)):
+                signs[i], bands[i] = (s >> np.uint32(16)).astype("<u2").tobytes(), b
             yield pa.RecordBatch.from_arrays(
                 [long_column(batch, id_col), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
                  pa.array(signs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
@@ -159,33 +165,91 @@ def least_matches(threshold, miss=MISS):
     return out
 
 
+def _survivors(left, right, bound):
+    """Which pairs of signature rows may reach the threshold: compared batch by batch."""
+    live, matches = np.arange(len(left)), np.zeros(len(left), np.int64)
+    for step, least in enumerate(bound):
+        at = slice(step * BATCH, (step + 1) * BATCH)
+        matches[live] += (left[live, at] == right[live, at]).sum(1)
+        live = live[matches[live] >= least]
+    return live
+
+
+def _signatures(column):
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, HASHES)
+
+
 def _judge(pairs, sigs, threshold):
-    """(a, b, state): 2 a survivor at the threshold, 1 only at 2t - 1, 0 neither."""
-    bounds = [least_matches(threshold), least_matches(max(0.0, 2 * threshold - 1))]
+    """The pairs (a, b) that survive the comparison of their signatures."""
+    bound = least_matches(threshold)
     a = sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
     b = sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(-1, HASHES) for k in (2, 3))
-            state = np.zeros(batch.num_rows, np.int32)
-            for bound in bounds:
-                live, matches = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-                for step, least in enumerate(bound):
-                    at = slice(step * BATCH, (step + 1) * BATCH)
-                    matches[live] += (left[live, at] == right[live, at]).sum(1)
-                    live = live[matches[live] >= least]
-                state[live] += 1
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(state)], ["a", "b", "state"])
+            if batch.num_rows:
+                live = _survivors(_signatures(batch.column(2)), _signatures(batch.column(3)), bound)
+                yield batch.select(["a", "b"]).take(pa.array(live))
 
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "sig_a", "sig_b")
-    return map_arrow(joined, run, "a binary, b binary, state int")
-
-
-def _verify(pairs, sets, percent):
-    """(a, b, link, near) by the full sets: 100 * intersection >= percent * union, and the same at 2 * percent - 100."""
+    return map_arrow(joined, run, "a binary, b binary")
+
+
+def _tiles(s, members, sigs):
+    """(tile, some, node, comp, sig): members of the buckets with several components.
+    ``some`` rows, those outside the bucket's largest component, meet all others."""
+    count = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    sizes = (count.groupBy("bucket").agg(F.sum("n").alias("all"), F.max_by("comp", F.struct("n", "comp")).alias("most"),
+                                         F.max("n").alias("top")).where(F.col("top") < F.col("all")))
+    sizes = sizes.select("bucket", "most", F.ceil(F.col("all") / TILE_ALL).cast("int").alias("rows"),
+                         F.ceil((F.col("all") - F.col("top")) / TILE_SOME).cast("int").alias("columns"))
+    m = members.join(sizes, "bucket").join(sigs, "node")
+    spot = F.xxhash64("node", "bucket")
+    tile = F.xxhash64("bucket", "row", "column")
+    every = m.select("*", F.pmod(spot, F.col("rows")).cast("int").alias("row"), F.explode(
+        F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"), F.lit(False).alias("some"))
+    outside = m.where("comp != most").select("*", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"),
+                                             F.pmod(spot, F.col("columns")).cast("int").alias("column"), F.lit(True).alias("some"))
+    return every.unionByName(outside).select(tile.alias("tile"), "some", "node", "comp", "sig")
+
+
+def _compare(threshold):
+    """Grouped function over whole tiles: surviving pairs (a, b) across components."""
+    bound = least_matches(threshold)
+
+    def run(table):
+        tile = table["tile"].to_numpy()
+        some = table["some"].to_numpy(zero_copy_only=False)
+        nodes = np.array(table["node"].to_pylist(), object)
+        comp = np.unique(np.array(table["comp"].to_pylist(), object), return_inverse=True)[1]
+        sig = _signatures(table["sig"])
+        order = np.lexsort((~some, tile))
+        cuts = np.flatnonzero(np.concatenate([[True], tile[order][1:] != tile[order][:-1], [True]]))
+        found = set()
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            rows = order[i:j]
+            one, all_ = rows[some[rows]], rows[~some[rows]]
+            if not len(one) or not len(all_):
+                continue
+            step = max(1, 100_000 // len(all_))
+            for k in range(0, len(one), step):
+                part = one[k:k + step]
+                a, b = np.repeat(part, len(all_)), np.tile(all_, len(part))
+                apart = comp[a] != comp[b]
+                a, b = a[apart], b[apart]
+                # the first batch on all pairs, the rest on what it leaves
+                first = (sig[a, :BATCH] == sig[b, :BATCH]).sum(1) >= bound[0]
+                a, b = a[first], b[first]
+                live = _survivors(sig[a], sig[b], bound)
+                found.update((min(x, y), max(x, y)) for x, y in zip(nodes[a[live]], nodes[b[live]]))
+        found = sorted(found)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([y for _, y in found], pa.binary())})
+
+    return run
+
+
+def _linked(pairs, sets, percent):
+    """The pairs with 100 * intersection >= percent * union of their full sets."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
 
@@ -195,14 +259,11 @@ def _verify(pairs, sets, percent):
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                union = len(x) + len(y) - both
-                out.append((100 * both >= percent * union, 100 * both >= (2 * percent - 100) * union))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([o[0] for o in out], pa.bool_()),
-                 pa.array([o[1] for o in out], pa.bool_())], ["a", "b", "link", "near"])
+                out.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(out, pa.bool_()))
 
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-    return map_arrow(joined, run, "a binary, b binary, link boolean, near boolean")
+    return map_arrow(joined, run, "a binary, b binary")
 
 
 def components(scratch, edges, tag):
@@ -243,67 +304,40 @@ def near_duplicates(df, id_col="doc_id", text_col="text", width=5, percent=80):
     """
     spark = df.sparkSession
     s = Scratch(spark, "minhash")
-    rows = s.cut(sketches(df, id_col, text_col, width), "sketches")
+    rows = s.cut(sketches(df, id_col, text_col, width, band_rows(percent / 100)), "sketches")
     full = rows.where("node is not null")
-    nodes = s.cut(full.groupBy("node").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
-    bands = nodes.select("node", F.explode("bands").alias("bucket"))
+    bands = s.cut(full.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("bucket")),
+                  "bands")
     shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = s.cut(bands.join(shared, "bucket").select("bucket", "node"), "members")
     texts = full.groupBy("node").agg(F.min("id").alias("id"))
-    wanted = texts.join(members.select("node").distinct(), "node", "left_semi")
+    s.drop("bands")
+    wanted = s.cut(texts.join(members.select("node").distinct(), "node", "left_semi"), "wanted")
+    nodes = s.cut(full.join(wanted, ["id", "node"], "left_semi").groupBy("node").agg(F.first("sig").alias("sig")), "nodes")
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("__t"))
     sets = s.cut(_sets_of(source, wanted, width), "sets")
 
-    # the first leader of each bucket takes most of it away
     leader = members.groupBy("bucket").agg(F.min("node").alias("leader"))
-    star = s.cut(members.join(leader, "bucket").where("node != leader")
-                 .select("bucket", F.col("leader").alias("a"), F.col("node").alias("b"), F.col("node").alias("x"),
-                         F.col("leader").alias("l")), "star0")
-    tested = _tested(s, star.select("a", "b").distinct(), nodes, sets, percent, "round0")
-    labels = components(s, tested.where("link").select("a", "b"), "comp0")
-    comp = labels.select(F.col("node").alias("x"), "comp")
-    result = star.join(tested, ["a", "b"])
-    log = _log(result, 0)
-    rest = result.where("not link").select("bucket", "x").join(comp, "x", "left").select(
-        "bucket", "x", F.coalesce("comp", "x").alias("comp"))
-    round_no, current = 0, s.cut(_mixed(rest), "rest0")
-    while current.limit(1).count():
-        round_no += 1
-        rarity = current.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-        order = Window.partitionBy("bucket").orderBy("n", "x")
-        leaders = (current.join(rarity, ["bucket", "comp"]).withColumn("r", F.row_number().over(order))
-                   .where(F.col("r") <= LEADERS * 2 ** (round_no - 1))
-                   .select("bucket", F.col("x").alias("l"), F.col("comp").alias("comp_l")))
-        leaders = s.cut(leaders, f"leaders{round_no}")
-        star = s.cut(current.join(leaders, "bucket").where("comp != comp_l")
-                     .select("bucket", F.least("x", "l").alias("a"), F.greatest("x", "l").alias("b"), "x", "l"), f"star{round_no}")
-        pairs = star.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        tested = tested.unionAll(_tested(s, pairs, nodes, sets, percent, f"round{round_no}"))
-        result = star.join(tested, ["a", "b"])
-        log = log.unionAll(_log(result, round_no))
-        gone = result.where("link").select("bucket", "x").unionAll(leaders.select("bucket", F.col("l").alias("x")))
-        current = s.cut(_mixed(current.join(gone.distinct(), ["bucket", "x"], "left_anti")), f"rest{round_no}")
-    links = tested.where("link").select("a", "b")
-    if round_no:
+    star = (members.join(leader, "bucket").where("node != leader")
+            .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    links = s.cut(_linked(_judge(star, nodes, percent / 100), sets, percent), "links0")
+    labels = components(s, links, "comp0")
+    member = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    tiles = s.cut(_tiles(s, member, nodes), "tiles")
+    groups = max(1, tiles.count() // GROUP_ROWS)
+    pairs = (tiles.groupBy(F.pmod("tile", F.lit(groups))).applyInArrow(_compare(percent / 100), "a binary, b binary").distinct())
+    across = s.cut(_linked(pairs, sets, percent), "links1")
+    s.drop("tiles")
+    if across.limit(1).count():
+        links = links.unionAll(across)
         labels = components(s, links, "comp1")
-        comp = labels.select(F.col("node").alias("x"), "comp")
-    log = log.join(comp, "x", "left").withColumn("comp", F.coalesce("comp", "x"))
-    one = log.where("link").select("bucket", "round", "l", F.col("x").alias("p"), F.col("comp").alias("cp"))
-    two = log.where("not link").select("bucket", "round", "l", F.col("x").alias("q"), F.col("comp").alias("cq"))
-    second = (one.join(two, ["bucket", "round", "l"]).where("cp != cq")
-              .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-              .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-    second = s.cut(second, "second")
-    if second.limit(1).count():
-        links = links.unionAll(_tested(s, second, nodes, sets, percent, "last").where("link").select("a", "b"))
-        labels = components(s, links, "comp2")
     ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     by_node = (texts.join(labels, "node", "left").join(degree, "node", "left")
                .select("node", "id", F.coalesce("comp", "node").alias("comp"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
     least = by_node.groupBy("comp").agg(F.min("id").alias("component_id"))
     named = s.cut(by_node.join(least, "comp").select("node", "component_id", "n_links", F.col("comp").alias("group_node")), "named")
-    s.drop("sets", "nodes", "members")
+    s.drop("sets", "nodes", "members", "wanted")
     out = rows.select("id", "n_shingles", "node").join(named, "node", "left")
     lone = F.col("node").isNull()
     component = F.when(lone, F.col("id")).otherwise(F.col("component_id"))
@@ -312,25 +346,6 @@ def near_duplicates(df, id_col="doc_id", text_col="text", width=5, percent=80):
                       F.coalesce("n_links", F.lit(0)).alias("n_links"), "group_node")
 
 
-def _mixed(members):
-    """Members (bucket, x, comp) of the buckets that hold several components."""
-    open_ = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
-    return members.join(open_, "bucket")
-
-
-def _log(result, round_no):
-    """What the triangle inequality needs of a round: members linked to or near a leader."""
-    return result.where("link or near").select("bucket", F.lit(round_no).alias("round"), "l", "x", "link")
-
-
-def _tested(s, pairs, nodes, sets, percent, tag):
-    """(a, b, link, near) of candidate pairs: signatures first, survivors on full sets."""
-    judged = s.cut(_judge(pairs, nodes.select("node", "sig"), percent / 100), f"{tag}-judged")
-    exact = _verify(judged.where("state = 2").select("a", "b"), sets, percent)
-    other = judged.where("state < 2").select("a", "b", F.lit(False).alias("link"), (F.col("state") == 1).alias("near"))
-    return s.cut(exact.unionAll(other), tag)
-
-
 def _sets_of(source, wanted, width):
     """Full sets of the wanted nodes, from the rows whose ids made them."""
     picked = source.join(wanted.select("id").distinct(), "id", "left_semi").select("__t")
