@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablepipe.operators.sinks import replace_path
 from tablepipe.plans._base import ORDERS_COLS, query, table
 from tablepipe.session import scratch_path
-from tablepipe.sources.html import html_rows
+from tablepipe.sources.html import html_options, html_rows
 from tablepipe.sources.typed import read_typed_csv
 
 BIG = 2**53  # ids that a double cannot tell apart
@@ -69,3 +69,18 @@ def q_html_implied_ends(spark, sf):
     ok = F.col("error").isNull()
     return got.where(~ok | (F.col("pos") > 0)).select(
         "customer", F.get("cells", F.lit(0)).alias("key"), F.get("cells", F.lit(1)).alias("status"), (~ok).alias("rejected"))
+
+
+@query("html_scoped_options", """
+select n_regionkey as region, cast(n_nationkey as varchar) as value from nation where n_nationkey % 3 <> 0""")
+def q_html_scoped_options(spark, sf):
+    """One form per region with two lists of nations, no option closed: the values of the first list."""
+    n = table(spark, sf, "nation")
+    option = F.concat(F.lit("<option value="), F.col("n_nationkey").cast("string"), F.lit(">"), F.col("n_name"))
+    ours = F.col("n_nationkey") % 3 != 0
+    forms = n.groupBy(F.col("n_regionkey").alias("region")).agg(
+        F.array_join(F.collect_list(F.when(ours, option)), "").alias("a"),
+        F.array_join(F.collect_list(F.when(~ours, option)), "").alias("b"))
+    page = F.concat(F.lit("<form><select id=first>"), "a", F.lit("</select><select id=second>"), "b", F.lit("</form>"))
+    got = html_options(forms.select("region", page.alias("html")), "html", "first", keep=["region"])
+    return got.where(F.col("error").isNull()).select("region", "value")

@@ -12,13 +12,16 @@ from tablepipe.sources.paged import read_paged
 FETCHER = "tablepipe.sources.paged:SortedParquetFetcher"
 
 
-def _paged_orders(spark, sf, page_size, size_limit=None):
+COUNTLESS = "tablepipe.sources.paged:CountlessFetcher"
+
+
+def _paged_orders(spark, sf, page_size, size_limit=None, fetcher=FETCHER):
     """Orders published in key order, then extracted page by page; the pages
     arrive as text and are typed back by one projection."""
     orders = table(spark, sf, "orders")
     store = scratch_path(spark, "portal_orders")
     orders.orderBy("o_orderkey").write.parquet(store)
-    raw = read_paged(spark, FETCHER, ORDERS_COLS, page_size=page_size, size_limit=size_limit,
+    raw = read_paged(spark, fetcher, ORDERS_COLS, page_size=page_size, size_limit=size_limit,
                      fetcher_args={"path": store})
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema.fields])
 
@@ -28,6 +31,12 @@ def q_paged_scan(spark, sf):
     return _paged_orders(spark, sf, 4000)
 
 
+@query("paged_scan_countless", "SELECT * FROM orders")
+def q_paged_scan_countless(spark, sf):
+    """The whole extract from a source without a row count: pages until a short one."""
+    return _paged_orders(spark, sf, 700, fetcher=COUNTLESS)
+
+
 @query("paged_scan_limited", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 4000")
 def q_paged_scan_limited(spark, sf):
     # P = 1,000 and S = 2,500: pages at 0, 1000, 2000, 3000 (the last starts past S)

@@ -59,6 +59,14 @@ class Page(InputPartition):
         self.offset, self.limit, self.hint = offset, limit, hint
 
 
+class Chain(InputPartition):
+    """Every ``step``-th page from an offset on, until a short or empty page: how a
+    source that cannot count its rows is read by several tasks."""
+
+    def __init__(self, offset: int, step: int):
+        self.offset, self.step = offset, step
+
+
 class PagedDataSource(DataSource):
     @classmethod
     def name(cls):
@@ -83,16 +91,20 @@ class PagedReader(DataSourceReader):
         self.size_limit = int(lim) if lim not in (None, "", "None") else None
         self.spec = self.options["fetcher"]
         self.args = json.loads(self.options.get("fetcher_args", "{}"))
+        self.chains = int(self.options.get("chains", 8))
 
     def partitions(self):
         fetcher = load_fetcher(self.spec, self.args)
         rc = self.options.get("row_count")
         index = fetcher.index() if hasattr(fetcher, "index") else None
+        if rc in (None, "") and index is None and not hasattr(fetcher, "count"):
+            return [Chain(i * self.page_size, self.chains) for i in range(self.chains)]
         if rc in (None, ""):
             rc = sum(n for _, n in index) if index is not None else fetcher.count()
         offsets = page_offsets(int(rc), self.page_size, self.size_limit)
-        if index is None:
-            return [Page(o, self.page_size) for o in offsets]
+        if index is None:  # the count may be stale: the last task reads on until a short page
+            last = offsets[-1:] if offsets else [0]
+            return [*[Page(o, self.page_size) for o in offsets[:-1]], *[Chain(o, 1) for o in last]]
         # one pass over pages and files together: each page gets only the
         # files it covers, with their start rows
         located, start = [], 0
@@ -111,18 +123,37 @@ class PagedReader(DataSourceReader):
         return pages
 
     def read(self, partition):
-        import pyarrow as pa
-
         if partition is None:  # no pages were planned (an empty dataset)
             return
         fetcher = load_fetcher(self.spec, self.args)
+        if isinstance(partition, Chain):
+            offset = partition.offset
+            # a size limit allows one page more than it fills, as page_offsets does
+            last = None if self.size_limit is None else page_offsets(2**62, self.page_size, self.size_limit)[-1]
+            while last is None or offset <= last:
+                table = self._table(fetcher.fetch(offset, self.page_size), offset)
+                if table is not None:
+                    yield from table.to_batches()
+                if table is None or table.num_rows < self.page_size:
+                    return
+                offset += partition.step * self.page_size
+            return
+        more = {}
         if partition.hint is not None:
-            page = fetcher.fetch(partition.offset, partition.limit, hint=partition.hint)
-        else:
-            page = fetcher.fetch(partition.offset, partition.limit)
+            more["hint"] = partition.hint
+        if getattr(fetcher, "prunes", False):
+            more["columns"] = self.columns
+        table = self._table(fetcher.fetch(partition.offset, partition.limit, **more), partition.offset)
+        if table is not None:
+            yield from table.to_batches()
+
+    def _table(self, page, offset):
+        """A page as a table of the declared columns, or None if it is empty."""
+        import pyarrow as pa
+
         if isinstance(page, list):
             if len(page) <= 1:
-                return
+                return None
             header = [clean_header(h) for h in page[0]]
             cols = list(zip(*page[1:]))
             table = pa.table({h: pa.array([None if v is None else str(v) for v in col], pa.string())
@@ -131,16 +162,17 @@ class PagedReader(DataSourceReader):
             table = page.rename_columns([clean_header(h) for h in page.column_names])
         missing = [c for c in self.columns if c not in table.column_names]
         if missing:
-            raise KeyError(f"page at offset {partition.offset} lacks columns {missing}")
-        arrays = [table.column(c).cast(pa.string()) for c in self.columns]
-        for batch in pa.table(arrays, names=self.columns).to_batches():
-            yield batch
+            raise KeyError(f"page at offset {offset} lacks columns {missing}")
+        return pa.table([table.column(c).cast(pa.string()) for c in self.columns], names=self.columns)
 
 
 class SortedParquetFetcher:
     """Offset/limit pages over a directory of parquet part files written in
     key order (e.g. ``df.orderBy(key).write.parquet(dir)``). Row counts come
-    from file footers, so a page reads only the row groups it covers."""
+    from file footers, so a page reads only the row groups it covers, and of
+    those the declared columns."""
+
+    prunes = True
 
     def __init__(self, path: str, header_case: str = "keep", index_path: str | None = None):
         self.path = path
@@ -174,7 +206,7 @@ class SortedParquetFetcher:
     def count(self) -> int:
         return sum(n for _, n in self.index())
 
-    def fetch(self, offset: int, limit: int, hint=None):
+    def fetch(self, offset: int, limit: int, hint=None, columns=None):
         import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs as pafs
@@ -204,7 +236,8 @@ class SortedParquetFetcher:
                             groups.append(g)
                             first = g_start if first is None else first
                         g_start += g_n
-                    t = pf.read_row_groups(groups)
+                    wanted = [c for c in pf.schema_arrow.names if columns is None or clean_header(c) in columns]
+                    t = pf.read_row_groups(groups, columns=wanted)
                     pieces.append(t.slice(lo - first, hi - lo))
         if not pieces:
             return [[]]
@@ -212,6 +245,16 @@ class SortedParquetFetcher:
         return table.cast(pa.schema([(f.name, pa.string()) for f in table.schema]))
 
 
+class CountlessFetcher:
+    """The same pages from a service that tells no row count."""
+
+    def __init__(self, **args):
+        self._pages = SortedParquetFetcher(**args)
+
+    def fetch(self, offset: int, limit: int):
+        return self._pages.fetch(offset, limit)
+
+
 def _local(path: str) -> str:
     """``file:/x`` or ``file:///x`` -> ``/x``; other paths unchanged."""
     if path.startswith("file://"):
