@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 
 from tablepipe.llm import _words as W
 from tablepipe.llm._scratch import Scratch
-from tablepipe.llm._text import long_column, map_arrow, slices, utf8_view
+from tablepipe.llm._text import long_column, map_arrow, prepare, slices, utf8_view
 
 HASHES = 256
 BAND_MISS = 1e-6  # most a pair at the threshold may be missed by all bands
 BATCH, MISS = 16, 1e-7
 TILE_ALL, TILE_SOME = 1000, 500  # members of a tile on either side
+BLOCK_NODES = 1000  # nodes on a side of a block of exact comparisons
 GROUP_ROWS = 4000  # rows of small tiles that one call handles together
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(1, 2**32, HASHES, np.uint32, endpoint=False) | np.uint32(1))[:, None]
@@ -249,21 +250,28 @@ def _compare(threshold):
 
 
 def _linked(pairs, sets, percent):
-    """The pairs with 100 * intersection >= percent * union of their full sets."""
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+    """The pairs with 100 * intersection >= percent * union of their full sets.
+
+    Pairs are dealt to blocks by the hashes of both nodes, and a node's set goes
+    to a block once, however many pairs it has there."""
+    side = max(1, -(-sets.count() // BLOCK_NODES))
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(side))
+    pairs = pairs.select("a", "b", (at("a") * side + at("b")).alias("block"))
+    needed = pairs.select("block", F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
+
+    def run(pairs, needed):
+        known = {n: np.frombuffer(x.as_buffer(), np.uint64) for n, x in zip(needed["node"].to_pylist(), needed["shingles"])}
+        out = []
+        for m, n in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+            x, y = known[m], known[n]
+            both = 0
+            if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):  # else the union is too large
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(out, pa.bool_()))
+            out.append(100 * both >= percent * (len(x) + len(y) - both))
+        return pairs.select(["a", "b"]).filter(pa.array(out, pa.bool_()))
 
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-    return map_arrow(joined, run, "a binary, b binary")
+    prepare(pairs.sparkSession)
+    return (pairs.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(run, "a binary, b binary"))
 
 
 def components(scratch, edges, tag):
