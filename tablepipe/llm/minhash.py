@@ -257,7 +257,7 @@ def _linked(pairs, sets, percent):
     side = max(1, -(-sets.count() // BLOCK_NODES))
     at = lambda c: F.pmod(F.xxhash64(c), F.lit(side))
     pairs = pairs.select("a", "b", (at("a") * side + at("b")).alias("block"))
-    needed = pairs.select("block", F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
+    needed = pairs.select(F.col("block").alias("place"), F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
 
     def run(pairs, needed):
         known = {n: np.frombuffer(x.as_buffer(), np.uint64) for n, x in zip(needed["node"].to_pylist(), needed["shingles"])}
@@ -271,7 +271,7 @@ def _linked(pairs, sets, percent):
         return pairs.select(["a", "b"]).filter(pa.array(out, pa.bool_()))
 
     prepare(pairs.sparkSession)
-    return (pairs.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(run, "a binary, b binary"))
+    return (pairs.groupBy("block").cogroup(needed.groupBy("place")).applyInArrow(run, "a binary, b binary"))
 
 
 def components(scratch, edges, tag):
