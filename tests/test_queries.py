@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from tablepipe import plans
 from tablepipe.plans.oracle import compare, duckdb_views
 
 from .conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(plans.queries())  # the optional subpackage has its own tests
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,16 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(plans.oracle_sql()) == set(plans.queries())
+    assert set(plans.queries()) <= set(E.queries())
+
+
+def test_queries_without_the_optional_subpackage(monkeypatch):
+    import importlib.util
+
+    find = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name == "tablepipe.llm" else find(name, *a))
+    assert set(E.queries()) == set(E.oracle_sql()) == set(plans.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
