@@ -30,7 +30,7 @@ RANK_FILE = "byte_bpe_50k.tiktoken"
 LONG = 1024
 BUCKETS = (2, 4, 6, 8, 12, 16, 24, 32, 64, 128, 256, 512, LONG)
 CELLS = 1 << 21  # matrix cells at a time
-CACHE_PIECES = 120_000  # a worker keeps them between tasks: about 40 MB
+CACHE_PIECES = 60_000  # a worker keeps them between tasks: about 20 MB
 NONE = np.int32(2**31 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 

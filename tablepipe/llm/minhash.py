@@ -232,7 +232,7 @@ def _compare(threshold):
             one, all_ = rows[some[rows]], rows[~some[rows]]
             if not len(one) or not len(all_):
                 continue
-            step = max(1, 100_000 // len(all_))
+            step = max(1, 16_000 // len(all_))  # pairs at a time: about 16 MB of signatures
             for k in range(0, len(one), step):
                 part = one[k:k + step]
                 a, b = np.repeat(part, len(all_)), np.tile(all_, len(part))
