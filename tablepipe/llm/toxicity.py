@@ -5,7 +5,8 @@ repeated) become character lattices: each symbol may stand for its look-alike
 letters, a repeated letter for one or two, a separator for nothing. Viterbi
 decoding finds the likeliest spelling under a character trigram model, an equal
 mix of the corpus words' model and the model of the learned toxic words, times
-the channel's costs. Words without such signs have a lattice of one path and
+the channel's costs. The corpus words' trigrams are counted over the texts of all
+documents, labelled or not. Words without such signs have a lattice of one path and
 stand as they are.
 
 The restored words are scored by a lexicon of word beginnings and whole words
@@ -21,8 +22,10 @@ scored on its whole text.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -41,6 +44,9 @@ LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 SEPARATORS = " .-_*~,'\"`^/\\:;"
 COST_LOOK, COST_DROP, COST_KEEP_TWO, COST_SEPARATOR = 0.7, 0.4, 1.5, 0.2
 BEAM = 40
+FLUSH = 1 << 20  # different trigrams that a task holds before it passes them on
+DENSE = 1 << 22  # trigrams of an alphabet that are counted in a direct table
+CACHE = 1_000_000
 MAX_DISGUISED = 40  # characters of a disguised word; longer ones stand as they are
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -54,6 +60,79 @@ PUNCTUATION = ".,;:?\"'()[]{}*#%&-_=~`^/\\\u00ab\u00bb\u201c\u201d\u2018\u2019"
 EDGE = re.compile(rf"^([{_marks}])\1{{1,}}|([{_marks}])\2{{1,}}$|[!|(+<]+$")
 
 
+@functools.lru_cache(1)
+def _in_words():
+    """Whether ``WORD`` takes a code point."""
+    return np.fromiter((c.isalnum() and not c.isdecimal() for c in map(chr, range(sys.maxunicode + 1))), bool, sys.maxunicode + 1)
+
+
+def trigrams(texts):
+    """(codes, counts) of the character trigrams of all words in lower-case texts,
+    each word behind ``^^`` and before ``$``; three code points to a code, 21 bits each."""
+    points = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = _in_words()[points]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    start = np.flatnonzero(first[inside])  # of each word among the letters
+    marks = np.tile(np.array([ord(c) for c in "$^^"], np.int64), len(start))
+    chars = np.append(np.insert(points[inside].astype(np.int64), np.repeat(start, 3), marks), ord("$"))
+    ends = np.flatnonzero(chars[2:] != ord("^")) + 2
+    seen = np.zeros(sys.maxunicode + 1, bool)
+    seen[chars] = True
+    letters = np.flatnonzero(seen)
+    n = len(letters)
+    if n ** 3 > DENSE:
+        return np.unique((chars[ends - 2] << 21 | chars[ends - 1]) << 21 | chars[ends], return_counts=True)
+    rank = (np.cumsum(seen) - 1)[chars]
+    counts = np.bincount((rank[ends - 2] * n + rank[ends - 1]) * n + rank[ends], minlength=1)
+    codes = np.flatnonzero(counts)
+    return (letters[codes // (n * n)] << 21 | letters[codes // n % n]) << 21 | letters[codes % n], counts[codes]
+
+
+def _summed(codes, counts):
+    """Counts of equal codes added up, codes ascending."""
+    codes, owner = np.unique(codes, return_inverse=True)
+    out = np.zeros(len(codes), np.int64)
+    np.add.at(out, owner, counts)
+    return codes, out
+
+
+class Packed:
+    """Counts of packed strings in sorted arrays, read like a ``Counter``."""
+
+    def __init__(self, codes, counts):
+        self.codes, self.counts = codes, counts
+
+    def __getitem__(self, string):
+        code = 0
+        for c in string:
+            code = code << 21 | ord(c)
+        at = int(np.searchsorted(self.codes, np.int64(code)))
+        return int(self.counts[at]) if at < len(self.codes) and self.codes[at] == code else 0
+
+
+def corpus_model(documents, text_col="text"):
+    """(trigrams, contexts, letters) of the words of all documents, summed in Spark.
+
+    The driver and the workers hold 16 bytes for each different trigram of the
+    corpus: as many as its alphabets give, however many rows there are."""
+    def run(batches):
+        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for _, texts in slices(batches, "__text"):
+            more = trigrams([t.lower() for t in texts.to_pylist()])
+            codes, counts = _summed(np.concatenate([codes, more[0]]), np.concatenate([counts, more[1]]))
+            if len(codes) > FLUSH:
+                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], ["g", "n"])
+                codes, counts = codes[:0], counts[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], ["g", "n"])
+
+    rows = documents.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("__text"))
+    got = map_arrow(rows, run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).toArrow()
+    codes, counts = _summed(got.column(0).to_numpy(), got.column(1).to_numpy())
+    letters = np.unique(codes & (1 << 21) - 1)
+    return Packed(codes, counts), Packed(*_summed(codes >> 21, counts)), max(1, len(letters))
+
+
 class CharModel:
     """Character trigram model: an equal mix of two word lists' models."""
 
@@ -75,6 +154,8 @@ class CharModel:
     def log_p(self, context, ch):
         got = self.cache.get(context + ch)
         if got is None:
+            if len(self.cache) > CACHE:
+                self.cache.clear()
             p = 0.0
             for grams, contexts, v in self.models:
                 p += 0.5 * (grams[context + ch] + 0.05) / (contexts[context] + 0.05 * (v + 1))
@@ -133,12 +214,15 @@ def disguised(token):
 
 
 class Scorer:
-    def __init__(self, weights, common, coefficients):
+    def __init__(self, weights, common, coefficients, corpus=None):
+        """``common``: words of the lexicon's texts and their counts; ``corpus``: the ``corpus_model``, else that of ``common``."""
         self.weights, self.coefficients = weights, coefficients
         special = {w: n for w, n in common.items() if self.weight(w) >= MIN_WEIGHT}
         for f in weights:
             special.setdefault(f.strip("$"), 1)
         self.model = CharModel(common, special)
+        if corpus is not None:
+            self.model.models[0] = corpus
         self.known: dict = {}
         self.decoded: dict = {}
 
@@ -254,16 +338,18 @@ def learn(documents, labels, id_col="doc_id", text_col="text", label_col="toxic"
         common = map_arrow(lexicon.select("__text"), vocabulary, "w string, n long")
         common = common.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1")  # of the bounded sample
         common = {r["w"]: r["n"] for r in common.collect()}
-        draft = Scorer(weights, common, (0.0, 1.0, 0.0))
+        corpus = corpus_model(documents, text_col)
+        shared = _shared(documents.sparkSession, Scorer(weights, common, (0.0, 1.0, 0.0), corpus))
 
         def measured(batches):
+            draft = _loaded(shared.value)
             for batch, texts in slices(batches, "__text"):
                 got = np.array([draft.features(t) for t in texts.to_pylist()])
                 yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1]), batch.column(1)], ["x", "s", "y"])
 
         rows = map_arrow(sample.where("__part = 1").select("__text", "__y"), measured, "x double, s double, y int").toArrow()
         x, s, y = (rows.column(k).to_numpy().astype(float) for k in range(3))
-        return Scorer(weights, common, _logistic(x, s, y))
+        return Scorer(weights, common, _logistic(x, s, y), corpus)
     finally:
         sample.unpersist()
 
@@ -292,8 +378,7 @@ def predict(df, scorer, id_col="doc_id", text_col="text"):
     not read. Where a class had no labelled rows, every score is the share of
     toxic ones.
     """
-    shared = df.sparkSession.sparkContext.broadcast(None if isinstance(scorer, float) else
-                                                    (scorer.weights, scorer.model.models, scorer.coefficients))
+    shared = None if isinstance(scorer, float) else _shared(df.sparkSession, scorer)
     constant = scorer if isinstance(scorer, float) else None
 
     def run(batches):
@@ -311,6 +396,10 @@ def predict(df, scorer, id_col="doc_id", text_col="text"):
 _scorer: dict = {}
 
 
+def _shared(spark, scorer):
+    return spark.sparkContext.broadcast((scorer.weights, scorer.model.models, scorer.coefficients))
+
+
 def _loaded(value):
     if _scorer.get("of") is not value:
         weights, models, coefficients = value

@@ -251,6 +251,25 @@ def test_toxicity_learns_and_holds_out(spark):
     assert held and all(r.predicted == r.toxic for r in held)
 
 
+def test_character_model_counts_all_documents(spark, odd):
+    rows = [(i, f"alpha{i % 7} bravo carol vexling" if i % 3 == 0 else "alpha bravo carol delta") for i in range(300)]
+    rows += [(1000 + i, "Qwyxzor Ωμέγα 漢字 \U00020000a x_y don't qwyxzor") for i in range(50)]  # no labels
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    marks = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    words = Counter(w for _, t in rows for w in toxicity.WORD.findall(t.lower()))
+    grams, contexts, n = toxicity.CharModel._counts(words)
+    model = toxicity.learn(docs, marks).model
+    got, got_contexts, got_n = model.models[0]
+    assert len(got.codes) == len(grams) and all(got[g] == k for g, k in grams.items())
+    assert len(got_contexts.codes) == len(contexts) and all(got_contexts[c] == k for c, k in contexts.items())
+    assert got_n == n and got["zzz"] == 0 and toxicity.decode("qwyxz0r", model) == "qwyxzor"
+    for texts in ([t for _, t in rows], [], [""], ["".join(map(chr, range(0x4E00, 0x4F00)))]):
+        want = toxicity.CharModel._counts(Counter(w for t in texts for w in toxicity.WORD.findall(t)))[0]
+        codes, counts = toxicity.trigrams(texts)
+        assert len(codes) == len(want) and all(toxicity.Packed(codes, counts)[g] == k for g, k in want.items())
+    assert toxicity.corpus_model(odd.limit(0))[2] == 1
+
+
 def test_toxicity_on_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0, 1), (2, 1, 0), (3, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     rows = toxicity.assess(odd, labels).collect()
