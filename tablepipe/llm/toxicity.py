@@ -2,8 +2,8 @@
 
 Disguised words (digits and symbols for letters, letters set apart, letters
 repeated) become character lattices: each symbol may stand for its look-alike
-letters, a repeated letter for one or two, a separator for nothing. Viterbi
-decoding finds the likeliest spelling under a character trigram model, an equal
+letters, a repeated letter for one or two, a separator for nothing or for a word
+bound. Viterbi decoding finds the likeliest words under a character trigram model, an equal
 mix of the corpus words' model and the model of the learned toxic words, times
 the channel's costs. The corpus words' trigrams are counted over the texts of all
 documents, labelled or not. Words without such signs have a lattice of one path and
@@ -27,6 +27,7 @@ import math
 import re
 import sys
 from collections import Counter, defaultdict
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -41,21 +42,22 @@ MIN_CONTEXTS, MIN_WEIGHT = 6, math.log(20)
 # Letters that a symbol may stand for.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i"}
-SEPARATORS = " .-_*~,'\"`^/\\:;"
+SEPARATORS = " .-_*~,'\"`^/\\:;|"
 COST_LOOK, COST_DROP, COST_KEEP_TWO, COST_SEPARATOR = 0.7, 0.4, 1.5, 0.2
 BEAM = 40
 FLUSH = 1 << 20  # different trigrams that a task holds before it passes them on
 DENSE = 1 << 22  # trigrams of an alphabet that are counted in a direct table
 CACHE = 1_000_000
-MAX_DISGUISED = 40  # characters of a disguised word; longer ones stand as they are
+SETTLE = 64  # symbols after which the words that all paths share are put aside
 
 WORD = re.compile(r"[^\W\d_]+")
 _marks = re.escape("".join(LOOKS))
 _letter = rf"(?:[^\W_]|[{_marks}])"
 REPEATED = re.compile(r"([^\W\d_])\1\1")
+RUN = re.compile(r"(.)\1{3,}")  # no word has a letter more than three times in a row
 SPACED_TOKEN = re.compile(rf"{_letter}(?:[.\-_*~/]{_letter}){{3,}}")
 # at least four single letters with one or two separators between them
-SPACED = re.compile(rf"(?<!\S){_letter}(?:[ .\-_*~/]{{1,2}}{_letter}){{3,19}}(?!\w)")
+SPACED = re.compile(rf"(?<!\S){_letter}(?:[ .\-_*~/]{{1,2}}{_letter}){{3,}}(?!\w)")
 PUNCTUATION = ".,;:?\"'()[]{}*#%&-_=~`^/\\\u00ab\u00bb\u201c\u201d\u2018\u2019"
 EDGE = re.compile(rf"^([{_marks}])\1{{1,}}|([{_marks}])\2{{1,}}$|[!|(+<]+$")
 
@@ -152,6 +154,11 @@ class CharModel:
         return grams, contexts, len(letters)
 
     def log_p(self, context, ch):
+        """Log probability of a letter or of the word's end after two letters; a blank ends a word and begins the next."""
+        if " " in context:
+            context = "^^" if context[1] == " " else "^" + context[1]
+        if ch == " ":
+            ch = "$"
         got = self.cache.get(context + ch)
         if got is None:
             if len(self.cache) > CACHE:
@@ -164,7 +171,7 @@ class CharModel:
 
 
 def lattice(token):
-    """[(letters, cost), ...] for each symbol of a disguised token; '' drops it."""
+    """[(letters, cost), ...] for each symbol of a disguised token; '' drops it, ' ' is a word bound."""
     out, before = [], ""
     for ch in token:
         if ch.isalpha():
@@ -177,21 +184,23 @@ def lattice(token):
             if before and before in LOOKS.get(ch, ""):
                 arcs += [("", COST_DROP), (before, COST_KEEP_TWO)]
             if ch in SEPARATORS or not arcs:
-                arcs.append(("", COST_SEPARATOR))
+                arcs += [("", COST_SEPARATOR), (" ", COST_SEPARATOR)]
             before = "" if ch in SEPARATORS else before
         out.append(arcs)
     return out
 
 
 def decode(token, model):
-    """The likeliest clean word behind a token: Viterbi over its lattice."""
-    states = {"^^": (0.0, "")}
-    for arcs in lattice(token):
+    """The likeliest clean words behind a token, blanks between: Viterbi over its lattice."""
+    states, settled = {"^^": (0.0, "")}, []
+    for at, arcs in enumerate(lattice(token), 1):
         nxt: dict = {}
         for context, (score, word) in states.items():
             for letters, cost in arcs:
                 if letters:
                     s, c, w = score - cost + model.log_p(context, letters), context[1] + letters, word + letters
+                    if letters == " ":
+                        c = "^^"
                 else:
                     s, c, w = score - cost, context, word
                 if c not in nxt or (s, w) > nxt[c]:
@@ -199,13 +208,17 @@ def decode(token, model):
         if len(nxt) > BEAM:
             nxt = dict(sorted(nxt.items(), key=lambda x: x[1], reverse=True)[:BEAM])
         states = nxt
-    return max((s + model.log_p(c, "$"), w) for c, (s, w) in states.items())[1]
+        if at % SETTLE == 0:
+            same = commonprefix([w for _, w in states.values()])
+            settled.append(same)
+            states = {c: (s, w[len(same):]) for c, (s, w) in states.items()}
+    return "".join(settled) + max((s + model.log_p(c, "$"), w) for c, (s, w) in states.items())[1]
 
 
 def disguised(token):
     """What needs decoding in a lower-case token without blanks, or None."""
     bare = EDGE.sub("", token.strip(PUNCTUATION))
-    if not 3 <= len(bare) <= MAX_DISGUISED:
+    if len(bare) < 3:
         return None
     if SPACED_TOKEN.fullmatch(bare) or REPEATED.search(bare):
         return bare
@@ -231,18 +244,20 @@ class Scorer:
         return max([w.get(word + "$", 0.0), *[w.get(word[:n], 0.0) for n in PREFIXES if len(word) >= n]])
 
     def restore(self, token):
+        """The words of a disguised token or of letters set apart."""
+        token = RUN.sub(r"\1\1\1", token)
         if len(self.decoded) > 100_000:
             self.decoded.clear()
         got = self.decoded.get(token)
         if got is None:
-            got = self.decoded[token] = decode(token, self.model)
+            got = self.decoded[token] = decode(token, self.model).split()
         return got
 
     def token_weight(self, token):
         """Largest weight of the words in a token, as it stands or restored."""
         best = max([self.weight(w) for w in WORD.findall(token)], default=0.0)
         hidden = disguised(token)
-        return max(best, self.weight(self.restore(hidden))) if hidden else best
+        return max([best, *map(self.weight, self.restore(hidden))]) if hidden else best
 
     def features(self, text):
         """(strongest weight, sum of the five strongest tokens' weights) of a text."""
@@ -254,7 +269,7 @@ class Scorer:
         for t in tokens.difference(known):
             known[t] = self.token_weight(t)
         weights = [x for x in map(known.__getitem__, tokens) if x]
-        weights += [x for x in (self.weight(self.restore(m[0])) for m in SPACED.finditer(text)) if x]
+        weights += [x for x in (self.weight(w) for m in SPACED.finditer(text) for w in self.restore(m[0])) if x]
         top = sorted(weights, reverse=True)[:5]
         return (top[0], sum(top)) if top else (0.0, 0.0)
 

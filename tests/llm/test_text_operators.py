@@ -217,6 +217,25 @@ def test_plain_texts_stay_clean(text):
     assert scorer().score(text) < 0.5
 
 
+@pytest.mark.parametrize("text", ["stu" + 45 * "u" + "pid", "there-" * 12 + "1d10t", "t h e r e t h e " + 8 * "t h i n g " + "l o s e r", "a l o s e r",
+                                  "the a 1 d 1 0 t", "| s t u p i d |"])
+def test_long_and_joined_disguises_are_restored(text):
+    s = scorer()
+    assert s.features(text)[0] >= 5 and s.score(text) > 0.5
+
+
+def test_decoding_is_linear_and_whole():
+    s = scorer()
+    assert s.restore("the.1d10t." * 3000 + "l0s3r")[-1] == "loser" and "idiot" in s.restore("t h e 1 d 1 0 t")
+    token = "thing.st00p!d." * 20
+    whole, toxicity.SETTLE = toxicity.SETTLE, 10 ** 9
+    try:
+        want = toxicity.decode(token, s.model)
+    finally:
+        toxicity.SETTLE = whole
+    assert toxicity.decode(token, s.model) == want
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 
