@@ -9,6 +9,10 @@ counted; neighbouring diagonals within ``SLACK`` merge, since a name may take
 more words. A match needs ``min_coverage`` of the item's windows, and its slots
 must be consistent: one value of the item's slots is always replaced by one
 value in the text.
+
+A text with names is read twice: with a placeholder for each run of names, and
+with the names as plain lower-case words, since a copy in other case has other
+names or none. The reading with the better coverage counts.
 """
 
 from __future__ import annotations
@@ -42,10 +46,18 @@ def marked(text: Column) -> Column:
     t = F.regexp_replace(t, r"[.,:](?<=\p{Nd}.)(?=\p{Nd})", JOINT)
     t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{Nd},;:] .)\p{Ll}+", "#n$0")
     t = F.regexp_replace(t, rf"\p{{Nd}}(?<!\p{{L}}.)[\p{{Nd}}{JOINT}]*", "#d$0 ")
-    t = F.regexp_replace(t, rf"(#d[\p{{Nd}}{JOINT}]+ +)((?i:{'|'.join(UNITS.split())})(?!\p{{L}}))", "$1#u$2")
+    t = F.regexp_replace(t, rf"(#d[\p{{Nd}}{JOINT}]+ +)(?:#n)?((?i:{'|'.join(UNITS.split())})(?!\p{{L}}))", "$1#u$2")
     return F.lower(F.regexp_replace(t, NO_WORD, " "))
 
 
+NAMED, PLAIN, NAMELESS = 0, 1, 2  # readings: names are slots, names are words, there are no names
+
+
+def folded(marks: Column) -> Column:
+    """Adjacent names as one."""
+    return F.replace(F.regexp_replace(marks, r"(#n[^ ]+)(?= #n)", f"$1{JOINT}"), F.lit(f"{JOINT} #n"), F.lit(JOINT))
+
+
 def kinds_of(marks: Column) -> Column:
     """Template tokens: every slot is its placeholder."""
     return split_words(F.regexp_replace(marks, r"#([dnu])[^ ]+", "#$1"))
@@ -55,14 +67,30 @@ def window_hashes(kinds: Column, k: int) -> Column:
     return gram_hashes(kinds, k)
 
 
+def _reading(marks, mode, starts=None) -> Column:
+    return F.struct(kinds_of(marks).alias("kinds"), split_words(marks).alias("values"), F.lit(mode).alias("mode"),
+                    (F.lit(None).cast("array<int>") if starts is None else starts).alias("starts"))
+
+
+def _starts(marks) -> Column:
+    """First word of each token of the folded text and the number of words; null where every token is a word."""
+    whole = F.regexp_replace(marks, r"(#n[^ ]+)(?= #n)", f"$1{JOINT}")
+    split = split_words(F.replace(whole, F.lit(f"{JOINT} #n"), F.lit(" #m")))
+    starts = let(split, lambda w: F.concat(F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: ~F.startswith(F.get(w, i), F.lit("#m"))),
+                                           F.array(F.size(w))))
+    return F.when(marks.rlike("#n[^ ]+ #n"), starts)
+
+
 def _templates(df, key, text_col) -> DataFrame:
-    t = df.select(*key, let(marked(F.col(text_col)), lambda m: F.struct(
-        kinds_of(m).alias("kinds"), split_words(m).alias("values"))).alias("m"))
-    return t.select(*key, "m.kinds", "m.values")
+    """(key, kinds, values, mode, starts): one row for each reading of a text."""
+    t = df.select(*key, F.explode(let(marked(F.col(text_col)), lambda m: F.when(F.contains(m, F.lit("#n")), F.array(
+        _reading(folded(m), NAMED, _starts(m)), _reading(F.replace(m, F.lit("#n"), F.lit("")), PLAIN)))
+        .otherwise(F.array(_reading(m, NAMELESS))))).alias("m"))
+    return t.select(*key, "m.kinds", "m.values", "m.mode", "m.starts")
 
 
 def item_windows(benchmark, item_col="item_id", text_col="text", window=WINDOW) -> DataFrame:
-    """(item, k, n_windows, i_pos, hash, i_values). Items shorter than ``window``
+    """(item, mode, k, n_windows, i_pos, hash, i_kinds, i_values) of each reading. Items shorter than ``window``
     are one window of their own length; items without words have none."""
     t = _templates(benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("__text"))
                    .where("item_id is not null").distinct(), ["item_id"], "__text")
@@ -70,9 +98,9 @@ def item_windows(benchmark, item_col="item_id", text_col="text", window=WINDOW)
     hashes = F.array().cast("array<bigint>")
     for k in range(1, window + 1):
         hashes = F.when(F.col("k") == k, window_hashes(F.col("kinds"), k)).otherwise(hashes)
-    t = t.select("item_id", "k", (F.col("n") - F.col("k") + 1).alias("n_windows"), "kinds", "values",
+    t = t.select("item_id", F.col("mode").alias("i_mode"), "k", (F.col("n") - F.col("k") + 1).alias("n_windows"), "kinds", "values",
                  F.posexplode(hashes).alias("i_pos", "hash"))
-    return t.select("item_id", "k", "n_windows", "i_pos", "hash",
+    return t.select("item_id", "i_mode", "k", "n_windows", "i_pos", "hash",
                     F.slice("kinds", F.col("i_pos") + 1, F.col("k")).alias("i_kinds"),
                     F.slice("values", F.col("i_pos") + 1, F.col("k")).alias("i_values"))
 
@@ -95,28 +123,32 @@ def find(documents, benchmark, id_col="doc_id", text_col="text", item_col="item_
     small = sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS
     hits = None
     for k in [r["k"] for r in sizes] or [window]:
-        grams = docs.select(*key, "values", F.posexplode(window_hashes(F.col("kinds"), k)).alias("pos", "hash"))
+        grams = docs.select(*key, "values", "mode", "starts", F.posexplode(window_hashes(F.col("kinds"), k)).alias("pos", "hash"))
         own = items.where(F.col("k") == k)
         if small:  # checked size
             got = grams.join(F.broadcast(own), "hash")
         else:  # texts stay behind: only places move, and the values are fetched for the hits' rows
             got = grams.join(own, "hash")
-        got = got.select(*key, "item_id", "n_windows", "pos", "i_pos", "i_kinds", "i_values",
+        same = (F.col("mode") == F.col("i_mode")) | (F.col("mode") == NAMELESS) | (F.col("i_mode") == NAMELESS)
+        first = F.coalesce(F.get("starts", F.col("pos")), "pos")
+        last = F.coalesce(F.get("starts", F.col("pos") + window), F.element_at("starts", -1), F.col("pos") + window) - 1
+        got = got.where(same).select(*key, "item_id", "mode", "i_mode", "n_windows", "pos", first.alias("first"), last.alias("last"), "i_pos", "i_kinds", "i_values",
                          F.slice("values", F.col("pos") + 1, k).alias("d_values"))
         hits = got if hits is None else hits.unionByName(got)
     hits = hits.withColumn("pairs", F.transform(
         F.filter(F.arrays_zip("i_kinds", "i_values", "d_values"), lambda x: F.startswith(x["i_kinds"], F.lit("#"))),
         lambda x: F.struct(x["i_values"].alias("i"), x["d_values"].alias("d"))))
-    votes = (hits.groupBy(*key, "item_id", "n_windows", (F.col("pos") - F.col("i_pos")).alias("diagonal"))
-             .agg(F.collect_set("i_pos").alias("places"), F.min("pos").alias("lo"), F.max("pos").alias("hi"),
+    group = [*key, "item_id", "mode", "i_mode", "n_windows"]
+    votes = (hits.groupBy(*group, (F.col("pos") - F.col("i_pos")).alias("diagonal"))
+             .agg(F.collect_set("i_pos").alias("places"), F.min("first").alias("lo"), F.max("last").alias("hi"),
                   F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
     # both sets hold places of one item: bounded by its length
-    w = Window.partitionBy(*key, "item_id").orderBy("diagonal")
+    w = Window.partitionBy(*key, "item_id", "mode", "i_mode").orderBy("diagonal")
     new = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(w) > SLACK).cast("int"), F.lit(1))
     spans = (votes.withColumn("__new", new).withColumn("span", F.sum("__new").over(w))
-             .groupBy(*key, "item_id", "n_windows", "span")
+             .groupBy(*group, "span")
              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_matched"),
-                  F.min("lo").alias("first_word"), (F.max("hi") + window - 1).alias("last_word"),
+                  F.min("lo").alias("first_word"), F.max("hi").alias("last_word"),
                   F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs")))
     slots = F.array_distinct(F.transform("pairs", lambda p: p["i"]))
     spans = (spans.withColumn("n_slots", F.size(slots))
@@ -124,7 +156,7 @@ def find(documents, benchmark, id_col="doc_id", text_col="text", item_col="item_
              .withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
              # each item value needs one pair; more pairs are contradictions
              .withColumn("consistency", F.when(F.col("n_slots") > 0, F.col("n_slots") / F.size("pairs")).otherwise(F.lit(1.0))))
-    best = Window.partitionBy(*key, "item_id").orderBy(F.desc("coverage"), "first_word")
+    best = Window.partitionBy(*key, "item_id").orderBy(F.desc("coverage"), "mode", "i_mode", "first_word")
     return (spans.where((F.col("coverage") >= min_coverage) & (F.col("consistency") >= min_consistent))
             .withColumn("__r", F.row_number().over(best)).where("__r = 1")
             .select(id_col, "item_id", "text_hash", "n_windows", "n_matched", "coverage", "first_word", "last_word", "n_slots",

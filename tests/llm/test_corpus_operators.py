@@ -297,6 +297,20 @@ def test_exact_and_reparameterised_items_are_found(spark):
     assert got[2, 1].consistency == 1.0 and got[5, 1].consistency < 1.0
 
 
+def test_copies_in_other_case_and_longer_names_are_found(spark):
+    other = ITEM.lower().replace("120", "90").replace("9 ", "7 ")
+    named = ITEM.replace("Alice", "Mary Ann Jane Brown").replace("Bob", "John Henry Smith")
+    item = "we saw that Ann went home with Bob then met Carl near the old gate and told Dora about a book"
+    longer = item.replace("Ann", "Ann Lee").replace("Bob", "Bob Roy Kent").replace("Carl", "Carl May Jones Hill").replace("Dora", "Dora Poe")
+    rows = [(1, ITEM.lower()), (2, "So: " + ITEM.upper()), (3, ITEM.title()), (4, other), (5, named), (6, longer), (7, item.lower()), (8, ITEM)]
+    got = found(spark, rows, [(1, ITEM), (2, item), (3, ITEM.lower())])
+    assert {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (8, 1), (6, 2), (7, 2), (3, 3), (8, 3)} <= set(got)
+    assert got[1, 1].coverage == got[2, 1].coverage == got[3, 1].coverage == got[4, 1].coverage == got[5, 1].coverage == got[6, 2].coverage == 1.0
+    assert got[1, 1].kind == got[8, 1].kind == "exact" and got[4, 1].kind == got[5, 1].kind == "re-parameterised"
+    assert (got[5, 1].first_word, got[5, 1].last_word) == (0, len(named.split()) - 1)
+    assert (got[6, 2].first_word, got[6, 2].last_word) == (0, len(longer.split()) - 1)
+
+
 def test_inconsistent_slots_are_no_match(spark):
     item = "add 5 then add 5 then add 5 then add 5 then add 5 then stop"
     rows = [(1, "add 7 then add 7 then add 7 then add 7 then add 7 then stop"), (2, "add 1 then add 2 then add 3 then add 4 then add 6 then stop")]
