@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tablepipe.llm import bpe_codec, decontaminate, langid, licenses, minhash, quality_lm, substring_dedup, token_fst, toxicity, warc
+from tablepipe.llm import (
+    bpe_codec,
+    decontaminate,
+    filter_audit,
+    langid,
+    licenses,
+    minhash,
+    mixing,
+    phrases,
+    quality_lm,
+    substring_dedup,
+    token_fst,
+    toxicity,
+    warc,
+)
 from tablepipe.plans import table
 
 REGISTRY: dict = {}
@@ -87,3 +101,93 @@ def op5_near_duplicates(spark, sf_dir):
 def op4_substring_dedup(spark, sf_dir):
     return (substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
             .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
+OP11_SQL = r"""
+with t as (select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from t),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+g as (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) as g
+  from w, (values (1), (2), (3), (4)) as k(k) where len(w) >= k),
+n as (select lang, count(*) as n from g where k = 1 group by lang),
+f as (select lang, k, g, array_to_string(g, ' ') as phrase, count(*) as f from g group by all having count(*) >= 30),
+c as (select lang, g, phrase, k, f as a, unnest(range(1, k)) as c from f where k > 1),
+s as (select c.lang, c.phrase, c.a, x.f as l, y.f as r, c.c, cast((2000000::hugeint * c.a) // (x.f + y.f) as bigint) as score
+  from c join f x on x.lang = c.lang and x.phrase = array_to_string(c.g[1:c.c], ' ')
+  join f y on y.lang = c.lang and y.phrase = array_to_string(c.g[c.c + 1:], ' ')),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+i as (select lang, f, k, g, unnest(range(2, k)) as m from f where k > 2),
+j as (select lang, f, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(g[i:i + m - 1], ' '))) as phrase from i),
+o as (select lang, phrase, max(f) as longer from j group by all),
+r as (select b.*, row_number() over (partition by b.lang order by b.score desc, b.a desc, b.phrase) as rank
+  from b left join o on o.lang = b.lang and o.phrase = b.phrase where longer is null or 100 * longer < 80 * b.a)
+select r.lang, rank, r.phrase, a, l, r, n, score from r join n on n.lang = r.lang where rank <= 2000
+"""
+
+
+@query("op11_phrase_mining", OP11_SQL)
+def op11_phrase_mining(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents")).drop("first_doc")
+
+
+OP12_SQL = r"""
+with d as (select doc_id, source, case when text is null then 0 else len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) end as size,
+    cast('0x' || substr(md5(concat_ws(' ', cast(doc_id as varchar), text)), 1, 15) as bigint) as place from documents),
+s as (select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) - 1 as no
+  from d group by source),
+w as (select *, [5, 2, 1][no % 3 + 1] as weight, 2 * source_size as cap from s),
+o as (select *, row_number() over x as turn, sum(source_size) over () as total,
+    coalesce(sum(cap) over (order by cap / weight, no rows between unbounded preceding and 1 preceding), 0) as before,
+    sum(weight) over (order by cap / weight, no rows between current row and unbounded following) as rest
+  from w window x as (order by cap / weight, no)),
+v as (select turn as first, 3 * total - 2 * before as share, rest as among from o
+  where cap::hugeint * 2 * rest > weight * (3 * total - 2 * before) order by turn limit 1),
+g as (select o.*, cast(case when turn >= first then weight * share / (among * 2) else cap end as double) as target
+  from o left join v on true),
+q as (select doc_id, no, size, source_size, target, total as words,
+    cast(sum(size) over (partition by no order by place, doc_id, size rows unbounded preceding) as bigint) as upto
+  from d join g on d.source is not distinct from g.source where size > 0),
+c as (select *, upto + round * source_size as place, (upto + round * source_size) / target as finish
+  from q, (values (0), (1)) as r(round)),
+t as (select *, sum(size) over (order by finish, no, place rows unbounded preceding) as served from c),
+a as (select doc_id, no, upto, size, source_size, target, cast(sum(case when served <= (3 * words) // 2 then size else 0 end) as bigint) as taken
+  from t group by all)
+select doc_id, size, source_size, target, taken from a
+union all select doc_id, size, source_size, target, 0 from d join g on d.source is not distinct from g.source where size = 0
+"""
+
+
+@query("op12_source_mixing", OP12_SQL)
+def op12_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+with recursive p(o) as (select '' union all select o || c from p, (values ('A'), ('B'), ('C'), ('D'), ('E')) as l(c) where not contains(o, c)),
+s as (select o as filter_order, step, 1 << (ascii(substr(o, step, 1)) - 65) as own,
+    coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(o, cast(i as int), 1)) - 65))), 0) as before
+  from p, (values (1), (2), (3), (4), (5)) as k(step) where length(o) = 5),
+d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    min(doc_id) over (partition by coalesce(text, '')) as first from documents),
+m as (select part, (len(w) < 100)::int + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::int
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t))::int
+    + 8 * regexp_matches(t, '[#$%&*|]')::int + 16 * coalesce(first < d.doc_id, false)::int as mask,
+    coalesce(quality = 1, false) as good, coalesce(toxic = 1, false) as toxic from d left join labels l on l.doc_id = d.doc_id),
+n as (select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from m group by all),
+r as (select part, filter_order, step, own,
+    sum(case when mask & own = 0 and mask & before = 0 then n else 0 end) as kept,
+    sum(case when mask & own > 0 and mask & before = 0 then n else 0 end) as removed,
+    sum(case when mask & own > 0 and mask & before > 0 then n else 0 end) as redundant,
+    sum(case when mask = own then n else 0 end) as unique_fails,
+    sum(case when mask & own > 0 and mask & before = 0 then good else 0 end) as good_lost,
+    sum(case when mask & own > 0 and mask & before = 0 then toxic else 0 end) as toxic_lost
+  from n, s group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  sum(removed) over (partition by part, own) as shapley from r
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
