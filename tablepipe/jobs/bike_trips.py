@@ -28,6 +28,7 @@ TIME_COLUMNS = ["Start Datetime", "End Datetime"]
 # Timestamp forms accepted when none is given: ISO text, then US exports.
 TIME_FORMATS = [None, "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy"]
 
+# The declared columns of the table and its key.
 BIKE_TRIPS = TableContract.from_ddl(
     "trip_id bigint, bike_type string, end_datetime timestamp_ntz, end_station string, "
     "end_station_name string, name_group string, optional_kiosk_id_group string, "

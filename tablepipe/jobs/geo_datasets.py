@@ -23,4 +23,4 @@ def run(spark: SparkSession, manifest: DataFrame | None = None, schema: str = "g
         manifest = single_item_manifest(spark, item[0], item[1])
     if manifest is None:
         raise ValueError("provide a manifest, or one item with its distributions")
-    return load_manifest(spark, manifest, schema, priority=priority, on_error="collect")
+    return load_manifest(spark, manifest, schema, priority=priority)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tablepipe.functions.text import point_text
 from tablepipe.operators.catalog import UPLOAD_METADATA_PATHS, extract_paths, set_table_comment
 from tablepipe.operators.contract import BuiltSchema, build_schema, enforce_varchar, metadata_columns
-from tablepipe.operators.sinks import export_csv, write_table
+from tablepipe.operators.sinks import export_single_csv, write_table
 from tablepipe.sources.paged import PAGE_SIZE, clean_header, load_fetcher, read_paged
 
 # Fixed value: rows fetched to learn the data headers.
@@ -77,7 +77,7 @@ def run(spark: SparkSession, dataset_id: str, fetcher: str, fetcher_args: dict,
     data = typed_extract(spark, built, fetcher, fetcher_args, page_size, size_limit)
     captured = extract_paths(docs, "doc", UPLOAD_METADATA_PATHS)
     if extract_root:  # dated CSV extract next to the table load
-        export_csv(data, f"{extract_root.rstrip('/')}/{dated_name(dataset_id, 'extract')}")
+        export_single_csv(data, f"{extract_root.rstrip('/')}/{dated_name(dataset_id, 'extract')}")
     if table:
         write_table(data, table, existing=existing)
         descr = json.loads(metadata_doc).get("description")

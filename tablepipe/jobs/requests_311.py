@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tablepipe.operators.filters import recent_exclude
-from tablepipe.operators.sinks import export_csv
+from tablepipe.operators.sinks import export_single_csv
 
 # Fixed value: the category left out of the published layer.
 EXCLUDED_TYPE = "Homeless Encampment"
@@ -22,4 +22,4 @@ def extract(requests: DataFrame, as_of=None, months: int = 6, excluded: str = EX
 def run(spark: SparkSession, source: str, out_path: str, as_of=None,
         excluded: str = EXCLUDED_TYPE) -> None:
     requests = spark.table(source) if "/" not in source else spark.read.parquet(source)
-    export_csv(extract(requests, as_of, excluded=excluded), out_path)
+    export_single_csv(extract(requests, as_of, excluded=excluded), out_path)

@@ -8,8 +8,10 @@ query of the original reads 'PST' - the two zones are kept distinct.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablepipe.functions.text import parsed_or_fail
 from tablepipe.functions.timeops import local_date, utc_wall
 from tablepipe.operators.contract import (
     TableContract,
@@ -17,12 +19,14 @@ from tablepipe.operators.contract import (
     enforce_not_null,
     integer_columns,
 )
-from tablepipe.operators.filters import cast_columns, day_slice, drop_null_keys, drop_strict
+from tablepipe.operators.filters import day_slice, drop_null_keys, drop_strict
 from tablepipe.operators.sinks import (
     append_ignore_conflicts,
-    truncate_and_load,
+    dedup_first,
+    replace_path,
     with_file_order,
     write_snapshot,
+    write_table,
 )
 from tablepipe.sources.typed import read_typed_json
 
@@ -32,6 +36,10 @@ SNAPSHOT_ZONE = "-08:00"
 TIME_COLUMNS = ["arrive", "depart", "scheduled_arrive", "scheduled_depart"]
 DROPPED = ["driver_first_name", "driver_last_name"]
 
+# Partition column of the target: the snapshot-zone day of a key's time.
+ARRIVE_DAY = "arrive_day"
+
+# The declared columns of the export and its unique key.
 STOP_TIMES = TableContract.from_ddl(
     "arrival_passengers bigint, arrive timestamp, arrive_variance double, block_href string, "
     "depart timestamp, depart_variance double, departure_passengers bigint, driver_href string, "
@@ -41,28 +49,40 @@ STOP_TIMES = TableContract.from_ddl(
     "trip_href string, trip_name string, vehicle_href string, vehicle_name string",
     keys=["scheduled_arrive", "stop_name", "trip_id"], name="stop_times")
 
+
 def export_schema() -> str:
-    """The export as read: the declared columns (trip_id may arrive as a
-    float) plus the driver names that are dropped."""
+    """The export as read: the declared columns plus the driver names that are dropped.
+    trip_id keeps its text, so that an id above 2^53 is not rounded on the way."""
     cols = []
     for f in STOP_TIMES.schema.fields:
-        t = "double" if f.name == "trip_id" else f.dataType.simpleString()
+        t = "string" if f.name == "trip_id" else f.dataType.simpleString()
         cols.append(f"{f.name} {t}")
     return ", ".join(cols + [f"{c} string" for c in DROPPED])
 
 
+def whole_number(text) -> Column:
+    """An integer id from its text, which may be written as a float (``12.0``, ``1.2E1``);
+    null for any other text."""
+    exact = F.trim(text).try_cast("decimal(38,6)")
+    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+
+
 def prepare(raw: DataFrame) -> DataFrame:
-    """Drop driver names, drop rows without a trip id, make it an integer, and
-    keep the declared columns (plus the arrival order when present)."""
+    """Drop driver names, drop rows without a trip id, make it an integer (text that is none
+    fails the load), add the target's partition day, and keep the declared columns (plus the
+    arrival order when present)."""
     df = drop_strict(raw, *DROPPED)
     df = drop_null_keys(df, ["trip_id"])
-    df = cast_columns(df, {"trip_id": "bigint"})
+    trip = F.col("trip_id")
+    df = df.withColumns({"trip_id": parsed_or_fail(trip, whole_number(trip), "trip_id"),
+                         ARRIVE_DAY: local_date(utc_wall("scheduled_arrive"), SNAPSHOT_ZONE)})
     extra = ["__ord"] if "__ord" in df.columns else []
-    return df.select(*STOP_TIMES.names, *extra)
+    return df.select(*STOP_TIMES.names, ARRIVE_DAY, *extra)
 
 
 def load(spark: SparkSession, json_path: str, target: str, multi_line: bool = True) -> bool:
-    """Append the export; False when it was empty (a holiday or missing data)."""
+    """Append the export; False when it was empty (a holiday or missing data). Only the
+    target's days that the export has are read."""
     raw = read_typed_json(spark, json_path, export_schema(), multi_line=multi_line, order_col="__ord")
     if raw.isEmpty():
         return False
@@ -71,7 +91,7 @@ def load(spark: SparkSession, json_path: str, target: str, multi_line: bool = Tr
     # an integer column holding a null fails the load; the guard rides in the
     # append itself, whose failed job commits nothing
     df = enforce_not_null(df, integer_columns(STOP_TIMES))
-    append_ignore_conflicts(df, target, STOP_TIMES.keys, order_by="__ord")
+    append_ignore_conflicts(df, target, STOP_TIMES.keys, order_by="__ord", partition_col=ARRIVE_DAY)
     return True
 
 
@@ -79,7 +99,7 @@ def snapshot_day(spark: SparkSession, target: str, day, root: str, zone: str = S
     """Write the target's rows of local ``day`` to ``root/service_date=day``;
     nothing is written for an empty day; other days are untouched."""
     tgt = spark.table(target) if "/" not in target else spark.read.parquet(target)
-    sliced = day_slice(tgt, "scheduled_depart", day, zone=zone)
+    sliced = day_slice(tgt.select(*STOP_TIMES.names), "scheduled_depart", day, zone=zone)
     sliced = sliced.withColumn("service_date", local_date(utc_wall("scheduled_depart"), zone))
     return write_snapshot(sliced, root, partition_col="service_date", skip_empty=True)
 
@@ -105,6 +125,11 @@ def run(spark: SparkSession, json_path: str, target: str, day, snapshot_root: st
 def migrate(spark: SparkSession, source_path: str, target: str) -> None:
     """Truncate and reload from a parquet source, ignoring conflicts; the
     contract is checked (the original skipped it)."""
-    df = with_file_order(spark.read.parquet(source_path))
+    df = with_file_order(spark.read.parquet(source_path).select(*STOP_TIMES.names))
     check_contract(df, STOP_TIMES)
-    truncate_and_load(df, target, contract=STOP_TIMES, on_duplicate="first", order_by="__ord")
+    df = dedup_first(df, STOP_TIMES.keys, "__ord").select(*STOP_TIMES.names)
+    df = df.withColumn(ARRIVE_DAY, local_date(utc_wall("scheduled_arrive"), SNAPSHOT_ZONE))
+    if "/" in target:
+        replace_path(df, target, partition_by=[ARRIVE_DAY])
+    else:
+        write_table(df, target, existing="truncate")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablepipe._util import quote_ident, quote_sql_string
 from tablepipe.functions.text import json_path
 from tablepipe.functions.timeops import epoch_text
 
@@ -16,15 +17,6 @@ LISTING_SCHEMA = ("catalog string, schema string, table string, description stri
                   "geometry string, crs string")
 
 
-def quote_sql_string(text: str) -> str:
-    """A SQL string literal with quotes and backslashes escaped."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def quote_ident(name: str) -> str:
-    return ".".join("`" + p.replace("`", "``") + "`" for p in name.split("."))
-
-
 def set_table_comment(spark: SparkSession, table: str, comment: str) -> None:
     """``COMMENT ON TABLE`` with the text escaped (the original did not escape)."""
     spark.sql(f"COMMENT ON TABLE {quote_ident(table)} IS {quote_sql_string(comment)}")
@@ -73,6 +65,54 @@ def catalog_listing(spark: SparkSession, exclude=("tiger",), databases=None, cat
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
+FACTS_SCHEMA = ("schema string, table string, column string, data_type string, rows bigint, nulls bigint, "
+                "min_value double, max_value double")
+
+
+def table_facts(spark: SparkSession, schema: str, table: str) -> DataFrame:
+    """One row per column of a table: its type, the table's rows, the column's nulls and, for
+    numbers, the least and greatest value.
+
+    For parquet the scan answers from the file footers (row counts and column statistics,
+    read by tasks); no column data is read. Other formats are scanned."""
+    from pyspark.sql import types as T
+
+    from tablepipe.operators.sinks import TableInfo, setting
+
+    full = f"{schema}.{table}"
+    info, fields = TableInfo(spark, full), spark.table(full).schema.fields
+    if info.provider == "parquet" and not info.partitions:
+        spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")  # read when the facts are
+        with setting(spark, "spark.sql.sources.useV1SourceList", ""):  # the reader that pushes aggregates
+            data = spark.read.schema(spark.table(full).schema).parquet(info.location)
+    else:
+        data = spark.table(full)
+    number = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, f in enumerate(fields):
+        c = F.col(f"`{f.name}`")
+        aggs.append(F.count(c).alias(f"n{i}"))
+        if isinstance(f.dataType, number):
+            aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+    none = F.lit(None).cast("double")
+    rows = [F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("data_type"), F.col("__rows").alias("rows"),
+                     (F.col("__rows") - F.col(f"n{i}")).alias("nulls"),
+                     (F.col(f"lo{i}").cast("double") if isinstance(f.dataType, number) else none).alias("min_value"),
+                     (F.col(f"hi{i}").cast("double") if isinstance(f.dataType, number) else none).alias("max_value"))
+            for i, f in enumerate(fields)]
+    return data.agg(*aggs).select(F.lit(schema).alias("schema"), F.lit(table).alias("table"), F.inline(F.array(*rows)))
+
+
+def catalog_facts(spark: SparkSession, exclude=("tiger",), databases=None) -> DataFrame:
+    """The catalog listing with the facts of each table's columns, leaving out the ``exclude`` schemas."""
+    from functools import reduce
+
+    listing = catalog_listing(spark, exclude, databases)
+    facts = [table_facts(spark, r["schema"], r["table"]) for r in listing.select("schema", "table").collect()]
+    empty = spark.createDataFrame([], FACTS_SCHEMA)
+    return listing.join(reduce(DataFrame.unionByName, facts, empty), ["schema", "table"])
+
+
 # Metadata fields captured from a portal dataset, name -> dotted path.
 UPLOAD_METADATA_PATHS = {
     "Description": "description",

@@ -11,10 +11,12 @@ Keys are applied here because Spark files enforce none:
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablepipe._util import as_list, order_columns, require_columns
+from tablepipe._util import as_list, order_columns, quote_ident, quote_sql_string, require_columns
 
 
 def _all_keys_present(keys) -> Column:
@@ -79,36 +81,93 @@ def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by, batch_un
     return fresh.unionByName(batch.where(~present))
 
 
-def plan_append(batch: DataFrame, target: str, keys, order_by, fmt: str = "parquet",
-                partition_col: str | None = None, batch_unique: bool = False) -> DataFrame:
-    """The rows :func:`append_ignore_conflicts` would write (lazy, nothing
-    written).
-
-    ``partition_col``: a key column the target is partitioned by (e.g. a
-    service date). The target scan is then cut to the range of partition
-    values in the batch (one aggregate of two values, pushed to the target's
-    partitions), so a daily batch reads one day of a years-long table."""
-    spark = batch.sparkSession
-    tgt = _read_target(spark, target, fmt, like=batch)
+# A batch's partition values are listed up to this many, beyond that their range cuts the target.
+LISTED_VALUES = 1000
+# Hash bits of a key filter: buckets of 32,768 bits (the built-in bitmap's size), 16 bits a key,
+# at most 16 MB in all; a fuller filter lets more target rows through and changes no result.
+_BITMAP_BITS, _BITS_PER_KEY, _MOST_BITMAPS = 32_768, 16, 4096
+
+
+def key_filter(target: DataFrame, batch: DataFrame, keys, batch_rows: int) -> DataFrame:
+    """The rows of ``target`` whose key may be in ``batch``: a Bloom filter of the batch's keys
+    (two hashes, built map-side as bitmaps by bucket) goes to every task that scans the target,
+    so a key that is surely not in the batch never reaches the shuffle of the join."""
+    buckets = min(_MOST_BITMAPS, max(1, -(-batch_rows * _BITS_PER_KEY // _BITMAP_BITS)))
+    present = _all_keys_present(keys)
+    own = [c for c in target.columns]
+    out = target.where(present)
+    for seed in (0, 1):
+        h = F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(seed))
+        bucket, bit = F.pmod(h, F.lit(buckets)), F.pmod(F.shiftright(h, 24), F.lit(_BITMAP_BITS))
+        maps = (batch.where(present).select(bucket.alias("__b"), bit.alias("__bit")).groupBy("__b")
+                .agg(F.bitmap_construct_agg("__bit").alias("__map")))
+        probe = out.withColumns({"__b": bucket, "__bit": bit})
+        probe = probe.join(F.broadcast(maps), "__b")
+        byte = F.conv(F.hex(F.expr("substring(__map, cast(__bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+        out = probe.where(F.getbit(byte, (F.col("__bit") % 8).cast("int")) == 1).select(*own)
+    return out
+
+
+def pruned_target(target: DataFrame, batch: DataFrame, keys, partition_col: str | None = None,
+                  bloom: bool = False) -> DataFrame:
+    """The part of ``target`` that can conflict with ``batch``: the partitions the batch has, the
+    range of each numeric or time key (literals, so they reach partition pruning and the row-group
+    statistics), and with ``bloom`` a filter of its keys. One aggregation of the batch's key columns."""
+    from pyspark.sql import types as T
+
+    keys = as_list(keys)
+    spans = [k for k in keys if isinstance(batch.schema[k].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))]
+    known = batch.where(_all_keys_present(keys))
+    aggs = [f(F.col(f"`{k}`")).alias(f"{n}{i}") for i, k in enumerate(spans) for n, f in (("lo", F.min), ("hi", F.max))]
     if partition_col is not None:
-        if partition_col not in as_list(keys):
-            raise ValueError("partition_col must be one of the keys")
-        lo, hi = batch.agg(F.min(partition_col), F.max(partition_col)).first()
-        tgt = tgt.where(F.col(partition_col).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False))
-    return rows_to_append(batch, tgt, keys, order_by, batch_unique).select(*tgt.columns)
+        p = F.col(f"`{partition_col}`")
+        aggs += [F.min(p).alias("plo"), F.max(p).alias("phi"), F.approx_count_distinct(p).alias("pn"), F.count_if(p.isNull()).alias("pnull")]
+    stats = known.agg(F.count(F.lit(1)).alias("n"), *aggs).first()
+    if not stats["n"]:
+        return target.where(F.lit(False))
+    if partition_col is not None and not stats["pnull"]:
+        p = F.col(f"`{partition_col}`")
+        target = target.where(p.between(F.lit(stats["plo"]), F.lit(stats["phi"])))
+        if stats["pn"] <= LISTED_VALUES // 2:
+            values = [r[0] for r in known.select(p).distinct().limit(LISTED_VALUES + 1).collect()]
+            if len(values) <= LISTED_VALUES:
+                target = target.where(p.isin(values))
+    for i, k in enumerate(spans):
+        if k != partition_col:
+            target = target.where(F.col(f"`{k}`").between(F.lit(stats[f"lo{i}"]), F.lit(stats[f"hi{i}"])))
+    return key_filter(target, known, keys, stats["n"]) if bloom else target
+
+
+def plan_append(batch: DataFrame, target: str, keys, order_by, fmt: str = "parquet",
+                partition_col: str | None = None, batch_unique: bool = False, bloom: bool = False) -> DataFrame:
+    """The rows :func:`append_ignore_conflicts` would write (lazy but for the batch's key
+    range, nothing written).
+
+    ``partition_col``: the column the target is partitioned by - a key, or a column that
+    the keys determine (the day of a key's time). The target is then cut to what can
+    conflict (:func:`pruned_target`), so a daily batch reads one day of a years-long table.
+    ``bloom`` adds a filter of the batch's keys, for a batch much smaller than that part."""
+    tgt = _read_target(batch.sparkSession, target, fmt, like=batch)
+    columns = tgt.columns
+    partition_col = partition_col if partition_col in columns else None  # an older target without the column
+    if partition_col is not None or bloom:
+        if partition_col is not None:
+            require_columns(batch, [partition_col])
+        tgt = pruned_target(tgt, batch, keys, partition_col, bloom)
+    return rows_to_append(batch, tgt, keys, order_by, batch_unique).select(*columns)
 
 
 def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
                             fmt: str = "parquet", partition_col: str | None = None,
-                            batch_unique: bool = False) -> None:
+                            batch_unique: bool = False, bloom: bool = False) -> None:
     """Append the non-conflicting rows of ``batch`` to a table or path.
     Running it twice appends nothing the second time for non-null keys. (To
     inspect the rows first, use :func:`plan_append`; re-evaluating it after
     the write would compare against the updated target.)"""
-    add = plan_append(batch, target, keys, order_by, fmt, partition_col, batch_unique)
+    add = plan_append(batch, target, keys, order_by, fmt, partition_col, batch_unique, bloom)
     if _is_path(target):
         w = add.write.mode("append").format(fmt)
-        if partition_col is not None:  # keep the target's layout
+        if partition_col in add.columns:  # keep the target's layout
             w = w.partitionBy(partition_col)
         w.save(target)
     else:
@@ -159,9 +218,7 @@ def truncate_and_load(df: DataFrame, target: str, contract=None, keys=None,
     if _is_path(target):
         replace_path(df, target, fmt)
     else:
-        spark = df.sparkSession
-        cols = spark.table(target).columns
-        staged(df.select(*cols)).write.insertInto(target, overwrite=True)
+        truncate_table(df, target)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -171,6 +228,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm.org.apache.hadoop.fs.Path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is at a path; a file system that cannot tell raises."""
+    fs, at, _ = _fs(spark, path)
+    return fs.exists(at)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to a fresh path in the shared folder and read back: whatever
     can fail in computing it has failed before a target is touched."""
@@ -181,7 +244,7 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def replace_path(df: DataFrame, target: str, fmt: str = "parquet", **options) -> None:
+def replace_path(df: DataFrame, target: str, fmt: str = "parquet", partition_by=(), **options) -> None:
     """Replace the data at a path: write beside it, then swap by two renames. A
     load that fails leaves the old data as it was; the old data goes last."""
     import uuid
@@ -191,7 +254,8 @@ def replace_path(df: DataFrame, target: str, fmt: str = "parquet", **options) ->
     new, old = f"{base}.__new-{tag}", f"{base}.__old-{tag}"
     fs, at, path_of = _fs(spark, base)
     try:
-        df.write.format(fmt).options(**options).save(new)
+        writer = df.write.format(fmt).options(**options)
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(new)
     except Exception:
         fs.delete(path_of(new), True)
         raise
@@ -229,33 +293,206 @@ def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None,
     return True
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the length of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+class TableInfo:
+    """What the catalog knows of a table: kind, location, provider, partition columns, and
+    whether the catalog lists its partitions one by one."""
+
+    def __init__(self, spark: SparkSession, table: str):
+        import json
+
+        d = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(table)} AS JSON").first()[0])
+        self.managed = d.get("type", "").upper() == "MANAGED"
+        self.location = d["location"]
+        self.provider = d.get("provider", "parquet").lower()
+        self.partitions = [c["name"] if isinstance(c, dict) else c for c in d.get("partition_columns", [])]
+        self.listed = d.get("partition_provider", "").lower() == "catalog"
+
+
+def _version_path(location: str) -> str:
+    """A fresh folder beside a table's location."""
+    import re
+    import uuid
+
+    return re.sub(r"\.__v-[0-9a-f]{12}$", "", location.rstrip("/")) + f".__v-{uuid.uuid4().hex[:12]}"
+
+
+def _default_location(spark: SparkSession, table: str) -> str:
+    database, _, name = table.rpartition(".")
+    return f"{spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{name.lower()}"
+
+
+def _create_table(spark: SparkSession, table: str, schema, provider: str, partition_by) -> None:
+    """An empty managed table whose partitions are found in its folder, not listed in the catalog,
+    so that one change of its location changes all of its content."""
+    columns = ", ".join(f"{quote_ident(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    sql = f"CREATE TABLE {quote_ident(table)} ({columns}) USING {provider}"
+    if not partition_by:
+        spark.sql(sql)
+        return
+    with setting(spark, "spark.sql.hive.manageFilesourcePartitions", "false"):
+        spark.sql(f"{sql} PARTITIONED BY ({', '.join(quote_ident(c) for c in partition_by)})")
+
+
+def replace_table(df: DataFrame, table: str, partition_by=(), provider: str = "parquet") -> None:
+    """Replace a table's content, or create it.
+
+    The new data is written to a folder of its own first, so a load that fails leaves the
+    table as it was. Then the table's location is switched - one change in the catalog, so a
+    reader sees all of the old data or all of the new - and the old folder goes last. A
+    change of schema, partitioning or format drops and creates the table once the new data
+    is complete; between these two a reader finds no table."""
+    spark, partition_by = df.sparkSession, as_list(partition_by)
+    rest = [c for c in df.columns if c not in partition_by]
+    df = df.select(*[F.col(f"`{c}`") for c in [*rest, *partition_by]])  # a table's partition columns come last
+    info = TableInfo(spark, table) if spark.catalog.tableExists(table) else None
+    same = (info is not None and info.managed and not (info.partitions and info.listed) and info.provider == provider
+            and info.partitions == partition_by and _types(spark.table(table).schema) == _types(df.schema))
+    new = _version_path(info.location if info else _default_location(spark, table))
+    writer = df.write.format(provider)
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(new)
+    except Exception:
+        fs, at, _ = _fs(spark, new)
+        fs.delete(at, True)
+        raise
+    gone = [info.location] if info and info.managed else []  # an external table's folder is its owner's
+    if not same:
+        spark.sql(f"DROP TABLE IF EXISTS {quote_ident(table)}")
+        _create_table(spark, table, df.schema, provider, partition_by)
+        gone.append(TableInfo(spark, table).location)
+    spark.sql(f"ALTER TABLE {quote_ident(table)} SET LOCATION {quote_sql_string(new)}")
+    spark.catalog.refreshTable(table)
+    for path in gone:
+        fs, at, _ = _fs(spark, path)
+        fs.delete(at, True)
+
+
+def _types(schema) -> list:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
+def truncate_table(df: DataFrame, table: str) -> None:
+    """Replace all rows of a table - every partition, also those that ``df`` has no row of -
+    keeping its schema, partitioning, properties and comment. A load that fails leaves the
+    old rows."""
+    spark = df.sparkSession
+    info, schema = TableInfo(spark, table), spark.table(table).schema
+    df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    if info.managed and not (info.partitions and info.listed):
+        replace_table(df, table, info.partitions, info.provider)
+        return
+    # partitions that the catalog lists, or a folder that is the owner's: staged, then all partitions overwritten
+    data = staged(df)
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+        data.write.insertInto(table, overwrite=True)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV with a header line in every part file and no index column, replacing
     ``path`` once all parts are written. Parts are written in parallel."""
-    replace_path(df, path, "csv", header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+    replace_path(df, path, "csv", header=True, timestampNTZFormat=CSV_TIME)
+
+
+CSV_TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
+
+def export_single_csv(df: DataFrame, path: str) -> None:
+    """One CSV file with one header line, replacing ``path`` when it is complete.
+
+    Tasks write parts without headers beside it, which are put behind the header in the
+    order of their names (:func:`single_file`). Use :func:`export_csv` where readers take
+    a folder of parts."""
+    import csv
+    import io
+
+    line = io.StringIO()
+    csv.writer(line, lineterminator="\n").writerow(df.columns)
+    single_file(df.write.option("header", False).option("timestampNTZFormat", CSV_TIME).format("csv"), df.sparkSession, path,
+                head=line.getvalue())
+
+
+def single_file(writer, spark: SparkSession, path: str, head: str = "", tail: str = "", skip: int = 0) -> None:
+    """The parts that ``writer`` writes as one file between ``head`` and ``tail``; the first
+    ``skip`` bytes of all parts are left out.
+
+    The parts are written by parallel tasks. The file system joins them by reference where
+    it can (HDFS ``concat``), else they are copied through a small buffer: one file is one
+    stream there. The file takes its name when it is complete."""
+    import uuid
+
+    tag = uuid.uuid4().hex[:12]
+    parts, new = f"{path}.__parts-{tag}", f"{path}.__new-{tag}"
+    fs, at, path_of = _fs(spark, path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    by_reference = fs.getScheme() in ("hdfs", "webhdfs") and not tail and not skip
+    try:
+        writer.save(parts)
+        files = [f for f in fs.listStatus(path_of(parts)) if f.getPath().getName().startswith("part-") and f.getLen() > 0]
+        files = sorted((f.getPath() for f in files), key=lambda f: f.getName())
+        out = fs.create(path_of(new))
+        try:
+            out.write(bytearray(head.encode()))
+            for i, f in enumerate([] if by_reference else files):
+                source = fs.open(f)
+                try:
+                    if i == 0 and skip:
+                        source.seek(skip)
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+                finally:
+                    source.close()
+            out.write(bytearray(tail.encode()))
+        finally:
+            out.close()
+        if by_reference and files:
+            array = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(files))
+            for i, f in enumerate(files):
+                array[i] = f
+            fs.concat(path_of(new), array)
+        if fs.exists(at):
+            fs.delete(at, True)
+        if not fs.rename(path_of(new), at):
+            raise OSError(f"cannot move the new file to {path}")
+    finally:
+        fs.delete(path_of(parts), True)
+        fs.delete(path_of(new), True)
 
 
 def write_table(df: DataFrame, table: str, contract=None, existing: str = "drop",
-                comment: str | None = None) -> None:
-    """Load into a catalog table. ``existing``: ``drop`` replaces table and
-    schema, ``truncate`` keeps the schema, ``append`` adds rows, ``fail``
-    refuses an existing table. The comment is set after the load, since a
-    replace drops it."""
-    from tablepipe.operators.contract import conform
+                comment: str | None = None, partition_by=()) -> None:
+    """Load into a catalog table. ``existing``: ``drop`` replaces rows and
+    schema (:func:`replace_table`), ``truncate`` replaces all rows and keeps the schema
+    (:func:`truncate_table`), ``append`` adds rows, ``fail`` refuses an existing table.
+    The comment is set after the load, since a replace may drop it."""
     from tablepipe.operators.catalog import set_table_comment
+    from tablepipe.operators.contract import conform
 
     if contract is not None:
         df = conform(df, contract)
     if existing == "drop":
-        staged(df).write.mode("overwrite").saveAsTable(table)
+        replace_table(df, table, partition_by)
     elif existing == "truncate":
-        cols = df.sparkSession.table(table).columns
-        staged(df.select(*cols)).write.insertInto(table, overwrite=True)
+        truncate_table(df, table)
     elif existing == "append":
         cols = df.sparkSession.table(table).columns
         df.select(*cols).write.insertInto(table)
     elif existing == "fail":
-        df.write.mode("errorifexists").saveAsTable(table)
+        if df.sparkSession.catalog.tableExists(table):
+            raise ValueError(f"table {table} already exists")
+        replace_table(df, table, partition_by)
     else:
         raise ValueError("existing must be one of drop, truncate, append, fail")
     if comment is not None:
@@ -271,12 +508,8 @@ def _read_target(spark: SparkSession, target: str, fmt: str, like: DataFrame | N
     empty table shaped like ``like`` (helper columns ``__*`` left out)."""
     if not _is_path(target):
         return spark.table(target)
-    try:
-        return spark.read.format(fmt).load(target)
-    except Exception as e:  # noqa: BLE001
-        if like is None or "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        cols = [f for f in like.schema.fields if not f.name.startswith("__")]
+    if like is not None and not path_exists(spark, target):
         from pyspark.sql import types as T
 
-        return spark.createDataFrame([], T.StructType(cols))
+        return spark.createDataFrame([], T.StructType([f for f in like.schema.fields if not f.name.startswith("__")]))
+    return spark.read.format(fmt).load(target)

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablepipe.operators.catalog import catalog_listing, ensure_table, quote_sql_string
+from tablepipe._util import quote_sql_string
+from tablepipe.operators.catalog import catalog_facts, ensure_table
 from tablepipe.operators.sinks import write_table
 from tablepipe.plans._base import query, table
 from tablepipe.plans.writes import ORDERS_CONTRACT
@@ -47,14 +48,44 @@ def _listing_sql() -> str:
         vals = ["'spark_catalog'", f"'{LISTED_DB}'", f"'{name}'"]
         vals += [f"'{v}'" if v is not None else "CAST(NULL AS VARCHAR)" for v in (descr, geom, crs)]
         rows.append("SELECT " + ", ".join(f"{v} AS {c}" for v, c in zip(
-            vals, ["catalog", "schema", "\"table\"", "description", "geometry", "crs"])))
+            vals, ["catalog", "schema", "\"table\"", "description", "geometry", "crs"]))
+            + f", (SELECT count(*) FROM {name}) AS rows, (SELECT count(*) FROM (DESCRIBE {name})) AS columns")
     return " UNION ALL ".join(rows)
 
 
 @query("catalog_listing", _listing_sql())
 def q_catalog_listing(spark, sf):
+    """The listed tables with their rows and columns, which come from the files' footers."""
     _register(spark, sf)
-    return catalog_listing(spark, exclude=(EXCLUDED_DB,), databases=[LISTED_DB, EXCLUDED_DB])
+    facts = catalog_facts(spark, exclude=(EXCLUDED_DB,), databases=[LISTED_DB, EXCLUDED_DB])
+    return facts.groupBy("catalog", "schema", "table", "description", "geometry", "crs").agg(
+        F.max("rows").alias("rows"), F.count("column").alias("columns"))
+
+
+# The columns of the listed tables with their Spark types.
+LISTED_COLUMNS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "region": "r_regionkey int, r_name string",
+}
+
+
+def _facts_sql() -> str:
+    rows = []
+    for t, columns in LISTED_COLUMNS.items():
+        for c, kind in (x.split(" ") for x in columns.split(", ")):
+            lo, hi = (f"CAST({f}({c}) AS DOUBLE)" if kind in ("int", "bigint", "double") else "CAST(NULL AS DOUBLE)" for f in ("min", "max"))
+            rows.append(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", '{kind}' AS data_type, count(*) AS rows, "
+                        f"count(*) - count({c}) AS nulls, {lo} AS min_value, {hi} AS max_value FROM {t}")
+    return " UNION ALL ".join(rows)
+
+
+@query("catalog_facts", _facts_sql())
+def q_catalog_facts(spark, sf):
+    """Rows, nulls and extremes of every column of the listed tables, from the files' footers."""
+    _register(spark, sf)
+    return catalog_facts(spark, exclude=(EXCLUDED_DB,), databases=[LISTED_DB, EXCLUDED_DB]).select(
+        "table", "column", "data_type", "rows", "nulls", "min_value", "max_value")
 
 
 COMMENT = "Orders loaded from the fixture; it's \"quoted\" text"

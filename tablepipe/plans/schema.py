@@ -1,10 +1,8 @@
 """Contract and metadata-driven schema queries.
 
-Metadata documents are derived from the driver tables' own schemas: each
-column is published under a display name (words title-cased, ``o_orderkey``
--> ``O Orderkey``) with a portal type chosen from its Spark type. Cleaning a
-display name removes the underscore (``oorderkey``) while the data header
-keeps it, which is exactly the drift the schema builder has to remove.
+The schema queries start from JSON rows: one dataset per part brand and one per event
+type. Which columns a dataset has, and of which portal type, is found from all of its
+rows; the documents, drift and table schemas follow from that.
 """
 
 from __future__ import annotations
@@ -12,135 +10,115 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablepipe.operators.contract import (
-    SYSTEM_FIELDS,
     TableContract,
     contract_report,
     map_types,
     merge_system_fields,
     metadata_columns,
-    portal_type_of,
     schema_drift,
 )
-from tablepipe.operators.names import rename_strip
+from tablepipe.operators.infer import data_headers, fields, metadata_documents
 from tablepipe.plans._base import query, table
 
-META_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-# Column names and portal types of the tables above, in order
-# (used only to spell out the oracle SQL).
-META_COLUMNS = {
-    "region": [("r_regionkey", "number"), ("r_name", "text")],
-    "nation": [("n_nationkey", "number"), ("n_name", "text"), ("n_regionkey", "number")],
-    "customer": [("c_custkey", "number"), ("c_name", "text"), ("c_nationkey", "number"),
-                 ("c_acctbal", "number"), ("c_mktsegment", "text")],
-    "supplier": [("s_suppkey", "number"), ("s_name", "text"), ("s_nationkey", "number"),
-                 ("s_acctbal", "number")],
-    "part": [("p_partkey", "number"), ("p_name", "text"), ("p_brand", "text"), ("p_type", "text"),
-             ("p_size", "number"), ("p_retailprice", "number")],
-    "orders": [("o_orderkey", "number"), ("o_custkey", "number"), ("o_orderstatus", "text"),
-               ("o_totalprice", "number"), ("o_orderdate", "calendar_date"),
-               ("o_orderpriority", "text")],
-    "lineitem": [("l_orderkey", "number"), ("l_partkey", "number"), ("l_suppkey", "number"),
-                 ("l_linenumber", "number"), ("l_quantity", "number"), ("l_extendedprice", "number"),
-                 ("l_discount", "number"), ("l_tax", "number"), ("l_returnflag", "text"),
-                 ("l_linestatus", "text"), ("l_shipdate", "calendar_date")],
-    "events": [("event_id", "number"), ("ts", "calendar_date"), ("user_id", "number"),
-               ("event_type", "text"), ("value", "number"), ("props", "text")],
-}
-POSTGRES_SQL = {"number": "DOUBLE PRECISION", "text": "VARCHAR(1024)", "calendar_date": "TIMESTAMP"}
-
-
-def display_name(column: str) -> str:
-    return " ".join(w.capitalize() for w in column.split("_"))
-
-
-def _schemas(spark, sf):
-    return {name: table(spark, sf, name) for name in META_TABLES}
-
-
-def _docs(spark, sf, tables=None):
-    """``(dataset_id, doc)`` built by Spark from each table's schema."""
-    tables = tables or _schemas(spark, sf)
-    rows = []
-    for name, df in tables.items():
-        rows.append((name, [(display_name(f.name), portal_type_of(f.dataType)) for f in df.schema.fields]))
-    raw = spark.createDataFrame(
-        rows, "dataset_id string, columns array<struct<name: string, dataTypeName: string>>")
-    return raw.select("dataset_id", F.to_json(F.struct("columns")).alias("doc"))
-
-
-def _data_columns(spark, sf, tables=None):
-    """Cleaned headers of each table's data, ``(dataset_id, name)``."""
-    tables = tables or _schemas(spark, sf)
-    rows = []
-    for name, df in tables.items():
-        rows += [(name, c) for c in rename_strip(df).columns]
-    return spark.createDataFrame(rows, "dataset_id string, name string")
-
-
-def _values(rows, cols) -> str:
-    body = ", ".join("(" + ", ".join(_lit(v) for v in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS v({', '.join(cols)})"
-
-
-def _lit(v) -> str:
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, int):
-        return str(v)
-    return "'" + str(v).replace("'", "''") + "'"
-
-
-def _meta_rows():
-    out = []
-    for t in META_TABLES:
-        for i, (c, p) in enumerate(META_COLUMNS[t]):
-            d = display_name(c)
-            out.append((t, i, d, d.lower().replace(" ", ""), p))
-    return out
-
-
-_META_SQL = ("SELECT dataset_id, CAST(position AS INTEGER) AS position, raw_name, name, data_type FROM "
-             + _values(_meta_rows(), ["dataset_id", "position", "raw_name", "name", "data_type"]))
-
-
-@query("metadata_columns", _META_SQL)
+
+def _json_rows(spark, sf):
+    """(dataset_id, row_id, doc): parts and events as JSON rows. Brands differ in the geometry
+    of their place; some values change type from row to row."""
+    p = table(spark, sf, "part")
+    brand = F.substring("p_brand", 7, 9).cast("int")
+    text = lambda c: F.col(c).cast("string")
+    key = lambda name, value: F.concat(F.lit(f'"{name}":'), value)
+    shape = F.element_at(F.array(*[F.lit(g) for g in ("Point", "MultiPoint", "MultiLineString", "Polygon", "MultiPolygon")]), brand % 5 + 1)
+    half = F.col("p_size") % 3 == 0
+    doc = F.concat(F.lit("{"), F.concat_ws(
+        ",", key("Part Key", text("p_partkey")),
+        F.concat(F.lit('"'), F.col("p_type"), F.lit(' Price":'), text("p_retailprice")),
+        key("List Price", F.concat(F.lit('"$'), F.format_number("p_retailprice", 2), F.lit('"'))),
+        key("In Stock", (F.col("p_size") > 25).cast("string")),
+        key("Released", F.concat(F.lit('"2024-01-'), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"), F.lit('T00:00:00.000"'))),
+        key("Place", F.concat(F.lit('{"type":"'), shape, F.lit('","coordinates":[]}'))),
+        key("Site", F.lit('{"latitude":"34.05","longitude":"-118.24"}')),
+        key("Size", F.when(F.col("p_size") > 40, F.lit('"large"')).otherwise(text("p_size"))),
+        key("Weight", F.when(half, text("p_size")).otherwise(F.concat(text("p_size"), F.lit(".5")))),
+        F.lit('"Note":null'),
+        F.when(brand % 2 == 1, key("created_at", F.concat(F.lit('"'), F.col("p_name"), F.lit('"')))),
+        F.when(F.col("p_partkey") % 4 == 0, key("sid", F.concat(F.lit('"row-'), text("p_partkey"), F.lit('"'))))), F.lit("}"))
+    parts = p.select(F.col("p_brand").alias("dataset_id"), F.col("p_partkey").alias("row_id"), doc.alias("doc"))
+    events = table(spark, sf, "events").select(F.col("event_type").alias("dataset_id"), F.col("event_id").alias("row_id"), F.col("props").alias("doc"))
+    return parts.unionByName(events)
+
+
+def _column_sql(spot, name, kind, where="true", by=""):
+    return (f"SELECT p_brand AS dataset_id, {spot} AS spot, {name} AS raw_name, {kind} AS data_type, "
+            f"bool_or(p_partkey % 2 = 0) AS loaded FROM p WHERE {where} GROUP BY p_brand, b{by}")
+
+
+_COLUMNS_SQL = ("WITH p AS (SELECT *, CAST(substr(p_brand, 7) AS INTEGER) AS b FROM part), c AS ("
+                + " UNION ALL ".join([
+                    _column_sql(0, "'Part Key'", "'number'"), _column_sql(1, "p_type || ' Price'", "CASE WHEN bool_and(p_retailprice = floor(p_retailprice)) THEN 'number' ELSE 'double' END", by=", p_type"),
+                    _column_sql(2, "'List Price'", "'money'"), _column_sql(3, "'In Stock'", "'checkbox'"),
+                    _column_sql(4, "'Released'", "'calendar_date'"),
+                    _column_sql(5, "'Place'", "['point', 'multipoint', 'multiline', 'polygon', 'multipolygon'][b % 5 + 1]"),
+                    _column_sql(6, "'Site'", "'location'"), _column_sql(7, "'Size'", "CASE WHEN max(p_size) > 40 THEN 'text' ELSE 'number' END"),
+                    _column_sql(8, "'Weight'", "CASE WHEN bool_and(p_size % 3 = 0) THEN 'number' ELSE 'double' END"),
+                    _column_sql(9, "'Note'", "'text'"), _column_sql(10, "'created_at'", "'text'", "b % 2 = 1"),
+                    _column_sql("10 + b % 2", "'sid'", "'text'", "p_partkey % 4 = 0"),
+                    "SELECT event_type, 0, 'k', 'number', bool_or(event_id % 2 = 0) FROM events GROUP BY event_type"])
+                + "), m AS (SELECT dataset_id, CAST(row_number() OVER (PARTITION BY dataset_id ORDER BY spot, raw_name) - 1 AS INTEGER) "
+                "AS position, raw_name, regexp_replace(lower(trim(raw_name)), '[^a-z0-9_]', '', 'g') AS name, data_type, "
+                "loaded AND raw_name <> 'sid' AS kept FROM c) ")
+
+
+def _type_sql(point):
+    return ("CASE WHEN data_type IN ('number', 'double', 'money') THEN 'DOUBLE PRECISION' WHEN data_type = 'checkbox' THEN 'boolean' "
+            f"WHEN data_type = 'calendar_date' THEN 'TIMESTAMP' WHEN data_type = 'point' THEN '{point}' ELSE 'VARCHAR(1024)' END")
+
+
+def _metadata(spark, sf):
+    rows = _json_rows(spark, sf)
+    return metadata_columns(metadata_documents(fields(rows, "doc", "dataset_id"), "dataset_id"))
+
+
+def _headers(spark, sf):
+    """What the data has by now: the headers of the even rows."""
+    rows = _json_rows(spark, sf).where(F.col("row_id") % 2 == 0)
+    return data_headers(fields(rows, "doc", "dataset_id"), "dataset_id")
+
+
+@query("metadata_columns", _COLUMNS_SQL + "SELECT dataset_id, position, raw_name, name, data_type FROM m")
 def q_metadata_columns(spark, sf):
-    return metadata_columns(_docs(spark, sf))
+    """Metadata documents built from all JSON rows of each dataset, read back as columns."""
+    return _metadata(spark, sf)
 
 
-@query("type_map_lookup",
-       "SELECT dataset_id, name, data_type, CASE data_type WHEN 'number' THEN 'DOUBLE PRECISION' "
-       "WHEN 'text' THEN 'VARCHAR(1024)' WHEN 'calendar_date' THEN 'TIMESTAMP' END AS sql_type, "
-       f"FALSE AS is_point FROM ({_META_SQL})")
+@query("type_map_lookup", _COLUMNS_SQL + " UNION ALL ".join(
+    f"SELECT dataset_id, name, data_type, '{kind}' AS warehouse, {_type_sql(point)} AS sql_type, "
+    f"{'data_type = ' + repr('point') if point == 'POINT' else 'false'} AS is_point FROM m"
+    for kind, point in (("redshift", "VARCHAR(1024)"), ("postgres", "POINT"))))
 def q_type_map_lookup(spark, sf):
-    return map_types(metadata_columns(_docs(spark, sf)), "postgres").select(
-        "dataset_id", "name", "data_type", "sql_type", "is_point")
+    """The table types of every dataset's columns, for both kinds of warehouse."""
+    meta = _metadata(spark, sf)
+    both = [map_types(meta, kind).withColumn("warehouse", F.lit(kind)) for kind in ("redshift", "postgres")]
+    return both[0].unionByName(both[1]).select("dataset_id", "name", "data_type", "warehouse", "sql_type", "is_point")
 
 
-@query("schema_drift",
-       f"SELECT dataset_id, name FROM ({_META_SQL}) WHERE raw_name LIKE '% %'")
+@query("schema_drift", _COLUMNS_SQL + "SELECT dataset_id, name FROM m WHERE NOT kept")
 def q_schema_drift(spark, sf):
-    tables = _schemas(spark, sf)
-    return schema_drift(metadata_columns(_docs(spark, sf, tables)),
-                        _data_columns(spark, sf, tables)).select("dataset_id", "name")
-
-
-def _merge_sql() -> str:
-    rows = []
-    for t in META_TABLES:
-        kept = [(c, POSTGRES_SQL[p]) for c, p in META_COLUMNS[t] if "_" not in c]
-        allc = kept + list(SYSTEM_FIELDS.items())
-        rows += [(t, i, c, s) for i, (c, s) in enumerate(allc)]
-    return ("SELECT dataset_id, CAST(position AS INTEGER) AS position, name, sql_type FROM "
-            + _values(rows, ["dataset_id", "position", "name", "sql_type"]))
+    """Columns that the metadata names and the data no longer has; the row id is there under its table name."""
+    return schema_drift(_metadata(spark, sf), _headers(spark, sf)).select("dataset_id", "name")
 
 
-@query("schema_merge", _merge_sql())
+@query("schema_merge", _COLUMNS_SQL + f""", s AS (
+  SELECT dataset_id, name, position, {_type_sql('POINT')} AS sql_type, 0 AS rank FROM m WHERE kept
+  UNION ALL SELECT dataset_id, f.name, 1000 + f.rank, f.sql_type, f.rank FROM (SELECT DISTINCT dataset_id FROM m),
+    (VALUES ('id', 'VARCHAR(2048)', 1), ('created_at', 'TIMESTAMP', 2), ('updated_at', 'TIMESTAMP', 3)) AS f(name, sql_type, rank)),
+u AS (SELECT dataset_id, name, arg_max(sql_type, rank) AS sql_type, min(position) AS spot FROM s GROUP BY ALL)
+SELECT dataset_id, CAST(row_number() OVER (PARTITION BY dataset_id ORDER BY spot) - 1 AS INTEGER) AS position, name, sql_type FROM u""")
 def q_schema_merge(spark, sf):
-    """Schema per dataset: drifted columns removed, types mapped, system fields merged."""
-    tables = _schemas(spark, sf)
-    meta = metadata_columns(_docs(spark, sf, tables))
-    kept = meta.join(_data_columns(spark, sf, tables), on=["dataset_id", "name"], how="left_semi")
+    """Schema per dataset: drifted columns removed, types mapped, system fields merged (a data
+    column with a system name keeps its place and takes the system type)."""
+    meta = _metadata(spark, sf)
+    kept = meta.join(_headers(spark, sf), on=["dataset_id", "name"], how="left_semi")
     typed = map_types(kept, "postgres").select("dataset_id", "position", "name", "sql_type")
     return merge_system_fields(typed, datasets=meta)
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablepipe.functions.timeops import local_date, us_datetime_text
+from tablepipe.jobs.portal_import import dated_name
 from tablepipe.operators.contract import TableContract
 from tablepipe.operators.filters import day_slice
 from tablepipe.operators.names import rename_snake
@@ -13,6 +14,8 @@ from tablepipe.operators.sinks import (
     append_ignore_conflicts,
     dedup_first,
     export_csv,
+    export_single_csv,
+    replace_table,
     truncate_and_load,
     write_snapshot,
     write_table,
@@ -159,3 +162,61 @@ def _scratch_table(spark, stem: str) -> str:
     return f"{db}.{stem}_{uuid.uuid4().hex[:10]}"
 
 
+@query("table_replace", "SELECT * FROM events")
+def q_table_replace(spark, sf):
+    """A partitioned table replaced by other partitions; a third load fails half-way and leaves it."""
+    ev = table(spark, sf, "events")
+    name = _scratch_table(spark, "events_replaced")
+    replace_table(ev.withColumn("event_type", F.concat(F.lit("old-"), "event_type")), name, ["event_type"])
+    replace_table(ev, name, ["event_type"])
+    broken = ev.withColumn("props", F.when(F.col("event_id") % 97 == 0, F.raise_error(F.lit("broken row"))).otherwise(F.col("props")))
+    try:
+        replace_table(broken, name, ["event_type"])
+    except Exception as e:  # noqa: BLE001 - the load must fail for this reason only
+        if "broken row" not in str(e):
+            raise
+    return spark.table(name).select(*ev.columns)
+
+
+@query("table_truncate", " UNION ALL ".join(
+    f"SELECT *, '{kind}' AS kind FROM events WHERE event_type = 'click'" for kind in ("found", "listed")))
+def q_table_truncate(spark, sf):
+    """Tables with a partition per event type, reloaded with clicks only: no other partition
+    stays, whether partitions are found in the folder or listed by the catalog."""
+    ev = table(spark, sf, "events")
+    out = []
+    for kind in ("found", "listed"):
+        name = _scratch_table(spark, f"events_{kind}")
+        if kind == "found":
+            replace_table(ev, name, ["event_type"])
+        else:
+            ev.write.partitionBy("event_type").saveAsTable(name)
+        truncate_and_load(ev.where("event_type = 'click'"), name)
+        out.append(spark.table(name).select(*ev.columns, F.lit(kind).alias("kind")))
+    return out[0].unionByName(out[1])
+
+
+@query("append_pruned",
+       "SELECT *, CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-12' OR event_id % 2 = 0")
+def q_append_pruned(spark, sf):
+    """A batch of three days appended to a table partitioned by day that has half of one of them:
+    only those days are read, behind a filter of the batch's keys."""
+    ev = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    target = scratch_path(spark, "events_by_day")
+    day = F.col("day")
+    ev.where((day < F.lit("2024-01-12").cast("date")) | ((F.col("event_id") % 2 == 0) & (day != F.lit("2024-01-13").cast("date")))
+             ).write.partitionBy("day").parquet(target)
+    batch = ev.where(day.between(F.lit("2024-01-11").cast("date"), F.lit("2024-01-13").cast("date")))
+    batch = batch.where((day < F.lit("2024-01-12").cast("date")) | (F.col("event_id") % 2 == 0))
+    append_ignore_conflicts(batch, target, ["event_id"], order_by=["ts"], partition_col="day", bloom=True)
+    return spark.read.schema(ev.schema).parquet(target).select(*ev.columns)
+
+
+@query("single_csv", "SELECT * FROM orders")
+def q_single_csv(spark, sf):
+    """A dated extract as one CSV file with one header line, read back."""
+    orders = table(spark, sf, "orders")
+    path = f"{scratch_path(spark, 'extract')}/{dated_name('orders', 'extract')}"
+    export_single_csv(orders, path)
+    back = spark.read.schema(orders.schema).option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+    return back.option("mode", "FAILFAST").csv(path)

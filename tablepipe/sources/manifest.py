@@ -8,69 +8,62 @@ as a table. Failures are collected and reported together at the end.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablepipe._util import quote_ident
 from tablepipe.operators.combine import choose_by_priority
+from tablepipe.operators.infer import struct_type
+from tablepipe.sources.json_array import array_elements
 
 # Default format preference, best first.
 FORMAT_PRIORITY = ("shapefile", "geojson", "csv")
 # Formats this library reads; shapefile decoding is not built, so a preferred
 # shapefile falls through to the next readable format.
 READABLE = ("geojson", "csv", "parquet", "json")
-FEATURE_SCHEMA = ("type string, features array<struct<type: string, properties: string, "
-                  "geometry: string>>")
 FEATURE_LINE_SCHEMA = "type string, properties string, geometry string"
 
 
-def read_geojson(spark: SparkSession, path, properties_schema: str | None = None,
-                 kind: str = "collection") -> DataFrame:
+def read_geojson(spark: SparkSession, path, properties_schema=None, kind: str = "collection") -> DataFrame:
     """Features as rows: property columns plus ``geometry`` (GeoJSON text) and
     ``geometry_type``.
 
-    ``kind='collection'`` reads FeatureCollection documents (one task per
-    file); ``kind='seq'`` reads newline-delimited features, which split across
-    tasks. Nested objects declared as strings keep their JSON text, so mixed
-    geometry types never break schema inference."""
+    ``kind='collection'`` reads FeatureCollection documents, each by many tasks
+    (the elements of its ``features`` array); ``kind='seq'`` reads
+    newline-delimited features. Nested objects declared as strings keep their
+    JSON text, so mixed geometry types never break schema inference. Without
+    ``properties_schema`` it is inferred from all features."""
     if kind == "collection":
-        docs = spark.read.schema(FEATURE_SCHEMA).option("multiLine", True).json(path)
-        feats = docs.select(F.inline("features"))
+        feats = array_elements(spark, path, key="features").select(
+            F.from_json("element", FEATURE_LINE_SCHEMA, {"mode": "FAILFAST"}).alias("f")).select("f.*")
     elif kind == "seq":
         feats = spark.read.schema(FEATURE_LINE_SCHEMA).json(path)
     else:
         raise ValueError("kind must be 'collection' or 'seq'")
     feats = feats.where(F.col("type") == "Feature")
     if properties_schema is None:
-        properties_schema = infer_properties_schema(spark, path, kind)
+        properties_schema = struct_type(feats, "properties")
     parsed = feats.select(F.from_json("properties", properties_schema).alias("p"), "geometry")
     return parsed.select("p.*", "geometry", F.get_json_object("geometry", "$.type").alias("geometry_type"))
 
 
-def infer_properties_schema(spark: SparkSession, path, kind: str = "collection"):
-    """The struct type of the features' properties, inferred by Spark's JSON
-    reader over the files (a distributed pass). Only ``properties`` is kept,
-    so geometries of mixed types play no part."""
-    from pyspark.sql import types as T
-
-    if kind == "collection":
-        schema = spark.read.option("multiLine", True).json(path).schema
-        feats = schema["features"].dataType.elementType if "features" in schema.fieldNames() else None
-        props = feats["properties"].dataType if feats is not None and "properties" in feats.fieldNames() else None
-    else:
-        schema = spark.read.json(path).schema
-        props = schema["properties"].dataType if "properties" in schema.fieldNames() else None
-    return props if isinstance(props, T.StructType) else T.StructType([])
+def _features(df: DataFrame, geometry_col: str, property_cols):
+    props = property_cols or [c for c in df.columns if c != geometry_col]
+    return F.format_string('{"type":"Feature","properties":%s,"geometry":%s}', F.to_json(F.struct(*props)), F.col(geometry_col))
 
 
 def write_geojson_seq(df: DataFrame, path: str, geometry_col: str = "geometry",
                       property_cols=None) -> None:
     """Newline-delimited GeoJSON features; ``geometry_col`` holds GeoJSON text."""
-    props = property_cols or [c for c in df.columns if c != geometry_col]
-    line = F.format_string('{"type":"Feature","properties":%s,"geometry":%s}',
-                           F.to_json(F.struct(*props)), F.col(geometry_col))
-    df.select(line.alias("value")).write.mode("overwrite").text(path)
+    df.select(_features(df, geometry_col, property_cols).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_geojson_collection(df: DataFrame, path: str, geometry_col: str = "geometry", property_cols=None) -> None:
+    """One FeatureCollection file; its features are written by parallel tasks."""
+    from tablepipe.operators.sinks import single_file
+
+    lines = df.select(F.concat(F.lit(","), _features(df, geometry_col, property_cols)).alias("value"))
+    single_file(lines.write.format("text"), df.sparkSession, path, head='{"type":"FeatureCollection","features":[', tail="]}\n", skip=1)
 
 
 def choose_distributions(manifest: DataFrame, priority=FORMAT_PRIORITY) -> DataFrame:
@@ -78,13 +71,6 @@ def choose_distributions(manifest: DataFrame, priority=FORMAT_PRIORITY) -> DataF
     return choose_by_priority(manifest, ["table_name"], "format", priority, tie_break=["url"])
 
 
-@dataclass
-class LoadResult:
-    table_name: str
-    ok: bool
-    error: str | None = None
-
-
 def read_distribution(spark: SparkSession, fmt: str, url: str) -> DataFrame:
     if fmt == "geojson":
         return read_geojson(spark, url)
@@ -97,36 +83,42 @@ def read_distribution(spark: SparkSession, fmt: str, url: str) -> DataFrame:
     raise ValueError(f"no reader for format {fmt!r}")
 
 
-def load_manifest(spark: SparkSession, manifest: DataFrame, schema: str,
-                  priority=FORMAT_PRIORITY, on_error: str = "collect") -> list[LoadResult]:
-    """Replace one table per dataset from its preferred distribution.
+RESULT_SCHEMA = "table_name string, format string, ok boolean, error string"
+
+
+def load_datasets(spark: SparkSession, manifest: DataFrame, schema: str, priority=FORMAT_PRIORITY, parallel: int = 4) -> DataFrame:
+    """Replace one table per dataset from its preferred distribution; one row per dataset:
+    ``(table_name, format, ok, error)``.
+
+    Every dataset is attempted, ``parallel`` at a time. Each load is a job of its own with its
+    own staged switch, so a dataset that fails keeps the rows it had and holds up no other.
+    The driver holds a catalog's worth of names."""
+    from concurrent.futures import ThreadPoolExecutor
 
-    The driver loops over datasets (a catalog's worth of rows); each load is a
-    distributed job. With ``on_error='collect'`` every dataset is attempted and
-    one combined error is raised at the end."""
-    from tablepipe.operators.sinks import write_table
+    from tablepipe.operators.sinks import replace_table
 
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote_ident(schema)}")
     readable = [f for f in priority if f in READABLE]
     chosen = choose_distributions(manifest, readable).select("table_name", "format", "url")
-    results, failures = [], []
-    unreadable = manifest.select("table_name").distinct().join(chosen, "table_name", "left_anti")
-    for row in unreadable.orderBy("table_name").toLocalIterator():
-        if on_error != "collect":
-            raise ValueError(f"{row.table_name}: no readable distribution")
-        results.append(LoadResult(row.table_name, False, "no readable distribution"))
-        failures.append(f"{row.table_name}: no readable distribution (readable: {', '.join(readable)})")
-    for row in chosen.orderBy("table_name").toLocalIterator():
+    rows = manifest.select("table_name").distinct().join(chosen, "table_name", "left").orderBy("table_name").collect()
+
+    def load(row):
+        if row.format is None:
+            return row.table_name, None, False, f"no readable distribution (readable: {', '.join(readable)})"
         try:
-            df = read_distribution(spark, row.format, row.url)
-            write_table(df, f"{schema}.{row.table_name}", existing="drop")
-            results.append(LoadResult(row.table_name, True))
-        except Exception as e:  # noqa: BLE001 - isolate each dataset
-            if on_error != "collect":
-                raise
-            msg = str(e).splitlines()[0] if str(e) else type(e).__name__
-            results.append(LoadResult(row.table_name, False, msg))
-            failures.append(f"{row.table_name}: {msg}")
-    if failures:
-        raise RuntimeError("Failed to load the following datasets:\n" + "\n".join(failures))
+            replace_table(read_distribution(spark, row.format, row.url), f"{schema}.{row.table_name}")
+            return row.table_name, row.format, True, None
+        except Exception as e:  # noqa: BLE001 - a dataset's failure is its result
+            return row.table_name, row.format, False, str(e).splitlines()[0] if str(e) else type(e).__name__
+
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        return spark.createDataFrame(list(pool.map(load, rows)), RESULT_SCHEMA)
+
+
+def load_manifest(spark: SparkSession, manifest: DataFrame, schema: str, priority=FORMAT_PRIORITY, parallel: int = 4) -> DataFrame:
+    """:func:`load_datasets`, raising once all datasets were attempted if any did not load."""
+    results = load_datasets(spark, manifest, schema, priority, parallel)
+    bad = results.where(~F.col("ok")).orderBy("table_name").collect()
+    if bad:
+        raise RuntimeError(f"{len(bad)} dataset(s) not loaded: " + "; ".join(f"{r.table_name}: {r.error}" for r in bad))
     return results

@@ -59,12 +59,33 @@ class Page(InputPartition):
         self.offset, self.limit, self.hint = offset, limit, hint
 
 
-class Chain(InputPartition):
-    """Every ``step``-th page from an offset on, until a short or empty page: how a
-    source that cannot count its rows is read by several tasks."""
+class Rest(InputPartition):
+    """The pages from an offset on, until a short or empty one: the last partition, since a
+    source may have grown since its pages were planned."""
 
-    def __init__(self, offset: int, step: int):
-        self.offset, self.step = offset, step
+    def __init__(self, offset: int):
+        self.offset = offset
+
+
+def has_row(page) -> bool:
+    """Whether a page (a list of lists with a header, or an Arrow table) has a row."""
+    return len(page) > 1 if isinstance(page, list) else page.num_rows > 0
+
+
+def frontier(probe, page_size: int, most: int | None = None) -> int:
+    """The number of pages of a source that cannot count its rows: pages 1, 2, 4, ... are
+    probed until one is empty, then the last one with rows is found by halving. ``probe(offset)``
+    tells whether a row stands at an offset; ``most`` bounds the pages."""
+    if not probe(0):
+        return 0
+    low, high = 0, 1  # page low has rows
+    while (most is None or high < most) and probe(high * page_size):
+        low, high = high, 2 * high
+    high = high if most is None else min(high, most)
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if probe(middle * page_size) else (low, middle)
+    return low + 1
 
 
 class PagedDataSource(DataSource):
@@ -91,20 +112,21 @@ class PagedReader(DataSourceReader):
         self.size_limit = int(lim) if lim not in (None, "", "None") else None
         self.spec = self.options["fetcher"]
         self.args = json.loads(self.options.get("fetcher_args", "{}"))
-        self.chains = int(self.options.get("chains", 8))
 
     def partitions(self):
         fetcher = load_fetcher(self.spec, self.args)
         rc = self.options.get("row_count")
         index = fetcher.index() if hasattr(fetcher, "index") else None
         if rc in (None, "") and index is None and not hasattr(fetcher, "count"):
-            return [Chain(i * self.page_size, self.chains) for i in range(self.chains)]
+            most = None if self.size_limit is None else len(page_offsets(2**62, self.page_size, self.size_limit))
+            pages = frontier(lambda at: has_row(fetcher.fetch(at, 1)), self.page_size, most)
+            rc = pages * self.page_size  # of the last page only the start is known
         if rc in (None, ""):
             rc = sum(n for _, n in index) if index is not None else fetcher.count()
         offsets = page_offsets(int(rc), self.page_size, self.size_limit)
         if index is None:  # the count may be stale: the last task reads on until a short page
             last = offsets[-1:] if offsets else [0]
-            return [*[Page(o, self.page_size) for o in offsets[:-1]], *[Chain(o, 1) for o in last]]
+            return [*[Page(o, self.page_size) for o in offsets[:-1]], *[Rest(o) for o in last]]
         # one pass over pages and files together: each page gets only the
         # files it covers, with their start rows
         located, start = [], 0
@@ -126,23 +148,21 @@ class PagedReader(DataSourceReader):
         if partition is None:  # no pages were planned (an empty dataset)
             return
         fetcher = load_fetcher(self.spec, self.args)
-        if isinstance(partition, Chain):
+        more = {"columns": self.columns} if getattr(fetcher, "prunes", False) else {}
+        if isinstance(partition, Rest):
             offset = partition.offset
             # a size limit allows one page more than it fills, as page_offsets does
             last = None if self.size_limit is None else page_offsets(2**62, self.page_size, self.size_limit)[-1]
             while last is None or offset <= last:
-                table = self._table(fetcher.fetch(offset, self.page_size), offset)
+                table = self._table(fetcher.fetch(offset, self.page_size, **more), offset)
                 if table is not None:
                     yield from table.to_batches()
                 if table is None or table.num_rows < self.page_size:
                     return
-                offset += partition.step * self.page_size
+                offset += self.page_size
             return
-        more = {}
         if partition.hint is not None:
             more["hint"] = partition.hint
-        if getattr(fetcher, "prunes", False):
-            more["columns"] = self.columns
         table = self._table(fetcher.fetch(partition.offset, partition.limit, **more), partition.offset)
         if table is not None:
             yield from table.to_batches()
@@ -178,6 +198,7 @@ class SortedParquetFetcher:
         self.path = path
         self.header_case = header_case
         self.index_path = index_path
+        self._index = None
 
     def _files(self):
         import pyarrow.parquet as pq
@@ -193,15 +214,16 @@ class SortedParquetFetcher:
         return filesystem, out
 
     def index(self):
-        """(file, rows) in key order; read once when the pages are planned.
-        With ``index_path`` (see :func:`build_page_index`) the footers are not
-        read on the driver: the index was counted by a Spark job."""
-        if self.index_path:
+        """(file, rows) in key order; read once by each user. With ``index_path`` (see
+        :func:`build_page_index`) it was counted by a Spark job and no footers are read here."""
+        if self._index is None and self.index_path:
             import pyarrow.parquet as pq
 
             t = pq.read_table(_local(self.index_path)).sort_by("file")
-            return [(_local(f), int(n)) for f, n in zip(t.column("file").to_pylist(), t.column("rows").to_pylist())]
-        return self._files()[1]
+            self._index = [(_local(f), int(n)) for f, n in zip(t.column("file").to_pylist(), t.column("rows").to_pylist())]
+        elif self._index is None:
+            self._index = self._files()[1]
+        return self._index
 
     def count(self) -> int:
         return sum(n for _, n in self.index())
@@ -211,17 +233,13 @@ class SortedParquetFetcher:
         import pyarrow.parquet as pq
         from pyarrow import fs as pafs
 
+        filesystem = pafs.FileSystem.from_uri(self.path if "://" in self.path else "file://" + self.path)[0]
+        located, start = hint, 0
         if hint is None:
-            filesystem, files = self._files()
             located = []
-            start = 0
-            for name, n in files:
+            for name, n in self.index():
                 located.append((name, n, start))
                 start += n
-        else:
-            filesystem = pafs.FileSystem.from_uri(
-                self.path if "://" in self.path else "file://" + self.path)[0]
-            located = hint
         pieces = []
         for name, n, start in located:
             lo, hi = max(offset - start, 0), min(offset + limit - start, n)
@@ -251,8 +269,10 @@ class CountlessFetcher:
     def __init__(self, **args):
         self._pages = SortedParquetFetcher(**args)
 
-    def fetch(self, offset: int, limit: int):
-        return self._pages.fetch(offset, limit)
+    prunes = True
+
+    def fetch(self, offset: int, limit: int, columns=None):
+        return self._pages.fetch(offset, limit, columns=columns)
 
 
 def _local(path: str) -> str:

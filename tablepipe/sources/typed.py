@@ -73,16 +73,25 @@ def read_typed_csv(spark: SparkSession, path, types: dict | None = None,
 
 def read_typed_json(spark: SparkSession, path, schema, multi_line: bool = True,
                     order_col: str | None = None, **options) -> DataFrame:
-    """JSON with a declared schema: a JSON array file (``multi_line``) or JSON
+    """JSON with a declared schema: one JSON array per file (``multi_line``) or JSON
     lines. A number read into a string column keeps its text (``12`` ->
-    ``'12'``); a missing field is null. An array file is read by one task per
-    file, so large exports should be JSON lines.
+    ``'12'``); a missing field is null. An array file is read by many tasks
+    (:func:`~tablepipe.sources.json_array.array_elements`).
 
     A record that is no JSON, or a value that does not fit its type, fails the
     query. With ``mode="PERMISSIVE"`` and a ``_corrupt_record string`` column in
-    the schema such records are kept there, for a rejects output."""
-    df = (spark.read.schema(_as_struct(schema)).option("multiLine", multi_line)
-          .options(**{"mode": "FAILFAST", **options}).json(path))
+    the schema such records are kept there, for a rejects output. An array that
+    is cut off, or holds anything but objects, fails in either mode."""
+    options = {"mode": "FAILFAST", **options}
+    if multi_line:
+        from tablepipe.sources.json_array import array_elements
+
+        rows = array_elements(spark, path, order_col=order_col)
+        wanted = _as_struct(schema)
+        kept = [order_col] if order_col else []
+        record = F.from_json("element", wanted, options)
+        return rows.select(record.alias("__r"), *kept).select(*[F.col("__r")[f.name].alias(f.name) for f in wanted.fields], *kept)
+    df = spark.read.schema(_as_struct(schema)).options(**options).json(path)
     if order_col:
         from tablepipe.operators.sinks import with_file_order
 

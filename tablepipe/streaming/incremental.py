@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablepipe.operators.sinks import append_ignore_conflicts
+from tablepipe.operators.sinks import path_exists, pruned_target, rows_to_append
 
 
 def landing_stream(spark: SparkSession, landing: str, schema, fmt: str = "json",
@@ -27,51 +28,67 @@ def landing_stream(spark: SparkSession, landing: str, schema, fmt: str = "json",
 
 def ingest_available(spark: SparkSession, landing: str, schema, target: str, keys,
                      checkpoint: str, prepare=None, fmt: str = "json",
-                     max_files_per_trigger: int | None = None, order_by=None, **options) -> None:
+                     max_files_per_trigger: int | None = None, order_by=None,
+                     partition_col: str | None = None, **options) -> None:
     """Process every file that has landed, then stop.
 
     ``prepare(df)`` shapes a micro-batch before the append (it may rely on the
     ``__file`` / ``__start`` / ``__ord`` helper columns, dropped before
     writing). 'First row wins' follows ``order_by`` when given, else arrival
-    order (file, split, position)."""
+    order (file, split, position). ``target`` is the stream's own folder, read
+    with :func:`read_ingested`."""
     if max_files_per_trigger:
         options = {**options, "maxFilesPerTrigger": str(max_files_per_trigger)}
     stream = landing_stream(spark, landing, schema, fmt, **options)
+    run_available(stream, batch_writer(spark, target, keys, prepare, order_by, partition_col), checkpoint)
 
-    each_batch = batch_writer(spark, target, keys, checkpoint, prepare, order_by)
-    query = (stream.writeStream.foreachBatch(each_batch)
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+
+def run_available(stream: DataFrame, each_batch, checkpoint: str) -> None:
+    """Run ``each_batch(df, batch_id)`` over what has landed, then stop."""
+    query = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
 
 
-def batch_writer(spark: SparkSession, target: str, keys, checkpoint: str, prepare=None, order_by=None):
-    """The ``foreachBatch`` function: conflict-ignoring append of one
-    micro-batch, at most once per batch id.
+BATCH = "__batch"  # partition column of a stream's target: the micro-batch that wrote the row
+
+
+def batch_writer(spark: SparkSession, target: str, keys, prepare=None, order_by=None, partition_col: str | None = None):
+    """The ``foreachBatch`` function: conflict-ignoring append of one micro-batch, with the
+    effect of exactly once.
 
-    foreachBatch is at-least-once: a batch replayed after a failure is skipped
-    when its marker exists (keyed rows would be skipped by the conflict rule
-    anyway; rows with a null key would not)."""
-    markers = checkpoint.rstrip("/") + "/_appended"
+    foreachBatch is at-least-once: a batch may be run again after a failure. Its rows are
+    one folder ``__batch=<id>`` of the target, always written as a whole, and only earlier
+    batches count as existing rows; so a replay computes the same rows and replaces them,
+    null keys included. There is no marker that could miss its append."""
+    target = target.rstrip("/")
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        marker = f"{markers}/batch={batch_id}"
-        if _exists(spark, marker):
-            return
         df = batch.withColumn("__ord", F.monotonically_increasing_id())
         if prepare is not None:
             df = prepare(df)
-        append_ignore_conflicts(df, target, keys, order_by=order_by or ["__file", "__start", "__ord"])
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(marker)
+        columns = [f for f in df.schema.fields if not f.name.startswith("__")]
+        before = _batches(spark, target, T.StructType(columns)).where(F.col(BATCH) < batch_id)
+        if partition_col is not None:
+            before = pruned_target(before, df, keys, partition_col)
+        add = rows_to_append(df, before, keys, order_by or ["__file", "__start", "__ord"]).select(*[f.name for f in columns])
+        writer = add.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(partition_col) if partition_col else writer).parquet(f"{target}/{BATCH}={batch_id}")
 
     return each_batch
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
-        return True
-    except Exception:  # noqa: BLE001 - missing path
-        return False
+def _batches(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """The target's rows with the batch that wrote them; a target that does not exist yet is empty."""
+    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    if not path_exists(spark, target):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", target).parquet(target)
+
+
+def read_ingested(spark: SparkSession, target: str, schema) -> DataFrame:
+    """The rows of a stream's target. The schema is the one written: partition values are
+    read as its types, not guessed from folder names."""
+    schema = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    return _batches(spark, target.rstrip("/"), schema).select(*schema.names)

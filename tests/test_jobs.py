@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablepipe.jobs import bike_trips, catalog_report, geo_datasets, portal_import, requests_311, ridership, stop_times
-from tablepipe.streaming.incremental import ingest_available
+from tablepipe.streaming.incremental import batch_writer, ingest_available, read_ingested
 
 HEADER = ("Trip ID,Start Datetime,End Datetime,Visible ID,Start Station,End Station,Bike Type,"
           "Start Station Name,End Station Name,Name (group),Optional Kiosk ID (group),Measure Names,Measure Values\n")
@@ -66,6 +66,13 @@ def test_stop_times_job(spark, out):
     assert t.count() == 4  # null trip dropped, repeated key once, null scheduled_arrive twice
     assert t.where("trip_id = 1").first().ons == 1  # first row of the batch wins
     assert t.where("trip_id = 1").first().run_name == "12"
+    # a later load reads only the days it has
+    later = spark.createDataFrame([(dt.date(2024, 7, 9),)], "arrive_day date").crossJoin(t.drop("arrive_day").limit(1))
+    from tablepipe.operators.sinks import plan_append
+
+    plan = plan_append(later, target, stop_times.STOP_TIMES.keys, "ons", partition_col="arrive_day")
+    scans = plan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1:]
+    assert any("2024-07-09" in x.split("PushedFilters")[0] for x in scans)
     snap = spark.read.parquet(f"{out}/days")
     assert snap.select("service_date").distinct().collect()[0][0] == dt.date(2024, 6, 30)
     assert snap.count() == 2  # 07:30Z and 07:45Z are June 30 at UTC-8
@@ -164,7 +171,7 @@ def test_geo_datasets(spark, out):
                                      geo_datasets.MANIFEST_SCHEMA)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS geo_layers_test LOCATION '{out}/gh'")
     res = geo_datasets.run(spark, manifest, "geo_layers_test")
-    assert res[0].ok and spark.table("geo_layers_test.bikeways").first().geometry_type == "Point"
+    assert res.first().ok and spark.table("geo_layers_test.bikeways").first().geometry_type == "Point"
 
 
 class PortalFetcher:
@@ -229,7 +236,7 @@ def test_streaming_ingest(spark, out):
         f.write('{"k": 1, "v": "c"}\n{"k": 2, "v": "d"}\n')
     ingest_available(spark, land, **args)
     ingest_available(spark, land, **args)  # nothing new
-    got = sorted((r.k or 0, r.v) for r in spark.read.parquet(f"{out}/t").collect())
+    got = sorted((r.k or 0, r.v) for r in read_ingested(spark, f"{out}/t", "k int, v string").collect())
     assert got == [(0, "n"), (1, "a"), (2, "d")]
 
 
@@ -259,7 +266,8 @@ def test_stop_times_migrate_and_snapshot_after_empty(spark, out):
     assert spark.read.parquet(f"{out}/s").count() == 1
     stop_times.migrate(spark, f"{out}/t", f"{out}/m")
     m = spark.read.parquet(f"{out}/m")
-    assert m.columns == stop_times.STOP_TIMES.names and m.count() == 1
+    assert m.columns == [*stop_times.STOP_TIMES.names, stop_times.ARRIVE_DAY] and m.count() == 1
+    assert m.first()[stop_times.ARRIVE_DAY] == dt.date(2024, 6, 30)
     local = stop_times.local_view(m).first()
     assert str(local.scheduled_arrive) == "2024-07-01 00:30:00"
 
@@ -272,18 +280,40 @@ def test_portal_import_varchar_overflow(spark, out):
                           extract_root=f"{out}/x")
 
 
-def test_streaming_replayed_batch_is_skipped(spark, out):
-    from tablepipe.streaming.incremental import batch_writer
-
-    write = batch_writer(spark, f"{out}/t", ["k"], f"{out}/ckpt")
+def test_streaming_replayed_batch_is_written_once(spark, out):
+    write = batch_writer(spark, f"{out}/t", ["k"])
     batch = spark.createDataFrame([(None, "n", "f1", 0), (1, "a", "f1", 0)], "k int, v string, __file string, __start long")
     write(batch, 0)
     write(batch, 0)  # the same batch replayed after a lost commit
     write(batch, 1)  # a new batch with the same rows: only the null key inserts again
-    got = sorted((r.k or 0, r.v) for r in spark.read.parquet(f"{out}/t").collect())
+    got = sorted((r.k or 0, r.v) for r in read_ingested(spark, f"{out}/t", "k int, v string").collect())
     assert got == [(0, "n"), (0, "n"), (1, "a")]
 
 
+def test_streaming_target_keeps_partition_types(spark, out):
+    write = batch_writer(spark, f"{out}/t", ["d", "k"], partition_col="d")
+    rows = [("01", 1, "a", "f1", 0), ("02", 1, "b", "f1", 0), (None, 1, "n", "f1", 0)]
+    schema = "d string, k int, v string, __file string, __start long"
+    write(spark.createDataFrame(rows, schema), 0)
+    write(spark.createDataFrame([("01", 1, "late", "f2", 0), ("03", 1, "c", "f2", 0)], schema), 1)
+    got = {tuple(r) for r in read_ingested(spark, f"{out}/t", "d string, k int, v string").collect()}
+    assert got == {("01", 1, "a"), ("02", 1, "b"), (None, 1, "n"), ("03", 1, "c")}
+
+
+def test_stop_time_ids_keep_every_digit(spark, out):
+    ids = [9007199254740993, 9007199254740992, "12.0", "1.3E1"]
+    rows = [_stop(i, "Main", "2024-07-01T07:30:00Z") for i in ids]
+    with open(f"{out}/d.json", "w") as f:
+        json.dump(rows, f)
+    stop_times.run(spark, f"{out}/d.json", f"{out}/t", day="2024-06-30")
+    assert sorted(r.trip_id for r in spark.read.parquet(f"{out}/t").collect()) == [12, 13, 2**53, 2**53 + 1]
+    for bad in ("12.5", "abc", 2.7):
+        with open(f"{out}/b.json", "w") as f:
+            json.dump([_stop(bad, "Main", "2024-07-01T07:30:00Z")], f)
+        with pytest.raises(Exception, match="unparseable value in 'trip_id'"):
+            stop_times.load(spark, f"{out}/b.json", f"{out}/u")
+
+
 def test_catalog_listing_named_catalog(spark, out):
     from tablepipe.operators.catalog import catalog_listing
 

@@ -9,7 +9,10 @@ from tablepipe.operators.sinks import (
     check_unique,
     dedup_first,
     export_csv,
+    export_single_csv,
+    key_filter,
     plan_append,
+    replace_table,
     rows_to_append,
     truncate_and_load,
     write_snapshot,
@@ -163,3 +166,98 @@ def test_first_row_follows_file_order(spark, out):
     df = read_typed_json(spark, f"{out}/land", "k int, v string", multi_line=False, order_col="__ord")
     got = {r.k: r.v for r in dedup_first(df, ["k"], "__ord").collect()}
     assert got == {1: "a1", 2: "a2", 0: "b"}
+
+
+def _folders(path):
+    import os
+
+    return sorted(n for n in os.listdir(path) if not n.startswith("."))
+
+
+def test_replace_table_switches_between_whole_versions(spark, out):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tp_versions LOCATION '{out}/wh'")
+    df = spark.range(6).select("id", (F.col("id") % 3).cast("string").alias("part"))
+    with pytest.raises(Exception, match="boom"):
+        replace_table(df.withColumn("id", F.raise_error(F.lit("boom"))), "tp_versions.t", ["part"])
+    assert not spark.catalog.tableExists("tp_versions.t")  # a first load that fails makes no table
+    replace_table(df, "tp_versions.t", ["part"])
+    old = spark.table("tp_versions.t")
+    assert old.count() == 6 and len(_folders(f"{out}/wh")) == 1
+    replace_table(df.where("part = '1'").withColumn("id", F.col("id") + 10), "tp_versions.t", ["part"])
+    assert sorted(map(tuple, spark.table("tp_versions.t").collect())) == [(11, "1"), (14, "1")]
+    replace_table(spark.table("tp_versions.t").withColumn("id", F.col("id") * 2), "tp_versions.t", ["part"])  # from itself
+    assert sorted(map(tuple, spark.table("tp_versions.t").collect())) == [(22, "1"), (28, "1")]
+    spark.sql("COMMENT ON TABLE tp_versions.t IS 'kept'")
+    truncate_and_load(df.where("part = '2'"), "tp_versions.t")
+    assert sorted(r.id for r in spark.table("tp_versions.t").collect()) == [2, 5]
+    assert [t.description for t in spark.catalog.listTables("tp_versions")] == ["kept"]
+    spark.table("tp_versions.t").write.insertInto("tp_versions.t")  # appends go to the current version
+    assert spark.table("tp_versions.t").count() == 4
+    # another schema and partitioning
+    replace_table(spark.range(3).withColumn("x", F.lit(1.5)), "tp_versions.t")
+    assert spark.table("tp_versions.t").columns == ["id", "x"] and spark.table("tp_versions.t").count() == 3
+    assert len(_folders(f"{out}/wh")) == 1
+    spark.sql("DROP TABLE tp_versions.t")
+    assert _folders(f"{out}/wh") == []  # a dropped table leaves nothing
+    spark.sql("DROP DATABASE tp_versions CASCADE")
+
+
+def test_truncate_reaches_partitions_without_rows(spark, out):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tp_parts LOCATION '{out}/wh'")
+    spark.createDataFrame([(1, "x"), (2, "y")], "a int, p string").write.partitionBy("p").saveAsTable("tp_parts.listed")
+    spark.createDataFrame([(1, "x"), (2, "y")], "a int, p string").write.partitionBy("p").option("path", f"{out}/own").saveAsTable("tp_parts.own")
+    for name in ("listed", "own"):
+        for load in (lambda df, t: truncate_and_load(df, t), lambda df, t: write_table(df, t, existing="truncate")):
+            load(spark.createDataFrame([(3, "x")], "a int, p string"), f"tp_parts.{name}")
+            assert [tuple(r) for r in spark.table(f"tp_parts.{name}").collect()] == [(3, "x")]
+            load(spark.createDataFrame([(1, "x"), (2, "y")], "a int, p string"), f"tp_parts.{name}")
+    import os
+
+    assert os.path.isdir(f"{out}/own")  # an owner's folder stays where it is
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+    spark.sql("DROP DATABASE tp_parts CASCADE")
+
+
+def test_pruned_append_is_the_plain_append(spark, out):
+    import random
+
+    rng = random.Random(4)
+
+    def rows(n, days):
+        return [(rng.choice([None, *range(40)]), rng.choice(["a", "b", None]), rng.choice(days)) for _ in range(n)]
+
+    schema = "k long, s string, d int"
+    target = dedup_first(spark.createDataFrame(rows(200, range(9)), schema), ["k", "s", "d"], "d")
+    target.write.partitionBy("d").parquet(f"{out}/t")
+    for days in ([3], [2, 3, 4, None], [7]):
+        batch = spark.createDataFrame(rows(80, days), schema)
+        want = sorted(map(str, rows_to_append(batch, spark.read.schema(schema).parquet(f"{out}/t"), ["k", "s", "d"], "k").collect()))
+        for bloom in (False, True):
+            plan = plan_append(batch, f"{out}/t", ["k", "s", "d"], "k", partition_col="d", bloom=bloom)
+            assert sorted(map(str, plan.select("k", "s", "d").collect())) == want
+
+
+def test_key_filter_passes_every_key_of_the_batch(spark):
+    target = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("s"))
+    batch = target.where("k % 1000 = 3")
+    kept = {tuple(r) for r in key_filter(target, batch, ["k", "s"], 20).collect()}
+    assert {tuple(r) for r in batch.collect()} <= kept and len(kept) < 100
+
+
+def test_single_csv(spark, out):
+    import csv
+    import os
+
+    df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.lit('a "b", c')).alias("x, y")).repartition(5)
+    for _ in range(2):  # the second replaces the first
+        export_single_csv(df, f"{out}/one.csv")
+    with open(f"{out}/one.csv", newline="") as f:
+        rows = list(csv.reader(f, escapechar="\\"))
+    assert rows[0] == ["id", "x, y"] and len(rows) == 1001 and sorted(int(r[0]) for r in rows[1:]) == list(range(1000))
+    assert _folders(out) == ["one.csv"]
+    with pytest.raises(Exception, match="boom"):
+        export_single_csv(df.withColumn("id", F.raise_error(F.lit("boom")).cast("string")), f"{out}/one.csv")
+    assert _folders(out) == ["one.csv"] and os.path.getsize(f"{out}/one.csv") > 1000
+    export_single_csv(df.limit(0), f"{out}/none.csv")
+    with open(f"{out}/none.csv") as f:
+        assert f.read() == 'id,"x, y"\n'

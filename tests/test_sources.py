@@ -212,3 +212,50 @@ def test_warehouse_arguments(spark):
         read_warehouse(spark, "jdbc:none", table="t", query="select 1")
     with pytest.raises(ValueError, match="exactly one"):
         read_warehouse(spark, "jdbc:none")
+
+
+@pytest.mark.parametrize("rows", [0, 1, 6, 7, 8, 48, 49, 50, 1000])
+@pytest.mark.parametrize("most", [None, 1, 5])
+def test_frontier_finds_the_last_page(rows, most):
+    from tablepipe.sources.paged import frontier
+
+    probes = []
+
+    def probe(at):
+        probes.append(at)
+        return at < rows
+
+    pages = math.ceil(rows / 7)
+    assert frontier(probe, 7, most) == (pages if most is None else min(pages, most))
+    assert len(probes) <= 2 * math.log2(max(pages, 2)) + 3
+
+
+def test_countless_source_is_a_task_a_page(spark, out):
+    from pyspark.sql import functions as F
+
+    from tablepipe.sources.paged import build_page_index
+
+    spark.range(0, 5000, 1, 3).select(F.col("id").alias("k")).orderBy("k").write.parquet(f"{out}/store")
+    build_page_index(spark, f"{out}/store", f"{out}/index")
+    df = read_paged(spark, "tablepipe.sources.paged:CountlessFetcher", ["k"], page_size=300,
+                    fetcher_args={"path": f"{out}/store", "index_path": f"{out}/index"})
+    assert df.rdd.getNumPartitions() == 17 and sorted(int(r.k) for r in df.collect()) == list(range(5000))
+
+
+def test_catalog_facts_come_from_footers(spark, out):
+    from pyspark.sql import functions as F
+
+    from tablepipe.operators.catalog import catalog_facts, table_facts
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS facts_test LOCATION '{out}/f'")
+    df = spark.range(50).select("id", F.when(F.col("id") > 9, F.col("id") / 4).alias("x"), F.lit("t").alias("s"))
+    df.write.saveAsTable("facts_test.plain")
+    df.write.partitionBy("s").saveAsTable("facts_test.parted")
+    plan = table_facts(spark, "facts_test", "plain")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)" in plan
+    rows = {(r.table, r.column): (r.data_type, r.rows, r.nulls, r.min_value, r.max_value)
+            for r in catalog_facts(spark, databases=["facts_test"]).collect()}
+    for t in ("plain", "parted"):
+        assert rows[t, "id"] == ("bigint", 50, 0, 0.0, 49.0) and rows[t, "x"] == ("double", 50, 10, 2.5, 12.25)
+        assert rows[t, "s"] == ("string", 50, 0, None, None)
+    spark.sql("DROP DATABASE facts_test CASCADE")
