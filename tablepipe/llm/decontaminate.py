@@ -26,7 +26,8 @@ WINDOW = 6
 SLACK = 2
 MIN_COVERAGE = 0.5
 MIN_CONSISTENT = 0.6
-BROADCAST_WINDOWS = 2_000_000
+BROADCAST_BYTES = 64 << 20  # of the items' windows with their words, beyond which they are joined by shuffle
+SALTS = 16  # tasks that share a window of placeholders only, in the join by shuffle
 JOINT = "\u00b7"  # stands for the mark inside a number
 # between words: ASCII but letters, digits, # and the joint; Latin-1, general and CJK punctuation
 NO_WORD = (r"[\x00-\x22\x24-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\u0080-\u00A9\u00AB-\u00B4\u00B6\u00B8\u00B9\u00BB-\u00BF"
@@ -117,23 +118,30 @@ def find(documents, benchmark, id_col="doc_id", text_col="text", item_col="item_
     """
     key = [id_col, "text_hash"]
     items = item_windows(benchmark, item_col, item_text_col, window)
-    sizes = items.groupBy("k").count().collect()  # window lengths: ``window`` rows at most
+    room = F.octet_length(F.array_join("i_values", " ")) + F.octet_length(F.array_join("i_kinds", " ")) + 32 * F.col("k") + 100
+    sizes = items.groupBy("k").agg(F.sum(room).alias("bytes")).collect()  # window lengths: ``window`` rows at most
     docs = _templates(documents.select(id_col, F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("__text")),
                       key, "__text")
-    small = sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS
+    small = sum(r["bytes"] for r in sizes) <= BROADCAST_BYTES
     hits = None
+    same = (F.col("mode") == F.col("i_mode")) | (F.col("mode") == NAMELESS) | (F.col("i_mode") == NAMELESS)
     for k in [r["k"] for r in sizes] or [window]:
-        grams = docs.select(*key, "values", "mode", "starts", F.posexplode(window_hashes(F.col("kinds"), k)).alias("pos", "hash"))
+        grams = docs.select("*", F.posexplode(window_hashes(F.col("kinds"), k)).alias("pos", "hash"))
         own = items.where(F.col("k") == k)
-        if small:  # checked size
-            got = grams.join(F.broadcast(own), "hash")
-        else:  # texts stay behind: only places move, and the values are fetched for the hits' rows
-            got = grams.join(own, "hash")
-        same = (F.col("mode") == F.col("i_mode")) | (F.col("mode") == NAMELESS) | (F.col("i_mode") == NAMELESS)
-        first = F.coalesce(F.get("starts", F.col("pos")), "pos")
-        last = F.coalesce(F.get("starts", F.col("pos") + window), F.element_at("starts", -1), F.col("pos") + window) - 1
-        got = got.where(same).select(*key, "item_id", "mode", "i_mode", "n_windows", "pos", first.alias("first"), last.alias("last"), "i_pos", "i_kinds", "i_values",
-                         F.slice("values", F.col("pos") + 1, k).alias("d_values"))
+        first = F.coalesce(F.get("starts", F.col("pos")), "pos").alias("first")
+        last = (F.coalesce(F.get("starts", F.col("pos") + k), F.element_at("starts", -1), F.col("pos") + k) - 1).alias("last")
+        mine = [*key, "mode", "pos", "hash", first, last, F.slice("values", F.col("pos") + 1, k).alias("d_values")]
+        if small:  # the texts' words are cut after the join, for the hits only
+            got = grams.join(F.broadcast(own), "hash").where(same)
+            mine += ["item_id", "i_mode", "n_windows", "i_pos", "i_kinds", "i_values"]
+            got = got.select(*mine)
+        else:  # a window moves with its own k words; windows without a word are shared by several tasks
+            bare = lambda kinds: F.forall(kinds, lambda w: F.startswith(w, F.lit("#")))
+            salt = F.when(bare(F.slice("kinds", F.col("pos") + 1, k)), F.pmod(F.xxhash64(*key, "pos"), F.lit(SALTS))).otherwise(0)
+            salts = F.sequence(F.lit(0), F.when(bare(F.col("i_kinds")), SALTS - 1).otherwise(0)).cast("array<bigint>")
+            own = own.select("*", F.explode(salts).alias("salt"))
+            got = grams.select(*mine, salt.cast("long").alias("salt")).join(own, ["hash", "salt"]).where(same)
+        got = got.select(*key, "item_id", "mode", "i_mode", "n_windows", "pos", "first", "last", "i_pos", "i_kinds", "i_values", "d_values")
         hits = got if hits is None else hits.unionByName(got)
     hits = hits.withColumn("pairs", F.transform(
         F.filter(F.arrays_zip("i_kinds", "i_values", "d_values"), lambda x: F.startswith(x["i_kinds"], F.lit("#"))),

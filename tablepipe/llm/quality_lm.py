@@ -1,13 +1,15 @@
 """Quality rules: word statistics and perplexity bands under an n-gram model.
 
 The model is a character 4-gram model with modified Kneser-Ney smoothing, one
-per language. Spark counts the 4-grams of all documents; lower orders are
-continuation counts, discounts come from the counts of counts, and the
-interpolated probabilities are joins of those aggregates, so nothing but
-finished entries reaches the driver. An entry is stored under a hash of language
-and n-gram in ``HASH_BITS`` bits, in one sorted array per order with the log
-probabilities beside it: at most 2 ** HASH_BITS entries an order however large
-the corpus is (n-grams that share a hash share the larger value).
+per language. Spark counts the 4-grams of all documents (code points in full, two
+to a column); lower orders are continuation counts, discounts come from the counts
+of counts, and the interpolated probabilities are joins of those aggregates. An
+entry is stored under a 64-bit hash of order, language and n-gram, in one sorted
+array per order with the log probabilities beside it.
+
+Arrays of up to ``MODEL_BYTES`` go to every task as a whole. A larger model is cut by
+hash into shards of ``SHARD_ENTRIES``: the documents that it was counted from have an
+entry for each of their 4-grams, so each shard in turn adds its part to their sums.
 
 A document fails outside its language's band of log perplexity: the quartiles of
 all documents of the language, widened by ``SPREAD`` interquartile ranges below
@@ -28,7 +30,9 @@ from tablepipe.llm._text import long_column, map_arrow, slices, utf8_view
 from tablepipe.session import scratch_path
 
 ORDER = 4
-HASH_BITS = 24
+CHAR_BITS = 21  # of a code point
+CHAR = (1 << CHAR_BITS) - 1
+MODEL_BYTES, SHARD_ENTRIES = 192 << 20, 8 << 20
 SPREAD = 5.0
 NO_LANGUAGE = "und"
 FLUSH = 1 << 20
@@ -38,61 +42,84 @@ FLOOR = -30.0
 
 
 def gram_stream(data, offsets):
-    """4-grams ending at each character: (packed grams uint64, text of each).
-
-    Characters are code points folded to 16 bits, ASCII white space is a blank,
-    and each text starts after three begin marks."""
+    """4-grams ending at each character: (first two and last two code points, packed, as uint64;
+    text of each). ASCII white space is a blank, and each text starts after three begin marks."""
     points = np.frombuffer(data.tobytes().decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass"), "<u4")
     lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     ends = lead[offsets]
-    chars = (points & 0xFFFF).astype(np.uint64)
+    chars = points.astype(np.uint64)
     chars[(points <= 13) & (points >= 9)] = 32
     chars = np.insert(chars, np.repeat(ends[:-1], ORDER - 1), np.uint64(1))
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(ends))
     at = np.arange(len(owner)) + (ORDER - 1) * (owner + 1)
-    grams = chars[at]
-    for k in range(1, ORDER):
-        grams = grams | chars[at - k] << np.uint64(16 * k)
-    return grams, owner
+    pair = chars.copy()
+    pair[1:] |= chars[:-1] << np.uint64(CHAR_BITS)
+    return pair[at - 2], pair[at], owner
+
+
+def shorter(hi, lo, order):
+    """The last ``order - 1`` characters of n-grams of ``order`` characters; arrays or columns."""
+    if isinstance(hi, np.ndarray):
+        c = np.uint64(CHAR)
+        return (hi & c if order == 4 else np.zeros_like(hi)), (lo & c if order == 2 else lo)
+    return (hi.bitwiseAND(F.lit(CHAR)) if order == 4 else F.lit(0).cast("long")), (lo.bitwiseAND(F.lit(CHAR)) if order == 2 else lo)
 
 
-def fold(language, grams, order):
-    """Table slot of packed n-grams of one language."""
-    seed = np.uint64(zlib.crc32(f"{order}:{language}".encode()) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-    return (W.mix(np.asarray(grams, np.uint64) + seed) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+def context(hi, lo):
+    """The characters before the last one of n-grams; arrays or columns."""
+    if isinstance(hi, np.ndarray):
+        bits, c = np.uint64(CHAR_BITS), np.uint64(CHAR)
+        return hi >> bits, (hi & c) << bits | lo >> bits
+    return (F.shiftrightunsigned(hi, CHAR_BITS),
+            F.shiftleft(hi.bitwiseAND(F.lit(CHAR)), CHAR_BITS).bitwiseOR(F.shiftrightunsigned(lo, CHAR_BITS)))
+
+
+def fold(language, hi, lo, table):
+    """64-bit hash of n-grams of one language in one table of the model."""
+    seed = np.uint64(zlib.crc32(f"{table}:{language}".encode()) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+    return W.mix(W.mix(np.asarray(hi, np.uint64) + seed) + np.asarray(lo, np.uint64))
+
+
+def _tally(hi, lo, counts=None):
+    """Distinct n-grams (by their 64-bit hash) with their counts."""
+    key = W.mix(W.mix(hi) + lo)
+    if counts is None:
+        _, first, counts = np.unique(key, return_index=True, return_counts=True)
+    else:
+        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        counts = np.bincount(inverse, counts).astype(np.int64)
+    return hi[first], lo[first], counts
 
 
 def count_grams(df, text_col="text", lang_col="lang"):
-    """(lang, g, n): 4-gram counts of all texts, summed per task before the shuffle."""
+    """(lang, hi, lo, n): 4-gram counts of all texts, summed per task before the shuffle."""
     def run(batches):
         kept: dict = {}
 
         def flush():
-            for lang, (codes, counts) in kept.items():
+            for lang, (hi, lo, counts) in kept.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)),
-                     pa.array(counts, pa.int64())], ["lang", "g", "n"])
+                    [pa.array([lang] * len(hi), pa.string()), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)),
+                     pa.array(counts, pa.int64())], ["lang", "hi", "lo", "n"])
             kept.clear()
 
         for batch, texts in slices(batches, "__text"):
             data, offsets = utf8_view(texts)
-            grams, owner = gram_stream(data, offsets)
+            hi, lo, owner = gram_stream(data, offsets)
             languages, of_text = np.unique(np.array(batch.column(1).to_pylist(), object).astype(str), return_inverse=True)
             of_gram = of_text[owner]
             for k, lang in enumerate(languages.tolist()):
-                codes, counts = np.unique(grams[of_gram == k], return_counts=True)
+                mine = of_gram == k
+                got = _tally(hi[mine], lo[mine])
                 if lang in kept:
-                    both = np.concatenate([kept[lang][0], codes])
-                    weights = np.concatenate([kept[lang][1], counts])
-                    codes, inverse = np.unique(both, return_inverse=True)
-                    counts = np.bincount(inverse, weights).astype(np.int64)
-                kept[lang] = codes, counts
-            if sum(len(c) for c, _ in kept.values()) > FLUSH:
+                    got = _tally(*(np.concatenate(x) for x in zip(kept[lang], got)))
+                kept[lang] = got
+            if sum(len(x[0]) for x in kept.values()) > FLUSH:
                 yield from flush()
         yield from flush()
 
     rows = df.select(F.col(text_col).alias("__text"), F.coalesce(F.col(lang_col), F.lit(NO_LANGUAGE)).alias("__lang"))
-    return (map_arrow(rows, run, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")))
+    return map_arrow(rows, run, "lang string, hi long, lo long, n long").groupBy("lang", "hi", "lo").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts):
@@ -104,66 +131,74 @@ def _discounts(counts):
     return t.select("lang", *out)
 
 
-def _smoothed(counts, lower: DataFrame | None):
-    """(lang, g, p, gamma of the context) of one order; ``lower``: (lang, g, p) of the next lower one."""
-    context = F.shiftrightunsigned("g", 16) if lower is not None else F.lit(0).cast("long")
-    c = counts.join(F.broadcast(_discounts(counts)), "lang").withColumn("ctx", context)  # a row a language
+def _smoothed(counts, order):
+    """The entries of one order with their context (chi, clo) and its back-off weight gamma, and the
+    probability that the order itself gives."""
+    chi, clo = context(F.col("hi"), F.col("lo")) if order > 1 else (F.lit(0).cast("long"), F.lit(0).cast("long"))
+    c = counts.join(F.broadcast(_discounts(counts)), "lang").withColumns({"chi": chi, "clo": clo})  # a row a language
     discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     c = c.withColumn("d", discount)
-    ctx = c.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("held"), F.count("*").alias("types"))
-    c = c.join(ctx, ["lang", "ctx"]).withColumn("gamma", F.col("held") / F.col("total"))
-    own = (F.col("n") - F.col("d")) / F.col("total")
-    if lower is None:
-        return c.select("lang", "g", "ctx", "gamma", (own + F.col("gamma") / F.col("types")).alias("p"))
-    return c, own
+    ctx = c.groupBy("lang", "chi", "clo").agg(F.sum("n").alias("total"), F.sum("d").alias("held"), F.count("*").alias("types"))
+    c = c.join(ctx, ["lang", "chi", "clo"]).withColumn("gamma", F.col("held") / F.col("total"))
+    return c, (F.col("n") - F.col("d")) / F.col("total")
 
 
-def train(df, text_col="text", lang_col="lang"):
-    """Sorted hash arrays [(order, kind, slots, log values)] of the model of all of ``df``."""
+def tables(df, text_col="text", lang_col="lang"):
+    """[(order, kind, frame (lang, hi, lo, v))]: the log probabilities and back-off weights of the
+    model of all of ``df``."""
     spark = df.sparkSession
     path = scratch_path(spark, "grams")
     count_grams(df, text_col, lang_col).write.parquet(path)
     counts = {ORDER: spark.read.parquet(path)}
     for k in range(ORDER - 1, 0, -1):  # continuation counts
-        counts[k] = (counts[k + 1].select("lang", F.col("g").bitwiseAND((1 << 16 * k) - 1).alias("g"))
-                     .groupBy("lang", "g").agg(F.count("*").alias("n")))
-    tables, lower = [], None
+        hi, lo = shorter(F.col("hi"), F.col("lo"), k + 1)
+        counts[k] = (counts[k + 1].select("lang", hi.alias("hi"), lo.alias("lo")).groupBy("lang", "hi", "lo").agg(F.count("*").alias("n")))
+    out, lower = [], None
     for k in range(1, ORDER + 1):
+        c, own = _smoothed(counts[k], k)
         if lower is None:
-            table = _smoothed(counts[k], None)
+            c = c.withColumn("p", own + F.col("gamma") / F.col("types"))
         else:
-            c, own = _smoothed(counts[k], lower)
-            below = lower.select("lang", F.col("g").alias("below"), F.col("p").alias("p_below"))
-            c = c.withColumn("below", F.col("g").bitwiseAND((1 << 16 * (k - 1)) - 1))
-            table = (c.join(below, ["lang", "below"])
-                     .select("lang", "g", "ctx", "gamma", (own + F.col("gamma") * F.col("p_below")).alias("p")))
-        if k < ORDER:
-            path = scratch_path(spark, f"order{k}")
-            table.write.parquet(path)
-            table = spark.read.parquet(path)
-        tables.append((k, "p", table.select("lang", "g", F.log("p").alias("v"))))
+            hi, lo = shorter(F.col("hi"), F.col("lo"), k)
+            below = lower.select("lang", F.col("hi").alias("bhi"), F.col("lo").alias("blo"), F.col("p").alias("p_below"))
+            c = c.withColumns({"bhi": hi, "blo": lo}).join(below, ["lang", "bhi", "blo"])
+            c = c.withColumn("p", own + F.col("gamma") * F.col("p_below"))
+        path = scratch_path(spark, f"order{k}")
+        c.select("lang", "hi", "lo", "chi", "clo", "gamma", "p").write.parquet(path)
+        lower = spark.read.parquet(path)
+        out.append((k, "p", lower.select("lang", "hi", "lo", F.log("p").alias("v"))))
         if k > 1:
-            tables.append((k, "gamma", table.groupBy("lang", F.col("ctx").alias("g")).agg(F.log(F.max("gamma")).alias("v"))))
-        lower = table
-    return [(k, kind, *_collected(t, k, kind)) for k, kind, t in tables]
+            weights = lower.groupBy("lang", F.col("chi").alias("hi"), F.col("clo").alias("lo")).agg(F.log(F.max("gamma")).alias("v"))
+            out.append((k, "gamma", weights))
+    return out
 
 
-def _collected(table, order, kind):
-    """Sorted slots and values; at most 2 ** HASH_BITS rows by construction."""
+def keyed(frame, order, kind) -> DataFrame:
+    """(key, v) of a table of the model."""
     def run(batches):
         for b in batches:
             langs = np.array(b.column(0).to_pylist(), object)
-            grams = b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            slot = np.zeros(len(grams), np.int64)
+            hi, lo = (b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (1, 2))
+            key = np.zeros(len(hi), np.uint64)
             for lang in set(langs.tolist()):
                 mine = langs == lang
-                slot[mine] = fold(lang, grams[mine], f"{order}{kind}")
-            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), b.column(2).cast(pa.float32())], ["slot", "v"])
+                key[mine] = fold(lang, hi[mine], lo[mine], f"{order}{kind}")
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column(3).cast(pa.float32())], ["key", "v"])
+
+    return map_arrow(frame, run, "key long, v float")
+
+
+def collected(frame):
+    """Sorted keys and their values. Callers bound the rows."""
+    got = frame.toArrow()
+    keys, values = got.column(0).to_numpy().view(np.uint64), got.column(1).to_numpy()
+    order = np.argsort(keys, kind="stable")
+    return keys[order], values[order]
 
-    got = (map_arrow(table, run, "slot int, v float").groupBy("slot").agg(F.max("v").alias("v")).toArrow())
-    slots, values = got.column(0).to_numpy(), got.column(1).to_numpy()
-    order_ = np.argsort(slots, kind="stable")
-    return slots[order_], values[order_]
+
+def train(df, text_col="text", lang_col="lang"):
+    """Sorted hash arrays [(order, kind, keys, log values)] of the model of all of ``df``, whatever their size."""
+    return [(k, kind, *collected(keyed(t, k, kind))) for k, kind, t in tables(df, text_col, lang_col)]
 
 
 class Model:
@@ -172,33 +207,36 @@ class Model:
     def __init__(self, arrays):
         self.tables = {(order, kind): (slots, values) for order, kind, slots, values in arrays}
 
-    def look_up(self, language, grams, order, kind):
+    def look_up(self, language, hi, lo, order, kind):
         """Log values of n-grams, NaN where the model has none."""
-        slots, values = self.tables[order, kind]
-        if not len(slots):
-            return np.full(len(grams), np.nan)
-        want = fold(language, grams, f"{order}{kind}").astype(slots.dtype)
-        at = np.searchsorted(slots, want)
-        at[at == len(slots)] = 0
-        return np.where(slots[at] == want, values[at], np.nan).astype(np.float64)
-
-    def log_p(self, language, grams, order=ORDER):
+        keys, values = self.tables[order, kind]
+        return found(keys, values, fold(language, hi, lo, f"{order}{kind}"))
+
+    def log_p(self, language, hi, lo, order=ORDER):
         """Log probability of the last character of each n-gram: its own entry,
         or the context's back-off weight and the shorter n-gram."""
-        out = self.look_up(language, grams, order, "p")
+        out = self.look_up(language, hi, lo, order, "p")
         miss = np.isnan(out)
         if miss.any():
             if order == 1:
                 out[miss] = FLOOR
             else:
-                g = grams[miss]
-                gamma = self.look_up(language, g >> np.uint64(16), order, "gamma")
+                h, l = hi[miss], lo[miss]  # noqa: E741
+                gamma = self.look_up(language, *context(h, l), order, "gamma")
                 gamma = np.where(np.isnan(gamma), 0.0, gamma)
-                low = g & np.uint64((1 << 16 * (order - 1)) - 1)
-                out[miss] = np.maximum(FLOOR, gamma + self.log_p(language, low, order - 1))
+                out[miss] = np.maximum(FLOOR, gamma + self.log_p(language, *shorter(h, l, order), order - 1))
         return out
 
 
+def found(keys, values, want):
+    """Values of the wanted keys in sorted arrays, NaN where there is none."""
+    if not len(keys):
+        return np.full(len(want), np.nan)
+    at = np.searchsorted(keys, want)
+    at[at == len(keys)] = 0
+    return np.where(keys[at] == want, values[at], np.nan).astype(np.float64)
+
+
 _model: dict = {}
 
 
@@ -271,13 +309,13 @@ def score(df, arrays, id_col="doc_id", text_col="text", lang_col="lang"):
         for batch, texts in slices(batches, "__text"):
             data, offsets = utf8_view(texts)
             stats = word_statistics(data, offsets)
-            grams, owner = gram_stream(data, offsets)
+            hi, lo, owner = gram_stream(data, offsets)
             lang = batch.column(1).to_pylist()
             languages, of_text = np.unique(np.array(lang, object).astype(str), return_inverse=True)
-            of_gram, logs = of_text[owner], np.zeros(len(grams))
+            of_gram, logs = of_text[owner], np.zeros(len(hi))
             for k, name in enumerate(languages.tolist()):
                 mine = of_gram == k
-                logs[mine] = model.log_p(name, grams[mine])
+                logs[mine] = model.log_p(name, hi[mine], lo[mine])
             sums = np.bincount(owner, logs, minlength=len(lang))
             chars = np.bincount(owner, minlength=len(lang))
             log_ppl = -sums / np.maximum(chars, 1)
@@ -290,6 +328,65 @@ def score(df, arrays, id_col="doc_id", text_col="text", lang_col="lang"):
     return map_arrow(rows, run, schema)
 
 
+def score_in_shards(df, frame, entries, id_col="doc_id", text_col="text", lang_col="lang"):
+    """What ``score`` gives for the very documents that the model was counted from, where its 4-gram
+    table is too large for a task: each shard adds the log probabilities of its 4-grams. Rows with
+    equal id, language and text have equal sums."""
+    spark = df.sparkSession
+    shards = max(1, -(-entries // SHARD_ENTRIES))
+    keys = F.pmod("key", F.lit(shards))
+    path = scratch_path(spark, "model")
+    frame.withColumn("shard", keys).write.partitionBy("shard").parquet(path)
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col), F.lit(NO_LANGUAGE)).alias("lang"),
+                     F.xxhash64(text_col).alias("h"), F.col(text_col).alias("__text"))
+    parts = scratch_path(spark, "sums")
+    for j in range(shards):
+        shard = spark.read.parquet(path).where(F.col("shard") == j).select("key", "v")
+        shared = spark.sparkContext.broadcast(collected(shard))
+
+        def run(batches, shared=shared, j=j):
+            keys, values = shared.value
+            for batch, texts in slices(batches, "__text"):
+                hi, lo, owner = gram_stream(*utf8_view(texts))
+                of_gram, logs = np.array(batch.column(1).to_pylist(), object)[owner], np.zeros(len(hi))
+                for name in set(of_gram.tolist()):
+                    mine = np.flatnonzero(of_gram == name)
+                    want = fold(name, hi[mine], lo[mine], f"{ORDER}p")
+                    here = want.view(np.int64) % shards == j
+                    logs[mine[here]] = found(keys, values, want[here])
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), batch.column(2), pa.array(np.bincount(owner, logs, minlength=n)),
+                     pa.array(np.bincount(owner, minlength=n), pa.int64())], ["id", "lang", "h", "logs", "chars"])
+
+        map_arrow(rows, run, "id long, lang string, h long, logs double, chars long").groupBy("id", "lang", "h").agg(
+            F.first("logs").alias("logs"), F.first("chars").alias("chars")).write.mode("append").parquet(parts)
+        shared.destroy()
+    sums = spark.read.parquet(parts).groupBy("id", "lang", "h").agg(F.sum("logs").alias("logs"), F.first("chars").alias("chars"))
+    sums = sums.select(F.col("id").alias("__id"), F.col("lang").alias("__lang"), F.col("h").alias("__h"),
+                       F.when(F.col("chars") > 0, -F.col("logs") / F.col("chars")).alias("log_ppl"))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+    def statistics(batches):
+        for batch, texts in slices(batches, "__text"):
+            stats = word_statistics(*utf8_view(texts))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(stats[x], pa.int64()) for x in names]], ["id", "lang", "h", *names])
+
+    stats = map_arrow(rows, statistics, "id long, lang string, h long, " + ", ".join(f"{x} long" for x in names))
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("lang") == F.col("__lang")) & (F.col("h") == F.col("__h"))
+    return stats.join(sums, same).select(F.col("id").alias(id_col), "lang", *names, "log_ppl")
+
+
+def score_all(df, id_col="doc_id", text_col="text", lang_col="lang"):
+    """``score`` of the documents under the model of these documents."""
+    model = tables(df, text_col, lang_col)
+    sizes = [t.count() for _, _, t in model]
+    if 12 * sum(sizes) <= MODEL_BYTES:
+        return score(df, [(k, kind, *collected(keyed(t, k, kind))) for k, kind, t in model], id_col, text_col, lang_col)
+    top = [i for i, (k, kind, _) in enumerate(model) if (k, kind) == (ORDER, "p")][0]
+    return score_in_shards(df, keyed(model[top][2], ORDER, "p"), sizes[top], id_col, text_col, lang_col)
+
+
 def bands(scored, spread=SPREAD):
     """(lang, lower, upper) of log perplexity over all scored documents."""
     q = F.percentile_approx("log_ppl", F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000))
@@ -307,7 +404,7 @@ def assess(df, id_col="doc_id", text_col="text", lang_col="lang", spread=SPREAD)
     """
     spark = df.sparkSession
     path = scratch_path(spark, "scored")
-    score(df, train(df, text_col, lang_col), id_col, text_col, lang_col).write.parquet(path)
+    score_all(df, id_col, text_col, lang_col).write.parquet(path)
     scored = spark.read.parquet(path)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     inside = F.coalesce(F.col("log_ppl").between(F.col("lower"), F.col("upper")), F.lit(False))

@@ -328,6 +328,52 @@ def test_short_and_odd_items(spark, odd, empty):
     assert decontaminate.find(empty, bench).count() == 0 and decontaminate.find(odd, bench.limit(0)).count() == 0
 
 
+def test_places_are_the_words_of_the_match(spark):
+    got = found(spark, [(1, "hello brave world"), (2, "we say: hello brave world, today"), (3, "so " + ITEM)], [(1, "hello brave world"), (2, ITEM)])
+    assert [(got[k].first_word, got[k].last_word) for k in ((1, 1), (2, 1), (3, 2))] == [(0, 2), (2, 4), (1, len(ITEM.split()))]
+
+
+def reparameterised(rng):
+    """Items that differ in their words, and texts with other numbers: used alike, contradicting, or none."""
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    items, rows, want = [], [], set()
+    for i in range(12):
+        shape = [rng.choice(words) if rng.random() < 0.75 else None for _ in range(20)]
+        own = [rng.randrange(10, 20) for _ in shape]
+        items.append((i, " ".join(w or str(n) for w, n in zip(shape, own))))
+        new = {n: rng.randrange(100, 999) for n in own}
+        kinds = {"alike": [new[n] for n in own], "same": own, "mixed": [rng.randrange(1000, 99999) for _ in own]}
+        for kind, numbers in kinds.items():
+            doc = len(rows)
+            rows.append((doc, " ".join(rng.choices(words, k=9)) + " " + " ".join(w or str(n) for w, n in zip(shape, numbers)) + " tail"))
+            pairs = {(str(a), str(b)) for w, a, b in zip(shape, own, numbers) if w is None}
+            slots = {a for a, _ in pairs}
+            if not pairs or len(slots) / len(pairs) >= decontaminate.MIN_CONSISTENT:
+                want.add((doc, i, "exact" if all(a == b for a, b in pairs) else "re-parameterised", 9, 28))
+    return rows, items, want
+
+
+def test_reparameterised_items_match_brute_force_in_both_joins(spark, monkeypatch):
+    rows, items, want = reparameterised(random.Random(8))
+    results = []
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
+        got = found(spark, rows, items)
+        assert {(d, i, r.kind, r.first_word, r.last_word) for (d, i), r in got.items()} == want
+        results.append(got)
+    assert results[0] == results[1]
+
+
+def test_shuffled_windows_carry_no_texts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    docs = spark.createDataFrame([(1, "5 " * 3000 + ITEM + " Ann Bob went " * 40), (2, ITEM)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, ITEM), (2, "1 2 3 4 5 6 7")], "item_id long, text string")
+    plan = decontaminate.find(docs, bench)._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join Inner"):].split("\n")[1]
+    assert "d_values" in join and "kinds" not in join.split("[")[1].split("]")[0] and "starts" not in join.split("[")[1].split("]")[0]
+    assert (1, 1) in {(r.doc_id, r.item_id) for r in decontaminate.find(docs, bench).collect()}
+
+
 def test_planted_items_match_brute_force(spark, sf):
     docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     items = {r.item_id: re.findall(r"\w+", r.text.lower()) for r in bench.collect()}

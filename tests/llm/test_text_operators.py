@@ -127,7 +127,7 @@ def brute_kneser_ney(texts):
     """Interpolated modified Kneser-Ney of one language, as nested dictionaries."""
     counts = [Counter() for _ in range(5)]
     for t in texts:
-        chars = [1, 1, 1, *[32 if c in "\t\n\x0b\x0c\r" else ord(c) & 0xFFFF for c in t]]
+        chars = [1, 1, 1, *[32 if c in "\t\n\x0b\x0c\r" else ord(c) for c in t]]
         for i in range(3, len(chars)):
             counts[4][tuple(chars[i - 3:i + 1])] += 1
     for k in (3, 2, 1):
@@ -153,21 +153,46 @@ def brute_kneser_ney(texts):
 
 
 def test_model_matches_brute_force(spark, documents):
-    docs = documents.where("lang = 'en'").limit(40).cache()
+    docs = documents.where("lang = 'en'").select("doc_id", "text", "lang").limit(40)
+    wide = spark.createDataFrame([(10**6 + i, "a\U00010061 the \U0001F600\U0001F601 e\u00e9 the" * (i + 1), "en") for i in range(4)], docs.schema)
+    docs = docs.unionByName(wide).cache()
     texts = [r.text for r in docs.orderBy("doc_id").collect()]
     p = brute_kneser_ney(texts)
     model = quality_lm.Model(quality_lm.train(docs))
     data, offsets = utf8_view(pa.array(texts))
-    grams, _ = quality_lm.gram_stream(data, offsets)
-    got = np.exp(model.log_p("en", grams))
-    want = np.array([p[tuple(int(g) >> 16 * k & 0xFFFF for k in (3, 2, 1, 0))] for g in grams])
-    assert np.mean(np.abs(got - want) > 1e-4 * want) < 0.02  # shared slots of the folded hash
+    hi, lo, _ = quality_lm.gram_stream(data, offsets)
+    got = np.exp(model.log_p("en", hi, lo))
+    want = np.array([p[h >> 21, h & quality_lm.CHAR, l >> 21, l & quality_lm.CHAR] for h, l in zip(hi.tolist(), lo.tolist())])
+    assert len(model.tables[4, "p"][0]) == len(p) and np.all(np.abs(got - want) <= 1e-5 * want)  # every entry its own
     by_context = Counter()
     for g, v in p.items():
         by_context[g[:-1]] += v
     assert max(by_context.values()) < 1 + 1e-9
 
 
+def test_a_model_in_shards_gives_the_same_scores(odd, documents, monkeypatch):
+    for df in (odd, documents):
+        want = {(r.doc_id, r.log_ppl is None, r.n_words): r for r in quality_lm.score_all(df).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(quality_lm, "MODEL_BYTES", 0)
+            m.setattr(quality_lm, "SHARD_ENTRIES", 3000)
+            got = quality_lm.score_all(df).collect()
+        assert len(got) == df.count()
+        for r in got:
+            w = want[r.doc_id, r.log_ppl is None, r.n_words]
+            assert r[:-1] == w[:-1] and (r.log_ppl is None or abs(r.log_ppl - w.log_ppl) < 1e-4)
+
+
+def test_characters_beyond_16_bits_stay_apart():
+    text = "a\U00010061\U0001F600x\U0010FFFF"  # the second one ends in the 16 bits of "a"
+    data = np.frombuffer(text.encode(), np.uint8)
+    hi, lo, owner = quality_lm.gram_stream(data, np.array([0, len(data)]))
+    points = [1, 1, 1] + [ord(c) for c in text]
+    assert [(int(h) >> 21, int(h) & quality_lm.CHAR, int(l) >> 21, int(l) & quality_lm.CHAR) for h, l in zip(hi, lo)] == [
+        tuple(points[i:i + 4]) for i in range(len(text))]
+    assert len(set(quality_lm.fold("en", hi, lo, "4p").tolist())) == len(text)
+
+
 def test_quality_on_odd_rows(odd, empty, documents):
     rows = quality_lm.assess(odd).collect()
     assert len(rows) == odd.count()
