@@ -88,6 +88,14 @@ def q_catalog_facts(spark, sf):
         "table", "column", "data_type", "rows", "nulls", "min_value", "max_value")
 
 
+@query("table_scan", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 1000")
+def q_table_scan(spark, sf):
+    """A catalog table read with two of its columns, filters in the scan."""
+    _register(spark, sf)
+    orders = spark.table(f"{LISTED_DB}.orders")
+    return orders.where((F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 1000)).select("o_orderkey", "o_totalprice")
+
+
 COMMENT = "Orders loaded from the fixture; it's \"quoted\" text"
 
 

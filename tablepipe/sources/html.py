@@ -37,13 +37,24 @@ _BOUNDARY = {"td": "table", "th": "table", "tr": "table", "thead": "table", "tbo
              "option": "select", "optgroup": "select", "p": ("td", "th", "li")}
 
 
+# start tag -> the open elements that it closes
+_CLOSES: dict = {}
+for _own, _tags in _CLOSED_BY.items():
+    for _tag in _tags:
+        _CLOSES.setdefault(_tag, []).append(_own)
+
+
+class _Whole(Exception):
+    """The element is complete; what follows it is not parsed."""
+
+
 class _Scoped(HTMLParser):
     """Keeps the stack of open elements and knows whether the parser is inside the
     first element with ``element_id`` (the whole document when the id is None)."""
 
     def __init__(self, element_id):
         super().__init__(convert_charrefs=True)
-        self.element_id, self.stack = element_id, []
+        self.element_id, self.stack, self.open = element_id, [], {}
         self.scope = 0 if element_id is None else None  # stack height inside the element
         self.found, self.done = element_id is None, False
 
@@ -59,6 +70,7 @@ class _Scoped(HTMLParser):
 
     def _pop(self):
         tag = self.stack.pop()
+        self.open[tag] -= 1
         if self.inside:
             if self.element_id is not None and len(self.stack) < self.scope:
                 self.done = True
@@ -66,7 +78,7 @@ class _Scoped(HTMLParser):
 
     def _imply_ends(self, tag):
         """Close the elements that the start of ``tag`` ends."""
-        while True:
+        while any(self.open.get(own) for own in _CLOSES.get(tag, ())):
             for depth in range(len(self.stack) - 1, -1, -1):
                 own = self.stack[depth]
                 if tag in _CLOSED_BY.get(own, ()):
@@ -88,6 +100,7 @@ class _Scoped(HTMLParser):
                 self.opened(tag, attrs)
             return
         self.stack.append(tag)
+        self.open[tag] = self.open.get(tag, 0) + 1
         if enters:
             self.found, self.scope = True, len(self.stack)
         elif self.inside:
@@ -99,7 +112,12 @@ class _Scoped(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag not in self.stack:
+        if not self.open.get(tag):
+            return
+        if self.stack[-1] == tag:
+            self._pop()
+            if self.done:
+                raise _Whole
             return
         depth = len(self.stack) - 1 - self.stack[::-1].index(tag)
         stop = _BOUNDARY.get(tag, ())
@@ -107,6 +125,8 @@ class _Scoped(HTMLParser):
             return  # an end tag does not reach out of a nested table or list
         while len(self.stack) > depth:
             self._pop()
+        if self.done:
+            raise _Whole
 
     def close(self):
         super().close()
@@ -160,22 +180,26 @@ class OptionParser(_Scoped):
             self.values.append(dict(attrs).get(self.attr))
 
 
+def _parse(parser, html):
+    try:
+        parser.feed(html or "")
+        parser.close()
+    except _Whole:
+        pass
+    if not parser.found:
+        raise ValueError(f"no element with id {parser.element_id!r}")
+
+
 def parse_rows(html, element_id=None, row_tag="tr", cell_tags=("td", "th")):
     """Python form of ``html_rows`` (used by the UDTF and by tests)."""
     p = RowParser(element_id, row_tag, cell_tags)
-    p.feed(html or "")
-    p.close()
-    if not p.found:
-        raise ValueError(f"no element with id {element_id!r}")
+    _parse(p, html)
     return p.rows
 
 
 def parse_options(html, element_id=None, tag="option", attr="value"):
     p = OptionParser(element_id, tag, attr)
-    p.feed(html or "")
-    p.close()
-    if not p.found:
-        raise ValueError(f"no element with id {element_id!r}")
+    _parse(p, html)
     return p.values
 
 
