@@ -3,11 +3,11 @@
 1. One pass over the texts gives each document the failures of the filters that
    look at its own text (a bit mask) and a 64-bit hash of the text.
 2. Duplicate prepass: every task counts the hashes in a counting Bloom sketch
-   (``PROBES`` counters a text, kept sparse by segment), the sketches are added
+   (three counters a text, kept sparse by segment), the sketches are added
    segment by segment, and the counters of at least 2 become a bit map. A text with
-   a counter of 1 stands once in the table. The map has ``SLOTS`` slots a document,
-   ``MOST_SLOTS`` at most, which bounds what is broadcast; a fuller map clears fewer
-   texts and changes no result.
+   a counter of 1 stands once in the table. The map has 16 slots a document, 64 MB at
+   most, which bounds what is broadcast; a fuller map clears fewer texts and changes
+   no result.
 3. Only texts that the map does not clear move: grouped by the full text, the least
    id of each is exempt from the duplicate filter, all other ids of it fail.
 4. Masks with the documents' labels are counted per part; every figure of every
@@ -19,22 +19,14 @@ from __future__ import annotations
 import math
 from itertools import permutations
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablepipe.llm import _sketch
 from tablepipe.llm._scratch import Scratch
-from tablepipe.llm._text import map_arrow, prepare
-from tablepipe.llm._words import mix
 
 WORD = r"[^\x20\x09-\x0D]+"
 FILTERS = "ABCDE"
-PROBES, SLOTS = 3, 16
-MOST_SLOTS = 1 << 29  # 64 MB of bits
-SEGMENT = 1 << 16
-FLUSH = 1 << 20  # counters that a task holds before it passes them on
 
 
 def failures(text):
@@ -49,70 +41,6 @@ def failures(text):
     return sum(F.when(c, F.lit(1 << k)).otherwise(F.lit(0)) for k, c in enumerate(fails))
 
 
-def slots_of(hashes, slots):
-    """uint64 [PROBES, n]: the counters of each hash."""
-    h = hashes.astype(np.uint64)
-    steps = np.arange(1, PROBES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return mix(h[None, :] + steps[:, None]) & np.uint64(slots - 1)
-
-
-def sketches(hashes, slots) -> DataFrame:
-    """(segment, spots, counts): the counters of each task by segment, sparse; ``hashes`` has the one column h."""
-    def out(parts):
-        spot, n = np.unique(np.concatenate(parts), return_counts=True)
-        segment = (spot // SEGMENT).astype(np.int64)
-        cuts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1], [True]]))
-        low, n = (spot % SEGMENT).astype("<u2"), np.minimum(n, 255).astype(np.uint8)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(segment[cuts[:-1]], pa.int64()),
-             pa.array([low[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary()),
-             pa.array([n[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())], ["segment", "spots", "counts"])
-
-    def run(batches):
-        parts, held = [], 0
-        for batch in batches:
-            h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            parts.append(slots_of(h, slots).ravel())
-            held += parts[-1].size
-            if held >= FLUSH:
-                yield out(parts)
-                parts, held = [], 0
-        if held:
-            yield out(parts)
-
-    return map_arrow(hashes, run, "segment long, spots binary, counts binary")
-
-
-def merged(parts) -> DataFrame:
-    """(segment, bits): the sketches of a segment added up, one bit for each counter of at least 2."""
-    def run(table):
-        spots = np.frombuffer(b"".join(table["spots"].to_pylist()), "<u2")
-        counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint8)
-        total = np.bincount(spots, weights=counts, minlength=SEGMENT)
-        return pa.table({"segment": table["segment"].slice(0, 1), "bits": pa.array([np.packbits(total >= 2).tobytes()], pa.binary())})
-
-    prepare(parts.sparkSession)
-    return parts.groupBy("segment").applyInArrow(run, "segment long, bits binary")
-
-
-def possible_repeat(spark, parts, slots):
-    """Column function over a text hash: false only where the hash stands once in the table."""
-    bits = np.zeros(max(slots, SEGMENT) // 8, np.uint8)
-    for row in merged(parts).toLocalIterator():  # at most MOST_SLOTS bits in all
-        at = row["segment"] * SEGMENT // 8
-        bits[at:at + SEGMENT // 8] = np.frombuffer(row["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(bits.tobytes())
-
-    @F.pandas_udf("boolean")
-    def repeat(h: pd.Series) -> pd.Series:
-        table = np.frombuffer(shared.value, np.uint8)
-        spot = slots_of(h.to_numpy().view(np.uint64), slots)
-        return pd.Series(((table[spot >> np.uint64(3)] >> (7 - (spot & np.uint64(7))).astype(np.uint8)) & 1).all(0))
-
-    prepare(spark)
-    return repeat
-
-
 def masks(df, labels, id_col="doc_id", text_col="text", part_col="lang") -> DataFrame:
     """(part, mask, n, good, toxic): documents of each part by the set of filters that they fail."""
     spark = df.sparkSession
@@ -121,8 +49,8 @@ def masks(df, labels, id_col="doc_id", text_col="text", part_col="lang") -> Data
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), text.alias("text"))
     own = s.cut(docs.select("id", "part", failures(F.col("text")).alias("mask"), F.xxhash64("text").alias("h")), "own")
     number = own.count()
-    slots = min(MOST_SLOTS, 1 << max(16, (SLOTS * max(1, number) - 1).bit_length()))
-    repeat = possible_repeat(spark, sketches(own.where("id is not null").select("h"), slots), slots)
+    slots = min(_sketch.MOST_SLOTS, 1 << max(16, (_sketch.SLOTS * max(1, number) - 1).bit_length()))
+    repeat = _sketch.bit_map(spark, own.where("id is not null").select("h"), slots, least=2)
     again = docs.where("id is not null").where(repeat(F.xxhash64("text")))
     first = s.cut(again.groupBy("text").agg(F.min("id").alias("id")).select("id", F.xxhash64("text").alias("h"), F.lit(True).alias("first")),
                   "first")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablepipe.llm import filter_audit, mixing, phrases
+from tablepipe.llm import _sketch, filter_audit, mixing, phrases
 from tablepipe.llm import _words as W
 
 
@@ -255,8 +255,8 @@ def test_a_small_sketch_changes_no_result(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     want = {tuple(r) for r in filter_audit.audit(df, labels).collect()}
-    monkeypatch.setattr(filter_audit, "MOST_SLOTS", 1 << 16)
-    monkeypatch.setattr(filter_audit, "SLOTS", 1)
+    monkeypatch.setattr(_sketch, "MOST_SLOTS", 1 << 16)
+    monkeypatch.setattr(_sketch, "SLOTS", 1)
     assert {tuple(r) for r in filter_audit.audit(df, labels).collect()} == want
 
 
@@ -264,6 +264,6 @@ def test_sketches_clear_unique_texts_only(spark):
     h = [W.mix(np.array([i], np.uint64)).view(np.int64)[0].item() for i in range(500)]
     df = spark.createDataFrame([(x,) for x in h + h[:50] * 3], "h long").repartition(4)
     slots = 1 << 16
-    repeat = filter_audit.possible_repeat(spark, filter_audit.sketches(df, slots), slots)
+    repeat = _sketch.bit_map(spark, df, slots, least=2)
     flagged = {r.h for r in df.distinct().where(repeat("h")).collect()}
     assert set(h[:50]) <= flagged and len(flagged) < 60
