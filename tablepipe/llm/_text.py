@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,7 +38,22 @@ def slices(batches, name, budget=SLICE_BYTES):
             yield batch.slice(row, stop - row), texts.slice(row, stop - row)
             row = stop
         del batch, texts, ends
-        pa.default_memory_pool().release_unused()
+        release()
+
+
+@functools.lru_cache(1)
+def _trim():
+    """glibc's ``malloc_trim``, where the C library has it."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda pad: 0
+
+
+def release():
+    """Give freed memory back: a worker that goes on to other stages keeps none of it."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
 def utf8_view(texts):

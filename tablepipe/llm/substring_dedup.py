@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from tablepipe.llm import _words as W
 from tablepipe.llm._scratch import Scratch
-from tablepipe.llm._text import map_arrow, prepare, slices, text_column, utf8_view
+from tablepipe.llm._text import map_arrow, prepare, release, slices, text_column, utf8_view
 from tablepipe.llm.suffix_array import permuted_lcp, suffix_array
 
 LENGTH, GRAM = 50, 24
@@ -49,6 +49,7 @@ POSITION_BITS = 24
 STEP = 4 << 20  # windows at a time; positions fit POSITION_BITS
 FLUSH = 1 << 20  # anchors a task gathers before it sends them
 CHUNK_BYTES, SHARD_BYTES = 4 << 20, 16 << 20  # text bytes per chunk of documents and per shard
+BUCKET_BYTES = 4 << 20  # text bytes per bucket of anchors
 LAST_ID = 2**63 - 1  # stands for a null id
 RECORD = 2 + 2 * SIDE
 
@@ -217,11 +218,17 @@ def _resolve(chunks):
         if part.num_rows:
             h = _unpack_hashes(part["hashes"].to_pylist())
             spots = _unpack(part["spots"].to_pylist())
-            good = _shared(h, spots) & (spots["at"] >= 0)
-            spots = np.sort(spots[good], order=["id", "at"])
+            del part
+            spots = spots[_shared(h, spots) & (spots["at"] >= 0)]
+            del h
+            spots = spots[np.lexsort((spots["at"], spots["id"]))]
             rows += [(c, _pack(s)) for c, (s,) in _cut_by(spots["id"] % chunks, [spots])]
-        return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()),
-                         "spots": pa.array([r[1] for r in rows], pa.binary())})
+            del spots
+        out = pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()),
+                        "spots": pa.array([r[1] for r in rows], pa.binary())})
+        del rows, whole
+        release()
+        return out
     return run
 
 
@@ -280,8 +287,11 @@ class _Chunk:
             same = W.mix(same + look.view("<u8")[:, step])
         shard = (key1 % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((same, shard))
+        # one entry where the 128 bits of the core and the bytes beside it are equal
         new = np.ones(len(order), bool)
-        new[1:] = same[order][1:] != same[order][:-1]
+        new[1:] = (record[order[1:]] != record[order[:-1]]).any(1)
+        for key in (key1, key2, kind):
+            new[1:] |= key[order[1:]] != key[order[:-1]]
         self.entry = np.zeros(len(order), np.int64)
         self.entry[order] = np.cumsum(new) - 1
         head = order[new]
@@ -336,6 +346,8 @@ def _fold(text_col, shards):
     def run(key, docs, spots):
         own = _Chunk(docs, spots["spots"].to_pylist(), text_col, shards)
         rows = list(own.entries())
+        del own
+        release()
         return pa.table({"shard": pa.array([r[0] for r in rows], pa.int64()),
                          "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()),
                          "entries": pa.array([r[1] for r in rows], pa.binary())})
@@ -396,7 +408,7 @@ def _answer(table):
     k1, k2, c = e["key1"][order], e["key2"][order], content[order]
     new_key, new = np.ones(len(order), bool), np.ones(len(order), bool)
     new_key[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
-    new[1:] = new_key[1:] | (c[1:] != c[:-1])
+    new[1:] = new_key[1:] | (c[1:] != c[:-1]) | (e["record"][order[1:]] != e["record"][order[:-1]]).any(1)
     head = np.flatnonzero(new)
     variant = np.zeros(len(e), np.int64)
     variant[order] = np.cumsum(new) - 1
@@ -480,7 +492,7 @@ def _removed(df, id_col, text_col, carried, whole):
     s = Scratch(spark, "repeats")
     size = df.select(F.sum(F.octet_length(text_col))).collect()[0][0] or 0
     chunks, shards = _prime(size // CHUNK_BYTES), _prime(size // SHARD_BYTES)
-    found = _find_anchors(df, id_col, text_col, shards, chunks)
+    found = _find_anchors(df, id_col, text_col, _prime(size // BUCKET_BYTES), chunks)
     spots = s.cut(found.groupBy("bucket").applyInArrow(_resolve(chunks), "chunk long, spots binary"), "spots")
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
     rows = df.select(F.pmod(ident, F.lit(chunks).cast("long")).alias("__chunk"), ident.alias("__id"),
