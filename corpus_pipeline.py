@@ -30,14 +30,16 @@ def language_id(spark, docs, sf_dir):
 def near_dedup(spark, docs, sf_dir):
     """One document of each near-duplicate group (five-word shingles, similarity 0.8): the smallest id.
 
-    Repeated rows count as one; a document without an id cannot be told from its
-    copies and goes."""
-    kept = minhash.near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi")
-    once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    number = "__n"
-    while number in docs.columns:
-        number = f"_{number}"
+    Repeated rows count as one. Documents without an id go by a key of their text
+    behind all ids, so one of them stays where no document with an id is like it."""
+    key, number = "__key", "__n"
+    while {key, number} & set(docs.columns):
+        key, number = f"_{key}", f"_{number}"
+    behind = F.lit(2**62) + F.pmod(F.xxhash64("text"), F.lit(2**62))
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), behind))
+    kept = minhash.near_duplicates(keyed, id_col=key, width=5, percent=80).where("kept").select(key).distinct()
+    once = Window.partitionBy(key, F.xxhash64("text")).orderBy(F.lit(0))
+    rows = keyed.join(kept, key, "left_semi")
     return rows.withColumn(number, F.row_number().over(once)).where(F.col(number) == 1).select(*docs.columns)
 
 
