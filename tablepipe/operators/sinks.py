@@ -407,6 +407,9 @@ def export_csv(df: DataFrame, path: str) -> None:
     replace_path(df, path, "csv", header=True, timestampNTZFormat=CSV_TIME)
 
 
+# Bytes that the copy of parts into one file moves at a time.
+COPY_BUFFER = 4 << 20
+
 CSV_TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
@@ -437,7 +440,7 @@ def single_file(writer, spark: SparkSession, path: str, head: str = "", tail: st
     tag = uuid.uuid4().hex[:12]
     parts, new = f"{path}.__parts-{tag}", f"{path}.__new-{tag}"
     fs, at, path_of = _fs(spark, path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    jvm = spark.sparkContext._jvm
     by_reference = fs.getScheme() in ("hdfs", "webhdfs") and not tail and not skip
     try:
         writer.save(parts)
@@ -451,7 +454,7 @@ def single_file(writer, spark: SparkSession, path: str, head: str = "", tail: st
                 try:
                     if i == 0 and skip:
                         source.seek(skip)
-                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, COPY_BUFFER, False)
                 finally:
                     source.close()
             out.write(bytearray(tail.encode()))

@@ -10,9 +10,11 @@ text reader splits the file at closing braces into byte ranges, on any file syst
 2. The maps of a file are composed in order, a few numbers per range, which gives
    every range its start: in a string or not, the depth, in the wanted array or
    not, and the range where the element that is open began.
-3. Each range gives out its whole elements; the pieces of elements that cross
-   ranges meet by (file, range of the first piece) and are joined in order.
+3. Each range gives out its whole elements, which are parsed and written to the shared
+   folder in the same scan; the pieces of elements that cross ranges meet by (file,
+   range of the first piece), are joined in order and then parsed.
 
+So the text is read twice, however often its rows are used.
 An array's elements have to be objects. Compressed files are one range.
 """
 
@@ -22,14 +24,14 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablepipe.session import ship_package
+from tablepipe.session import scratch_path, ship_package
 
-_QUOTE, _SLASH, _OPEN, _CLOSE = 0x22, 0x5C, (0x7B, 0x5B), (0x7D, 0x5D)
-_KINDS = np.zeros(256, np.int8)
-_KINDS[list(_OPEN)], _KINDS[list(_CLOSE)] = 1, -1
+_QUOTE, _SLASH = 0x22, 0x5C
+_CURLY_OPEN, _CURLY_CLOSE, _CASE = 0x7B, 0x7D, 0x20  # square brackets differ from the curly ones by one bit
 
 
 class BrokenArray(ValueError):
@@ -44,13 +46,15 @@ def _chunks(spark: SparkSession, path) -> DataFrame:
 
 
 def _ranges(batch):
-    """(file, start, size, texts) for each run of rows of one byte range in a batch."""
+    """(file, start, size, bytes) for each run of rows of one byte range in a batch: its texts, a closing
+    brace behind each."""
     file, start, size = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
     if not len(file):
         return
     cuts = np.flatnonzero(np.concatenate([[True], (file[1:] != file[:-1]) | (start[1:] != start[:-1]), [True]]))
     for a, b in zip(cuts[:-1], cuts[1:]):
-        yield int(file[a]), int(start[a]), int(size[a]), batch.column(3).slice(a, b - a).to_pylist()
+        texts = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column(3).slice(a, b - a).cast(pa.binary()))
+        yield int(file[a]), int(start[a]), int(size[a]), pc.binary_join(texts, b"}")[0].as_py() + b"}"
 
 
 def marks(data: bytes):
@@ -59,12 +63,16 @@ def marks(data: bytes):
     b = np.frombuffer(data, np.uint8)
     quotes = np.flatnonzero(b == _QUOTE)
     if len(quotes) and _SLASH in data:
-        at = np.arange(len(b))
-        plain = np.maximum.accumulate(np.where(b != _SLASH, at, -1))  # the last other byte up to each place
-        before = quotes - 1
-        quotes = quotes[(before < 0) | ((before - plain[before]) % 2 == 0)]  # an even run of backslashes
-    places = np.flatnonzero(_KINDS[b])
-    return places, _KINDS[b[places]].astype(np.int64), np.searchsorted(quotes, places) % 2, len(quotes) % 2
+        slashes = np.flatnonzero(b == _SLASH)
+        begins = np.flatnonzero(np.concatenate([[True], np.diff(slashes) > 1]))  # of each run of backslashes
+        k = np.searchsorted(slashes, quotes) - 1  # the last backslash before each quote
+        run = np.searchsorted(begins, k, "right") - 1
+        length = np.where((k >= 0) & (slashes[k] == quotes - 1), k - begins[run] + 1, 0)
+        quotes = quotes[length % 2 == 0]
+    curly = b | _CASE
+    opening = curly == _CURLY_OPEN
+    places = np.flatnonzero(opening | (curly == _CURLY_CLOSE))
+    return places, np.where(opening[places], 1, -1), np.searchsorted(quotes, places) % 2, len(quotes) % 2
 
 
 def _opener(key):
@@ -94,7 +102,7 @@ class RangeMap:
                 o[1] = min(o[1], low)
             if self.opener is None and self.first:  # the root array opens the file
                 found = [int(places[0])] if data[places[0]] == 0x5B else []
-            for at in np.flatnonzero(np.isin(places[live], found)):
+            for at in np.flatnonzero(np.isin(places[live], found)) if len(found) else ():
                 self.opens[s].append([int(path[at]), int(path[at:].min())])
             self.low[s] = min(self.low[s], low)
             self.depth[s] = int(path[-1])
@@ -118,12 +126,11 @@ def range_maps(chunks: DataFrame, key) -> DataFrame:
     def run(batches):
         at, own = None, None
         for batch in batches:
-            for file, start, size, texts in _ranges(batch):
+            for file, start, size, data in _ranges(batch):
                 if at != (file, start, size):
                     if at:
                         yield pa.RecordBatch.from_pylist([own.row(*at)], schema=_MAP_TYPE)
                     at, own = (file, start, size), RangeMap(key, start == 0)
-                data = "}".join([*texts, ""]).encode()
                 own.bytes += len(data)
                 own.add(data)
         if at:
@@ -184,11 +191,17 @@ class Elements:
         level = self.level
         since = 0 if self.depth > level and self.wanted else None
         gap = 0 if since is None and self.wanted else None
+        begins, ends = places[(kind > 0) & (path == level + 1)], places[(kind < 0) & (path == level)] + 1
+        if self.wanted and len(path) and int(path.min()) >= level:  # within the array all through
+            yield from self._inside(data, begins.tolist(), ends.tolist(), since)
+            self.string, self.depth = (self.string + total) % 2, int(path[-1])
+            return
         opens = places[(kind > 0) & (path == level)]
-        opens = [p for p in opens.tolist() if self.opener is None and data[p] == 0x5B or p in self.found(data)]
+        found = self.found(data) if len(opens) else ()
+        opens = [p for p in opens.tolist() if self.opener is None and data[p] == 0x5B or p in found]
         edges = [(p + 1, 0) for p in opens]
-        edges += [(p + 1, 1) for p in places[(kind < 0) & (path == level)].tolist()]
-        edges += [(p, 2) for p in places[(kind > 0) & (path == level + 1)].tolist()]
+        edges += [(p, 1) for p in ends.tolist()]
+        edges += [(p, 2) for p in begins.tolist()]
         edges += [(p, 3) for p in places[(kind < 0) & (path == level - 1)].tolist()]
         for at, what in sorted(edges):
             if what == 0:
@@ -213,6 +226,28 @@ class Elements:
         self.string = (self.string + total) % 2
         self.depth = int(path[-1]) if len(path) else self.depth
 
+    def _inside(self, data, begins, ends, since):
+        """The pieces of a text that lies within the array; ``begins`` and ``ends`` of elements take turns."""
+        if since is not None:
+            if not ends:
+                self.held.append(data)
+                return
+            self.held.append(data[:ends[0]])
+            yield self.began is None, b"".join(self.held)
+            self.held, self.began = [], None
+            self.number += 1
+            gaps = zip(ends, [*begins, len(data)])
+            ends = ends[1:]
+        else:
+            gaps = zip([0, *ends], [*begins, len(data)])
+        for gap in {data[a:b] for a, b in gaps if a <= b}:
+            _only_commas(gap)
+        for a, b in zip(begins, ends):
+            yield True, data[a:b]
+            self.number += 1
+        if len(begins) > len(ends):
+            self.held.append(data[begins[-1]:])
+
     def found(self, data):
         return {m.end() - 1 for m in self.opener.finditer(data)} if self.opener else ()
 
@@ -235,11 +270,10 @@ def pieces(chunks: DataFrame, key, shared) -> DataFrame:
         at, own = None, None
         for batch in batches:
             out = []
-            for file, start, _, texts in _ranges(batch):
+            for file, start, _, data in _ranges(batch):
                 if at != (file, start):
                     out += _rest(at, own, ranks)
                     at, own = (file, start), Elements(key, starts[file, start])
-                data = "}".join([*texts, ""]).encode()
                 began = own.began
                 for whole, text in own.add(data):
                     out.append((ranks[file], start if whole else began, start, own.number, whole, text.decode()))
@@ -264,14 +298,17 @@ def _piece_batch(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PIECE_TYPE.types)], schema=_PIECE_TYPE)
 
 
-def array_elements(spark: SparkSession, path, key: str | None = None, order_col: str | None = None) -> DataFrame:
-    """One row per element of the array: ``element`` (JSON text); ``key`` names the array in
-    the file's root object, without it the root itself is the array. ``order_col`` adds the
-    elements' order (file by path, byte range, number) as one orderable column.
+def parsed_elements(spark: SparkSession, path, parse, key: str | None = None, order_col: str | None = None) -> DataFrame:
+    """One row per element of the array: ``element``, what the function ``parse`` of a column
+    makes of its JSON text. ``key`` names the array in the file's root object, without it the
+    root itself is the array. ``order_col`` adds the elements' order (file by path, byte
+    range, number) as one orderable column.
 
-    Three scans and no shuffle of whole elements; only pieces of elements that cross byte
-    ranges (one a range) move. The driver holds a few numbers per byte range. Text that is
-    no such array, or an array cut off before its end, raises ``BrokenArray``."""
+    The text is scanned twice and every element is parsed once: the rows come from a table in
+    the shared folder, so any number of later jobs reads the columns it wants of it. No whole
+    element is shuffled; only pieces of elements that cross byte ranges (one a range) move.
+    The driver holds a few numbers per byte range. Text that is no such array, or an array cut
+    off before its end, raises ``BrokenArray``."""
     ship_package(spark)
     chunks = _chunks(spark, path)
     starts = compose([r.asDict(True) for r in range_maps(chunks, key).collect()], key)
@@ -279,10 +316,20 @@ def array_elements(spark: SparkSession, path, key: str | None = None, order_col:
     names = names.select(F.xxhash64("name").alias("file"), "name").orderBy("name").collect()
     ranks = {r["file"]: k for k, r in enumerate(names)}
     rows = pieces(chunks, key, spark.sparkContext.broadcast((starts, ranks)))
+    rows = rows.select("file", "began", "start", "pos", "whole", F.when(~F.col("whole"), F.col("element")).alias("piece"),
+                       parse(F.when(F.col("whole"), F.col("element"))).alias("element"))
+    stage = scratch_path(spark, "elements")
+    rows.write.parquet(stage)
+    rows = spark.read.schema(rows.schema).parquet(stage)
     order = F.struct("file", "began", "pos")
     columns = ["element"] + ([order.alias(order_col)] if order_col else [])
     whole = rows.where("whole").select(*columns)
     crossing = rows.where("not whole").groupBy("file", "began").agg(
-        F.array_sort(F.collect_list(F.struct("start", "element"))).alias("parts"))
-    joined = crossing.select("file", "began", F.lit(2**62).alias("pos"), F.array_join("parts.element", "").alias("element"))
+        F.array_sort(F.collect_list(F.struct("start", "piece"))).alias("parts"))
+    joined = crossing.select("file", "began", F.lit(2**62).alias("pos"), parse(F.array_join("parts.piece", "")).alias("element"))
     return whole.unionByName(joined.select(*columns))
+
+
+def array_elements(spark: SparkSession, path, key: str | None = None, order_col: str | None = None) -> DataFrame:
+    """One row per element of the array: ``element`` (JSON text); see :func:`parsed_elements`."""
+    return parsed_elements(spark, path, lambda text: text, key, order_col)

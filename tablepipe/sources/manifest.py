@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tablepipe._util import quote_ident
 from tablepipe.operators.combine import choose_by_priority
 from tablepipe.operators.infer import struct_type
-from tablepipe.sources.json_array import array_elements
+from tablepipe.sources.json_array import parsed_elements
 
 # Default format preference, best first.
 FORMAT_PRIORITY = ("shapefile", "geojson", "csv")
@@ -34,8 +34,8 @@ def read_geojson(spark: SparkSession, path, properties_schema=None, kind: str =
     JSON text, so mixed geometry types never break schema inference. Without
     ``properties_schema`` it is inferred from all features."""
     if kind == "collection":
-        feats = array_elements(spark, path, key="features").select(
-            F.from_json("element", FEATURE_LINE_SCHEMA, {"mode": "FAILFAST"}).alias("f")).select("f.*")
+        feats = parsed_elements(spark, path, lambda text: F.from_json(text, FEATURE_LINE_SCHEMA, {"mode": "FAILFAST"}),
+                                key="features").select("element.*")
     elif kind == "seq":
         feats = spark.read.schema(FEATURE_LINE_SCHEMA).json(path)
     else:

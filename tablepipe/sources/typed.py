@@ -76,7 +76,7 @@ def read_typed_json(spark: SparkSession, path, schema, multi_line: bool = True,
     """JSON with a declared schema: one JSON array per file (``multi_line``) or JSON
     lines. A number read into a string column keeps its text (``12`` ->
     ``'12'``); a missing field is null. An array file is read by many tasks
-    (:func:`~tablepipe.sources.json_array.array_elements`).
+    (:func:`~tablepipe.sources.json_array.parsed_elements`) and each record is parsed once.
 
     A record that is no JSON, or a value that does not fit its type, fails the
     query. With ``mode="PERMISSIVE"`` and a ``_corrupt_record string`` column in
@@ -84,13 +84,12 @@ def read_typed_json(spark: SparkSession, path, schema, multi_line: bool = True,
     is cut off, or holds anything but objects, fails in either mode."""
     options = {"mode": "FAILFAST", **options}
     if multi_line:
-        from tablepipe.sources.json_array import array_elements
+        from tablepipe.sources.json_array import parsed_elements
 
-        rows = array_elements(spark, path, order_col=order_col)
         wanted = _as_struct(schema)
+        rows = parsed_elements(spark, path, lambda text: F.from_json(text, wanted, options), order_col=order_col)
         kept = [order_col] if order_col else []
-        record = F.from_json("element", wanted, options)
-        return rows.select(record.alias("__r"), *kept).select(*[F.col("__r")[f.name].alias(f.name) for f in wanted.fields], *kept)
+        return rows.select(*[F.col("element")[f.name].alias(f.name) for f in wanted.fields], *kept)
     df = spark.read.schema(_as_struct(schema)).options(**options).json(path)
     if order_col:
         from tablepipe.operators.sinks import with_file_order

@@ -124,6 +124,33 @@ def test_collections_round_trip(spark, out, small_ranges):
     assert {tuple(r)[:3] for r in back.collect()} == {tuple(r)[:3] for r in df.collect()}
 
 
+def test_elements_are_parsed_once(spark, out, small_ranges):
+    """Jobs over the rows read the parsed columns they want, not the text again."""
+    objects = [{"type": "Feature", "properties": {"i": i, "s": "x" * (i % 40)}, "geometry": {"type": "Point"}} for i in range(200)]
+    with open(f"{out}/c.geojson", "w") as f:
+        json.dump({"type": "FeatureCollection", "features": objects}, f)
+    with open(f"{out}/x.json", "w") as f:
+        json.dump([o["properties"] for o in objects], f)
+    for rows in (read_geojson(spark, f"{out}/c.geojson"), read_typed_json(spark, f"{out}/x.json", "i bigint, s string", order_col="o")):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" not in plan
+        assert sorted((r.i, r.s) for r in rows.select("i", "s").collect()) == [(o["properties"]["i"], o["properties"]["s"]) for o in objects]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from('{}[]"\\a'), max_size=16))
+def test_marks_by_a_walk(text):
+    want, quoted, escaped = [], 0, False
+    for i, c in enumerate(text):
+        if c in "{}[]":
+            want.append((i, 1 if c in "{[" else -1, quoted))
+        if c == '"' and not escaped:
+            quoted = 1 - quoted
+        escaped = c == "\\" and not escaped
+    places, kind, odd, total = J.marks(text.encode())
+    assert list(zip(places.tolist(), kind.tolist(), odd.tolist())) == want and total == quoted
+
+
 # schemas of JSON rows
 
 
