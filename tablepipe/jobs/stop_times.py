@@ -84,14 +84,15 @@ def load(spark: SparkSession, json_path: str, target: str, multi_line: bool = Tr
     """Append the export; False when it was empty (a holiday or missing data). Only the
     target's days that the export has are read."""
     raw = read_typed_json(spark, json_path, export_schema(), multi_line=multi_line, order_col="__ord")
-    if raw.isEmpty():
+    rows = raw.count()
+    if not rows:
         return False
     df = prepare(raw)
     check_contract(df, STOP_TIMES)  # names and types: plan time, no data read
     # an integer column holding a null fails the load; the guard rides in the
     # append itself, whose failed job commits nothing
     df = enforce_not_null(df, integer_columns(STOP_TIMES))
-    append_ignore_conflicts(df, target, STOP_TIMES.keys, order_by="__ord", partition_col=ARRIVE_DAY)
+    append_ignore_conflicts(df, target, STOP_TIMES.keys, order_by="__ord", partition_col=ARRIVE_DAY, rows=rows)
     return True
 
 

@@ -38,11 +38,26 @@ def with_file_order(df: DataFrame, col: str = "__ord") -> DataFrame:
     return df.select("*", order.alias(col))
 
 
-def dedup_first(df: DataFrame, keys, order_by) -> DataFrame:
+# Rows that a task sorts where the number of rows is known.
+ROWS_A_TASK = 250_000
+
+
+def dealt(df: DataFrame, keys, rows: int | None) -> DataFrame:
+    """``df`` shuffled by key, unsorted, into partitions of about ``ROWS_A_TASK`` rows; as it is when
+    ``rows`` is None. A choice of first rows behind it sorts such partitions instead of whole input
+    splits, whose rows can be many times their size in the file. Not for keys that hold a large share
+    of the rows: those are not cut before the shuffle."""
+    if rows is None:
+        return df
+    return df.repartition(max(-(-rows // ROWS_A_TASK), df.sparkSession.sparkContext.defaultParallelism), *[F.col(f"`{k}`") for k in keys])
+
+
+def dedup_first(df: DataFrame, keys, order_by, rows: int | None = None) -> DataFrame:
     """First row per key by ``order_by``; rows with a null in a key all pass.
 
     ``row_number() == 1`` lets Spark insert a partial group limit before the
-    shuffle, so a hot key is cut to one row per map task before it moves."""
+    shuffle, so a hot key is cut to one row per map task before it moves. With the
+    number of ``rows`` (keys that seldom repeat) the rows are dealt first (:func:`dealt`)."""
     keys = as_list(keys)
     require_columns(df, keys)
     order = order_columns(order_by)
@@ -50,12 +65,13 @@ def dedup_first(df: DataFrame, keys, order_by) -> DataFrame:
         raise ValueError("order_by is required to decide which duplicate comes first")
     present = _all_keys_present(keys)
     w = Window.partitionBy(*keys).orderBy(*order)
-    first = (df.where(present).withColumn("__rn", F.row_number().over(w))
+    first = (dealt(df.where(present), keys, rows).withColumn("__rn", F.row_number().over(w))
              .where(F.col("__rn") == 1).drop("__rn"))
     return first.unionByName(df.where(~present))
 
 
-def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by, batch_unique: bool = False) -> DataFrame:
+def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by, batch_unique: bool = False,
+                   rows: int | None = None) -> DataFrame:
     """Rows an ``INSERT ... ON CONFLICT DO NOTHING`` of ``batch`` adds to ``target``.
 
     Existing rows win; within the batch the first row by ``order_by`` wins;
@@ -63,7 +79,7 @@ def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by, batch_un
     (dedup), the anti join reuses that partitioning, and only the key columns
     of the target are read. ``batch_unique`` says that the batch has one row per
     key and no null key (an aggregate by the key): it is read once, without the
-    choice of a first row."""
+    choice of a first row. ``rows``: the batch's number of rows, see :func:`dealt`."""
     keys = as_list(keys)
     require_columns(batch, keys)
     require_columns(target, keys, "target column")
@@ -74,7 +90,7 @@ def rows_to_append(batch: DataFrame, target: DataFrame, keys, order_by, batch_un
         raise ValueError("order_by is required to decide which duplicate comes first")
     present = _all_keys_present(keys)
     w = Window.partitionBy(*keys).orderBy(*order)
-    first = (batch.where(present).withColumn("__rn", F.row_number().over(w))
+    first = (dealt(batch.where(present), keys, rows).withColumn("__rn", F.row_number().over(w))
              .where(F.col("__rn") == 1).drop("__rn"))
     existing = target.select(*keys).where(present)
     fresh = first.join(existing, on=keys, how="left_anti")
@@ -139,7 +155,8 @@ def pruned_target(target: DataFrame, batch: DataFrame, keys, partition_col: str
 
 
 def plan_append(batch: DataFrame, target: str, keys, order_by, fmt: str = "parquet",
-                partition_col: str | None = None, batch_unique: bool = False, bloom: bool = False) -> DataFrame:
+                partition_col: str | None = None, batch_unique: bool = False, bloom: bool = False,
+                rows: int | None = None) -> DataFrame:
     """The rows :func:`append_ignore_conflicts` would write (lazy but for the batch's key
     range, nothing written).
 
@@ -154,17 +171,17 @@ def plan_append(batch: DataFrame, target: str, keys, order_by, fmt: str = "parqu
         if partition_col is not None:
             require_columns(batch, [partition_col])
         tgt = pruned_target(tgt, batch, keys, partition_col, bloom)
-    return rows_to_append(batch, tgt, keys, order_by, batch_unique).select(*columns)
+    return rows_to_append(batch, tgt, keys, order_by, batch_unique, rows).select(*columns)
 
 
 def append_ignore_conflicts(batch: DataFrame, target: str, keys, order_by,
                             fmt: str = "parquet", partition_col: str | None = None,
-                            batch_unique: bool = False, bloom: bool = False) -> None:
+                            batch_unique: bool = False, bloom: bool = False, rows: int | None = None) -> None:
     """Append the non-conflicting rows of ``batch`` to a table or path.
     Running it twice appends nothing the second time for non-null keys. (To
     inspect the rows first, use :func:`plan_append`; re-evaluating it after
     the write would compare against the updated target.)"""
-    add = plan_append(batch, target, keys, order_by, fmt, partition_col, batch_unique, bloom)
+    add = plan_append(batch, target, keys, order_by, fmt, partition_col, batch_unique, bloom, rows)
     if _is_path(target):
         w = add.write.mode("append").format(fmt)
         if partition_col in add.columns:  # keep the target's layout

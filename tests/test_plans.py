@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tablepipe.operators import sinks
 from tablepipe.operators.reshape import measure_pivot
 from tablepipe.operators.sinks import append_ignore_conflicts, plan_append, rows_to_append
 from tablepipe.plans import queries
@@ -32,6 +33,16 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert "partial_min_by" in pivot
 
 
+def test_known_rows_are_dealt_before_they_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_A_TASK", 100)
+    df = spark.range(3000).select((F.col("id") % 2000).alias("k"), F.col("id").alias("o"))
+    for rows in (sinks.dedup_first(df, ["k"], "o", rows=3000), rows_to_append(df, df.limit(0), ["k"], "o", rows=3000)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        at = plan.index("hashpartitioning(k")
+        assert ", 30)" in plan[at:at + 60] and "Sort" not in plan[at:].split("Range")[0]
+        assert sorted((r.k, r.o) for r in rows.collect()) == [(i, i) for i in range(2000)]
+
+
 def test_filters_reach_the_scan(spark):
     for name in ["day_slice_pst", "recent_exclude"]:
         plan = _plan(queries()[name](spark, SF_SMALL))
