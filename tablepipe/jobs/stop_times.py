@@ -126,9 +126,10 @@ def run(spark: SparkSession, json_path: str, target: str, day, snapshot_root: st
 def migrate(spark: SparkSession, source_path: str, target: str) -> None:
     """Truncate and reload from a parquet source, ignoring conflicts; the
     contract is checked (the original skipped it)."""
-    df = with_file_order(spark.read.parquet(source_path).select(*STOP_TIMES.names))
+    source = spark.read.parquet(source_path)
+    df = with_file_order(source.select(*STOP_TIMES.names))
     check_contract(df, STOP_TIMES)
-    df = dedup_first(df, STOP_TIMES.keys, "__ord").select(*STOP_TIMES.names)
+    df = dedup_first(df, STOP_TIMES.keys, "__ord", source.count()).select(*STOP_TIMES.names)
     df = df.withColumn(ARRIVE_DAY, local_date(utc_wall("scheduled_arrive"), SNAPSHOT_ZONE))
     if "/" in target:
         replace_path(df, target, partition_by=[ARRIVE_DAY])
