@@ -2,8 +2,11 @@ import json
 import math
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tablepipe.sources import html
 from tablepipe.sources.html import attr_values, html_options, html_rows, parse_options, parse_rows
 from tablepipe.sources.manifest import load_manifest, read_geojson
 from tablepipe.sources.paged import page_offsets, read_paged
@@ -36,6 +39,46 @@ def test_html_udtfs(spark):
     assert [r.v for r in hrefs.collect()][:2] == ["/x", "/y"]
 
 
+def test_small_pages_share_a_batch(spark):
+    """Pages are parsed by Arrow batches, not by a table function called for each."""
+    df = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, F.lit("<p>none")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(
+        F.concat(F.lit("<table id=T><tr><td>k<tr><td>"), "id", F.lit("</table><select id=T><option value=1>"))).alias("html"))
+    rows = html_rows(df, "html", "T", keep=["id"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    assert rows.columns == ["id", "pos", "cells", "header", "error"]
+    got = rows.collect()
+    bad = [i for i in range(300) if i % 3 == 0 or i % 50 == 1]
+    assert sorted(r.id for r in got if r.error) == bad and all(r.pos is None and r.cells is None for r in got if r.error)
+    assert sorted((r.id, r.pos, r.cells[0], r.header[0]) for r in got if not r.error) == sorted(
+        x for i in range(300) if i not in bad for x in [(i, 0, "k", "k"), (i, 1, str(i), "k")])
+
+
+_SOUP = st.lists(st.sampled_from(
+    ["<p>", "<P class=x>", "</p >", "<table id=T>", '<table id="T" border>', "<TABLE ID=T>", "</table>", "<tr>", "<tr\n>", "</tr>", "<td>", "<td colspan=2>",
+     "<td id=''>", "<td x='a>b'>", "</td>", "<th a=1 b>", "<tbody>", "<li>", "<ul>", "</ul>", "<option value=3>", "<select id=T>", "<br>", "<br/>",
+     "<td/>", "<h1>", "a", " b ", "&amp;", "&lt", "<", ">", "< td>", "<!-- <td> -->", "<!x>", "<script>", "</script>", "<style>", "</style>", "<title>",
+     "</title>", "<textarea>", "</textarea>", "<td x=\"<\">", '<td y="">', "</td z>", "</", "<td", "<a-b>", "<td =3>", "<td x=a/b>", "\x0b", "é"]),
+    max_size=14).map("".join)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(_SOUP, st.sampled_from(["T", None]))
+def test_plain_pages_parse_alike(page, ident):
+    def run(parse):
+        try:
+            return parse(page, ident)
+        except ValueError as e:
+            return str(e)
+
+    got = run(parse_rows), run(parse_options)
+    plain, html._plain = html._plain, lambda page: None
+    try:
+        assert got == (run(parse_rows), run(parse_options))
+    finally:
+        html._plain = plain
+
+
 def test_typed_csv(spark, out):
     p = f"{out}/a.csv"
     with open(p, "w") as f:
