@@ -47,7 +47,7 @@ CORE = (GRAM + FREE - (SPLIT - 1), GRAM + SPLIT)  # 38, 37
 NEED = (LENGTH - CORE[0] + 1, LENGTH - CORE[1] + 1)  # symbols of a window when the core is one: 13, 14
 POSITION_BITS = 24
 STEP = 4 << 20  # windows at a time; positions fit POSITION_BITS
-FLUSH = 1 << 20  # anchors a task gathers before it sends them
+FLUSH = 1 << 18  # anchors a task gathers before it sends them; several copies of them are alive then
 CHUNK_BYTES, SHARD_BYTES = 4 << 20, 16 << 20  # text bytes per chunk of documents and per shard
 BUCKET_BYTES = 4 << 20  # text bytes per bucket of anchors
 LAST_ID = 2**63 - 1  # stands for a null id
@@ -185,9 +185,12 @@ def _find_anchors(df, id_col, text_col, buckets, chunks):
             h, spots = np.concatenate([h[~here], reps]), np.concatenate([spots[~here], few])
             rows += [(b, None, _pack_hashes(x), _pack(s)) for b, (x, s) in
                      _cut_by((h % np.uint64(buckets)).astype(np.int64), [h, spots])]
+            del h, spots, here, reps, at, few
             for i in range(0, len(rows), 2000):
                 columns = zip(*rows[i:i + 2000])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+            rows.clear()
+            release()
 
         for batch, texts in slices(batches, text_col):
             data, offsets = utf8_view(texts)
@@ -275,11 +278,10 @@ class _Chunk:
         record = np.zeros((len(core), RECORD), np.uint8)
         record[:, 0], record[:, 1] = left, right
         padded = np.concatenate([self.data, np.zeros(2 * SIDE, np.uint8)])
-        side = np.arange(SIDE)
         for column, begin, count in ((2, self.first, left), (2 + SIDE, core + size, right)):
-            got = padded[begin[:, None] + side]
-            got[side >= count[:, None]] = 0
-            record[:, column:column + SIDE] = got
+            for j in range(SIDE):  # byte by byte: places of all bytes at once are 100 bytes a region
+                record[:, column + j] = np.where(j < count, padded[begin + j], 0)
+        del x, padded
         look = np.zeros((len(core), 32), np.uint8)
         look[:, :RECORD] = record
         same = W.mix(key1 ^ W.mix(key2))

@@ -440,3 +440,25 @@ def test_stages_take_odd_and_empty_tables(spark, sf, odd, empty):
             got = stage(spark, source, sf)
             assert name == "bpe" or got.columns == source.columns
             assert got.count() <= source.count()
+
+
+def test_anchor_tasks_hold_little(monkeypatch):
+    """A task sends its anchors in bounded lots, however many it finds."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    found = []
+    monkeypatch.setattr(substring_dedup, "map_arrow", lambda df, run, schema: found.append(run))
+    substring_dedup._find_anchors(type("Frame", (), {"select": lambda self, *c: self})(), "doc_id", "text", 13, 13)
+    rng = np.random.default_rng(3)
+    texts = ([pa.array([i]), pa.array([rng.integers(97, 123, 400_000, dtype=np.uint8).tobytes().decode()])] for i in range(40))
+    tracemalloc.start()
+    try:
+        anchors = sum(len(s) // substring_dedup._SPOTS.itemsize for b in found[0](pa.RecordBatch.from_arrays(t, ["doc_id", "text"]) for t in texts)
+                      for s in b.column(3).to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert anchors > 1_000_000 and peak < 50e6
