@@ -15,9 +15,9 @@ spread, and no shard may hold a whole group of copies. So:
    chunk of documents, equal regions fold into one entry: 128-bit key of the
    core, the bytes left and right of it, the smallest id.
 3. Shards. Entries are dealt by core. A core with one variant is settled by its
-   smallest id. All others go into one string per shard, a symbol for the core:
-   its suffix array by induced sorting and the permuted common prefixes give the
-   classes of equal windows, and each class its smallest id.
+   smallest id. All others go into one string per lot of a shard's cores, a symbol
+   for the core: its suffix array by induced sorting and the permuted common
+   prefixes give the classes of equal windows, and each class its smallest id.
 4. The chunks get their entries' answers back, mark the windows, and remove the
    bytes.
 
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from tablepipe.llm import _words as W
 from tablepipe.llm._scratch import Scratch
-from tablepipe.llm._text import map_arrow, prepare, release, slices, text_column, utf8_view
+from tablepipe.llm._text import map_arrow, prepare, release, returned, slices, text_column, utf8_view
 from tablepipe.llm.suffix_array import permuted_lcp, suffix_array
 
 LENGTH, GRAM = 50, 24
@@ -50,6 +50,8 @@ STEP = 4 << 20  # windows at a time; positions fit POSITION_BITS
 FLUSH = 1 << 18  # anchors a task gathers before it sends them; several copies of them are alive then
 CHUNK_BYTES, SHARD_BYTES = 4 << 20, 16 << 20  # text bytes per chunk of documents and per shard
 BUCKET_BYTES = 4 << 20  # text bytes per bucket of anchors
+LOT = 1 << 14  # variants whose windows are sorted together, unless one core has more
+BLOCK = 1 << 15  # rows compared at a time
 LAST_ID = 2**63 - 1  # stands for a null id
 RECORD = 2 + 2 * SIDE
 
@@ -227,37 +229,36 @@ def _resolve(chunks):
             spots = spots[np.lexsort((spots["at"], spots["id"]))]
             rows += [(c, _pack(s)) for c, (s,) in _cut_by(spots["id"] % chunks, [spots])]
             del spots
-        out = pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()),
-                        "spots": pa.array([r[1] for r in rows], pa.binary())})
-        del rows, whole
-        release()
-        return out
-    return run
+        return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()),
+                         "spots": pa.array([r[1] for r in rows], pa.binary())})
+    return returned(run)
 
 
 class _Chunk:
     """Texts of a chunk with their shared regions, and the entries these fold into.
 
     Entries are in an order that depends on their content only (shard, hash of the
-    variant), so the same chunk gives the same numbering in each pass."""
+    variant), so the same chunk gives the same numbering in each pass. Only with
+    ``pack`` are they made."""
 
-    def __init__(self, docs, spots, text_col, shards):
+    def __init__(self, docs, spots, text_col, shards, pack):
         ids = _ids(docs["__id"].combine_chunks() if docs.num_rows else pa.array([], pa.int64()))
         order = np.argsort(ids, kind="stable")
         self.docs, self.ids = docs.take(pa.array(order)), ids[order]
         batch = self.docs.combine_chunks().to_batches()
         texts = text_column(batch[0], text_col) if batch else pa.array([], pa.string())
         self.data, self.offsets = utf8_view(texts)
+        at = np.int32 if len(self.data) < 2**31 - LENGTH else np.int64  # of places in the chunk
         s = np.unique(_unpack(spots))
         lo, hi = np.searchsorted(self.ids, s["id"], "left"), np.searchsorted(self.ids, s["id"], "right")
-        row = np.repeat(lo, hi - lo) + _ranges(hi - lo)  # rows that share an id each get its places
+        row = (np.repeat(lo, hi - lo) + _ranges(hi - lo)).astype(np.int32)  # rows that share an id each get its places
         s = s[np.repeat(np.arange(len(s)), hi - lo)]
-        place = self.offsets[row] + s["at"]
+        place = (self.offsets[row] + s["at"]).astype(at)
         first = place - s["before"]
         last = first + s["more"]
         fits = (first >= self.offsets[row]) & (last + LENGTH <= self.offsets[row + 1])
         place, first, last, row = place[fits], first[fits], last[fits], row[fits]
-        x = _loads(self.data)
+        del s, lo, hi, fits
         parts = []
         for k in (0, 1):
             if k == 0:
@@ -265,60 +266,66 @@ class _Chunk:
             else:
                 a, b, core = first, np.minimum(last, place - SPLIT), place - SPLIT
             some = np.flatnonzero(a <= b)
-            parts.append((a[some], b[some], core[some], row[some], np.full(len(some), k)))
+            parts.append((a[some], b[some], core[some], row[some], np.full(len(some), k, np.uint8)))
+        del place, first, last, row, a, b, core, some
         self.first, self.last, core, self.row, kind = (np.concatenate(c) for c in zip(*parts))
-        size = np.array(CORE)[kind]
-        key1 = W.mix(x[core] + kind.astype(np.uint64))
-        key2 = W.mix(x[core] ^ np.uint64(0x9E3779B97F4A7C15))
+        del parts
+        size = np.array(CORE, np.int32)[kind]
+        padded = np.concatenate([self.data, np.zeros(2 * SIDE, np.uint8)])
+        x = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))  # the 8 bytes from each place
+        got = x[core]
+        key1 = W.mix(got + kind.astype(np.uint64))
+        key2 = W.mix(got ^ np.uint64(0x9E3779B97F4A7C15))
         for step in (8, 16, 24):
-            key1, key2 = W.mix(key1 + x[core + step]), W.mix(key2 ^ x[core + step])
-        tail = x[core + size - 8]
-        key1, key2 = W.mix(key1 + tail), W.mix(key2 ^ tail)
+            got = x[core + step]
+            key1, key2 = W.mix(key1 + got), W.mix(key2 ^ got)
+        got = x[core + size - 8]
+        key1, key2 = W.mix(key1 + got), W.mix(key2 ^ got)
         left, right = core - self.first, self.last + LENGTH - (core + size)
-        record = np.zeros((len(core), RECORD), np.uint8)
-        record[:, 0], record[:, 1] = left, right
-        padded = np.concatenate([self.data, np.zeros(2 * SIDE, np.uint8)])
+        look = np.zeros((len(core), LOOK), np.uint8)
+        look[:, 0], look[:, 1] = left, right
         for column, begin, count in ((2, self.first, left), (2 + SIDE, core + size, right)):
             for j in range(SIDE):  # byte by byte: places of all bytes at once are 100 bytes a region
-                record[:, column + j] = np.where(j < count, padded[begin + j], 0)
-        del x, padded
-        look = np.zeros((len(core), 32), np.uint8)
-        look[:, :RECORD] = record
+                look[:, column + j] = np.where(j < count, padded[begin + j], 0)
+        del x, padded, got, core, size, left, right, begin, count
         same = W.mix(key1 ^ W.mix(key2))
-        for step in range(4):
+        for step in range(LOOK // 8):
             same = W.mix(same + look.view("<u8")[:, step])
-        shard = (key1 % np.uint64(shards)).astype(np.int64)
+        shard = (key1 % np.uint64(shards)).astype(np.int32)
         order = np.lexsort((same, shard))
+        del same
         # one entry where the 128 bits of the core and the bytes beside it are equal
-        new = np.ones(len(order), bool)
-        new[1:] = (record[order[1:]] != record[order[:-1]]).any(1)
+        new = _unlike(look, order)
         for key in (key1, key2, kind):
             new[1:] |= key[order[1:]] != key[order[:-1]]
-        self.entry = np.zeros(len(order), np.int64)
+        self.entry = np.zeros(len(order), np.int32)
         self.entry[order] = np.cumsum(new) - 1
         head = order[new]
-        self.shard, self.key1, self.key2, self.record, self.kind = shard[head], key1[head], key2[head], record[head], kind[head]
+        del order, new
+        self.shard = shard[head]
+        self.begin = np.searchsorted(self.shard, np.arange(shards + 1))
+        if not pack:
+            return
+        self.packed = np.empty(len(head), _ENTRY)
+        self.packed["key1"], self.packed["key2"], self.packed["kind"] = key1[head], key2[head], kind[head]
+        self.packed["record"] = look[head, :RECORD]
         docs_of = self.ids[self.row]
-        self.least, most = np.full(len(head), LAST_ID), np.full(len(head), -2**63)
-        np.minimum.at(self.least, self.entry, docs_of)
+        least, most = np.full(len(head), LAST_ID), np.full(len(head), -2**63)
+        np.minimum.at(least, self.entry, docs_of)
         np.maximum.at(most, self.entry, docs_of)
-        self.several = most > self.least
-        self.begin = np.searchsorted(self.shard, np.arange(shards + 1))
+        self.packed["least"], self.packed["several"] = least, most > least
 
     def entries(self):
         """(shard, packed entries) of every shard that has some."""
-        packed = np.empty(len(self.shard), _ENTRY)
-        packed["key1"], packed["key2"], packed["kind"], packed["record"] = self.key1, self.key2, self.kind, self.record
-        packed["least"], packed["several"] = self.least, self.several
         for shard in np.unique(self.shard).tolist():
-            yield shard, packed[self.begin[shard]:self.begin[shard + 1]].tobytes()
+            yield shard, self.packed[self.begin[shard]:self.begin[shard + 1]].tobytes()
 
     def covered(self, answers):
         """How often each byte is covered by removed windows (an array over the chunk's bytes)."""
         runs = [np.frombuffer(a, _ANSWER).copy() for _, a in answers]
         for (shard, _), r in zip(answers, runs):
             r["entry"] += self.begin[shard]
-        cover = np.zeros(len(self.data) + 1, np.int64)
+        cover = np.zeros(len(self.data) + 1, np.int32)
         if runs:
             runs = np.concatenate(runs)
             runs = runs[np.argsort(runs["entry"], kind="stable")]
@@ -330,13 +337,23 @@ class _Chunk:
             r, occurrence = r[goes], occurrence[goes]
             np.add.at(cover, self.first[occurrence] + r["lo"], 1)
             np.add.at(cover, self.first[occurrence] + r["hi"] + LENGTH, -1)
-        return np.cumsum(cover[:-1])
+        return np.cumsum(cover[:-1], out=cover[:-1])
 
 
 _ENTRY = np.dtype([("key1", "<u8"), ("key2", "<u8"), ("least", "<i8"), ("kind", "u1"), ("several", "u1"), ("record", "u1", RECORD)])
+LOOK = -(-RECORD // 8) * 8  # a record with zeros behind, for reading it in words
 _ANSWER = np.dtype([("least", "<i8"), ("entry", "<i4"), ("lo", "u1"), ("hi", "u1")])
 
 
+def _unlike(look, order):
+    """Whether each row differs from the one before it in ``order`` (the first one does)."""
+    words, out = look.view("<u8"), np.ones(len(order), bool)
+    for i in range(1, len(order), BLOCK):
+        rows = words[order[i - 1:i + BLOCK]]
+        out[i:i + BLOCK] = (rows[1:] != rows[:-1]).any(1)
+    return out
+
+
 def _ranges(counts):
     """0..n-1 for each n, end to end."""
     ends = np.cumsum(counts)
@@ -346,14 +363,11 @@ def _ranges(counts):
 def _fold(text_col, shards):
     """Cogrouped function of a chunk: its entries by shard."""
     def run(key, docs, spots):
-        own = _Chunk(docs, spots["spots"].to_pylist(), text_col, shards)
-        rows = list(own.entries())
-        del own
-        release()
+        rows = list(_Chunk(docs, spots["spots"].to_pylist(), text_col, shards, True).entries())
         return pa.table({"shard": pa.array([r[0] for r in rows], pa.int64()),
                          "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()),
                          "entries": pa.array([r[1] for r in rows], pa.binary())})
-    return run
+    return returned(run)
 
 
 def _window_classes(record, need, key, least):
@@ -397,40 +411,46 @@ def _window_classes(record, need, key, least):
 
 def _answer(table):
     """Grouped function of a shard: for the entries of each chunk the windows that a smaller id has."""
-    blobs = table["entries"].to_pylist()
     chunk, shard = table["chunk"].to_pylist(), table["shard"][0].as_py()
-    e = np.frombuffer(b"".join(blobs), _ENTRY)
-    sizes = np.array([len(b) // _ENTRY.itemsize for b in blobs])
-    look = np.zeros((len(e), 32), np.uint8)
+    data, offsets = utf8_view(table["entries"].combine_chunks())
+    e, sizes = data.view(_ENTRY), np.diff(offsets) // _ENTRY.itemsize
+    look = np.zeros((len(e), LOOK), np.uint8)
     look[:, :RECORD] = e["record"]
     content = W.mix(e["key2"] + e["kind"].astype(np.uint64))
-    for step in range(4):
+    for step in range(LOOK // 8):
         content = W.mix(content + look.view("<u8")[:, step])
     order = np.lexsort((content, e["key2"], e["key1"]))
     k1, k2, c = e["key1"][order], e["key2"][order], content[order]
-    new_key, new = np.ones(len(order), bool), np.ones(len(order), bool)
+    new_key = np.ones(len(order), bool)
     new_key[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
-    new[1:] = new_key[1:] | (c[1:] != c[:-1]) | (e["record"][order[1:]] != e["record"][order[:-1]]).any(1)
+    new = _unlike(look, order) | new_key
+    new[1:] |= c[1:] != c[:-1]
+    del k1, k2, c, content, look
     head = np.flatnonzero(new)
-    variant = np.zeros(len(e), np.int64)
+    variant = np.zeros(len(e), np.int32)
     variant[order] = np.cumsum(new) - 1
     least = np.minimum.reduceat(e["least"][order], head)
-    own = e[order[head]]
+    own = order[head]  # an entry of each variant
+    record, kinds = e["record"], e["kind"][own]
     key = np.cumsum(new_key[head]) - 1
+    del order, new, new_key
     several = np.bincount(key)[key] > 1
     # a core with one variant: all its windows have the same smallest id
-    windows = own["record"][:, 0].astype(np.int64) + own["record"][:, 1] + 2 - np.array(NEED)[own["kind"]]
+    windows = record[own, 0].astype(np.int64) + record[own, 1] + 2 - np.array(NEED)[kinds]
     alone = np.flatnonzero(~several)
     runs = [(alone, np.zeros(len(alone), np.int64), windows[alone] - 1, least[alone])]
     for kind, need in enumerate(NEED):
-        many = np.flatnonzero(several & (own["kind"] == kind))
-        if not len(many):
-            continue
-        v, w, best = _window_classes(own["record"][many], need, key[many], least[many])
-        first = np.ones(len(v), bool)
-        first[1:] = (v[1:] != v[:-1]) | (best[1:] != best[:-1])
-        at = np.flatnonzero(first)
-        runs.append((many[v[at]], w[at], w[np.append(at[1:], len(v)) - 1], best[at]))
+        many = np.flatnonzero(several & (kinds == kind))
+        cores = np.flatnonzero(np.diff(key[many], prepend=-1, append=-1))  # where a core's variants begin, and the end
+        begin = 0
+        while begin < len(many):
+            end = int(cores[max(np.searchsorted(cores, begin + LOT, "right") - 1, np.searchsorted(cores, begin, "right"))])
+            lot, begin = many[begin:end], end
+            v, w, best = _window_classes(record[own[lot]], need, key[lot], least[lot])
+            first = np.ones(len(v), bool)
+            first[1:] = (v[1:] != v[:-1]) | (best[1:] != best[:-1])
+            at = np.flatnonzero(first)
+            runs.append((lot[v[at]], w[at], w[np.append(at[1:], len(v)) - 1], best[at]))
     v, lo, hi, best = (np.concatenate(x) for x in zip(*runs))
     order = np.argsort(v, kind="stable")
     v, lo, hi, best = v[order], lo[order], hi[order], best[order]
@@ -463,8 +483,9 @@ def _remove(shards, whole):
     def run(key, docs, notes):
         spots = [x for x in notes["spots"].to_pylist() if x is not None]
         answers = [x for x in zip(notes["shard"].to_pylist(), notes["answers"].to_pylist()) if x[1] is not None]
-        own = _Chunk(docs, spots, "__text", shards)
+        own = _Chunk(docs, spots, "__text", shards, False)
         gone = own.covered(answers) > 0
+        del spots, answers
         if whole:
             gone = _whole_characters(own.data, gone)
         n_bytes, n_removed, n_spans, kept = [], [], [], []
@@ -480,7 +501,7 @@ def _remove(shards, whole):
                                    ("kept_sha256", [hashlib.sha256(k).hexdigest() for k in kept], pa.string())):
             out = out.append_column(name, pa.array(values, kind))
         return out
-    return run
+    return returned(run)
 
 
 _MADE = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept": T.BinaryType(),
@@ -502,7 +523,7 @@ def _removed(df, id_col, text_col, carried, whole):
                      F.struct(F.lit(0).alias("__"), *[F.col(c) for c in carried]).alias("__row"))
     entries = (rows.select("__chunk", "__id", "__text").groupBy("__chunk").cogroup(spots.groupBy("chunk"))
                .applyInArrow(_fold("__text", shards), "shard long, chunk long, entries binary"))
-    answers = s.cut(entries.groupBy("shard").applyInArrow(_answer, "chunk long, shard long, answers binary"), "answers")
+    answers = s.cut(entries.groupBy("shard").applyInArrow(returned(_answer), "chunk long, shard long, answers binary"), "answers")
     notes = (spots.select("chunk", "spots", F.lit(None).cast("long").alias("shard"), F.lit(None).cast("binary").alias("answers"))
              .unionByName(answers.select("chunk", F.lit(None).cast("binary").alias("spots"), "shard", "answers")))
     schema = T.StructType([rows.schema["__row"], rows.schema["__null"], *[T.StructField(k, v) for k, v in _MADE.items()]])

@@ -462,3 +462,96 @@ def test_anchor_tasks_hold_little(monkeypatch):
     finally:
         tracemalloc.stop()
     assert anchors > 1_000_000 and peak < 50e6
+
+
+def near_copies(versions, size):
+    """``versions`` texts of ``size`` bytes with ids 0, 1, ...: one of random letters and copies with a byte in 200 changed."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 123, size, dtype=np.uint8) for _ in range(versions)]
+    for v in range(1, versions):
+        texts[v] = texts[0].copy()
+        texts[v][rng.integers(0, size, size // 200)] = 64 + v
+    return [t.tobytes().decode() for t in texts]
+
+
+def chunk_steps(monkeypatch, texts):
+    """(peak of traced memory by step, rows): each text is a chunk, all go to one shard; run without Spark."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    n, found, peaks, docs = len(texts), [], {}, pa.table({"__id": range(len(texts)), "__text": texts})
+    docs = docs.append_column("__row", docs["__id"]).append_column("__null", pa.array([False] * n))
+    monkeypatch.setattr(substring_dedup, "map_arrow", lambda df, run, schema: found.append(run))
+    substring_dedup._find_anchors(type("Frame", (), {"select": lambda self, *c: self})(), "__id", "__text", 1, n)
+    spots = substring_dedup._resolve(n)(pa.Table.from_batches(found[0](docs.select(["__id", "__text"]).to_batches())))
+
+    def of(table, chunk):
+        return table.filter(pc.equal(table["chunk"], chunk))
+
+    def step(name, run, *group):
+        tracemalloc.start()
+        try:
+            out = run(*group)
+            peaks[name] = max(peaks.get(name, 0), tracemalloc.get_traced_memory()[1])
+        finally:
+            tracemalloc.stop()
+        return out
+
+    entries = pa.concat_tables([step("fold", substring_dedup._fold("__text", 1), (pa.scalar(i),), docs.slice(i, 1), of(spots, i)) for i in range(n)])
+    answers, rows = step("answer", substring_dedup._answer, entries), []
+    for i in range(n):
+        notes = pa.concat_tables([of(spots, i), of(answers, i)], promote_options="default")
+        rows += step("remove", substring_dedup._remove(1, False), (pa.scalar(i),), docs.slice(i, 1), notes).to_pylist()
+    return peaks, rows
+
+
+def test_chunks_hold_little_beside_their_text(monkeypatch):
+    """Per byte of text in a chunk or shard whose windows are all shared."""
+    size = 1 << 20
+    peaks, rows = chunk_steps(monkeypatch, near_copies(3, size))
+    assert [r["n_removed"] > size // 2 for r in rows] == [False, True, True]
+    assert peaks["fold"] < 25 * size and peaks["remove"] < 25 * size and peaks["answer"] < 70 * size
+
+
+def test_lots_of_cores_give_the_answers_of_one_string(monkeypatch):
+    texts = near_copies(6, 4000) + near_copies(2, 300)
+    seen, want = set(), []
+    for text in texts:
+        windows = [text[i:i + 50] for i in range(len(text) - 49)]
+        gone = {j for i, w in enumerate(windows) if w in seen for j in range(i, i + 50)}
+        want.append("".join(c for j, c in enumerate(text) if j not in gone).encode())
+        seen.update(windows)
+    for lot in (1, 7, 1 << 30):
+        monkeypatch.setattr(substring_dedup, "LOT", lot)
+        assert [r["kept"] for r in chunk_steps(monkeypatch, texts)[1]] == want
+
+
+def test_workers_give_memory_back_after_a_group():
+    """A worker that waits beside others holds none of the arrays of its last group."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import re
+import numpy as np
+from tablepipe.llm import _text
+
+def resident():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+
+def run(table):
+    arrays = [np.ones(1 << 18) for _ in range(40)]
+    kept.append(np.ones(1 << 10))
+    return table
+
+kept, before = [], resident()
+for _ in range(3):
+    _text.returned(run)(None)
+print(resident() - before)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=root)
+    assert float(done.stdout) < 8
