@@ -30,8 +30,9 @@ BROADCAST_BYTES = 64 << 20  # of the items' windows with their words, beyond whi
 SALTS = 16  # tasks that share a window of placeholders only, in the join by shuffle
 JOINT = "\u00b7"  # stands for the mark inside a number
 # between words: ASCII but letters, digits, # and the joint; Latin-1, general and CJK punctuation
-NO_WORD = (r"[\x00-\x22\x24-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\u0080-\u00A9\u00AB-\u00B4\u00B6\u00B8\u00B9\u00BB-\u00BF"
-           r"\u2000-\u206F\u3000-\u303F]+")
+# Up to U+00FF named one by one: Java finds those in a table, but tries ranges one after the other.
+_LATIN = ((0x00, 0x22), (0x24, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0xA9), (0xAB, 0xB4), (0xB6, 0xB6), (0xB8, 0xB9), (0xBB, 0xBF))
+NO_WORD = "[" + "".join(rf"\x{c:02X}" for a, b in _LATIN for c in range(a, b + 1)) + r"\u2000-\u206F\u3000-\u303F]+"
 # Words that are units after a number.
 UNITS = ("mm cm m km in ft inch inches foot feet yard yards mile miles mg g kg lb lbs oz ounce ounces gram grams kilogram "
          "kilograms pound pounds ton tons ml l liter liters litre litres gallon gallons s sec second seconds min minute "
@@ -44,13 +45,20 @@ def marked(text: Column) -> Column:
     ``#d`` before a number, ``#u`` before its unit, ``#n`` before a name (a
     capitalised word that follows a word, a number or a comma)."""
     t = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("#"), F.lit(" ")), F.lit(JOINT), F.lit(" "))
-    t = F.regexp_replace(t, r"[.,:](?<=\p{Nd}.)(?=\p{Nd})", JOINT)
-    t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{Nd},;:] .)\p{Ll}+", "#n$0")
-    t = F.regexp_replace(t, rf"\p{{Nd}}(?<!\p{{L}}.)[\p{{Nd}}{JOINT}]*", "#d$0 ")
-    t = F.regexp_replace(t, rf"(#d[\p{{Nd}}{JOINT}]+ +)(?:#n)?((?i:{'|'.join(UNITS.split())})(?!\p{{L}}))", "$1#u$2")
+    t = let(t, lambda t: F.when(t.rlike(r"\p{Nd}"), _numbered(_named(F.regexp_replace(t, r"[.,:](?<=\p{Nd}.)(?=\p{Nd})", JOINT))))
+            .otherwise(_named(t)))
     return F.lower(F.regexp_replace(t, NO_WORD, " "))
 
 
+def _named(t: Column) -> Column:
+    return F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{Nd},;:] .)\p{Ll}+", "#n$0")
+
+
+def _numbered(t: Column) -> Column:
+    t = F.regexp_replace(t, rf"\p{{Nd}}(?<!\p{{L}}.)[\p{{Nd}}{JOINT}]*", "#d$0 ")
+    return F.regexp_replace(t, rf"(#d[\p{{Nd}}{JOINT}]+ +)(?:#n)?((?i:{'|'.join(UNITS.split())})(?!\p{{L}}))", "$1#u$2")
+
+
 NAMED, PLAIN, NAMELESS = 0, 1, 2  # readings: names are slots, names are words, there are no names
 
 
@@ -69,7 +77,8 @@ def window_hashes(kinds: Column, k: int) -> Column:
 
 
 def _reading(marks, mode, starts=None) -> Column:
-    return F.struct(kinds_of(marks).alias("kinds"), split_words(marks).alias("values"), F.lit(mode).alias("mode"),
+    """One reading; ``kinds`` is null where no word is a slot and the kinds are the words."""
+    return F.struct(F.when(F.contains(marks, F.lit("#")), kinds_of(marks)).alias("kinds"), split_words(marks).alias("values"), F.lit(mode).alias("mode"),
                     (F.lit(None).cast("array<int>") if starts is None else starts).alias("starts"))
 
 
@@ -87,7 +96,26 @@ def _templates(df, key, text_col) -> DataFrame:
     t = df.select(*key, F.explode(let(marked(F.col(text_col)), lambda m: F.when(F.contains(m, F.lit("#n")), F.array(
         _reading(folded(m), NAMED, _starts(m)), _reading(F.replace(m, F.lit("#n"), F.lit("")), PLAIN)))
         .otherwise(F.array(_reading(m, NAMELESS))))).alias("m"))
-    return t.select(*key, "m.kinds", "m.values", "m.mode", "m.starts")
+    return t.select(*key, F.coalesce("m.kinds", "m.values").alias("kinds"), "m.values", "m.mode", "m.starts")
+
+
+def _text_windows(templates, key, k) -> DataFrame:
+    """(key, mode, pos, hash, first, last, d_values, bare) of all windows of ``k`` words. Each moves with its own words.
+
+    Only places are exploded, so that Spark compiles the loop over a text and holds the text once: exploded hashes would
+    copy the text for each window. The loop's rows of one text are kept in memory; ``coalesce`` (which leaves the
+    partitions as they are) ends it there, so that the texts do not go on with every hit of the join."""
+    pos = F.col("pos")
+    kinds = [F.get("kinds", pos + j) for j in range(k)]
+    bare = F.startswith(kinds[0], F.lit("#"))  # windows without a word
+    for kind in kinds[1:]:
+        bare = bare & F.startswith(kind, F.lit("#"))
+    first = F.coalesce(F.get("starts", pos), pos)
+    last = F.coalesce(F.get("starts", pos + k), F.element_at("starts", -1), pos + k) - 1
+    return (templates.select("*", F.posexplode("kinds").alias("pos", "__kind")).where(pos + k <= F.size("kinds"))
+            .select(*key, "mode", "pos", F.xxhash64(*kinds).alias("hash"), first.alias("first"), last.alias("last"),
+                    F.slice("values", pos + 1, k).alias("d_values"), bare.alias("bare"))
+            .coalesce(2 ** 31 - 1))
 
 
 def item_windows(benchmark, item_col="item_id", text_col="text", window=WINDOW) -> DataFrame:
@@ -126,21 +154,15 @@ def find(documents, benchmark, id_col="doc_id", text_col="text", item_col="item_
     hits = None
     same = (F.col("mode") == F.col("i_mode")) | (F.col("mode") == NAMELESS) | (F.col("i_mode") == NAMELESS)
     for k in [r["k"] for r in sizes] or [window]:
-        grams = docs.select("*", F.posexplode(window_hashes(F.col("kinds"), k)).alias("pos", "hash"))
+        grams = _text_windows(docs, key, k)
         own = items.where(F.col("k") == k)
-        first = F.coalesce(F.get("starts", F.col("pos")), "pos").alias("first")
-        last = (F.coalesce(F.get("starts", F.col("pos") + k), F.element_at("starts", -1), F.col("pos") + k) - 1).alias("last")
-        mine = [*key, "mode", "pos", "hash", first, last, F.slice("values", F.col("pos") + 1, k).alias("d_values")]
-        if small:  # the texts' words are cut after the join, for the hits only
+        if small:
             got = grams.join(F.broadcast(own), "hash").where(same)
-            mine += ["item_id", "i_mode", "n_windows", "i_pos", "i_kinds", "i_values"]
-            got = got.select(*mine)
-        else:  # a window moves with its own k words; windows without a word are shared by several tasks
-            bare = lambda kinds: F.forall(kinds, lambda w: F.startswith(w, F.lit("#")))
-            salt = F.when(bare(F.slice("kinds", F.col("pos") + 1, k)), F.pmod(F.xxhash64(*key, "pos"), F.lit(SALTS))).otherwise(0)
-            salts = F.sequence(F.lit(0), F.when(bare(F.col("i_kinds")), SALTS - 1).otherwise(0)).cast("array<bigint>")
-            own = own.select("*", F.explode(salts).alias("salt"))
-            got = grams.select(*mine, salt.cast("long").alias("salt")).join(own, ["hash", "salt"]).where(same)
+        else:  # windows without a word are shared by several tasks
+            salt = F.when(F.col("bare"), F.pmod(F.xxhash64(*key, "pos"), F.lit(SALTS))).otherwise(0)
+            salts = F.sequence(F.lit(0), F.when(F.forall("i_kinds", lambda w: F.startswith(w, F.lit("#"))), SALTS - 1).otherwise(0))
+            own = own.select("*", F.explode(salts.cast("array<bigint>")).alias("salt"))
+            got = grams.withColumn("salt", salt.cast("long")).join(own, ["hash", "salt"]).where(same)
         got = got.select(*key, "item_id", "mode", "i_mode", "n_windows", "pos", "first", "last", "i_pos", "i_kinds", "i_values", "d_values")
         hits = got if hits is None else hits.unionByName(got)
     hits = hits.withColumn("pairs", F.transform(

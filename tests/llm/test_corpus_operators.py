@@ -374,6 +374,24 @@ def test_shuffled_windows_carry_no_texts(spark, monkeypatch):
     assert (1, 1) in {(r.doc_id, r.item_id) for r in decontaminate.find(docs, bench).collect()}
 
 
+def test_texts_are_not_copied_for_their_windows(spark, sf, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", decontaminate.BROADCAST_BYTES)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan then marks what is compiled
+    try:
+        for limit in (decontaminate.BROADCAST_BYTES, 0):
+            decontaminate.BROADCAST_BYTES = limit
+            plan = decontaminate.find(docs, bench)._jdf.queryExecution().executedPlan().toString().split("\n")
+            places = [i for i, line in enumerate(plan) if "Generate posexplode" in line and "text_hash" in line]
+            assert places and all(re.search(r"\*\(\d+\) Generate posexplode\(kinds#", plan[i]) for i in places)
+            # between the loop and the join stand rows of one window
+            above = "\n".join(plan[places[0] - 3:places[0]])
+            assert re.search(r"Coalesce \d+\n.*\*\(\d+\) Project .*d_values", above)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_planted_items_match_brute_force(spark, sf):
     docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     items = {r.item_id: re.findall(r"\w+", r.text.lower()) for r in bench.collect()}
