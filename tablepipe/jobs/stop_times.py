@@ -23,11 +23,14 @@ from tablepipe.operators.filters import day_slice, drop_null_keys, drop_strict
 from tablepipe.operators.sinks import (
     append_ignore_conflicts,
     dedup_first,
+    delete_path,
+    files_go,
     replace_path,
     with_file_order,
     write_snapshot,
     write_table,
 )
+from tablepipe.session import scratch_path
 from tablepipe.sources.typed import read_typed_json
 
 # Display zone, snapshot-day zone, instant columns, dropped columns.
@@ -80,20 +83,29 @@ def prepare(raw: DataFrame) -> DataFrame:
     return df.select(*STOP_TIMES.names, ARRIVE_DAY, *extra)
 
 
-def load(spark: SparkSession, json_path: str, target: str, multi_line: bool = True) -> bool:
+def load(spark: SparkSession, json_path: str, target: str, multi_line: bool = True, keep_export: bool = True) -> bool:
     """Append the export; False when it was empty (a holiday or missing data). Only the
-    target's days that the export has are read."""
-    raw = read_typed_json(spark, json_path, export_schema(), multi_line=multi_line, order_col="__ord")
-    rows = raw.count()
-    if not rows:
-        return False
-    df = prepare(raw)
-    check_contract(df, STOP_TIMES)  # names and types: plan time, no data read
-    # an integer column holding a null fails the load; the guard rides in the
-    # append itself, whose failed job commits nothing
-    df = enforce_not_null(df, integer_columns(STOP_TIMES))
-    append_ignore_conflicts(df, target, STOP_TIMES.keys, order_by="__ord", partition_col=ARRIVE_DAY, rows=rows)
-    return True
+    target's days that the export has are read. The parsed rows and the shuffle files go when
+    the load ends; with ``keep_export=False`` the export itself (an array file that is a scratch
+    copy of the caller's) goes as soon as its rows are parsed, also when the load then fails."""
+    stage = scratch_path(spark, "stop_times_rows")
+    try:
+        raw = read_typed_json(spark, json_path, export_schema(), multi_line=multi_line, order_col="__ord", stage=stage)
+        if multi_line and not keep_export:
+            delete_path(spark, json_path)
+        rows = raw.count()
+        if not rows:
+            return False
+        df = prepare(raw)
+        check_contract(df, STOP_TIMES)  # names and types: plan time, no data read
+        # an integer column holding a null fails the load; the guard rides in the
+        # append itself, whose failed job commits nothing
+        df = enforce_not_null(df, integer_columns(STOP_TIMES))
+        with files_go(spark):
+            append_ignore_conflicts(df, target, STOP_TIMES.keys, order_by="__ord", partition_col=ARRIVE_DAY, rows=rows)
+        return True
+    finally:
+        delete_path(spark, stage)
 
 
 def snapshot_day(spark: SparkSession, target: str, day, root: str, zone: str = SNAPSHOT_ZONE) -> bool:
@@ -129,9 +141,10 @@ def migrate(spark: SparkSession, source_path: str, target: str) -> None:
     source = spark.read.parquet(source_path)
     df = with_file_order(source.select(*STOP_TIMES.names))
     check_contract(df, STOP_TIMES)
-    df = dedup_first(df, STOP_TIMES.keys, "__ord", source.count()).select(*STOP_TIMES.names)
+    df = dedup_first(df, STOP_TIMES.keys, "__ord", source.count(), ranges=True).select(*STOP_TIMES.names)
     df = df.withColumn(ARRIVE_DAY, local_date(utc_wall("scheduled_arrive"), SNAPSHOT_ZONE))
-    if "/" in target:
-        replace_path(df, target, partition_by=[ARRIVE_DAY])
-    else:
-        write_table(df, target, existing="truncate")
+    with files_go(spark):
+        if "/" in target:
+            replace_path(df, target, partition_by=[ARRIVE_DAY])
+        else:
+            write_table(df, target, existing="truncate")

@@ -42,17 +42,22 @@ def with_file_order(df: DataFrame, col: str = "__ord") -> DataFrame:
 ROWS_A_TASK = 250_000
 
 
-def dealt(df: DataFrame, keys, rows: int | None) -> DataFrame:
+def dealt(df: DataFrame, keys, rows: int | None, ranges: bool = False) -> DataFrame:
     """``df`` shuffled by key, unsorted, into partitions of about ``ROWS_A_TASK`` rows; as it is when
     ``rows`` is None. A choice of first rows behind it sorts such partitions instead of whole input
     splits, whose rows can be many times their size in the file. Not for keys that hold a large share
-    of the rows: those are not cut before the shuffle."""
+    of the rows: those are not cut before the shuffle.
+
+    ``ranges`` deals by ranges of the keys, cut by a sample, instead of by their hash: for rows that
+    are written by days of the first key, so that a task writes the files of its few days and not a
+    file of every day (tasks x days files, a few rows each). It reads ``df`` once more."""
     if rows is None:
         return df
-    return df.repartition(max(-(-rows // ROWS_A_TASK), df.sparkSession.sparkContext.defaultParallelism), *[F.col(f"`{k}`") for k in keys])
+    n = max(-(-rows // ROWS_A_TASK), df.sparkSession.sparkContext.defaultParallelism)
+    return (df.repartitionByRange if ranges else df.repartition)(n, *[F.col(f"`{k}`") for k in keys])
 
 
-def dedup_first(df: DataFrame, keys, order_by, rows: int | None = None) -> DataFrame:
+def dedup_first(df: DataFrame, keys, order_by, rows: int | None = None, ranges: bool = False) -> DataFrame:
     """First row per key by ``order_by``; rows with a null in a key all pass.
 
     ``row_number() == 1`` lets Spark insert a partial group limit before the
@@ -65,7 +70,7 @@ def dedup_first(df: DataFrame, keys, order_by, rows: int | None = None) -> DataF
         raise ValueError("order_by is required to decide which duplicate comes first")
     present = _all_keys_present(keys)
     w = Window.partitionBy(*keys).orderBy(*order)
-    first = (dealt(df.where(present), keys, rows).withColumn("__rn", F.row_number().over(w))
+    first = (dealt(df.where(present), keys, rows, ranges).withColumn("__rn", F.row_number().over(w))
              .where(F.col("__rn") == 1).drop("__rn"))
     return first.unionByName(df.where(~present))
 
@@ -163,7 +168,12 @@ def plan_append(batch: DataFrame, target: str, keys, order_by, fmt: str = "parqu
     ``partition_col``: the column the target is partitioned by - a key, or a column that
     the keys determine (the day of a key's time). The target is then cut to what can
     conflict (:func:`pruned_target`), so a daily batch reads one day of a years-long table.
-    ``bloom`` adds a filter of the batch's keys, for a batch much smaller than that part."""
+    ``bloom`` adds a filter of the batch's keys, for a batch much smaller than that part.
+    A path that does not exist yet has nothing to conflict with: the first rows of the batch are
+    chosen without a join, and dealt by ranges of the keys when it will be partitioned."""
+    if _is_path(target) and not batch_unique and not path_exists(batch.sparkSession, target):
+        columns = [c for c in batch.columns if not c.startswith("__")]
+        return dedup_first(batch, keys, order_by, rows, ranges=partition_col in columns).select(*columns)
     tgt = _read_target(batch.sparkSession, target, fmt, like=batch)
     columns = tgt.columns
     partition_col = partition_col if partition_col in columns else None  # an older target without the column
@@ -251,6 +261,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all it holds; nothing happens when there is none."""
+    fs, at, _ = _fs(spark, path)
+    fs.delete(at, True)
+
+
+def files_go(spark: SparkSession):
+    """For the length of a block, shuffle files go when the query that wrote them ends, not when the
+    driver collects garbage."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to a fresh path in the shared folder and read back: whatever
     can fail in computing it has failed before a target is touched."""
@@ -424,8 +446,9 @@ def export_csv(df: DataFrame, path: str) -> None:
     replace_path(df, path, "csv", header=True, timestampNTZFormat=CSV_TIME)
 
 
-# Bytes that the copy of parts into one file moves at a time.
+# Bytes that the copy of parts into one file moves at a time, and the most rows of a part.
 COPY_BUFFER = 4 << 20
+PART_ROWS = 250_000
 
 CSV_TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
@@ -449,31 +472,28 @@ def single_file(writer, spark: SparkSession, path: str, head: str = "", tail: st
     """The parts that ``writer`` writes as one file between ``head`` and ``tail``; the first
     ``skip`` bytes of all parts are left out.
 
-    The parts are written by parallel tasks. The file system joins them by reference where
-    it can (HDFS ``concat``), else they are copied through a small buffer: one file is one
-    stream there. The file takes its name when it is complete."""
+    The parts are written by parallel tasks, in files of ``PART_ROWS`` rows at most. The file
+    system joins them by reference where it can (HDFS ``concat``), else they are copied through
+    a small buffer: one file is one stream there. A part goes when it is copied, so the disk holds
+    the data once and one part more. The file takes its name when it is complete."""
+    import re
     import uuid
 
     tag = uuid.uuid4().hex[:12]
     parts, new = f"{path}.__parts-{tag}", f"{path}.__new-{tag}"
     fs, at, path_of = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
     by_reference = fs.getScheme() in ("hdfs", "webhdfs") and not tail and not skip
     try:
-        writer.save(parts)
+        writer.option("maxRecordsPerFile", PART_ROWS).save(parts)
         files = [f for f in fs.listStatus(path_of(parts)) if f.getPath().getName().startswith("part-") and f.getLen() > 0]
-        files = sorted((f.getPath() for f in files), key=lambda f: f.getName())
+        number = lambda name: [int(x) for x in re.match(r"part-(\d+)-.*-c(\d+)", name).groups()]  # noqa: E731 - task, file of the task
+        files = sorted((f.getPath() for f in files), key=lambda f: number(f.getName()))
         out = fs.create(path_of(new))
         try:
             out.write(bytearray(head.encode()))
             for i, f in enumerate([] if by_reference else files):
-                source = fs.open(f)
-                try:
-                    if i == 0 and skip:
-                        source.seek(skip)
-                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, COPY_BUFFER, False)
-                finally:
-                    source.close()
+                _copy_part(spark, fs, f, out, 0 if i else skip)
+                fs.delete(f, False)
             out.write(bytearray(tail.encode()))
         finally:
             out.close()
@@ -491,6 +511,16 @@ def single_file(writer, spark: SparkSession, path: str, head: str = "", tail: st
         fs.delete(path_of(new), True)
 
 
+def _copy_part(spark: SparkSession, fs, path, out, skip: int) -> None:
+    source = fs.open(path)
+    try:
+        if skip:
+            source.seek(skip)
+        spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, COPY_BUFFER, False)
+    finally:
+        source.close()
+
+
 def write_table(df: DataFrame, table: str, contract=None, existing: str = "drop",
                 comment: str | None = None, partition_by=()) -> None:
     """Load into a catalog table. ``existing``: ``drop`` replaces rows and

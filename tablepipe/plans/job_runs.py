@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablepipe.functions.timeops import us_datetime_text, utc_wall
 from tablepipe.jobs import bike_trips, stop_times
-from tablepipe.operators.sinks import single_file
+from tablepipe.operators.sinks import delete_path, single_file
 from tablepipe.plans._base import query, table
 from tablepipe.session import scratch_path
 
@@ -140,12 +140,15 @@ def _walls(rows):
 @query("stop_times_migrate", _STOP_SQL.replace("DATE '2024-01-15' AS service_date", "CAST(ts - INTERVAL 8 HOUR AS DATE) AS arrive_day")
        .replace(" AND CAST(ts - INTERVAL 8 HOUR AS DATE) = DATE '2024-01-15'", ""))
 def q_stop_times_migrate(spark, sf):
-    """A partitioned table reloaded from the parquet rows of another, with every row there twice."""
+    """A partitioned table reloaded from the parquet rows of another, with every row there twice.
+    Each table in scratch goes when the next one is complete."""
     target, moved = scratch_path(spark, "stop_times"), scratch_path(spark, "stop_times_moved")
-    stop_times.load(spark, _stop_export(spark, sf), target)
+    stop_times.load(spark, _stop_export(spark, sf), target, keep_export=False)
     rows = spark.read.parquet(target)
     rows.unionByName(rows).write.parquet(f"{moved}-source")
+    delete_path(spark, target)
     stop_times.migrate(spark, f"{moved}-source", moved)
+    delete_path(spark, f"{moved}-source")
     return _walls(spark.read.parquet(moved))
 
 

@@ -298,15 +298,17 @@ def _piece_batch(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PIECE_TYPE.types)], schema=_PIECE_TYPE)
 
 
-def parsed_elements(spark: SparkSession, path, parse, key: str | None = None, order_col: str | None = None) -> DataFrame:
+def parsed_elements(spark: SparkSession, path, parse, key: str | None = None, order_col: str | None = None,
+                    stage: str | None = None) -> DataFrame:
     """One row per element of the array: ``element``, what the function ``parse`` of a column
     makes of its JSON text. ``key`` names the array in the file's root object, without it the
     root itself is the array. ``order_col`` adds the elements' order (file by path, byte
     range, number) as one orderable column.
 
     The text is scanned twice and every element is parsed once: the rows come from a table in
-    the shared folder, so any number of later jobs reads the columns it wants of it. No whole
-    element is shuffled; only pieces of elements that cross byte ranges (one a range) move.
+    the shared folder, so any number of later jobs reads the columns it wants of it, and the text
+    is not read again. ``stage`` names that table's path, for a caller that deletes it after use.
+    No whole element is shuffled; only pieces of elements that cross byte ranges (one a range) move.
     The driver holds a few numbers per byte range. Text that is no such array, or an array cut
     off before its end, raises ``BrokenArray``."""
     ship_package(spark)
@@ -318,7 +320,7 @@ def parsed_elements(spark: SparkSession, path, parse, key: str | None = None, or
     rows = pieces(chunks, key, spark.sparkContext.broadcast((starts, ranks)))
     rows = rows.select("file", "began", "start", "pos", "whole", F.when(~F.col("whole"), F.col("element")).alias("piece"),
                        parse(F.when(F.col("whole"), F.col("element"))).alias("element"))
-    stage = scratch_path(spark, "elements")
+    stage = stage or scratch_path(spark, "elements")
     rows.write.parquet(stage)
     rows = spark.read.schema(rows.schema).parquet(stage)
     order = F.struct("file", "began", "pos")

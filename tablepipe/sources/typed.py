@@ -72,11 +72,12 @@ def read_typed_csv(spark: SparkSession, path, types: dict | None = None,
 
 
 def read_typed_json(spark: SparkSession, path, schema, multi_line: bool = True,
-                    order_col: str | None = None, **options) -> DataFrame:
+                    order_col: str | None = None, stage: str | None = None, **options) -> DataFrame:
     """JSON with a declared schema: one JSON array per file (``multi_line``) or JSON
     lines. A number read into a string column keeps its text (``12`` ->
     ``'12'``); a missing field is null. An array file is read by many tasks
-    (:func:`~tablepipe.sources.json_array.parsed_elements`) and each record is parsed once.
+    (:func:`~tablepipe.sources.json_array.parsed_elements`) and each record is parsed once, into
+    a table at ``stage`` where that is given (JSON lines need none).
 
     A record that is no JSON, or a value that does not fit its type, fails the
     query. With ``mode="PERMISSIVE"`` and a ``_corrupt_record string`` column in
@@ -87,7 +88,7 @@ def read_typed_json(spark: SparkSession, path, schema, multi_line: bool = True,
         from tablepipe.sources.json_array import parsed_elements
 
         wanted = _as_struct(schema)
-        rows = parsed_elements(spark, path, lambda text: F.from_json(text, wanted, options), order_col=order_col)
+        rows = parsed_elements(spark, path, lambda text: F.from_json(text, wanted, options), order_col=order_col, stage=stage)
         kept = [order_col] if order_col else []
         return rows.select(*[F.col("element")[f.name].alias(f.name) for f in wanted.fields], *kept)
     df = spark.read.schema(_as_struct(schema)).options(**options).json(path)

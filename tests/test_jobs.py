@@ -322,3 +322,59 @@ def test_catalog_listing_named_catalog(spark, out):
     rows = catalog_listing(spark, catalogs=["spark_catalog"], databases=["civic_two"]).collect()
     assert [(r.catalog, r.schema, r.table, r.description) for r in rows] == [
         ("spark_catalog", "civic_two", "parks", "Parks")]
+
+
+def _scratch(spark):
+    import os
+
+    from tablepipe.session import ensure_checkpoint_dir
+
+    root = f"{ensure_checkpoint_dir(spark)}/tablepipe-scratch".removeprefix("file:")
+    return {f for f in os.listdir(root) if not f.startswith(".")} if os.path.isdir(root) else set()
+
+
+def test_stop_times_files_follow_the_days(spark, out):
+    """A load and a reload of many days write about a file a day, not one of every day a task, and
+    leave nothing in scratch."""
+    import glob
+    import os
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(d) for d in range(40)]
+    rows = [_stop(t, stop, f"{d}T{h:02}:30:00Z", ons=k) for d in days for h in (9, 12, 17) for t in (1, 2)
+            for stop in ("Elm", "Oak") for k in (1, 2)]
+    with open(f"{out}/d.json", "w") as f:
+        json.dump(rows, f)
+    before = _scratch(spark)
+    stop_times.load(spark, f"{out}/d.json", f"{out}/t")
+    assert os.path.exists(f"{out}/d.json")
+    stop_times.load(spark, f"{out}/d.json", f"{out}/t2", keep_export=False)
+    assert not os.path.exists(f"{out}/d.json")
+    twice = spark.read.parquet(f"{out}/t")
+    twice.unionByName(twice.withColumn("ons", F.lit(9).cast("bigint"))).write.parquet(f"{out}/s")
+    stop_times.migrate(spark, f"{out}/s", f"{out}/m")
+    assert _scratch(spark) - {f for f in _scratch(spark) if f.startswith("pyfiles")} <= before
+    tasks = spark.sparkContext.defaultParallelism
+    for path in ("t", "t2", "m"):
+        got = spark.read.parquet(f"{out}/{path}")
+        assert got.count() == 40 * 3 * 2 * 2 and got.select("ons").distinct().collect()[0][0] == 1
+        files = glob.glob(f"{out}/{path}/arrive_day=*/*.parquet")
+        assert 40 <= len(files) < 40 + tasks
+
+
+def test_stop_times_migrate_query_drops_what_it_has_used(spark, monkeypatch):
+    from tablepipe.plans import queries
+
+    from .conftest import SF_SMALL
+
+    before, at, migrate = _scratch(spark), [], stop_times.migrate
+
+    def watched(*args):
+        at.append(_scratch(spark) - before)
+        migrate(*args)
+
+    monkeypatch.setattr(stop_times, "migrate", watched)
+    rows = queries()["stop_times_migrate"](spark, SF_SMALL)
+    kinds = [sorted(f.split("-")[0] + ("-source" if f.endswith("-source") else "") for f in x
+                    if not f.startswith("pyfiles")) for x in (at[0], _scratch(spark) - before)]
+    assert kinds == [["stop_times_moved-source"], ["stop_times_moved"]]
+    assert rows.count() > 0

@@ -261,3 +261,41 @@ def test_single_csv(spark, out):
     export_single_csv(df.limit(0), f"{out}/none.csv")
     with open(f"{out}/none.csv") as f:
         assert f.read() == 'id,"x, y"\n'
+
+
+def test_single_file_holds_its_data_once(spark, out, monkeypatch):
+    """Parts are small, are copied in the order of their rows and go one by one."""
+    import os
+
+    from tablepipe.operators import sinks
+
+    left, copy = [], sinks._copy_part
+
+    def watched(spark, fs, part, *rest):
+        folder = os.path.dirname(part.toUri().getPath())
+        left.append(len([f for f in os.listdir(folder) if f.startswith("part-")]))
+        copy(spark, fs, part, *rest)
+
+    monkeypatch.setattr(sinks, "_copy_part", watched)
+    monkeypatch.setattr(sinks, "PART_ROWS", 1)
+    lines = spark.range(0, 1100, 1, 1).select(F.format_string(",%d", "id").alias("value"))  # one task, files c000 to c1099
+    sinks.single_file(lines.write.format("text"), spark, f"{out}/a.json", head="[", tail="]", skip=1)
+    with open(f"{out}/a.json") as f:
+        assert f.read() == "[" + "\n,".join(str(i) for i in range(1100)) + "\n]"
+    assert left == list(range(1100, 0, -1))
+    assert [f for f in os.listdir(out) if not f.startswith(".")] == ["a.json"]
+
+
+def test_dealt_by_ranges_chooses_the_same_rows(spark, monkeypatch):
+    from tablepipe.operators import sinks
+
+    monkeypatch.setattr(sinks, "ROWS_A_TASK", 50)
+    df = spark.range(0, 600, 1, 7).select(
+        F.when(F.col("id") % 50 != 0, F.col("id") % 37).alias("a"), (F.col("id") % 3).alias("b"), F.col("id").alias("o"))
+    got = dedup_first(df, ["a", "b"], "o", rows=600, ranges=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(a" in plan and "hashpartitioning" not in plan
+    first, nulls = {}, []
+    for r in df.collect():
+        nulls.append(r.o) if r.a is None else first.setdefault((r.a, r.b), r.o)
+    assert sorted(r.o for r in got.collect()) == sorted([*first.values(), *nulls])
